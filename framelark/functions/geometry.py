@@ -5,6 +5,16 @@ from pyspark.sql import functions as F
 
 
 
+def let(value: Column, fn) -> Column:
+    """fn(value) with the value computed once, for use inside several lambdas."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
+def fixed(v: Column, places=6) -> Column:
+    """Decimal text with the given places; ties go to the even digit."""
+    return F.format_string(f"%.{places}f", F.bround(v, places))
+
+
 def box(prefix="", sep=""):
     """The four corner columns behind an alias or prefix: box("l.") -> l.x1, l.y1, l.x2, l.y2."""
     return tuple(F.col(f"{prefix}{sep}{c}") for c in ("x1", "y1", "x2", "y2"))
@@ -97,9 +107,7 @@ def polygon_to_yolo(poly: Column, width: Column, height: Column) -> Column:
     """Pixel polygon to normalized text with 6 decimals; NULL for fewer than 6 or an odd count."""
     part = F.transform(
         poly,
-        lambda v, i: F.format_string(
-            "%.6f", clamp(v / F.when(i % 2 == 0, width).otherwise(height), 0.0, F.lit(1.0))
-        ),
+        lambda v, i: fixed(clamp(v / F.when(i % 2 == 0, width).otherwise(height), 0.0, F.lit(1.0))),
     )
     return F.when((F.size(poly) >= 6) & (F.size(poly) % 2 == 0), F.array_join(part, " "))
 
@@ -108,17 +116,25 @@ def bbox_to_polygon(x, y, w, h) -> Column:
     return F.array(x, y, x + w, y, x + w, y + h, x, y + h)
 
 
-def polygon_area(poly: Column) -> Column:
-    """Shoelace area of a flat x, y, x, y, ... array; 0 for fewer than three points."""
+def _edges(poly: Column) -> Column:
+    """Edges {xi, yi, xj, yj} of a flat x, y, x, y, ... array, the last one closing the polygon."""
     n = F.floor(F.size(poly) / F.lit(2)).cast("int")
-    cross = F.aggregate(
-        F.sequence(F.lit(0), n - 1),
-        F.lit(0.0),
-        lambda acc, i: acc
-        + F.get(poly, 2 * i) * F.get(poly, 2 * ((i + 1) % n) + 1)
-        - F.get(poly, 2 * ((i + 1) % n)) * F.get(poly, 2 * i + 1),
-    )
-    return F.when(n >= 3, F.abs(cross) / 2.0).otherwise(F.lit(0.0))
+    at = lambda i: F.get(poly, i)
+
+    def edge(i):
+        j = (i + 1) % n
+        return F.struct(
+            at(2 * i).alias("xi"), at(2 * i + 1).alias("yi"), at(2 * j).alias("xj"), at(2 * j + 1).alias("yj")
+        )
+
+    empty = F.array().cast("array<struct<xi:double,yi:double,xj:double,yj:double>>")
+    return F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 1), edge)).otherwise(empty)
+
+
+def polygon_area(poly: Column) -> Column:
+    """Shoelace area; 0 for fewer than three points."""
+    cross = lambda acc, e: acc + e["xi"] * e["yj"] - e["xj"] * e["yi"]
+    return let(poly, lambda p: F.abs(F.aggregate(_edges(p), F.lit(0.0), cross)) / 2.0)
 
 
 def filter_polygons(polys: Column, min_area=100.0) -> Column:
@@ -131,22 +147,18 @@ def filter_polygons(polys: Column, min_area=100.0) -> Column:
     )
 
 
-def point_in_polygon(poly: Column, px: Column, py: Column) -> Column:
-    """Even-odd rule by casting a ray to the right."""
-    n = F.floor(F.size(poly) / F.lit(2)).cast("int")
+def _inside(edges: Column, px: Column, py: Column) -> Column:
+    """Even-odd rule by casting a ray to the right; `edges` are those of the polygon."""
 
-    def crossing(i):
-        j = (i + 1) % n
-        xi, yi, xj, yj = F.get(poly, 2 * i), F.get(poly, 2 * i + 1), F.get(poly, 2 * j), F.get(poly, 2 * j + 1)
-        at = xi + (py - yi) * (xj - xi) / F.when(yj != yi, yj - yi)
-        return ((yi > py) != (yj > py)) & (px < at)
-
-    hits = F.aggregate(
-        F.sequence(F.lit(0), n - 1),
-        F.lit(0),
-        lambda acc, i: acc + F.when(crossing(i), 1).otherwise(0),
-    )
-    return (n >= 3) & (hits % 2 == 1)
+    def crossing(e):
+        at = e["xi"] + (py - e["yi"]) * (e["xj"] - e["xi"]) / F.when(e["yj"] != e["yi"], e["yj"] - e["yi"])
+        return ((e["yi"] > py) != (e["yj"] > py)) & (px < at)
+
+    return F.size(F.filter(edges, crossing)) % 2 == 1
+
+
+def point_in_polygon(poly: Column, px: Column, py: Column) -> Column:
+    return let(poly, lambda p: _inside(_edges(p), px, py))
 
 
 def selected_by_points(poly: Column, points: Column) -> Column:
@@ -155,10 +167,13 @@ def selected_by_points(poly: Column, points: Column) -> Column:
     `points` is an array of {x, y, positive}; if none is positive, all count as positive.
     """
     any_pos = F.exists(points, lambda p: p["positive"])
-    pos = F.filter(points, lambda p: p["positive"] | ~any_pos)
-    neg = F.filter(points, lambda p: any_pos & ~p["positive"])
-    inside = lambda p: point_in_polygon(poly, p["x"], p["y"])
-    return F.exists(pos, inside) & ~F.exists(neg, inside)
+
+    def verdict(edges):
+        pos = F.exists(points, lambda p: (p["positive"] | ~any_pos) & _inside(edges, p["x"], p["y"]))
+        neg = F.exists(points, lambda p: any_pos & ~p["positive"] & _inside(edges, p["x"], p["y"]))
+        return pos & ~neg
+
+    return let(let(poly, _edges), verdict)
 
 
 def l2_normalize(v: Column) -> Column:

@@ -2,7 +2,7 @@
 
 import importlib
 
-GROUPS = ("evaluation",)
+GROUPS = ("evaluation", "projections")
 
 
 def load():

@@ -120,6 +120,7 @@ class Tables:
 
     def sql(self, text: str) -> DataFrame:
         deps = _deps(text)
+        text = text.replace("{", "{{").replace("}", "}}")
         for n in deps:
             text = re.sub(rf"\b(FROM|JOIN)\s+{n}\b", rf"\1 {{{n}}}", text)
         return self._spark.sql(text, **{n: getattr(self, n) for n in deps})
