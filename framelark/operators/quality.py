@@ -51,7 +51,7 @@ def check_label_lines(lines: DataFrame, num_classes=None, fix=False) -> DataFram
     past_center = reached & ~F.coalesce(F.col("error") == "center", F.lit(False))
     ok = F.col("error").isNull()
     yes = lambda c: F.coalesce(c, F.lit(False))
-    fixed = F.when(
+    rewritten = F.when(
         F.col("_fc") | F.col("_fs"),
         F.concat_ws(" ", F.col("class_id").cast("string"), *[fixed(F.col(c)) for c in ("xc", "yc", "w", "h")]),
     ).otherwise(F.trim("line"))
@@ -60,7 +60,7 @@ def check_label_lines(lines: DataFrame, num_classes=None, fix=False) -> DataFram
         "warn_center": yes(past_center & F.col("_fc")),
         "warn_size": yes(ok & F.col("_fs")),
         "warn_tiny": yes(ok & ((F.col("w") < TINY) | (F.col("h") < TINY))),
-        "fixed_line": F.when(ok, fixed),
+        "fixed_line": F.when(ok, rewritten),
     }).drop("_p", "_fc", "_fs")
 
 

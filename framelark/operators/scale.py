@@ -165,16 +165,14 @@ def dense_ids(keys: DataFrame, order, name, start=0) -> DataFrame:
     return ordinal(keys, [], order, name, start)
 
 
-def nearest(rows: DataFrame, marks: DataFrame, group, at, payload, prefix="") -> DataFrame:
+def nearest(rows: DataFrame, marks: DataFrame, group, at, payload, strict=False) -> DataFrame:
     """As-of join in both directions.
 
     For each row of `rows`, the last mark at or before `at` and the first mark at or after it, inside
-    `group`. `payload` are mark columns; ties between marks at one time go to the smallest payload.
-    Adds structs `{prefix}prev` and `{prefix}next` with `at` and the payload.
+    `group` (before and after only, with `strict`). `payload` are mark columns; of several marks at one
+    time the smallest payload counts. Adds structs `prev` and `next` with `at` and the payload.
     """
-    first = marks.filter(F.col(at).isNotNull()).groupBy(*group, at).agg(
-        F.min(F.struct(*payload)).alias("_p")
-    )
+    first = marks.filter(F.col(at).isNotNull()).groupBy(*group, at).agg(F.min(F.struct(*payload)).alias("_p"))
     mark = F.struct(F.col(at).alias(at), *[F.col(f"_p.{c}").alias(c) for c in payload])
     both = (
         rows.withColumn("_is_row", F.lit(1))
@@ -183,8 +181,9 @@ def nearest(rows: DataFrame, marks: DataFrame, group, at, payload, prefix="") ->
             first.select(*group, at, mark.alias("_m"), F.lit(0).alias("_is_row")), allowMissingColumns=True
         )
     )
-    prev = running(both, group, [at, "_is_row", "_uid"], {f"{prefix}prev": ("max", F.col("_m"))})
-    nxt = running(prev, group, [F.col(at).desc(), "_is_row", "_uid"], {f"{prefix}next": ("min", F.col("_m"))})
+    tie = F.col("_is_row").desc() if strict else F.col("_is_row").asc()
+    prev = running(both, group, [at, tie, "_uid"], {"prev": ("max", F.col("_m"))})
+    nxt = running(prev, group, [F.col(at).desc(), tie, "_uid"], {"next": ("min", F.col("_m"))})
     return nxt.filter("_is_row = 1").drop("_m", "_is_row", "_uid")
 
 
@@ -352,3 +351,33 @@ def _fold_stretch(df, group, order, state0, state_type, step, emit, emit_type, b
     rows = rows.select(*group, *[F.col(f"z.a.row.{c}").alias(c) for c in cols], F.col("z.b").alias("out"))
     state = folded.select(*group, F.col("_f.s").alias("_s1")) if want_state else None
     return rows, state
+
+
+# --- quantiles ------------------------------------------------------------------------------------
+
+
+def exact_quantiles(df: DataFrame, group, value, qs) -> DataFrame:
+    """Exact quantiles {name: q} per group with linear interpolation.
+
+    Spark's exact percentile keeps the distinct values of a group in one task, so oversized groups are
+    ranked in slices instead and only the rows at the wanted ranks are looked at.
+    """
+    group = list(group)
+    df = df.filter(F.col(value).isNotNull())
+    small, big = split_by_size(df, group, limit_of(df.sparkSession, "windowRows", WINDOW_ROWS))
+    out = small.groupBy(*group).agg(*[F.percentile(value, F.lit(q)).alias(n) for n, q in qs.items()])
+    if big is None:
+        return out
+    ranked = ordinal(big.select(*group, value), group, [value], "_pos")
+    n = ranked.groupBy(*group).agg((F.max("_pos") + 1).alias("_n"))
+    at = lambda q: F.lit(float(q)) * (F.col("_n") - 1)
+    wanted = F.array_distinct(F.concat(*[F.array(F.floor(at(q)), F.ceil(at(q))) for q in qs.values()]))
+    picks = n.withColumn("_pos", F.explode(wanted)).join(ranked, [*group, "_pos"])
+
+    def interpolated(q):
+        low = F.max(F.when(F.col("_pos") == F.floor(at(q)), F.col(value)))
+        high = F.max(F.when(F.col("_pos") == F.ceil(at(q)), F.col(value)))
+        part = F.max(at(q) - F.floor(at(q)))
+        return (low + (high - low) * part).cast("double")
+
+    return out.unionByName(picks.groupBy(*group).agg(*[interpolated(q).alias(n) for n, q in qs.items()]))

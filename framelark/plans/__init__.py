@@ -2,7 +2,7 @@
 
 import importlib
 
-GROUPS = ("evaluation", "projections")
+GROUPS = ("evaluation", "projections", "labels", "timeline")
 
 
 def load():
