@@ -11,8 +11,19 @@ def let(value: Column, fn) -> Column:
 
 
 def fixed(v: Column, places=6) -> Column:
-    """Decimal text with the given places; ties go to the even digit."""
-    return F.format_string(f"%.{places}f", F.bround(v, places))
+    """Decimal text of a double with the given places, rounded by its binary value, ties to even.
+
+    Spark's own rounding works on the shortest decimal form and can differ in the last digit. Here the
+    value is split in two halves whose products with 10^places are exact, so the comparison with one
+    half is exact too.
+    """
+    scale = F.lit(float(10**places))
+    big = v * F.lit(134217729.0)
+    hi = big - (big - v)
+    whole = F.floor(hi * scale)
+    over = (hi * scale - whole - F.lit(0.5)) + (v - hi) * scale
+    up = (over > 0) | ((over == 0) & (whole % 2 != 0))
+    return F.format_string(f"%.{places}f", (whole + F.when(up, 1).otherwise(0)) / scale)
 
 
 def box(prefix="", sep=""):
@@ -105,10 +116,8 @@ def scale_coords(v: Column, dim: Column, scale: float, truncate=False) -> Column
 
 def polygon_to_yolo(poly: Column, width: Column, height: Column) -> Column:
     """Pixel polygon to normalized text with 6 decimals; NULL for fewer than 6 or an odd count."""
-    part = F.transform(
-        poly,
-        lambda v, i: fixed(clamp(v / F.when(i % 2 == 0, width).otherwise(height), 0.0, F.lit(1.0))),
-    )
+    unit = F.transform(poly, lambda v, i: clamp(v / F.when(i % 2 == 0, width).otherwise(height), 0.0, F.lit(1.0)))
+    part = F.transform(unit, lambda v: fixed(v))
     return F.when((F.size(poly) >= 6) & (F.size(poly) % 2 == 0), F.array_join(part, " "))
 
 
@@ -196,32 +205,26 @@ def flip_center(xc, yc, axis: str):
     return (1.0 - xc, yc) if axis == "h" else (xc, 1.0 - yc)
 
 
-def rotate_point(x, y, angle_deg, width, height):
+def rotate_point(x, y, cos, sin, width, height):
     """Rotate a pixel about the image center, positive angles turning counter-clockwise on screen."""
-    t = F.radians(angle_deg)
-    c, s = F.cos(t), F.sin(t)
     cx, cy = width / 2.0, height / 2.0
-    return c * x + s * y + (1 - c) * cx - s * cy, -s * x + c * y + s * cx + (1 - c) * cy
+    return cos * x + sin * y + (1 - cos) * cx - sin * cy, -sin * x + cos * y + sin * cx + (1 - cos) * cy
 
 
-def rotate_box(b, angle_deg, width, height, min_visible=0.01):
-    """(clipped box around the four rotated corners, keep flag by visible share)."""
-    corners = [rotate_point(b[i], b[j], angle_deg, width, height) for i, j in ((0, 1), (2, 1), (2, 3), (0, 3))]
-    xs, ys = [p[0] for p in corners], [p[1] for p in corners]
-    full = (F.least(*xs), F.least(*ys), F.greatest(*xs), F.greatest(*ys))
-    c = (clamp(full[0], 0.0, width), clamp(full[1], 0.0, height), clamp(full[2], 0.0, width), clamp(full[3], 0.0, height))
-    area = (c[2] - c[0]) * (c[3] - c[1])
-    before = (b[2] - b[0]) * (b[3] - b[1])
-    return c, (c[2] > c[0]) & (c[3] > c[1]) & (area / before >= min_visible)
+def rotated_extent(b, cos, sin, width, height):
+    """Corners of the upright box around a rotated box."""
+    p = [rotate_point(b[i], b[j], cos, sin, width, height) for i, j in ((0, 1), (2, 1), (2, 3), (0, 3))]
+    xs, ys = [q[0] for q in p], [q[1] for q in p]
+    return F.least(*xs), F.least(*ys), F.greatest(*xs), F.greatest(*ys)
 
 
-def rotate_polygon(poly: Column, angle_deg, width, height) -> Column:
+def rotate_polygon(poly: Column, cos, sin, width, height) -> Column:
     """Rotate every point of a pixel polygon and clip it to the image."""
 
     def one(v, i):
         x = F.when(i % 2 == 0, v).otherwise(F.get(poly, i - 1))
         y = F.when(i % 2 == 0, F.get(poly, i + 1)).otherwise(v)
-        px, py = rotate_point(x, y, angle_deg, width, height)
+        px, py = rotate_point(x, y, cos, sin, width, height)
         return F.when(i % 2 == 0, clamp(px, 0.0, width)).otherwise(clamp(py, 0.0, height))
 
     return F.transform(poly, one)

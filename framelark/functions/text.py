@@ -36,15 +36,10 @@ def json_block(response: Column) -> Column:
     )
 
 
-def parse_detections(response: Column) -> Column:
-    """Detections of a model response, or NULL when its JSON cannot be parsed.
-
-    A single object counts as a list of one.
-    """
-    text = F.trim(json_block(response))
-    text = F.when(F.startswith(text, F.lit("{")), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text)
-    valid = F.try_parse_json(text).isNotNull()
-    return F.when(valid, F.from_json(text, DETECTIONS))
+def json_list(block: Column) -> Column:
+    """The block as JSON list text; a single object counts as a list of one."""
+    text = F.trim(block)
+    return F.when(F.startswith(text, F.lit("{")), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text)
 
 
 def bbox_lines(response: Column) -> Column:

@@ -7,7 +7,7 @@ from framelark.functions import geometry as geo
 from framelark.functions import text
 from framelark.operators.matching import mosaic_neighbors
 from framelark.operators.responses import explode_detections, parse_responses
-from framelark.operators.scale import ordinal
+from framelark.operators.scale import cut, ordinal
 
 
 def coco_to_seg_labels(images: DataFrame, anns: DataFrame, cats: DataFrame, rectangles=False):
@@ -44,7 +44,8 @@ def vlm_to_annotations(results: DataFrame):
     ones too. Categories are numbered in order of first appearance.
     """
     ix = ordinal(results, [], ["file_name"], "frame_idx")
-    parsed = parse_responses(ix).filter("dets is not null")
+    # Parsing is the costly step; its result is written once for the passes below.
+    parsed = cut(parse_responses(ix).filter("dets is not null"))
     im = ordinal(parsed.drop("dets", "raw", "parse_error", "response"), [], ["frame_idx"], "image_id", start=1)
     images = im.withColumn("timestamp_ns", text.source_id(F.col("file_name")).cast("long"))
     dets = explode_detections(parsed, ["frame_idx"]).select("frame_idx", "pos", F.trim("label").alias("label"), "bbox")
@@ -90,22 +91,33 @@ def rotate_labels(labels: DataFrame, min_visible=0.01) -> DataFrame:
     Boxes become the clipped box around their corners, polygons are clipped point by point; what is
     hardly visible afterwards drops out. Polygons carry 6 decimals.
     """
-    c, w, h, a = F.col("coords"), F.col("width").cast("double"), F.col("height").cast("double"), F.col("angle")
-    box = geo.center_to_xyxy(c[0] * w, c[1] * h, c[2] * w, c[3] * h)
-    r, ok = geo.rotate_box(box, a, w, h, min_visible)
-    center = geo.xyxy_to_center(*r)
-    det = _with(c, [center[0] / w, center[1] / h, center[2] / w, center[3] / h])
+    c, w, h = F.col("coords"), F.col("width").cast("double"), F.col("height").cast("double")
+    is_seg = F.col("kind") == "seg"
     dim = lambda i: F.when(i % 2 == 0, w).otherwise(h)
     px = F.transform(F.slice(c, 1, 2 * F.floor(F.size(c) / F.lit(2)).cast("int")), lambda v, i: v * dim(i))
-    rows = labels.withColumn("_px", F.when(F.col("kind") == "seg", px)).withColumn(
-        "_rot", F.when(F.col("kind") == "seg", geo.rotate_polygon(F.col("_px"), a, w, h)))
+    corners = geo.center_to_xyxy(c[0] * w, c[1] * h, c[2] * w, c[3] * h)
+    rows = labels.withColumns({
+        "_cos": F.cos(F.radians("angle")), "_sin": F.sin(F.radians("angle")), "_px": F.when(is_seg, px),
+        **{f"_b{i}": F.when(~is_seg, v) for i, v in enumerate(corners)},
+    })
+    cos, sin, b = F.col("_cos"), F.col("_sin"), [F.col(f"_b{i}") for i in range(4)]
+    rows = rows.withColumns({
+        "_rot": geo.rotate_polygon(F.col("_px"), cos, sin, w, h),
+        **{f"_e{i}": geo.clamp(v, 0.0, (w, h)[i % 2]) for i, v in enumerate(geo.rotated_extent(b, cos, sin, w, h))},
+    })
+    e = [F.col(f"_e{i}") for i in range(4)]
+    ew, eh = e[2] - e[0], e[3] - e[1]
+    share = ew * eh / ((b[2] - b[0]) * (b[3] - b[1]))
     before = geo.polygon_area(F.col("_px"))
-    seen = F.coalesce(before, F.lit(0.0)) <= 0
-    visible = seen | (geo.polygon_area(F.col("_rot")) / F.when(before > 0, before) >= min_visible)
-    poly = F.transform("_rot", lambda v, i: F.bround(v / dim(i), 6))
-    is_seg = F.col("kind") == "seg"
-    rows = rows.withColumn("_keep", F.when(is_seg, visible).otherwise(ok))
-    return rows.filter("_keep").withColumn("coords", F.when(is_seg, poly).otherwise(det)).drop("_px", "_rot", "_keep")
+    rows = rows.withColumns({
+        "_share": F.when(is_seg, geo.polygon_area(F.col("_rot")) / F.when(before > 0, before)).otherwise(share),
+        "_det": F.when(~is_seg, _with(c, [(e[0] + e[2]) / 2 / w, (e[1] + e[3]) / 2 / h, ew / w, eh / h])),
+        "_poly": F.transform("_rot", lambda v, i: F.bround(v / dim(i), 6)),
+        "_some": is_seg | ((ew > 0) & (eh > 0)),
+    })
+    # A shape without area of its own has no share to lose.
+    kept = rows.filter(F.col("_some") & (F.col("_share").isNull() | (F.col("_share") >= min_visible)))
+    return kept.withColumn("coords", F.when(is_seg, F.col("_poly")).otherwise(F.col("_det"))).select(*labels.columns)
 
 
 def mosaic_labels(images: DataFrame, labels: DataFrame, keys=()) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framelark.operators.matching import both_parts, iou_pairs, match_predictions
-from framelark.operators.scale import greedy_pairs, running
+from framelark.operators.scale import cut, greedy_pairs, running
 
 # Fixed setting of the published AP definition: overlap 0.50 to 0.95 in steps of 0.05, in percent.
 AP_PERCENT = list(range(50, 100, 5))
@@ -129,7 +129,7 @@ def metrics_table(pred: DataFrame, gt: DataFrame, classes: DataFrame, min_iou=0.
 
     pred and gt carry `split`; classes: class_id, name. Detection only, so the mask columns stay NULL.
     """
-    out = match_predictions(pred, gt, ["split", "image_id"], min_iou)
+    out = cut(match_predictions(pred, gt, ["split", "image_id"], min_iou).select("split", "outcome", "pred_class", "gt_class"))
     per = per_class_scores(out, ["split"])
     allrow = detection_scores(out, ["split"]).drop("f1").withColumn("class_id", F.lit(-1))
     ap = average_precision(pred, gt, ["image_id"], ["split"])

@@ -5,13 +5,15 @@ from pyspark.sql import functions as F
 
 from framelark.functions import geometry as geo
 from framelark.functions import text
-from framelark.operators.scale import ordinal
+from framelark.operators.scale import cut, ordinal
 from framelark.operators.suppress import dedup_cross_class
 
 
 def parse_responses(df: DataFrame, response="response") -> DataFrame:
     """Add dets; where the JSON does not parse, raw and parse_error instead."""
-    got = df.withColumn("dets", text.parse_detections(F.col(response)))
+    got = df.withColumn("_list", text.json_list(text.json_block(F.col(response))))
+    valid = F.try_parse_json("_list").isNotNull()
+    got = got.withColumn("dets", F.when(valid, F.from_json("_list", text.DETECTIONS))).drop("_list")
     failed = F.col("dets").isNull()
     return got.withColumns({
         "raw": F.when(failed, F.col(response)),
@@ -111,7 +113,8 @@ def canonical_boxes(responses: DataFrame, images: DataFrame, classes, order="xyx
     boxed = kept.filter(F.size("bbox") == 4).select(
         "image_id", "pos", (F.col("image_id") * F.lit(1 << 20) + F.col("pos")).alias("id"), "label", "score",
         *[F.col("bbox")[i].alias(c) for i, c in enumerate(("x1", "y1", "x2", "y2"))])
-    one = dedup_cross_class(boxed, ["image_id"], dedup_iou)
+    # Several passes follow; parsing must not be repeated for each.
+    one = dedup_cross_class(cut(boxed), ["image_id"], dedup_iou)
     w, h = F.col("width"), F.col("height")
     return one.join(images.select("image_id", "width", "height"), "image_id").select(
         "image_id", "pos", "label", "score",

@@ -250,6 +250,7 @@ def insert_detections(dets: DataFrame, existing: DataFrame, images: DataFrame, n
         *[F.when(has, v).otherwise(F.col(n)).alias(n) for n, v in zip(BOX, c)],
         F.when(has, ok).otherwise(bare).alias("fits"),
     )
+    sized = cut(sized)
     fits = sized.filter("fits").drop("fits")
     known_dup = iou_join(
         fits.select(*key, "det_id", *BOX), existing.select(*key, *BOX), key, dup_iou, strict=True, clamp_areas=True
@@ -260,7 +261,7 @@ def insert_detections(dets: DataFrame, existing: DataFrame, images: DataFrame, n
         added.select("det_id", *BOX, F.lit("added").alias("st"))
         .unionByName(sized.filter("not fits").select("det_id", *BOX, F.lit("too_small").alias("st")))
     )
-    survivors = kept.select("det_id", F.lit(True).alias("survived"))
+    survivors = sized.select("det_id", F.lit(True).alias("survived"))
     return (
         dets.select("image_id", "det_id", "category_id", F.round("confidence", 4).alias("confidence"))
         .join(survivors, "det_id", "left")
@@ -343,13 +344,13 @@ def import_annotations(anns, images, categories, live, live_images, live_categor
     here = live.select(
         F.col("image_id").alias("dst_image"), F.col("category_id").cast("int").alias("dst_cat"), *keyed,
         F.col("ann_id").alias("live_id"), F.col("has_mask").alias("live_mask"),
-    ).groupBy(*box_key).agg(F.max(F.struct("live_id", "live_mask")).alias("h"))
+    ).groupBy(*box_key).agg(F.max(F.struct("live_id", "live_mask")).alias("_live"))
     firsts = known.groupBy(*box_key).agg(F.min("ann_id").alias("first_id"), F.max("has_mask").alias("any_mask"))
     joined = known.join(firsts, box_key).join(here, box_key, "left")
-    fresh = joined.filter("h is null and ann_id = first_id")
+    fresh = joined.filter("_live is null and ann_id = first_id")
     gives = joined.filter(
-        (F.col("h").isNotNull() & F.col("any_mask") & ~F.col("h.live_mask"))
-    ).select(F.col("h.live_id").alias("ann_id")).distinct()
+        F.col("_live").isNotNull() & F.col("any_mask") & ~F.col("_live.live_mask")
+    ).select(F.col("_live.live_id").alias("ann_id")).distinct()
     top_id = live.agg(F.coalesce(F.max("ann_id"), F.lit(0))).scalar()
     next_track = live.agg(F.coalesce(F.max("track_id") + 1, F.lit(1))).scalar()
     text_track = F.when(F.col("track_text").rlike(INT_TEXT), F.col("track_text").try_cast("bigint"))
@@ -371,7 +372,7 @@ def import_annotations(anns, images, categories, live, live_images, live_categor
         .unionByName(foreign)
         .unionByName(joined.select(
             "ann_id", "dst_image",
-            F.when(F.col("h").isNull() & (F.col("ann_id") == F.col("first_id")), "imported").otherwise("duplicate").alias("fate"),
+            F.when(F.col("_live").isNull() & (F.col("ann_id") == F.col("first_id")), "imported").otherwise("duplicate").alias("fate"),
         ))
     )
     return old_rows.unionByName(new_rows), fates

@@ -2,7 +2,7 @@
 
 import importlib
 
-GROUPS = ("evaluation", "projections", "labels", "timeline")
+GROUPS = ("evaluation", "projections", "labels", "timeline", "datasets")
 
 
 def load():
