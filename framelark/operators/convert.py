@@ -81,7 +81,7 @@ def _with(coords, values):
 def flip_labels(labels: DataFrame, axis="h") -> DataFrame:
     """Mirror parsed labels; boxes move their center only."""
     c = F.col("coords")
-    xc, yc = geo.flip_center(c[0], c[1], axis)
+    xc, yc = geo.flip_center(F.get(c, F.lit(0)), F.get(c, F.lit(1)), axis)
     return labels.withColumn("coords", F.when(F.col("kind") == "seg", geo.flip_points(c, axis)).otherwise(_with(c, [xc, yc])))
 
 
@@ -95,7 +95,8 @@ def rotate_labels(labels: DataFrame, min_visible=0.01) -> DataFrame:
     is_seg = F.col("kind") == "seg"
     dim = lambda i: F.when(i % 2 == 0, w).otherwise(h)
     px = F.transform(F.slice(c, 1, 2 * F.floor(F.size(c) / F.lit(2)).cast("int")), lambda v, i: v * dim(i))
-    corners = geo.center_to_xyxy(c[0] * w, c[1] * h, c[2] * w, c[3] * h)
+    at = lambda i: F.get("coords", F.lit(i))
+    corners = geo.center_to_xyxy(at(0) * w, at(1) * h, at(2) * w, at(3) * h)
     rows = labels.withColumns({
         "_cos": F.cos(F.radians("angle")), "_sin": F.sin(F.radians("angle")), "_px": F.when(is_seg, px),
         **{f"_b{i}": F.when(~is_seg, v) for i, v in enumerate(corners)},
@@ -127,7 +128,8 @@ def mosaic_labels(images: DataFrame, labels: DataFrame, keys=()) -> DataFrame:
     dx, dy = (F.col("quadrant") % 2) * 0.5, F.floor(F.col("quadrant") / 2) * 0.5
     moved = F.transform("coords", lambda v, i: v / 2.0 + F.when(i % 2 == 0, dx).otherwise(dy))
     c = F.col("coords")
-    det = _with(c, [c[0] / 2.0 + dx, c[1] / 2.0 + dy, c[2] / 2.0, c[3] / 2.0])
+    half = [F.get(c, F.lit(i)) / 2.0 for i in range(4)]
+    det = _with(c, [half[0] + dx, half[1] + dy, half[2], half[3]])
     joined = labels.join(slots, [*keys, "stem"])
     return joined.withColumn("coords", F.when(F.col("kind") == "seg", moved).otherwise(det)).withColumn(
         "name", F.concat(F.col("image"), F.lit("_mosaic")))
