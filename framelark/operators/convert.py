@@ -7,7 +7,7 @@ from framelark.functions import geometry as geo
 from framelark.functions import text
 from framelark.operators.matching import mosaic_neighbors
 from framelark.operators.responses import explode_detections, parse_responses
-from framelark.operators.scale import cut, ordinal
+from framelark.operators.scale import cut, filter_late, ordinal
 
 
 def coco_to_seg_labels(images: DataFrame, anns: DataFrame, cats: DataFrame, rectangles=False):
@@ -70,7 +70,8 @@ def parse_labels(lines: DataFrame) -> DataFrame:
     rows = rows.withColumn("class_id", text.as_int(F.get("_p", F.lit(0)))).withColumn(
         "coords", F.transform(F.slice("_p", 2, F.greatest(F.size("_p") - 1, F.lit(0))), text.as_float))
     enough = F.when(F.col("kind") == "seg", F.size("coords") >= 6).otherwise(F.size("coords") >= 4)
-    return rows.filter(enough & F.col("class_id").isNotNull() & ~F.exists("coords", lambda v: v.isNull())).drop("_p")
+    good = enough & F.col("class_id").isNotNull() & ~F.exists("coords", lambda v: v.isNull())
+    return filter_late(rows, good).drop("_p")
 
 
 def _with(coords, values):
@@ -117,7 +118,7 @@ def rotate_labels(labels: DataFrame, min_visible=0.01) -> DataFrame:
         "_some": is_seg | ((ew > 0) & (eh > 0)),
     })
     # A shape without area of its own has no share to lose.
-    kept = rows.filter(F.col("_some") & (F.col("_share").isNull() | (F.col("_share") >= min_visible)))
+    kept = filter_late(rows, F.col("_some") & (F.col("_share").isNull() | (F.col("_share") >= min_visible)))
     return kept.withColumn("coords", F.when(is_seg, F.col("_poly")).otherwise(F.col("_det"))).select(*labels.columns)
 
 

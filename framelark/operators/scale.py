@@ -45,11 +45,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write the rows out reliably and go on from there; survives the loss of executors."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Write the rows to a table in the shared folder and go on from there.
+
+    The table survives the loss of executors, is computed once, and later steps read only the columns
+    they need from it.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def oversized(df: DataFrame, keys, limit: int):
@@ -84,6 +87,15 @@ def split_both(left: DataFrame, right: DataFrame, keys, limit: int):
     return small, (left.join(big, keys, "left_semi"), right.join(big, keys, "left_semi"))
 
 
+def filter_late(df: DataFrame, cond: Column) -> DataFrame:
+    """Filter that stays above the columns it reads.
+
+    Pushing a condition below a chain of computed columns repeats their formulas once per use. A
+    condition that names the partition is left where it is; partitions count from 0, so it adds nothing.
+    """
+    return df.filter((F.spark_partition_id() < 0) | cond)
+
+
 def union_all(frames):
     return reduce(lambda a, b: a.unionByName(b), frames)
 

@@ -330,10 +330,10 @@ def propagate_chain(seeds: DataFrame, cands: DataFrame, keys) -> DataFrame:
     jump, reach = cut(best_successors(cands, keys)), 1
     while not jump.isEmpty():
         longer = chain.join(jump, [*keys, "cand"]).select(
-            *keys, "seed_id", F.col("succ").alias("cand"), (F.col("n") + reach).alias("n"))
+            *[F.col(k).alias(k) for k in keys], F.col("seed_id").alias("seed_id"), F.col("succ").alias("cand"), (F.col("n") + reach).alias("n"))
         if longer.isEmpty():
             break
-        chain = cut(chain.unionByName(longer))
+        chain = union_all([chain, cut(longer)])
         second = jump.select(*keys, F.col("cand").alias("succ"), F.col("succ").alias("_s"))
         jump, reach = cut(jump.join(second, [*keys, "succ"]).select(*keys, "cand", F.col("_s").alias("succ"))), reach * 2
     boxes = cands.select(*keys, F.col("cand_id").alias("cand"), "frame_idx", *BOX)

@@ -2,7 +2,7 @@
 
 import importlib
 
-GROUPS = ("evaluation", "projections", "labels", "timeline", "datasets")
+GROUPS = ("evaluation", "projections", "labels", "timeline", "datasets", "motion")
 
 
 def load():
