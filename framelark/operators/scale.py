@@ -90,10 +90,10 @@ def split_both(left: DataFrame, right: DataFrame, keys, limit: int):
 def filter_late(df: DataFrame, cond: Column) -> DataFrame:
     """Filter that stays above the columns it reads.
 
-    Pushing a condition below a chain of computed columns repeats their formulas once per use. A
-    condition that names the partition is left where it is; partitions count from 0, so it adds nothing.
+    Pushing a condition below a chain of computed columns repeats their formulas once per use. Catalyst
+    pushes nothing below the partition number, which counts from 0, so it adds nothing to the condition.
     """
-    return df.filter((F.spark_partition_id() < 0) | cond)
+    return df.withColumn("_here", F.spark_partition_id()).filter((F.col("_here") < 0) | cond).drop("_here")
 
 
 def union_all(frames):

@@ -2,7 +2,7 @@
 
 import importlib
 
-GROUPS = ("evaluation", "projections", "labels", "timeline", "datasets", "motion")
+GROUPS = ("evaluation", "projections", "labels", "timeline", "datasets", "motion", "documents")
 
 
 def load():

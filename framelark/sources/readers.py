@@ -1,3 +1,217 @@
+"""Files and documents to tables. Readers take paths; the functions behind them work on any text column."""
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from framelark.functions import geometry as geo
+from framelark.functions import text
 from framelark.operators.frames import check_poses
-def read_pose_table(poses):
-    return check_poses(poses)
+
+# Fixed list of image suffixes.
+IMAGE_SUFFIXES = ("jpg", "jpeg", "png", "bmp", "tif", "tiff", "webp")
+
+# Fixed document shapes. Ids are read as text because some writers quote them.
+COCO = """images ARRAY<STRUCT<id:STRING,file_name:STRING,width:INT,height:INT,timestamp_ns:BIGINT,log_time_ns:BIGINT,frame_idx:BIGINT,side:STRING>>,
+annotations ARRAY<STRUCT<id:STRING,image_id:STRING,category_id:STRING,bbox:ARRAY<DOUBLE>,area:DOUBLE,iscrowd:INT,
+segmentation:ARRAY<ARRAY<DOUBLE>>,track_id:STRING,confidence:DOUBLE,source:STRING>>,
+categories ARRAY<STRUCT<id:STRING,name:STRING>>"""
+_PREDICTION = "image_id:STRING,class_id:INT,category_id:INT,bbox:ARRAY<DOUBLE>,bbox_2d:ARRAY<DOUBLE>,confidence:DOUBLE,score:DOUBLE,label:STRING"
+_LIST_KEYS = ("predictions", "results", "data", "bboxes", "parsed_output")
+
+
+def coco_tables(docs: DataFrame, doc="doc"):
+    """(images, annotations, categories) of documents given as JSON text; a missing part raises.
+
+    Keys outside the known columns stay in `extra`, a map of text. Columns other than `doc` name the input.
+    """
+    by = [c for c in docs.columns if c != doc]
+    parsed = docs.withColumn("_d", F.from_json(doc, COCO)).withColumn(
+        "_m", F.from_json(doc, "images ARRAY<MAP<STRING,STRING>>, annotations ARRAY<MAP<STRING,STRING>>"))
+    lost = parsed.filter("_d.images is null or _d.annotations is null or _d.categories is null").take(1)
+    if lost:
+        raise ValueError("document lacks images, annotations or categories")
+
+    def rows(part, known):
+        got = parsed.select(*by, F.posexplode(F.arrays_zip(F.col(f"_d.{part}").alias("r"), F.col(f"_m.{part}").alias("m"))).alias("pos", "z"))
+        rest = F.map_filter("z.m", lambda k, v: ~k.isin(known))
+        return got.select(*by, "pos", "z.r.*", F.when(F.size(rest) > 0, rest).alias("extra"))
+
+    images = rows("images", ["id", "file_name", "width", "height", "timestamp_ns", "log_time_ns", "frame_idx", "side"])
+    images = images.withColumns({"id": F.col("id").cast("long"), "side": F.coalesce("side", F.lit("left"))}).withColumnRenamed("id", "image_id")
+    anns = rows("annotations", ["id", "image_id", "category_id", "bbox", "area", "iscrowd", "segmentation", "track_id", "confidence", "source"])
+    at = lambda i: F.get("bbox", F.lit(i))
+    anns = anns.withColumns({
+        "id": F.col("id").cast("long"), "image_id": F.col("image_id").cast("long"), "category_id": F.col("category_id").cast("int"),
+        "track_id": text.as_int(F.col("track_id")), "x1": at(0), "y1": at(1), "x2": at(0) + at(2), "y2": at(1) + at(3),
+    }).withColumnRenamed("id", "ann_id").drop("bbox")
+    cats = parsed.select(*by, F.posexplode("_d.categories").alias("pos", "c")).select(
+        *by, "pos", F.col("c.id").cast("int").alias("category_id"), F.col("c.name").alias("name"))
+    return images, anns, cats
+
+
+def read_coco(spark: SparkSession, path: str):
+    """COCO files (any number, one document each) to tables, with the path as `source`."""
+    docs = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("doc"))
+    return coco_tables(docs)
+
+
+def label_lines(files: DataFrame, body="body") -> DataFrame:
+    """Lines of label texts: stem, line_num from 1; blank lines are skipped but counted."""
+    lines = files.select("stem", F.posexplode(F.split(body, "\r?\n")).alias("_i", "line"))
+    return lines.filter(F.length(F.trim("line")) > 0).select("stem", (F.col("_i") + 1).alias("line_num"), F.trim("line").alias("line"))
+
+
+def read_label_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Label lines of a folder of text files. Empty files give no row, so file counts must come from the
+    image listing."""
+    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.txt").select(
+        text.stem(F.col("_metadata.file_path")).alias("stem"), F.col("value").alias("body"))
+    return label_lines(files)
+
+
+def image_listing(paths: DataFrame, path="path") -> DataFrame:
+    """Image files of a listing by suffix in any case: path, file_name, stem."""
+    suffix = F.lower(F.regexp_extract(path, r"\.([^.]*)$", 1))
+    return paths.filter(suffix.isin(*IMAGE_SUFFIXES)).select(
+        F.col(path).alias("path"), text.basename(F.col(path)).alias("file_name"), text.stem(F.col(path)).alias("stem"))
+
+
+def list_images(spark: SparkSession, folder: str) -> DataFrame:
+    """Image files directly in a folder; only names are read, not contents."""
+    return image_listing(spark.read.format("binaryFile").load(folder).select("path", "length"))
+
+
+def class_names(lines: DataFrame) -> DataFrame:
+    """class_id and name from numbered lines (pos, value) of a class list; blank lines drop out."""
+    return lines.filter(F.length(F.trim("value")) > 0).select(F.col("pos").cast("int").alias("class_id"), F.trim("value").alias("name"))
+
+
+def read_class_names(spark: SparkSession, path: str) -> DataFrame:
+    """Class list from a text file with one name per line, or from `names` of a dataset description."""
+    doc = spark.read.text(path, wholetext=True)
+    if not path.endswith((".yaml", ".yml")):
+        return class_names(doc.select(F.posexplode(F.split("value", "\r?\n")).alias("pos", "value")))
+    flow = F.regexp_extract("value", r"(?m)^names:\s*\[([^\]]*)\]", 1)
+    listed = doc.select(F.posexplode(F.split(flow, ",")).alias("class_id", "name")).filter("trim(name) <> ''")
+    block = F.regexp_extract("value", r"(?ms)^names:[ \t]*\r?\n((?:[ \t]+[^\n]*\n?|-[^\n]*\n?)+)", 1)
+    items = doc.select(F.posexplode(F.regexp_extract_all(block, F.lit(r"(?m)^[ \t]*((?:-|[0-9]+:)[^\n]*)$"), F.lit(1))).alias("_i", "_t"))
+    num = F.regexp_extract("_t", r"^([0-9]+):", 1)
+    mapped = items.select(F.when(num != "", num.try_cast("int")).otherwise(F.col("_i")).alias("class_id"),
+                          F.regexp_replace("_t", r"^(-|[0-9]+:)\s*", "").alias("name"))
+    return listed.unionByName(mapped).select("class_id", F.trim(F.regexp_replace("name", "['\"\r]", "")).alias("name"))
+
+
+def with_class_names(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """Add class_name, class_<id> where the list has none."""
+    return rows.join(names, "class_id", "left").withColumn(
+        "class_name", F.coalesce("name", F.concat(F.lit("class_"), F.col("class_id")))).drop("name")
+
+
+RESULT = "image STRING, model STRING, format STRING, raw_response STRING, parsed_output STRING"
+
+
+def vlm_results(docs: DataFrame, doc="doc", name="file_name"):
+    """(readable results with the columns of the document, names of unreadable ones)."""
+    parsed = docs.withColumn("_ok", F.try_parse_json(doc).isNotNull()).withColumn("_d", F.from_json(doc, RESULT))
+    good = parsed.filter("_ok").select(*[c for c in docs.columns if c != doc], "_d.*")
+    return good, parsed.filter("not _ok").select(name)
+
+
+def read_vlm_results(spark: SparkSession, folder: str):
+    docs = spark.read.text(folder, wholetext=True, pathGlobFilter="*.json").select(
+        text.basename(F.col("_metadata.file_path")).alias("file_name"), F.col("value").alias("doc"))
+    return vlm_results(docs)
+
+
+def predictions(docs: DataFrame, doc="doc") -> DataFrame:
+    """Predictions of JSON documents: a bare list, or a list under one of the usual keys.
+
+    Output: the other columns, pos, image_id, class_id, label, confidence, x1..y2.
+    """
+    by = [c for c in docs.columns if c != doc]
+    shape = F.from_json(doc, ", ".join(f"{k} ARRAY<STRUCT<{_PREDICTION}>>" for k in _LIST_KEYS))
+    bare = F.when(F.startswith(F.trim(F.col(doc)), F.lit("[")), F.from_json(doc, f"ARRAY<STRUCT<{_PREDICTION}>>"))
+    rows = docs.withColumn("_s", shape).withColumn("_l", F.coalesce(bare, *[F.col(f"_s.{k}") for k in _LIST_KEYS]))
+    got = rows.select(*by, F.posexplode("_l").alias("pos", "p"))
+    b = F.coalesce("p.bbox_2d", "p.bbox")
+    return got.select(
+        *by, "pos", F.col("p.image_id").alias("image_id"), F.coalesce("p.class_id", "p.category_id").alias("class_id"), F.col("p.label").alias("label"),
+        F.coalesce("p.confidence", "p.score").alias("confidence"), *[F.get(b, F.lit(i)).alias(c) for i, c in enumerate(("x1", "y1", "x2", "y2"))])
+
+
+def read_predictions(spark: SparkSession, path: str) -> DataFrame:
+    docs = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("doc"))
+    return predictions(docs)
+
+
+def discover_splits(paths: DataFrame, path="path") -> DataFrame:
+    """Split of each label file by its folder: <split>/labels, labels/<split>, or labels alone (all)."""
+    before = F.regexp_extract(path, r"(?:^|/)(train|val|valid|test)/labels/[^/]*\.txt$", 1)
+    after = F.regexp_extract(path, r"(?:^|/)labels/(train|val|valid|test)/[^/]*\.txt$", 1)
+    flat = F.col(path).rlike(r"(?:^|/)labels/[^/]*\.txt$")
+    name = F.when(before != "", before).when(after != "", after).when(flat, "all")
+    found = paths.withColumn("split", F.when(name == "valid", "val").otherwise(name)).filter("split is not null")
+    return found.withColumn("stem", text.stem(F.col(path)))
+
+
+def require_splits(found: DataFrame) -> DataFrame:
+    if found.isEmpty():
+        raise ValueError("no label folders found")
+    return found
+
+
+def read_pose_table(poses: DataFrame) -> DataFrame:
+    """Pose rows of any source with NaN as NULL; refused when empty or without a camera pose."""
+    nums = [f"{k}_{a}" for k in ("cam", "lidar") for a in "xyz"]
+    return check_poses(poses.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in nums}))
+
+
+def keyframe_boxes(images: DataFrame, anns: DataFrame, manifest: DataFrame, keys=()) -> DataFrame:
+    """Reviewed boxes of the keyframes in a manifest, joined on the file's base name.
+
+    images: keys, image_id, file_name; anns: keys, ann_id, image_id, category_id, x, y, w, h; manifest:
+    keys, frame_idx, file_name. Boxes without extent and images outside the manifest drop out; nothing
+    left raises.
+    """
+    keys = list(keys)
+    m = manifest.select(*keys, "frame_idx", text.basename(F.col("file_name")).alias("_base"))
+    im = images.select(*keys, "image_id", text.basename(F.col("file_name")).alias("_base")).join(m, [*keys, "_base"])
+    out = anns.filter("w > 0 and h > 0").join(im.drop("_base"), [*keys, "image_id"])
+    c = geo.xyxy_to_center(*geo.xywh_to_xyxy(*[F.col(k) for k in ("x", "y", "w", "h")]))
+    out = out.select(*keys, "frame_idx", F.col("ann_id").alias("id"), "category_id", c[0].alias("cx"), c[1].alias("cy"), "w", "h")
+    if out.isEmpty():
+        raise ValueError("no keyframe box matches the manifest")
+    return out
+
+
+MARKS = "last_index BIGINT, reviewed ARRAY<BIGINT>, keyframes ARRAY<BIGINT>, annotated_marks ARRAY<BIGINT>, discarded ARRAY<BIGINT>"
+
+
+def session_marks(docs: DataFrame, doc="doc") -> DataFrame:
+    """One row per mark of progress documents: the other columns, kind, frame_idx."""
+    by = [c for c in docs.columns if c != doc]
+    d = docs.withColumn("_d", F.from_json(doc, MARKS))
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"_d.{k}").alias("ix")) for k in ("reviewed", "keyframes", "annotated_marks", "discarded")])
+    return d.select(*by, F.explode(kinds).alias("k")).select(*by, "k.kind", F.explode("k.ix").alias("frame_idx"))
+
+
+def read_session_marks(spark: SparkSession, path: str) -> DataFrame:
+    docs = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("session"), F.col("value").alias("doc"))
+    return session_marks(docs)
+
+
+def per_class_annotations(docs: DataFrame, images: DataFrame, doc="doc") -> DataFrame:
+    """Boxes of per-class files: image, class_name, pos, x1..y2, clipped to the image.
+
+    docs: image, doc; images: image, width, height. Bad files and classes without a valid box drop out.
+    """
+    d = docs.withColumn("_d", F.from_json(doc, "class_name STRING, image STRING, bboxes ARRAY<ARRAY<DOUBLE>>"))
+    rows = d.select("image", F.col("_d.class_name").alias("class_name"), F.posexplode("_d.bboxes").alias("pos", "b")).filter(F.size("b") == 4)
+    c, keep = geo.clip_box([F.get("b", F.lit(i)) for i in range(4)], F.col("width").cast("double"), F.col("height").cast("double"))
+    return rows.join(images, "image").filter(keep).select("image", "class_name", "pos", *[v.alias(n) for v, n in zip(c, ("x1", "y1", "x2", "y2"))])
+
+
+def read_per_class_annotations(spark: SparkSession, folder: str, images: DataFrame) -> DataFrame:
+    docs = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json").select(
+        F.regexp_extract("_metadata.file_path", r"([^/]*)/[^/]*$", 1).alias("image"), F.col("value").alias("doc"))
+    return per_class_annotations(docs, images)
