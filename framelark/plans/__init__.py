@@ -2,7 +2,7 @@
 
 import importlib
 
-GROUPS = ("evaluation", "projections", "labels", "timeline", "datasets", "motion", "documents")
+GROUPS = ("evaluation", "projections", "labels", "timeline", "datasets", "motion", "documents", "streams")
 
 
 def load():
