@@ -245,11 +245,16 @@ def _greedy_fold(pairs, group, left, right, fold_order):
     return picked.select(*group, *[F.col(f"row.{c}").alias(c) for c in rest]).select(*pairs.columns)
 
 
+def _first_by(order, name):
+    keys = [F.col(c).alias(f"k{i}") for i, c in enumerate(order)]
+    return F.min(F.struct(*keys, F.col(name).alias("pick")))["pick"].alias(name)
+
+
 def _greedy_rounds(pairs, left, right, left_pref, right_pref):
     live, out = cut(pairs), []
     while not live.isEmpty():
-        best_l = live.groupBy(left).agg(F.min(F.struct(*left_pref, right))[right].alias(right))
-        best_r = live.groupBy(right).agg(F.min(F.struct(*right_pref, left))[left].alias(left))
+        best_l = live.groupBy(left).agg(_first_by(left_pref, right))
+        best_r = live.groupBy(right).agg(_first_by(right_pref, left))
         new = cut(live.join(best_l, [left, right], "left_semi").join(best_r, [left, right], "left_semi"))
         out.append(new)
         live = cut(live.join(new.select(left), left, "left_anti").join(new.select(right), right, "left_anti"))

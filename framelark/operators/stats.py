@@ -105,7 +105,6 @@ def consensus_displacement(points: DataFrame, keys) -> DataFrame:
         *keys, F.col("m_dx").alias("dx"), F.col("m_dy").alias("dy"), F.coalesce("kept", F.lit(0)).alias("kept"))
 
 
-@F.pandas_udf("array<double>")
 def _plane_normal(xx: pd.Series, xy: pd.Series, xz: pd.Series, yy: pd.Series, yz: pd.Series, zz: pd.Series) -> pd.Series:
     """Unit direction of least variance of each covariance matrix, pointing up."""
     m = np.stack([xx, xy, xz, xy, yy, yz, xz, yz, zz], axis=1).astype(float).reshape(-1, 3, 3)
@@ -133,7 +132,7 @@ def ground_plane_fit(points: DataFrame, keys=("cloud",), approximate=False) -> D
         moments = cur.groupBy(*keys).agg(
             *[F.avg(a).alias(f"c{a}") for a in axes],
             *[F.covar_pop(a, b).alias(f"v{a}{b}") for i, a in enumerate(axes) for b in axes[i:]])
-        normal = _plane_normal("vxx", "vxy", "vxz", "vyy", "vyz", "vzz")
+        normal = F.pandas_udf(_plane_normal, "array<double>")("vxx", "vxy", "vxz", "vyy", "vyz", "vzz")
         plane = cut(moments.select(*keys, "cx", "cy", "cz", normal.alias("n")))
         dist = sum((F.col(a) - F.col(f"c{a}")) * F.col("n")[i] for i, a in enumerate(axes))
         cur = low.join(plane, keys).filter(F.abs(dist) < INLIER_DIST).select(*keys, *axes)

@@ -42,7 +42,9 @@ def _over(min_iou):
     return geo.iou(geo.box("l."), geo.box("r."), clamp_areas=True) > F.lit(min_iou)
 
 
-_EARLIER = (F.col("l.neg") < F.col("r.neg")) | ((F.col("l.neg") == F.col("r.neg")) & (F.col("l.id") < F.col("r.id")))
+def _earlier():
+    """l comes before r: higher score, then lower id."""
+    return (F.col("l.neg") < F.col("r.neg")) | ((F.col("l.neg") == F.col("r.neg")) & (F.col("l.id") < F.col("r.id")))
 
 
 def _fold_dead(slim, keys, min_iou):
@@ -51,7 +53,7 @@ def _fold_dead(slim, keys, min_iou):
     Only conflicting pairs enter the fold. Walked by the winner's order, a pair whose winner is still
     alive kills its loser; all pairs that could kill the winner come earlier.
     """
-    on = _EARLIER & _over(min_iou)
+    on = _earlier() & _over(min_iou)
     for k in keys:
         on = (F.col(f"l.{k}") == F.col(f"r.{k}")) & on
     hits = slim.alias("l").join(slim.alias("r"), on).select(
@@ -92,7 +94,7 @@ def _block_dead(slim, keys, min_iou):
             cand = cand.join(covered.distinct(), "id", "left_anti")
         cand = cut(cand)
         edges = cut(
-            overlap_pairs(cand, cand, keys, _EARLIER & _over(min_iou), min_iou).select(
+            overlap_pairs(cand, cand, keys, _earlier() & _over(min_iou), min_iou).select(
                 F.col("l.id").alias("hi"), F.col("r.id").alias("lo")
             )
         )
