@@ -17,13 +17,31 @@ def fixed(v: Column, places=6) -> Column:
     value is split in two halves whose products with 10^places are exact, so the comparison with one
     half is exact too.
     """
-    scale = F.lit(float(10**places))
+    unit = 10**places
+    scale = F.lit(float(unit))
     big = v * F.lit(134217729.0)
     hi = big - (big - v)
     whole = F.floor(hi * scale)
     over = (hi * scale - whole - F.lit(0.5)) + (v - hi) * scale
     up = (over > 0) | ((over == 0) & (whole % 2 != 0))
-    return F.format_string(f"%.{places}f", (whole + F.when(up, 1).otherwise(0)) / scale)
+    n = F.abs(whole + F.when(up, 1).otherwise(0))
+    digits = F.lpad((n % unit).cast("string"), places, "0")
+    return F.concat(F.when(v < 0, "-").otherwise(""), F.floor(n / unit).cast("string"), F.lit("."), digits)
+
+
+def fixed_all(arr: Column, places=6) -> Column:
+    """Every number of an array as `fixed` text, in steps so that no part is computed twice."""
+    unit = 10**places
+    scale = F.lit(float(unit))
+    halves = F.transform(arr, lambda v: F.struct(v.alias("v"), (v * F.lit(134217729.0) - (v * F.lit(134217729.0) - v)).alias("hi")))
+    parts = F.transform(halves, lambda s: F.struct(
+        (s["v"] < 0).alias("neg"), F.floor(s["hi"] * scale).alias("whole"), (s["hi"] * scale - F.lit(0.5)).alias("most"),
+        ((s["v"] - s["hi"]) * scale).alias("rest")))
+    over = F.transform(parts, lambda s: F.struct(s["neg"], s["whole"], ((s["most"] - s["whole"]) + s["rest"]).alias("over")))
+    whole = F.transform(over, lambda s: F.struct(s["neg"].alias("neg"), F.abs(
+        s["whole"] + F.when((s["over"] > 0) | ((s["over"] == 0) & (s["whole"] % 2 != 0)), 1).otherwise(0)).alias("n")))
+    return F.transform(whole, lambda s: F.concat(
+        F.when(s["neg"], "-").otherwise(""), F.floor(s["n"] / unit).cast("string"), F.lit("."), F.lpad((s["n"] % unit).cast("string"), places, "0")))
 
 
 def box(prefix="", sep=""):
@@ -117,8 +135,7 @@ def scale_coords(v: Column, dim: Column, scale: float, truncate=False) -> Column
 def polygon_to_yolo(poly: Column, width: Column, height: Column) -> Column:
     """Pixel polygon to normalized text with 6 decimals; NULL for fewer than 6 or an odd count."""
     unit = F.transform(poly, lambda v, i: clamp(v / F.when(i % 2 == 0, width).otherwise(height), 0.0, F.lit(1.0)))
-    part = F.transform(unit, lambda v: fixed(v))
-    return F.when((F.size(poly) >= 6) & (F.size(poly) % 2 == 0), F.array_join(part, " "))
+    return F.when((F.size(poly) >= 6) & (F.size(poly) % 2 == 0), F.array_join(fixed_all(unit), " "))
 
 
 def bbox_to_polygon(x, y, w, h) -> Column:

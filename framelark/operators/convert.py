@@ -29,9 +29,10 @@ def coco_to_seg_labels(images: DataFrame, anns: DataFrame, cats: DataFrame, rect
         rect = F.array(geo.bbox_to_polygon(*[F.col(c) for c in ("x", "y", "w", "h")]))
         rows = rows.withColumn("_p", F.when(F.col("maskless"), rect).otherwise(F.col("_p")))
     lines = rows.join(im, "image_id").select(
-        "stem", "ann_id", "class_id", "width", "height", F.posexplode("_p").alias("part", "poly"))
-    out = lines.withColumn("_t", geo.polygon_to_yolo(F.col("poly"), F.col("width"), F.col("height"))).filter("_t is not null").select(
-        "stem", "ann_id", "part", F.concat_ws(" ", F.col("class_id").cast("string"), "_t").alias("line"))
+        "stem", "ann_id", "class_id", "width", "height", F.posexplode_outer("_p").alias("part", "poly"))
+    usable = lines.filter((F.size("poly") >= 6) & (F.size("poly") % 2 == 0))
+    points = geo.polygon_to_yolo(F.col("poly"), F.col("width"), F.col("height"))
+    out = usable.select("stem", "ann_id", "part", F.concat_ws(" ", F.col("class_id").cast("string"), points).alias("line"))
     summary = rows.join(im.select("image_id"), "image_id", "left_semi").agg(F.count_if("maskless").alias("maskless")).select(
         im.agg(F.count("*")).scalar().alias("images"), out.agg(F.count("*")).scalar().alias("polygons"), "maskless")
     return out, summary

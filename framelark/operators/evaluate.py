@@ -1,10 +1,10 @@
 """Scores of predictions against ground truth."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framelark.operators.matching import both_parts, iou_pairs, match_predictions
-from framelark.operators.scale import cut, greedy_pairs, running
+from framelark.operators.scale import cut, greedy_pairs, running, union_all
 
 # Fixed setting of the published AP definition: overlap 0.50 to 0.95 in steps of 0.05, in percent.
 AP_PERCENT = list(range(50, 100, 5))
@@ -74,32 +74,36 @@ def average_precision(pred: DataFrame, gt: DataFrame, keys=("image_id",), by=())
     pairs = iou_pairs(
         pred.select(*both, "pred_id", "confidence", *box), gt.select(*both, "ann_id", *box), both, AP_PERCENT[0] / 100
     )
-    grid = F.array(*[F.lit(t) for t in AP_PERCENT])
-    pairs = both_parts(pairs, lambda d: d.withColumn(
-        "t", F.explode(F.filter(grid, lambda t: F.col("iou") * 100 >= t))
-    ).select(
-        *both, "t",
-        F.struct(F.col("l_pred_id").alias("pred_id"), F.col("t")).alias("p"),
-        F.struct(F.col("r_ann_id").alias("ann_id"), F.col("t")).alias("g"),
-        (-F.col("l_confidence")).alias("neg_conf"),
-        (-F.col("iou")).alias("neg_iou"),
-    ))
+    reached = F.filter(F.array(*[F.lit(t) for t in AP_PERCENT]), lambda t: F.col("iou") * 100 >= t)
+    alone = lambda c: F.count("*").over(Window.partitionBy(*both, c)) == 1
+    # Most pairs are the only one of both their boxes: those need no choice at any threshold.
+    pairs = both_parts(pairs, lambda d: cut(d.select(
+        *both, F.col("l_pred_id").alias("pred_id"), F.col("r_ann_id").alias("ann_id"), (-F.col("l_confidence")).alias("neg_conf"),
+        (-F.col("iou")).alias("neg_iou"), reached.alias("ts"),
+    ).withColumn("lone", alone("pred_id") & alone("ann_id"))))
+    lone = union_all([d.filter("lone").select(*both, "pred_id", "ts") for d in pairs if d is not None])
     taken = greedy_pairs(
-        pairs, [*both, "t"], "p", "g", ["neg_iou", "g"], ["neg_conf", "p"], ["neg_conf", "p", "neg_iou", "g"]
-    ).select(*both, F.col("p.pred_id").alias("pred_id"), "t", F.lit(1).alias("hit"))
-    each = pred.select(*both, "pred_id", "confidence", F.explode(grid).alias("t"))
-    scored = each.join(taken, [*both, "pred_id", "t"], "left").withColumn("hit", F.coalesce("hit", F.lit(0)))
-    group = [*by, "category_id", "t"]
+        both_parts(pairs, lambda d: d.filter("not lone").withColumn("t", F.explode("ts")).select(
+            *both, "t", F.struct("pred_id", "t").alias("p"), F.struct("ann_id", "t").alias("g"), "neg_conf", "neg_iou")),
+        [*both, "t"], "p", "g", ["neg_iou", "g"], ["neg_conf", "p"], ["neg_conf", "p", "neg_iou", "g"],
+    )
+    # One row per prediction carries its hits at all thresholds, so ranking them takes a single pass.
+    hits = taken.groupBy(*both, F.col("p.pred_id").alias("pred_id")).agg(F.collect_set("t").alias("ts")).unionByName(lone)
+    each = pred.select(*both, "pred_id", "confidence").join(hits, [*both, "pred_id"], "left")
+    hit = lambda t: F.coalesce(F.array_contains("ts", t), F.lit(False))
     cum = running(
-        scored, group, [F.col("confidence").desc(), "pred_id"],
-        {"tp": ("sum", F.col("hit").cast("long")), "n": ("sum", F.lit(1).cast("long"))},
+        each.select(*by, "category_id", "pred_id", "confidence", "ts"), [*by, "category_id"], [F.col("confidence").desc(), "pred_id"],
+        {"n": ("sum", F.lit(1).cast("long")), **{f"tp{t}": ("sum", hit(t).cast("long")) for t in AP_PERCENT}},
     )
+    points = F.array(*[F.when(hit(t), F.struct(F.lit(t).alias("t"), F.col(f"tp{t}").alias("tp"))) for t in AP_PERCENT])
+    cum = cum.filter("ts is not null").select(*by, "category_id", "n", F.explode(F.array_compact(points)).alias("h")).select(
+        *by, "category_id", "n", "h.t", "h.tp")
     total = gt.groupBy(*by, "category_id").agg(F.count("*").alias("npos"))
+    group = [*by, "category_id", "t"]
     # A point at recall tp/npos serves the recall steps up to floor(100 tp / npos) percent.
     step = F.floor(F.col("tp") * 100 / F.col("npos")).cast("int")
     best = (
         cum.join(total, [*by, "category_id"])
-        .filter("hit = 1")
         .groupBy(*group, step.alias("step"))
         .agg(F.max(F.col("tp") / F.col("n")).alias("prec"))
     )

@@ -283,7 +283,7 @@ _SPLIT_OUT = "SELECT o.*, i.split FROM outcomes o JOIN fx_image i ON i.image_id
             coalesce(a.ap50, 0.0) AS ap50, coalesce(a.ap50_95, 0.0) AS ap50_95
           FROM cls c
           LEFT JOIN (SELECT split, category_id, npos AS instances FROM npos
-                     UNION ALL SELECT split, -1, sum(npos) FROM npos GROUP BY 1) n ON n.split = c.split AND n.category_id = c.class_id
+                     UNION ALL SELECT split, -1, sum(npos)::BIGINT FROM npos GROUP BY 1) n ON n.split = c.split AND n.category_id = c.class_id
           LEFT JOIN (SELECT * FROM ap UNION ALL SELECT split, -1, avg(ap50), avg(ap50_95) FROM ap GROUP BY 1) a
             ON a.split = c.split AND a.category_id = c.class_id)
     LEFT JOIN region ON r_regionkey = class_id""",

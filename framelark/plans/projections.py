@@ -10,7 +10,7 @@ from framelark.plans.registry import query, r6
 
 def text6(arr):
     """Array of doubles as text with 6 places, to compare element by element."""
-    return F.array_join(F.transform(arr, lambda v: geo.fixed(v)), ",")
+    return F.array_join(geo.fixed_all(arr), ",")
 
 
 def sql6(arr):

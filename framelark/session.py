@@ -13,8 +13,9 @@ def local_session(cores="*", app="framelark", shuffle_partitions=8, driver_memor
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
-        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+        # Small test data: split files and shuffles finely enough to keep all cores busy.
+        .config("spark.sql.files.maxPartitionBytes", "2m")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", driver_memory)
         .config("spark.ui.enabled", "false")

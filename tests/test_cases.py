@@ -14,6 +14,7 @@ def test_python_rounding_of_decimal_text(spark):
     vals = [0.4453125, 57 / 640, 0.0203125, 1 / 3, 0.1234565, 2.5e-7, 0.9999995, 1.0, 0.0, -0.0890625, 123.4567895]
     rows = spark.createDataFrame([(v,) for v in vals], "v double").select("v", geo.fixed(F.col("v")).alias("t")).collect()
     assert [r["t"] for r in rows] == [f"{v:.6f}" for v in vals]
+    assert spark.createDataFrame([(vals,)], "v array<double>").select(geo.fixed_all(F.col("v"))).first()[0] == [f"{v:.6f}" for v in vals]
 
 
 def test_insert_detections(spark):
