@@ -94,6 +94,7 @@ def average_precision(pred: DataFrame, gt: DataFrame, keys=("image_id",), by=())
     cum = running(
         each.select(*by, "category_id", "pred_id", "confidence", "ts"), [*by, "category_id"], [F.col("confidence").desc(), "pred_id"],
         {"n": ("sum", F.lit(1).cast("long")), **{f"tp{t}": ("sum", hit(t).cast("long")) for t in AP_PERCENT}},
+        like=pred,
     )
     points = F.array(*[F.when(hit(t), F.struct(F.lit(t).alias("t"), F.col(f"tp{t}").alias("tp"))) for t in AP_PERCENT])
     cum = cum.filter("ts is not null").select(*by, "category_id", "n", F.explode(F.array_compact(points)).alias("h")).select(

@@ -105,11 +105,12 @@ def union_all(frames):
 _FOLDS = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
-def running(df: DataFrame, group, order, outs, before=False) -> DataFrame:
+def running(df: DataFrame, group, order, outs, before=False, like=None) -> DataFrame:
     """Running aggregates along `order` inside `group`.
 
     outs: {name: ("sum" | "max" | "min", Column)}. `before=True` leaves the current row out.
     `order` must be total inside the group (columns or Columns, ascending unless `.desc()` is used).
+    `like` is a cheaper table with at least the same groups and row counts, to measure group sizes on.
 
     Groups that fit one sorted window use it. Otherwise rows are range-partitioned by (group, order),
     aggregated inside each slice, and the totals of earlier slices are added from a small summary.
@@ -118,7 +119,7 @@ def running(df: DataFrame, group, order, outs, before=False) -> DataFrame:
     order = [F.col(c) if isinstance(c, str) else c for c in order]
     limit = limit_of(df.sparkSession, "windowRows", WINDOW_ROWS)
     if group:
-        big = oversized(df, group, limit) is not None
+        big = oversized(df if like is None else like, group, limit) is not None
     else:
         big = True
     if not big:

@@ -96,11 +96,12 @@ def interpolate_anchored(pairs: DataFrame, steps: DataFrame, keys, frac=MAX_STEP
     """
     keys = list(keys)
     group = [*keys, "a", "a_id"]
-    rows = _with_steps(_interior(pairs, F.col("b")), steps, keys, F.least("aw", "ah"), frac)
+    inner = _interior(pairs, F.col("b"))
+    rows = _with_steps(inner, steps, keys, F.least("aw", "ah"), frac)
     live = F.col("missing") == 0
     run = running(rows, group, ["p"], {
         "lost": ("max", F.col("missing")), "cx": ("sum", F.when(live, F.col("sx")).otherwise(0.0)),
-        "cy": ("sum", F.when(live, F.col("sy")).otherwise(0.0)), "kx": ("sum", F.col("mx")), "ky": ("sum", F.col("my"))})
+        "cy": ("sum", F.when(live, F.col("sy")).otherwise(0.0)), "kx": ("sum", F.col("mx")), "ky": ("sum", F.col("my"))}, like=inner)
     ok = F.col("lost") == 0
     ends = run.groupBy(*group).agg(
         F.max("lost").alias("was_lost"), F.max(F.when(ok, F.col("p"))).alias("last_p"),
@@ -133,11 +134,12 @@ def smooth_kalman(pairs: DataFrame, steps: DataFrame, keys, frac=MAX_STEP, q=1.0
     """
     keys = list(keys)
     group = [*keys, "a", "a_id"]
-    rows = _with_steps(_interior(pairs, F.col("b")), steps, keys, F.least("aw", "ah"), frac)
+    inner = _interior(pairs, F.col("b"))
+    rows = _with_steps(inner, steps, keys, F.least("aw", "ah"), frac)
     live = F.col("missing") == 0
     run = running(rows, group, ["p"], {
         "cx": ("sum", F.when(live, F.col("sx")).otherwise(0.0)), "cy": ("sum", F.when(live, F.col("sy")).otherwise(0.0)),
-        "kx": ("sum", F.col("mx")), "ky": ("sum", F.col("my"))})
+        "kx": ("sum", F.col("mx")), "ky": ("sum", F.col("my"))}, like=inner)
     run = run.withColumns({"zx": F.col("acx") + F.col("cx") - F.col("kx"), "zy": F.col("acy") + F.col("cy") - F.col("ky")})
     state = "struct<x:double,u:double,y:double,v:double,p:double,c:double,w:double>"
     first = F.struct(F.col("acx").alias("x"), F.lit(0.0).alias("u"), F.col("acy").alias("y"), F.lit(0.0).alias("v"),
@@ -175,12 +177,12 @@ def extend_unmatched(boxes: DataFrame, steps: DataFrame, keys, backward=False, f
     than the box. boxes: keys, a, b, id, cx, cy, w, h; steps run in walking direction."""
     keys = list(keys)
     rows = boxes.select(*keys, "a", "b", F.col("id").alias("a_id"), "cx", "cy", "w", "h").filter("b - a >= 2")
-    rows = rows.withColumn("p", F.explode(F.sequence(F.col("a") + 1, F.col("b") - 1)))
-    rows = _with_steps(rows, steps, keys, F.least("w", "h"), frac)
+    inner = rows.withColumn("p", F.explode(F.sequence(F.col("a") + 1, F.col("b") - 1)))
+    rows = _with_steps(inner, steps, keys, F.least("w", "h"), frac)
     stop = (F.col("missing") == 1) | (F.col("jump") > F.greatest("w", "h"))
     order = F.col("p").desc() if backward else F.col("p").asc()
     run = running(rows, [*keys, "a", "a_id"], [order], {
-        "lost": ("max", stop.cast("int")), "mvx": ("sum", F.coalesce("sx", F.lit(0.0))), "mvy": ("sum", F.coalesce("sy", F.lit(0.0)))})
+        "lost": ("max", stop.cast("int")), "mvx": ("sum", F.coalesce("sx", F.lit(0.0))), "mvy": ("sum", F.coalesce("sy", F.lit(0.0)))}, like=inner)
     return _boxed(run.filter("lost = 0"), keys, F.col("cx") + F.col("mvx"), F.col("cy") + F.col("mvy"), F.col("w"), F.col("h"), "flow", F.lit(CONF_EXTEND))
 
 
@@ -231,7 +233,6 @@ def densify_tracks(boxes: DataFrame, spans: DataFrame, matches: DataFrame, fille
     cols = key_rows.columns
     rows = union_all([key_rows] + [f.withColumn("_stage", F.lit(i + 1)).select(*cols) for i, f in enumerate(filled)])
     info = boxes.select(*keys, F.col("id").alias("a_id"), "category_id").join(tracks.withColumnRenamed("id", "a_id"), [*keys, "a_id"])
-    dist = matches.select(*keys, "a", "a_id", "dist")
     j = rows.join(info, [*keys, "a_id"]).join(sizes, keys)
     w, h = F.col("width").cast("double"), F.col("height").cast("double")
     clipped, _ = geo.clip_box(geo.box(), w, h)
