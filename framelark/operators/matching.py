@@ -1,16 +1,20 @@
 """Pairing boxes by overlap or distance."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framelark.functions import geometry as geo
 from framelark.operators.scale import (
     FOLD_ROWS,
+    cut,
     greedy_pairs,
     limit_of,
     ordinal,
     overlap_pairs,
     split_both,
+    union_all,
 )
 
 
@@ -22,6 +26,18 @@ def _limit(df):
     return limit_of(df.sparkSession, "foldRows", FOLD_ROWS)
 
 
+def _same(keys):
+    return reduce(lambda a, b: a & b, [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys])
+
+
+def _bounded_pairs(left, right, keys, min_iou, strict):
+    """Overlapping pairs of bounded groups: keys, l_id, r_id, iou."""
+    iou = geo.iou(geo.box("l."), geo.box("r."))
+    hit = (iou > F.lit(min_iou)) if strict else (iou >= F.lit(min_iou))
+    return left.alias("l").join(right.alias("r"), _same(keys) & hit).select(
+        *[F.col(f"l.{k}").alias(k) for k in keys], F.col("l.id").alias("l_id"), F.col("r.id").alias("r_id"), iou.alias("iou"))
+
+
 def iou_pairs(left: DataFrame, right: DataFrame, keys, min_iou=0.5, strict=False, clamp_areas=False, cond=None):
     """Overlapping pairs as (pairs of bounded groups, pairs of oversized groups or None).
 
@@ -39,10 +55,7 @@ def iou_pairs(left: DataFrame, right: DataFrame, keys, min_iou=0.5, strict=False
         iou.alias("iou"),
     ]
     (sl, sr), hot = split_both(left, right, keys, _limit(left))
-    on = hit
-    for k in keys:
-        on = (F.col(f"l.{k}") == F.col(f"r.{k}")) & on
-    pairs = sl.alias("l").join(sr.alias("r"), on).select(*out)
+    pairs = sl.alias("l").join(sr.alias("r"), _same(keys) & hit).select(*out)
     return pairs, None if hot is None else overlap_pairs(hot[0], hot[1], keys, hit, min_iou).select(*out)
 
 
@@ -57,6 +70,63 @@ def both_parts(pairs, change):
     return tuple(None if p is None else change(p) for p in pairs)
 
 
+def serial_choice(left: DataFrame, right: DataFrame, keys, min_iou, strict=False) -> DataFrame:
+    """left ids in order each take the best free right box (overlap, then lower id), in groups of any size.
+
+    Sides: keys, id (integer), box. Output: l_id, r_id, iou. Copies of one box are handled together: the
+    choice runs over distinct boxes, a distinct right box offering one seat per copy. In each round a
+    right box serves, in order, those that want it most, up to the first one touching it that wants
+    another box (or whose choice hangs on a tie). Who comes first for the box it wants is always served.
+    """
+    box = ["x1", "y1", "x2", "y2"]
+    iou = geo.iou(geo.box("l."), geo.box("r."))
+    hit = (iou > F.lit(min_iou)) if strict else (iou >= F.lit(min_iou))
+    distinct = lambda d: cut(d.groupBy(*keys, *box).agg(F.min("id").alias("grp")))
+    lg, rg = distinct(left), distinct(right)
+    edges = cut(overlap_pairs(lg, rg, keys, hit, min_iou).select(F.col("l.grp").alias("P"), F.col("r.grp").alias("G"), iou.alias("iou")))
+    members = lambda d, g, n: d.join(g, [*keys, *box]).select("id", F.col("grp").alias(n)).join(edges.select(n).distinct(), n, "left_semi")
+    free, seats = cut(members(left, lg, "P")), cut(members(right, rg, "G"))
+    out = []
+    while True:
+        ahead = free.groupBy("P").agg(F.min("id").alias("m"))
+        room = seats.groupBy("G").agg(F.min("id").alias("seat"))
+        live = cut(edges.join(ahead, "P").join(room, "G"))
+        if live.isEmpty():
+            break
+        best = live.groupBy("P").agg(F.min(F.struct((-F.col("iou")).alias("n"), "seat", F.col("G").alias("g"))).alias("b"))
+        rows = live.join(best, "P").withColumns({"top": F.col("G") == F.col("b.g"), "equal": -F.col("iou") == F.col("b.n")})
+        ties = rows.groupBy("P").agg((F.count_if("equal") > 1).alias("tied"))
+        rows = cut(rows.join(ties, "P"))
+        limit = rows.groupBy("G").agg(
+            F.min("m").alias("first"), F.min(F.when(~F.col("top"), F.col("m"))).alias("other"),
+            F.min(F.when(F.col("top") & F.col("tied"), F.col("m"))).alias("tie"))
+        tie = F.when(F.col("tie") == F.col("first"), F.col("first") + 1).otherwise(F.col("tie"))
+        limit = limit.select("G", F.least("other", tie).alias("end"))
+        served = free.join(rows.filter("top").select("P", "G", "iou"), "P").join(limit, "G").filter("end is null or id < end")
+        served = cut(served.select("id", "G", "iou"))
+        queue = ordinal(served, ["G"], ["id"], "k").select(F.col("id").alias("l_id"), "G", "k", "iou")
+        offer = ordinal(seats.join(served.select("G").distinct(), "G", "left_semi"), ["G"], ["id"], "k").select(F.col("id").alias("r_id"), "G", "k")
+        new = cut(queue.join(offer, ["G", "k"]).select("l_id", "r_id", "iou"))
+        out.append(new)
+        free = cut(free.join(new.select(F.col("l_id").alias("id")), "id", "left_anti"))
+        seats = cut(seats.join(new.select(F.col("r_id").alias("id")), "id", "left_anti"))
+    if not out:
+        return live.select(F.col("m").alias("l_id"), F.col("seat").alias("r_id"), "iou")
+    return union_all(out)
+
+
+def _take_turns(left, right, keys, min_iou, strict=False):
+    """The same choice for all groups: bounded ones over their pairs, oversized ones in rounds."""
+    (sl, sr), hot = split_both(left, right, keys, _limit(left))
+    pairs = _bounded_pairs(sl, sr, keys, min_iou, strict).select(*keys, "l_id", "r_id", (-F.col("iou")).alias("neg_iou"))
+    taken = greedy_pairs((pairs, None), keys, "l_id", "r_id", ["neg_iou", "r_id"], ["l_id"], ["l_id", "neg_iou", "r_id"])
+    taken = taken.select(*keys, "l_id", "r_id", (-F.col("neg_iou")).alias("iou"))
+    if hot is None:
+        return taken
+    late = serial_choice(hot[0], hot[1], keys, min_iou, strict)
+    return taken.unionByName(hot[0].select(*keys, F.col("id").alias("l_id")).join(late, "l_id"))
+
+
 def match_predictions(pred: DataFrame, gt: DataFrame, keys=("image_id",), min_iou=0.5, extra=()) -> DataFrame:
     """Predictions in pred_id order each take the best free ground-truth box of any class.
 
@@ -64,21 +134,12 @@ def match_predictions(pred: DataFrame, gt: DataFrame, keys=("image_id",), min_io
     `extra` names prediction columns to carry along.
     """
     keys = list(keys)
-    p = pred.select(*keys, "pred_id", F.col("category_id").alias("cls"), "x1", "y1", "x2", "y2")
-    g = gt.select(*keys, "ann_id", F.col("category_id").alias("cls"), "x1", "y1", "x2", "y2")
-    pairs = both_parts(
-        iou_pairs(p, g, keys, min_iou),
-        lambda d: d.select(
-            *keys,
-            F.col("l_pred_id").alias("pred_id"),
-            F.col("r_ann_id").alias("ann_id"),
-            F.col("r_cls").alias("gt_class"),
-            (-F.col("iou")).alias("neg_iou"),
-        ),
-    )
-    taken = greedy_pairs(
-        pairs, keys, "pred_id", "ann_id", ["neg_iou", "ann_id"], ["pred_id"], ["pred_id", "neg_iou", "ann_id"]
-    )
+    box = ["x1", "y1", "x2", "y2"]
+    taken = _take_turns(
+        pred.select(*keys, F.col("pred_id").alias("id"), *box), gt.select(*keys, F.col("ann_id").alias("id"), *box), keys, min_iou
+    ).withColumnsRenamed({"l_id": "pred_id", "r_id": "ann_id"})
+    classes = gt.select(*keys, "ann_id", F.col("category_id").alias("gt_class"))
+    taken = taken.join(classes, [*keys, "ann_id"])
     preds = (
         pred.select(*keys, "pred_id", F.col("category_id").alias("pred_class"), *extra)
         .join(taken, [*keys, "pred_id"], "left")
@@ -89,10 +150,10 @@ def match_predictions(pred: DataFrame, gt: DataFrame, keys=("image_id",), min_io
             .otherwise("mismatch"),
         )
     )
-    missed = gt.select(*keys, "ann_id", F.col("category_id").alias("gt_class")).join(
+    missed = classes.join(
         taken.select(*keys, "ann_id"), [*keys, "ann_id"], "left_anti"
     )
-    cols = [*keys, "outcome", "pred_id", "ann_id", "pred_class", "gt_class", (-F.col("neg_iou")).alias("iou")]
+    cols = [*keys, "outcome", "pred_id", "ann_id", "pred_class", "gt_class", "iou"]
     return preds.select(*cols, *extra).unionByName(
         missed.withColumn("outcome", F.lit("fn")), allowMissingColumns=True
     )
@@ -102,21 +163,11 @@ def assign_exclusive(inputs: DataFrame, dets: DataFrame, keys=("image_id",), min
     """Inputs in input_id order take the best unused detection with overlap above `min_iou`, else NULL."""
     keys = list(keys)
     box = ["x1", "y1", "x2", "y2"]
-    pairs = both_parts(
-        iou_pairs(
-            inputs.select(*keys, "input_id", *box), dets.select(*keys, "det_id", *box), keys, min_iou, strict=True
-        ),
-        lambda d: d.select(
-            *keys,
-            F.col("l_input_id").alias("input_id"),
-            F.col("r_det_id").alias("det_id"),
-            (-F.col("iou")).alias("neg_iou"),
-        ),
-    )
-    taken = greedy_pairs(
-        pairs, keys, "input_id", "det_id", ["neg_iou", "det_id"], ["input_id"], ["input_id", "neg_iou", "det_id"]
-    )
-    return inputs.join(taken, [*keys, "input_id"], "left").withColumn("iou", -F.col("neg_iou")).drop("neg_iou")
+    taken = _take_turns(
+        inputs.select(*keys, F.col("input_id").alias("id"), *box), dets.select(*keys, F.col("det_id").alias("id"), *box),
+        keys, min_iou, strict=True,
+    ).withColumnsRenamed({"l_id": "input_id", "r_id": "det_id"})
+    return inputs.join(taken, [*keys, "input_id"], "left")
 
 
 def assign_best(inputs: DataFrame, dets: DataFrame, keys) -> DataFrame:

@@ -44,6 +44,23 @@ def test_matching(spark, way):
     assert got.filter("outcome = 'fp'").count() == len(preds) - len(want)
 
 
+def test_matching_among_copies(spark, way):
+    one, two = (0.0, 0.0, 10.0, 10.0), (1.0, 0.0, 11.0, 10.0)
+    preds = [(i, 0, 0.5, one if i % 3 else two) for i in range(40)]
+    gts = [(i, 0, 0.5, two if i % 2 else one) for i in range(30)]
+    got = matching.match_predictions(table(spark, preds), table(spark, gts).withColumnRenamed("pred_id", "ann_id"))
+    rows = got.filter("pred_id is not null and ann_id is not null").select("pred_id", "ann_id").collect()
+    assert {r[0]: r[1] for r in rows} == loops.match(preds, gts, 0.5)
+
+
+def test_exclusive_assignment(spark, way):
+    ins, dets = loops.random_boxes(40, 21), loops.random_boxes(40, 22)
+    i, d = table(spark, ins).withColumnRenamed("pred_id", "input_id"), table(spark, dets).withColumnRenamed("pred_id", "det_id")
+    got = {r["input_id"]: r["det_id"] for r in matching.assign_exclusive(i, d).collect() if r["det_id"] is not None}
+    want = {k: v for k, v in loops.match(ins, dets, 0.1 + 1e-12).items()}
+    assert got == want
+
+
 def test_cross_class(spark, way):
     boxes = [(i, c, None if i % 7 == 0 else s, b) for i, c, s, b in loops.random_boxes(90, 3, spread=40)]
     df = table(spark, boxes).select("image_id", F.col("pred_id").alias("id"), F.col("category_id").alias("label"), F.col("confidence").alias("score"), "x1", "y1", "x2", "y2")
