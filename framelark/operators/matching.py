@@ -93,6 +93,7 @@ def serial_choice(left: DataFrame, right: DataFrame, keys, min_iou, strict=False
         live = cut(edges.join(ahead, "P").join(room, "G"))
         if live.isEmpty():
             break
+        edges = live.select("P", "G", "iou")
         best = live.groupBy("P").agg(F.min(F.struct((-F.col("iou")).alias("n"), "seat", F.col("G").alias("g"))).alias("b"))
         rows = live.join(best, "P").withColumns({"top": F.col("G") == F.col("b.g"), "equal": -F.col("iou") == F.col("b.n")})
         ties = rows.groupBy("P").agg((F.count_if("equal") > 1).alias("tied"))
