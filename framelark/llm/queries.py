@@ -1,14 +1,25 @@
 """The queries opN_<name>: each operator with production parameters over its whole table."""
 
-from pyspark.sql import functions as F
+import public_tokenizers
 
-from framelark.llm import simhash
+from framelark.llm import simhash, substrings, tokens
 from framelark.llm.common import documents
+from framelark.operators.scale import scratch_path
 
 
 def op3_simhash(spark, folder):
     return simhash.near_duplicates(documents(spark, folder)).drop("root")
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash,)}
+def op7_tokens(spark, folder):
+    out = scratch_path(spark, "tokens")
+    manifest = tokens.write_tokens(documents(spark, folder), out, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokens.read_tokens(manifest, out, with_ids=False).drop("ids")
+
+
+def op9_substrings(spark, folder):
+    return substrings.remove_repeated(documents(spark, folder), texts=False).drop("removed", "kept_text")
+
+
+QUERIES = {f.__name__: f for f in (op3_simhash, op7_tokens, op9_substrings)}
 ORACLES = {}
