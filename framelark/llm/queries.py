@@ -2,11 +2,16 @@
 
 import public_tokenizers
 
-from framelark.llm import simhash, substrings, tokens
+from framelark.llm import pii, simhash, substrings, tokens
 from framelark.llm.common import documents
 from framelark.operators.scale import scratch_path
 
 
+def op1_personal_data(spark, folder):
+    docs = documents(spark, folder)
+    return pii.find_personal_data(docs, pii.train(docs)).drop("added")
+
+
 def op3_simhash(spark, folder):
     return simhash.near_duplicates(documents(spark, folder)).drop("root")
 
@@ -21,5 +26,5 @@ def op9_substrings(spark, folder):
     return substrings.remove_repeated(documents(spark, folder), texts=False).drop("removed", "kept_text")
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op7_tokens, op9_substrings)}
+QUERIES = {f.__name__: f for f in (op1_personal_data, op3_simhash, op7_tokens, op9_substrings)}
 ORACLES = {}
