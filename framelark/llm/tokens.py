@@ -7,6 +7,7 @@ sequences. The manifest, a table with a row per shard, names the files of the ta
 of lost or repeated attempts are not in it.
 """
 
+import functools
 import os
 import re
 import struct
@@ -24,7 +25,7 @@ from framelark.llm import common
 from framelark.llm.elias_fano import EliasFano
 
 END_ID = 0
-CACHED = 1_000_000  # word pieces a task remembers
+CACHED = 500_000  # words, and parts of words, a Python worker remembers from task to task
 READ_BYTES = 8_000_000
 _HEAD = "<4sBxxxQ"
 _MAGIC = b"TOK1"
@@ -101,6 +102,12 @@ class Encoder:
         self.words.update(zip(other, self._plain([" " + w for w in other]), strict=True))
 
 
+@functools.lru_cache(maxsize=1)
+def encoder_of(path) -> Encoder:
+    """The worker's encoder; Spark reuses workers, and with them what they have learnt."""
+    return Encoder(path)
+
+
 def _filesystem(path):
     """(file system, path on it) of a URI or an absolute local path."""
     return pafs.FileSystem.from_uri(path)
@@ -111,7 +118,7 @@ def _write_shard(folder, tokenizer_path):
         encoder = None
         for b in common.blocks(batches):
             if encoder is None:
-                encoder = Encoder(tokenizer_path)
+                encoder = encoder_of(tokenizer_path)
                 end = np.array([END_ID], encoder.dtype).tobytes()
                 shard = TaskContext.get().partitionId()
                 name = f"{shard:06d}-{uuid.uuid4().hex}"
