@@ -1,9 +1,9 @@
 """Removal of passages that an earlier document already has, by rolling hashes of word windows.
 
 A window is `k` consecutive words. Its Rabin-Karp hash is a polynomial over 64-bit word hashes, taken in
-two bases, so 128 bits decide equality. Windows are counted in Spark, but only those that can repeat: each
+two bases, of which 96 bits decide equality. Windows are counted in Spark, but only those that can repeat: each
 window has an anchor, the smallest hash of its `GRAM`-word grams, and equal windows have equal anchors.
-Anchors change every twenty words or so; those found in one document only are dropped by a first, much
+Anchors change every sixteen words or so; those found in one document only are dropped by a first, much
 smaller count, and with them most windows, before any window is shuffled.
 """
 
@@ -11,13 +11,14 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framelark.llm import common
 
 WORDS = 50
-GRAM = 10
+GRAM = 20
 
 
 def _anchors(h: np.ndarray, k: int) -> np.ndarray:
@@ -45,23 +46,38 @@ def _anchor_rows(k):
     return run
 
 
+def _pack(batches):
+    """Texts compressed."""
+    squeeze = zstandard.ZstdCompressor(level=1, write_content_size=True).compress
+    for b in common.blocks(batches):
+        packed = pa.array([squeeze(t) for t in common.raw(b.column("text"))], pa.binary())
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("version"), packed], ["doc_id", "version", "packed"])
+
+
+def _unpacked(batches):
+    """The batches in blocks, with the texts as bytes."""
+    spread = zstandard.ZstdDecompressor().decompress
+    for b in common.blocks(batches, "packed", common.BLOCK_BYTES // 3):
+        yield b, [spread(t) for t in common.raw(b.column("packed"))]
+
+
 def _window_rows(k):
     """Windows whose anchor is in the row's list, with both hashes and the position."""
 
     def run(batches):
-        for b in common.blocks(batches):
+        for b, texts in _unpacked(batches):
             at, hashes, other, pos = [], [], [], []
             lists = b.column("anchors")
             flat, edges = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), lists.offsets.to_numpy()
             edges = edges - edges[0]
-            for i, text in enumerate(common.raw(b.column("text"))):
+            for i, text in enumerate(texts):
                 h = common.word_hashes(text.split())
                 where = np.flatnonzero(np.isin(_anchors(h, k), flat[edges[i] : edges[i + 1]]))
                 if len(where):
                     at.append(np.full(len(where), i))
-                    pos.append(where.astype(np.int64))
+                    pos.append(where.astype(np.int32))
                     hashes.append(common.window_hashes(h, k)[where].view(np.int64))
-                    other.append(common.window_hashes(h, k, common.ODD2)[where].view(np.int64))
+                    other.append((common.window_hashes(h, k, common.ODD2)[where] >> np.uint64(32)).astype(np.uint32).view(np.int32))
             if at:
                 rows = pa.array(np.concatenate(at))
                 yield pa.RecordBatch.from_arrays(
@@ -79,20 +95,20 @@ def intervals(starts: np.ndarray, k: int) -> list:
     return list(zip(starts[np.r_[0, cut]].tolist(), (starts[np.r_[cut - 1, len(starts) - 1]] + k).tolist(), strict=True))
 
 
-def _apply(k, texts):
+def _apply(k, with_texts):
     def run(batches):
-        for b in common.blocks(batches):
+        for b, texts in _unpacked(batches):
             sizes, gone, kept, spans = [], [], [], []
-            for text, starts in zip(common.raw(b.column("text")), b.column("starts").to_pylist(), strict=True):
+            for text, starts, copy in zip(texts, b.column("starts").to_pylist(), b.column("copy").to_pylist(), strict=True):
                 words = text.split()
                 sizes.append(len(words))
-                found = intervals(np.array(sorted(starts or ()), np.int64), k)
+                found = [(0, len(words))] if copy and len(words) >= k else intervals(np.array(sorted(starts or ()), np.int64), k)
                 spans.append([{"start": a, "end": z} for a, z in found])
                 gone.append(sum(z - a for a, z in found))
                 for a, z in reversed(found):
                     del words[a:z]
                 kept.append(b" ".join(words))
-            whole = [t.decode("utf-8", "replace") for t in kept] if texts else [None] * len(kept)
+            whole = [t.decode("utf-8", "replace") for t in kept] if with_texts else [None] * len(kept)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()),
                  pa.array([hashlib.sha256(t).hexdigest() for t in kept]), pa.array(spans, _SPANS), pa.array(whole, pa.string())],
@@ -115,22 +131,29 @@ def remove_repeated(docs: DataFrame, k=WORDS, id_col="doc_id", text_col="text",
     do not remove each other's words.
     """
     kind = dict(docs.select(F.col(f"`{id_col}`").alias("doc_id")).dtypes)["doc_id"]
-    rows = common.columns(docs, doc_id=id_col, text=text_col)
     # Rows that repeat an id are told apart by their text.
-    keyed = rows.filter("doc_id is not null").withColumn("version", F.xxhash64("text"))
+    rows = common.columns(docs, doc_id=id_col, text=text_col).withColumn("version", F.xxhash64("text"))
+    keyed = rows.filter("doc_id is not null")
+    packed = rows.mapInArrow(_pack, f"doc_id {kind}, version bigint, packed binary")
+    copies = _copies(keyed)
     anchors = common.cut(keyed.mapInArrow(_anchor_rows(k), f"doc_id {kind}, version bigint, anchor bigint"))
-    shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).filter("a <> z")
-    marked = anchors.join(shared.select("anchor"), "anchor").groupBy("doc_id", "version").agg(F.collect_set("anchor").alias("anchors"))
-    windows = keyed.join(marked, ["doc_id", "version"]).select("doc_id", "version", "text", "anchors")
-    windows = common.cut(windows.mapInArrow(_window_rows(k), f"doc_id {kind}, version bigint, h bigint, g bigint, pos bigint"))
+    shared = anchors.groupBy("anchor").agg(F.min("version").alias("a"), F.max("version").alias("z")).filter("a <> z")
+    marked = anchors.join(shared.select("anchor"), "anchor").join(copies, ["doc_id", "version"], "left_anti")
+    marked = marked.groupBy("doc_id", "version").agg(F.collect_set("anchor").alias("anchors"))
+    windows = packed.join(marked, ["doc_id", "version"]).select("doc_id", "version", "packed", "anchors")
+    windows = common.cut(windows.mapInArrow(_window_rows(k), f"doc_id {kind}, version bigint, h bigint, g int, pos int"))
     first = windows.groupBy("h", "g").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).filter("a <> z")
-    late = windows.join(first, ["h", "g"]).filter("doc_id > a")
+    late = windows.join(first.select("h", "g", "a"), ["h", "g"]).filter("doc_id > a")
     starts = late.groupBy("doc_id", "version").agg(F.collect_set("pos").alias("starts"))
-    return _applied(rows, starts, k, kind, texts)
+    found = starts.join(copies.withColumn("copy", F.lit(True)), ["doc_id", "version"], "full_outer")
+    found = found.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), "starts", "copy")
+    out = packed.join(found, (F.col("doc_id") == F.col("_id")) & (F.col("version") == F.col("_version")), "left")
+    schema = f"doc_id {kind}, n_words bigint, n_removed bigint, kept_sha256 string, removed array<struct<start: bigint, end: bigint>>, kept_text string"
+    return out.select("doc_id", "packed", "starts", "copy").mapInArrow(_apply(k, texts), schema)
 
 
-def _applied(rows, starts, k, kind, texts):
-    starts = starts.withColumnRenamed("doc_id", "_id").withColumnRenamed("version", "_version")
-    found = rows.join(starts, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_version")), "left")
-    schema = f"doc_id {kind}, n_words bigint, n_removed bigint, kept_sha256 string, removed array<struct<start: bigint, end: bigint>>, kept_text string"
-    return found.select("doc_id", "text", "starts").mapInArrow(_apply(k, texts), schema)
+def _copies(keyed: DataFrame) -> DataFrame:
+    """(doc_id, version) of the rows whose whole text an earlier document has."""
+    same = common.cut(keyed.select("doc_id", "version", F.unhex(F.md5("text")).alias("same")))
+    first = same.groupBy("same").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).filter("a <> z")
+    return common.cut(same.join(first, "same").filter("doc_id > a").select("doc_id", "version").distinct())
