@@ -127,11 +127,12 @@ def _other_number(rng):
                 f"{_digits(rng, 4)} {_digits(rng, 4)}", f"{hexes(8)}-{hexes(4)}-{hexes(4)}-{hexes(12)}", f"{_digits(rng, 3)}", f"{_digits(rng, 1)}x{_digits(rng, 2)}")
 
 
-def examples(texts, n=EXAMPLES, seed=0):
+def examples(texts, n=None, seed=0):
     """Windows of character ids and tags: passages of `texts` with spans and other numbers set into them.
 
     Spans that the patterns find in the passages themselves are labelled too.
     """
+    n = EXAMPLES if n is None else n
     rng = np.random.default_rng(seed)
     texts = [t for t in texts if t] or ["the and of to in is "]
     ids, gold = np.full((n, WINDOW), PAD, np.int64), np.zeros((n, WINDOW), np.int64)
