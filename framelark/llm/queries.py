@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from framelark.llm import pii, simhash, substrings, tokens
+from framelark.llm import licenses, pii, simhash, substrings, tokens
 from framelark.llm.common import documents
 from framelark.operators.scale import scratch_path
 
@@ -12,6 +12,10 @@ def op1_personal_data(spark, folder):
     return pii.find_personal_data(docs, pii.train(docs)).drop("added")
 
 
+def op2_licenses(spark, folder):
+    return licenses.scan_licenses(documents(spark, folder))
+
+
 def op3_simhash(spark, folder):
     return simhash.near_duplicates(documents(spark, folder)).drop("root")
 
@@ -26,5 +30,5 @@ def op9_substrings(spark, folder):
     return substrings.remove_repeated(documents(spark, folder), texts=False).drop("removed", "kept_text")
 
 
-QUERIES = {f.__name__: f for f in (op1_personal_data, op3_simhash, op7_tokens, op9_substrings)}
+QUERIES = {f.__name__: f for f in (op1_personal_data, op2_licenses, op3_simhash, op7_tokens, op9_substrings)}
 ORACLES = {}
