@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from framelark.llm import licenses, pii, quality, simhash, substrings, tokens
+from framelark.llm import contamination, licenses, pii, quality, simhash, substrings, tokens
 from framelark.llm.common import documents
 from framelark.operators.scale import scratch_path
 
@@ -20,6 +20,10 @@ def op3_simhash(spark, folder):
     return simhash.near_duplicates(documents(spark, folder)).drop("root")
 
 
+def op4_contamination(spark, folder):
+    return contamination.contaminated(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 def op5_quality(spark, folder):
     docs = documents(spark, folder)
     return quality.quality_rules(docs, quality.train(docs, spark.read.parquet(f"{folder}/labels.parquet")))
@@ -35,5 +39,5 @@ def op9_substrings(spark, folder):
     return substrings.remove_repeated(documents(spark, folder), texts=False).drop("removed", "kept_text")
 
 
-QUERIES = {f.__name__: f for f in (op1_personal_data, op2_licenses, op3_simhash, op5_quality, op7_tokens, op9_substrings)}
+QUERIES = {f.__name__: f for f in (op1_personal_data, op2_licenses, op3_simhash, op4_contamination, op5_quality, op7_tokens, op9_substrings)}
 ORACLES = {}
