@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from framelark.llm import contamination, licenses, pii, quality, simhash, substrings, tokens
+from framelark.llm import contamination, licenses, mixing, pii, quality, sharding, simhash, substrings, tokens
 from framelark.llm.common import documents
 from framelark.operators.scale import scratch_path
 
@@ -29,6 +29,13 @@ def op5_quality(spark, folder):
     return quality.quality_rules(docs, quality.train(docs, spark.read.parquet(f"{folder}/labels.parquet")))
 
 
+SHARD_BYTES = 1 << 20
+
+
+def op6_sharding(spark, folder):
+    return sharding.shards(documents(spark, folder), SHARD_BYTES)
+
+
 def op7_tokens(spark, folder):
     out = scratch_path(spark, "tokens")
     manifest = tokens.write_tokens(documents(spark, folder), out, public_tokenizers.path("byte_bpe_50k.json"))
@@ -39,5 +46,9 @@ def op9_substrings(spark, folder):
     return substrings.remove_repeated(documents(spark, folder), texts=False).drop("removed", "kept_text")
 
 
-QUERIES = {f.__name__: f for f in (op1_personal_data, op2_licenses, op3_simhash, op4_contamination, op5_quality, op7_tokens, op9_substrings)}
-ORACLES = {}
+def op10_mixing(spark, folder):
+    return mixing.mix_report(documents(spark, folder))
+
+
+QUERIES = {f.__name__: f for f in (op1_personal_data, op2_licenses, op3_simhash, op4_contamination, op5_quality, op6_sharding, op7_tokens, op9_substrings, op10_mixing)}
+ORACLES = {"op6_sharding": sharding.oracle(SHARD_BYTES), "op10_mixing": mixing.ORACLE}
