@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from framelark.llm import contamination, licenses, mixing, pii, quality, sharding, simhash, substrings, tokens
+from framelark.llm import contamination, licenses, mixing, pages, pii, quality, sharding, simhash, substrings, tokens
 from framelark.llm.common import documents
 from framelark.operators.scale import scratch_path
 
@@ -42,6 +42,10 @@ def op7_tokens(spark, folder):
     return tokens.read_tokens(manifest, out, with_ids=False).drop("ids")
 
 
+def op8_main_text(spark, folder):
+    return pages.main_text(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
 def op9_substrings(spark, folder):
     return substrings.remove_repeated(documents(spark, folder), texts=False).drop("removed", "kept_text")
 
@@ -50,5 +54,5 @@ def op10_mixing(spark, folder):
     return mixing.mix_report(documents(spark, folder))
 
 
-QUERIES = {f.__name__: f for f in (op1_personal_data, op2_licenses, op3_simhash, op4_contamination, op5_quality, op6_sharding, op7_tokens, op9_substrings, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_personal_data, op2_licenses, op3_simhash, op4_contamination, op5_quality, op6_sharding, op7_tokens, op8_main_text, op9_substrings, op10_mixing)}
 ORACLES = {"op6_sharding": sharding.oracle(SHARD_BYTES), "op10_mixing": mixing.ORACLE}
