@@ -223,3 +223,22 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", bits=2, c
     by_print = linked.select("fp", "root").join(first, "root")
     out = prints.join(by_print, "fp")
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "root")
+
+
+def keep_one(docs: DataFrame, id_col="doc_id", text_col="text", bits=2, cell_rows=CELL_ROWS) -> DataFrame:
+    """The rows of `docs` without near duplicates, columns as they are: of each component one row stays.
+
+    It is that with the smallest doc_id (rows without one come last), then the smallest hash of the text; of
+    rows that agree in both any one.
+    """
+    key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    rows = docs.select(F.struct(key.isNull().alias("none"), key.alias("id"), F.xxhash64(text).alias("version")).alias("key"), text.alias("text"))
+    found = common.cut(near_duplicates(rows, "key", "text", bits, cell_rows).select("doc_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("stays")))
+    gone = found.filter("not stays").select(F.col("doc_id.id").alias("_gone_id"), F.col("doc_id.version").alias("_gone_version")).distinct()
+    left = docs.join(gone, docs[id_col].eqNullSafe(gone["_gone_id"]) & (F.xxhash64(docs[text_col]) == gone["_gone_version"]), "left_anti")
+    twice = common.cut(found.filter("stays").groupBy("doc_id").count().filter("count > 1"))
+    twice = twice.select(F.col("doc_id.id").alias("_twice_id"), F.col("doc_id.version").alias("_twice_version"))
+    if twice.isEmpty():
+        return left
+    same = left[id_col].eqNullSafe(twice["_twice_id"]) & (F.xxhash64(left[text_col]) == twice["_twice_version"])
+    return left.join(twice, same, "left_anti").unionByName(left.join(twice, same, "left_semi").dropDuplicates([id_col, text_col]))
