@@ -8,8 +8,8 @@ of lost or repeated attempts are not in it.
 """
 
 import functools
+import itertools
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -25,14 +25,11 @@ from framelark.llm import common
 from framelark.llm.elias_fano import EliasFano
 
 END_ID = 0
-CACHED = 500_000  # words, and parts of words, a Python worker remembers from task to task
+CACHED = 800_000  # words a Python worker remembers from task to task
+JOINED = 200  # words encoded as one text
 READ_BYTES = 8_000_000
 _HEAD = "<4sBxxxQ"
 _MAGIC = b"TOK1"
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_PART = re.compile(f"[{_LETTERS}]+|[^{_LETTERS}]+")
-_PLAIN = re.compile(f"(?:[{_LETTERS}]|[\\x21-\\x26\\x28-\\x7e]|\\n(?=[^\\n]))+")
-_SPACE = re.compile(r"\s")
 
 
 class Encoder:
@@ -40,7 +37,8 @@ class Encoder:
 
     Byte-level BPE cuts a text into pieces before it merges, and a single space between two characters that
     are not white space always begins a piece. So a text may be cut there, and the ids of a piece are the
-    same wherever it stands. A text with other white space around a space is encoded as it is.
+    same wherever it stands. A text with other white space around a space is encoded as it is. New words are
+    encoded many to a text: only the first token of a word begins with the space.
     """
 
     def __init__(self, path):
@@ -50,56 +48,58 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         added = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.added = [t for t in added if t]
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.words, self.parts = {}, {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.dtype = np.dtype("<u2" if len(vocabulary) <= 1 << 16 else "<u4")
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.spaced[[i for t, i in vocabulary.items() if t[0] == "\u0120" and t not in added]] = True
+        self.words = {}
 
     def encode(self, texts) -> list:
         """The ids of each text, as bytes of `dtype`."""
         texts = list(texts)
         cut = [t.split(" ") for t in texts]
-        fresh = set().union(*(w[1:] for w in cut)).difference(self.words) if cut else set()
+        first = [w.pop(0) for w in cut]
+        fresh = [w for w in set(itertools.chain.from_iterable(cut)) if w not in self.words]
         if fresh:
-            self._learn(fresh)
-        whole = []
-        out = [None] * len(texts)
+            self._learn(fresh, cut)
+        out, whole = [None] * len(texts), []
         for i, words in enumerate(cut):
-            found = list(map(self.words.get, words[1:]))
-            first = words[0]
-            if None in found or (first and _SPACE.match(first[-1])) or (not first and len(words) > 1):
-                whole.append(i)
+            found = list(map(self.words.get, words))
+            if None in found or (words and (not first[i] or first[i][-1].isspace())):
+                whole.append(i)  # it has a space that does not begin a piece
             else:
-                out[i] = (first, found)
-        firsts = list({out[i][0] for i in range(len(texts)) if out[i] is not None})
-        known = dict(zip(firsts, self._plain(firsts), strict=True))
+                out[i] = found
+        cuts = [i for i in range(len(texts)) if out[i] is not None]
+        for i, ids in zip(cuts, self._plain([first[i] for i in cuts]), strict=True):
+            out[i] = ids + b"".join(out[i])
         for i, ids in zip(whole, self._plain([texts[i] for i in whole]), strict=True):
             out[i] = ids
-        return [known[x[0]] + b"".join(x[1]) if isinstance(x, tuple) else x for x in out]
+        return out
 
-    def _plain(self, texts):
-        if not texts:
-            return []
+    def _run(self, texts):
         run = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        return [np.array(e.ids, self.dtype).tobytes() for e in run(texts, add_special_tokens=False)]
+        return run(texts, add_special_tokens=False) if texts else []
+
+    def _plain(self, texts):
+        return [np.array(e.ids, self.dtype).tobytes() for e in self._run(texts)]
 
-    def _learn(self, words):
-        if len(self.words) + len(words) > CACHED or len(self.parts) > CACHED:
+    def _learn(self, fresh, cut):
+        if len(self.words) + len(fresh) > CACHED:
             self.words.clear()
-            self.parts.clear()
-        plain, other = {}, []
-        for w in words:
-            if not w or _SPACE.match(w[0]) or _SPACE.match(w[-1]):
-                self.words[w] = None  # not a place where a text may be cut
-            elif _PLAIN.fullmatch(w) and not any(t in w for t in self.added):
-                parts = _PART.findall(w)
-                parts[0] = " " + parts[0]
-                plain[w] = parts
-            else:
-                other.append(w)
-        fresh = list(set().union(*plain.values()).difference(self.parts)) if plain else []
-        self.parts.update(zip(fresh, self._plain(fresh), strict=True))
-        for w, parts in plain.items():
-            self.words[w] = b"".join(map(self.parts.get, parts))
-        self.words.update(zip(other, self._plain([" " + w for w in other]), strict=True))
+            fresh = list(set(itertools.chain.from_iterable(cut)))
+        plain = [w for w in fresh if w and not (w[0].isspace() or w[-1].isspace())]
+        if any(t in w for t in self.added for w in plain):
+            other = [w for w in plain if any(t in w for t in self.added)]
+            self.words.update(zip(other, self._plain([" " + w for w in other]), strict=True))
+            plain = [w for w in plain if w not in self.words]
+        joined = [" " + " ".join(plain[i : i + JOINED]) for i in range(0, len(plain), JOINED)]
+        ids = np.array(list(itertools.chain.from_iterable(e.ids for e in self._run(joined))), np.int64)
+        at = (np.flatnonzero(self.spaced[ids]) * self.dtype.itemsize).tolist()
+        if len(at) != len(plain):  # white space of a kind the tokenizer sees otherwise
+            self.words.update(zip(plain, self._plain([" " + w for w in plain]), strict=True))
+            return
+        data = ids.astype(self.dtype).tobytes()
+        self.words.update(zip(plain, (data[a:z] for a, z in zip(at, [*at[1:], len(data)], strict=True)), strict=True))
 
 
 @functools.lru_cache(maxsize=1)
