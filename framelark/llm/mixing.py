@@ -7,9 +7,9 @@ certain; its fraction p is an inclusion probability. Documents are ranked by ran
 inclusion odds, u / (1 - u) over p / (1 - p), and taken in that order while the fixed size, the words still
 missing, is not passed; the document that then fits the gap best closes it.
 
-No source is sorted as a whole: ranks fall into slices sized by the number of rows, sums of slices tell
-the slice where the size is reached, and that slice alone is ordered. A row never meets more than the
-summary of its source.
+No source is sorted as a whole: ranks fall into slices, as many as the root of the number of rows; sums of
+slices tell the slice where the size is reached, and that slice alone is ordered. So one task orders about
+the root of a source's rows, twice.
 """
 
 from pyspark.sql import DataFrame, Window
@@ -20,7 +20,7 @@ from framelark.llm import common
 WEIGHTS = (5, 2, 1)  # of the sources in order, repeating
 SHARE = 1.5  # of all words that the mix takes
 MOST = 2.0  # copies of a source, and of a document
-SLICE_ROWS = 10_000
+SLICE_POWER = 0.5  # slices of a source: its number of rows to this power
 BROADCAST_ROWS = 200_000  # rows of a summary (under 100 bytes each) that may be broadcast
 _WORD = r"[^\x20\x09-\x0D]+"
 _RANDOM = 4503599627370496.0  # 2**52
@@ -93,7 +93,7 @@ def _with_rank(rows: DataFrame, classes: DataFrame) -> DataFrame:
 def _cuts(ranked: DataFrame) -> DataFrame:
     """By source: the last (rank, doc_id) taken in order, and the (rank, doc_id) that fills the gap best."""
     open_rows = ranked.filter("rank is not null and size > 0")
-    many = F.ceil(F.col("n") / SLICE_ROWS)
+    many = F.ceil(F.pow("n", F.lit(SLICE_POWER)))
     open_rows = open_rows.withColumn("slice", F.floor(F.col("rank") / (1 + F.col("rank")) * many))
     slices = open_rows.groupBy("source", "slice").agg(F.sum("size").alias("words"), F.first("need").alias("need"))
     upto = F.sum("words").over(Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, 0))
@@ -129,7 +129,7 @@ class Mix:
         """Rows (doc_id, source, size, u, ...) with source_size, target and copies."""
         ranked = _with_rank(rows, self.classes)
         out = ranked.join(self.cuts, F.col("source").eqNullSafe(F.col("cut_source")), "left")
-        many = F.ceil(F.col("n") / SLICE_ROWS)
+        many = F.ceil(F.pow("n", F.lit(SLICE_POWER)))
         slice_of = F.floor(F.col("rank") / (1 + F.col("rank")) * many)
         here = F.struct("rank", "doc_id")
         in_order = (slice_of < F.col("at")) | (slice_of == F.col("at")) & (here <= F.col("last"))

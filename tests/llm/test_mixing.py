@@ -31,9 +31,9 @@ def corpus(n, seed):
     return [*rows, (n, None, "a"), (n + 1, "", "only empty"), (None, "x y z", "b"), (None, "p q", "b"), (0, rows[0][1], rows[0][2])]
 
 
-@pytest.mark.parametrize("slice_rows", [3, 10_000])
-def test_mix(spark, monkeypatch, slice_rows):
-    monkeypatch.setattr(mixing, "SLICE_ROWS", slice_rows)
+@pytest.mark.parametrize("power", [0.5, 0.9])
+def test_mix(spark, monkeypatch, power):
+    monkeypatch.setattr(mixing, "SLICE_POWER", power)
     rows = corpus(600, 2)
     docs = spark.createDataFrame([(*r, 7, "x") for r in rows], "doc_id long, text string, source string, size int, copies string")
     got = mixing.mix_report(docs).toPandas()
@@ -61,8 +61,8 @@ def test_oracle_and_slices_agree(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     documents = pd.DataFrame(rows, columns=["doc_id", "text", "source"])  # noqa: F841
     want = duckdb.sql(mixing.ORACLE).df().sort_values("doc_id").reset_index(drop=True)
-    for limit in (4, 10_000):
-        monkeypatch.setattr(mixing, "SLICE_ROWS", limit)
+    for power in (0.0, 0.5, 0.9):
+        monkeypatch.setattr(mixing, "SLICE_POWER", power)
         got = mixing.mix_report(docs).toPandas().sort_values("doc_id").reset_index(drop=True)
         assert got.taken.tolist() == want.taken.tolist() and got.target.tolist() == want.target.tolist()
 
