@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framelark.operators.scale import ordinal
+from framelark.functions.text import as_int
+from framelark.operators.scale import ordinal, running
 
 # Longest list one row of a document may hold; longer ones continue in the next document.
 LIST_ROWS = 10_000
@@ -95,12 +96,12 @@ def resolve_labels(labels: DataFrame, cats: DataFrame) -> DataFrame:
     labels: label, pos. Output: label, category_id, created. New ids follow the highest one in order of
     first appearance.
     """
-    from framelark.functions.text import as_int
-
     seen = labels.groupBy("label").agg(F.min("pos").alias("pos")).withColumn("_num", as_int(F.trim("label")))
     by_id = cats.select(F.col("category_id").cast("long").alias("_num"), F.col("category_id").alias("_i")).distinct()
     by_name = cats.groupBy(F.col("name").alias("label")).agg(F.min("category_id").alias("_n"))
-    got = seen.join(by_id, "_num", "left").join(by_name, "label", "left").withColumn("known", F.coalesce("_i", "_n"))
+    # Labels that are no number would all meet in one partition.
+    numbers = seen.filter("_num is not null").join(by_id, "_num", "left")
+    got = numbers.unionByName(seen.filter("_num is null"), allowMissingColumns=True).join(by_name, "label", "left").withColumn("known", F.coalesce("_i", "_n"))
     top = cats.agg(F.coalesce(F.max("category_id"), F.lit(-1))).scalar()
     fresh = ordinal(got.filter("known is null").select("label", "pos"), [], ["pos", "label"], "_k", start=1).select(
         "label", (top + F.col("_k")).cast("int").alias("category_id"), F.lit(True).alias("created"))
@@ -137,11 +138,12 @@ def apply_edits(anns: DataFrame, cats: DataFrame, edits: DataFrame):
     )
     # A category holds from its edit to the next one of the same box; a deletion inside that time kills the box.
     held = log.filter(F.col("op").isin("add", "set_category") & F.col("ann_id").isNotNull())
-    from framelark.operators.scale import running
-
     spans = running(held.select("ann_id", "category_id", "seq"), ["ann_id"], [F.col("seq").desc()], {"until": ("min", F.col("seq"))}, before=True)
     deletions = e.filter("op = 'delete_category'").select("category_id", F.col("seq").alias("at"))
-    killed = spans.join(deletions, "category_id").filter("at > seq and (until is null or at < until)").select("ann_id").distinct()
+    # A row per category with its deletions in order (edits by hand, few): boxes of a category do not meet each.
+    times = deletions.groupBy("category_id").agg(F.array_sort(F.collect_list("at")).alias("times"))
+    dead = F.exists("times", lambda at: (at > F.col("seq")) & (F.col("until").isNull() | (at < F.col("until"))))
+    killed = spans.join(times, "category_id").filter(dead).select("ann_id").distinct()
     live = state.filter("gone = 0 and made = 1").drop("gone", "made").join(killed, "ann_id", "left_anti")
     names = e.filter("op = 'rename_category'").groupBy("category_id").agg(F.max_by("name", "seq").alias("_new"))
     out_cats = cats.join(deletions.select("category_id"), "category_id", "left_anti").join(names, "category_id", "left").select(

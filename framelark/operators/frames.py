@@ -119,7 +119,9 @@ def pose_lookup(frames: DataFrame, poses: DataFrame, mode="auto") -> DataFrame:
         steps.append(("filename", F.col("_f")))
     if mode in ("auto", "filename_id"):
         by = pos.groupBy(F.col("pose_id").cast("long").alias("_num")).agg(F.min(F.struct("timestamp_ns", "pose_id", "pos")).alias("_i"))
-        rows = rows.join(by, "_num", "left")
+        # Names without a number would all meet in one partition.
+        numbered = rows.filter("_num is not null").join(by, "_num", "left")
+        rows = numbered.unionByName(rows.filter("_num is null"), allowMissingColumns=True)
         steps.append(("filename_id", F.col("_i")))
     if mode in ("auto", "timestamp"):
         rows = nearest_frame(rows, pos.select("timestamp_ns", "pose_id", "pos"), [], ("pose_id", "pos"))

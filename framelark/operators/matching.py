@@ -33,7 +33,7 @@ def _same(keys):
 def _bounded_pairs(left, right, keys, min_iou, strict):
     """Overlapping pairs of bounded groups: keys, l_id, r_id, iou."""
     iou = geo.iou(geo.box("l."), geo.box("r."))
-    hit = (iou > F.lit(min_iou)) if strict else (iou >= F.lit(min_iou))
+    hit = (iou > F.lit(min_iou)) if strict or min_iou <= 0 else (iou >= F.lit(min_iou))
     return left.alias("l").join(right.alias("r"), _same(keys) & hit).select(
         *[F.col(f"l.{k}").alias(k) for k in keys], F.col("l.id").alias("l_id"), F.col("r.id").alias("r_id"), iou.alias("iou"))
 
@@ -80,7 +80,7 @@ def serial_choice(left: DataFrame, right: DataFrame, keys, min_iou, strict=False
     """
     box = ["x1", "y1", "x2", "y2"]
     iou = geo.iou(geo.box("l."), geo.box("r."))
-    hit = (iou > F.lit(min_iou)) if strict else (iou >= F.lit(min_iou))
+    hit = (iou > F.lit(min_iou)) if strict or min_iou <= 0 else (iou >= F.lit(min_iou))
     distinct = lambda d: cut(d.groupBy(*keys, *box).agg(F.min("id").alias("grp")))
     lg, rg = distinct(left), distinct(right)
     edges = cut(overlap_pairs(lg, rg, keys, hit, min_iou).select(F.col("l.grp").alias("P"), F.col("r.grp").alias("G"), iou.alias("iou")))
@@ -131,6 +131,8 @@ def _take_turns(left, right, keys, min_iou, strict=False):
 def match_predictions(pred: DataFrame, gt: DataFrame, keys=("image_id",), min_iou=0.5, extra=()) -> DataFrame:
     """Predictions in pred_id order each take the best free ground-truth box of any class.
 
+    Boxes that do not overlap at all never match, whatever `min_iou`.
+
     Output: keys, outcome (tp, mismatch, fp, fn), pred_id, ann_id, pred_class, gt_class, iou.
     `extra` names prediction columns to carry along.
     """

@@ -134,9 +134,9 @@ def require_valid(violations: DataFrame) -> None:
 def class_distribution(objects: DataFrame, num_classes=None) -> DataFrame:
     """Objects per class id with zero rows up to the highest id (or the given class count)."""
     n = objects.groupBy("class_id").agg(F.count("*").alias("n"))
-    top = n.agg(F.max("class_id")).select(
-        F.explode(F.sequence(F.lit(0), F.greatest(F.col("max(class_id)"), F.lit((num_classes or 0) - 1)).cast("int"))).alias("class_id")
-    )
+    last = n.agg(F.max("class_id").alias("top")).first()["top"]
+    every = max(-1 if last is None else int(last), (num_classes or 0) - 1) + 1
+    top = objects.sparkSession.range(every).select(F.col("id").cast("int").alias("class_id"))
     return top.join(n, "class_id", "left").select("class_id", F.coalesce("n", F.lit(0)).alias("n"))
 
 

@@ -38,15 +38,13 @@ def normalize_box_order(item: Column, order="xyxy", field=None) -> Column:
 
 
 def filter_confidence(dets: DataFrame, threshold: float, categories: DataFrame, exempt_names=(), floor=0.0) -> DataFrame:
-    """Detections at or above `threshold`; exempt classes only need `floor`.
-
-    Exempt ids come from the class list, which a model fixes at a few hundred names at most.
-    """
-    ids = [r[0] for r in categories.filter(F.col("name").isin(list(exempt_names))).select("category_id").distinct().collect()] if exempt_names else []
-    keep = F.col("confidence") >= threshold
-    if ids:
-        keep = keep | (F.col("category_id").isin(ids) & (F.col("confidence") >= floor))
-    return dets.filter(keep)
+    """Detections at or above `threshold`; exempt classes only need `floor`."""
+    sure = F.col("confidence") >= threshold
+    if not exempt_names:
+        return dets.filter(sure)
+    exempt = categories.filter(F.col("name").isin(list(exempt_names))).select("category_id").distinct()
+    low = dets.filter(~sure & (F.col("confidence") >= floor)).join(exempt, "category_id", "left_semi")
+    return dets.filter(sure).unionByName(low.select(*dets.columns))
 
 
 def scale_intrinsics(images: DataFrame, cameras: DataFrame) -> DataFrame:
@@ -106,12 +104,15 @@ def explode_detections(parsed: DataFrame, keys, order="xyxy", field=None) -> Dat
 def canonical_boxes(responses: DataFrame, images: DataFrame, classes, order="xyxy", dedup_iou=0.75, coord_scale=1000.0) -> DataFrame:
     """Responses to pixel boxes: canonical labels, box order, cross-class duplicates, pixel scale.
 
-    responses: image_id, response; images: image_id, width, height.
+    responses: image_id, response, and `document` where an image has several (they count in its order);
+    images: image_id, width, height.
     """
-    dets = explode_detections(parse_responses(responses), ["image_id"], order)
+    if "document" not in responses.columns:
+        responses = responses.withColumn("document", F.lit(0))
+    dets = explode_detections(parse_responses(responses), ["image_id", "document"], order)
     kept, _ = canonicalize_labels(dets, classes)
     boxed = kept.filter(F.size("bbox") == 4).select(
-        "image_id", "pos", (F.col("image_id") * F.lit(1 << 20) + F.col("pos")).alias("id"), "label", "score",
+        "image_id", "document", "pos", F.struct("image_id", "document", "pos").alias("id"), "label", "score",
         *[F.col("bbox")[i].alias(c) for i, c in enumerate(("x1", "y1", "x2", "y2"))])
     # Several passes follow; parsing must not be repeated for each.
     one = dedup_cross_class(cut(boxed), ["image_id"], dedup_iou)

@@ -24,11 +24,40 @@ def limit_of(spark: SparkSession, name: str, default: int) -> int:
     return int(spark.conf.get(f"framelark.{name}", str(default)))
 
 
+_OWNED = {}  # application: its folder
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for written intermediate tables: the cluster's checkpoint folder.
+    """The application's folder for written intermediate tables, in the cluster's checkpoint folder.
 
-    Only a local session without that setting falls back to a temporary folder of this machine.
+    It is deleted when the driver ends, or before by `release`. Only a local session without that setting
+    falls back to a temporary folder of this machine.
     """
+    app = spark.sparkContext.applicationId
+    if app not in _OWNED:
+        path = f"{_checkpoint_folder(spark)}/framelark-{app}"
+        files, at = _files(spark, path)
+        files.mkdirs(at)
+        files.deleteOnExit(at)
+        _OWNED[app] = path
+    return _OWNED[app]
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the intermediate tables written so far; results not yet written out are lost with them."""
+    path = _OWNED.pop(spark.sparkContext.applicationId, None)
+    if path is not None:
+        files, at = _files(spark, path)
+        files.delete(at, True)
+
+
+def _files(spark, path):
+    context = spark.sparkContext
+    at = context._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(context._jsc.hadoopConfiguration()), at
+
+
+def _checkpoint_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         folder = spark.conf.get("framelark.scratch", None)
@@ -37,7 +66,7 @@ def shared_folder(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("framelark.scratch", folder)
-    return folder
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -271,38 +271,46 @@ def _inherit_runs(boxes, keys):
 
 
 def _inherit_fold(boxes, keys):
-    """With preset ids: walk the frames of a session with the last ids of both sides and the counter."""
-    from framelark.operators.scale import FOLD_ROWS, limit_of, oversized
+    """With preset ids: walk the frames of a session with the last ids of both sides.
 
+    While walking, a new id goes by the box that starts it; numbers are given afterwards, as without preset
+    ids. The boxes of one frame are one row.
+    """
     frame = [*keys, "frame_idx", "side"]
-    if oversized(boxes, frame, limit_of(boxes.sparkSession, "foldRows", FOLD_ROWS)) is not None:
-        raise ValueError("a frame has more boxes than one row may hold")
-    top = boxes.groupBy(*keys).agg((F.coalesce(F.max("track_id"), F.lit(0)) + 1).alias("start"))
-    rows = boxes.groupBy(*frame).agg(F.array_sort(F.collect_list(F.struct("ann_id", "track_id"))).alias("bs")).join(top, keys)
-    ids = "array<bigint>"
-    state = f"struct<next:bigint,left:{ids},right:{ids},now:{ids}>"
+    rows = boxes.groupBy(*frame).agg(F.array_sort(F.collect_list(F.struct("ann_id", "track_id"))).alias("bs"))
+    ids = "array<struct<id:bigint,new:boolean>>"
+    state = f"struct<left:{ids},right:{ids},now:{ids}>"
     none = F.array().cast(ids)
-    first = F.struct(F.col("start").alias("next"), none.alias("left"), none.alias("right"), none.alias("now"))
+    first = F.struct(none.alias("left"), none.alias("right"), none.alias("now"))
 
     def step(s, row):
         left = row["side"] == "left"
         ref = F.when(left, s["left"]).otherwise(s["right"])
 
         def give(acc, b):
-            old = F.get(ref, F.size(acc["ids"]))
-            taken = F.array_contains(acc["ids"], old)
-            keep = F.coalesce(b["track_id"], F.when(old.isNotNull() & ~F.coalesce(taken, F.lit(False)), old))
-            return F.struct(F.array_append(acc["ids"], F.coalesce(keep, acc["next"])).alias("ids"),
-                            F.when(keep.isNull(), acc["next"] + 1).otherwise(acc["next"]).alias("next"))
+            old = F.get(ref, F.size(acc))
+            taken = F.array_contains(acc, old)
+            preset = F.when(b["track_id"].isNotNull(), F.struct(b["track_id"].alias("id"), F.lit(False).alias("new")))
+            own = F.struct(b["ann_id"].cast("bigint").alias("id"), F.lit(True).alias("new"))
+            return F.array_append(acc, F.coalesce(preset, F.when(old.isNotNull() & ~F.coalesce(taken, F.lit(False)), old), own))
 
-        got = F.aggregate(row["bs"], F.struct(none.alias("ids"), s["next"].alias("next")), give)
+        got = F.aggregate(row["bs"], none, give)
         return geo.let(got, lambda g: F.struct(
-            g["next"].alias("next"), F.when(left, g["ids"]).otherwise(s["left"]).alias("left"),
-            F.when(left, s["right"]).otherwise(g["ids"]).alias("right"), g["ids"].alias("now")))
+            F.when(left, g).otherwise(s["left"]).alias("left"),
+            F.when(left, s["right"]).otherwise(g).alias("right"), g.alias("now")))
 
     out = fold_in_order(rows, keys, ["frame_idx", "side"], first, state, step, lambda s, row: s["now"], ids)
-    z = out.select(*frame, F.explode(F.arrays_zip(F.col("bs.ann_id").alias("ann_id"), F.col("out").alias("track_id"))).alias("z"))
-    return z.select(*keys, "side", "frame_idx", "z.ann_id", "z.track_id")
+    z = out.select(*frame, F.explode(F.arrays_zip(F.col("bs.ann_id").alias("ann_id"), F.col("out").alias("given"))).alias("z"))
+    z = cut(z.select(*keys, "side", "frame_idx", "z.ann_id", "z.given"))
+    # New ids follow the highest preset one in the order in which their first boxes were made.
+    top = boxes.groupBy(*keys).agg(F.coalesce(F.max("track_id"), F.lit(0)).alias("top"))
+    starts = ordinal(z.filter("given.new and given.id = ann_id").select(*keys, "ann_id"), keys, ["ann_id"], "k", start=1)
+    starts = starts.join(top, keys).select(*keys, F.col("ann_id").alias("_start"), (F.col("top") + F.col("k")).alias("_new"))
+    named = z.withColumn("_start", F.when(F.col("given.new"), F.col("given.id")))
+    fresh = named.filter("_start is not null").join(starts, [*keys, "_start"])
+    old = named.filter("_start is null").withColumn("_new", F.col("given.id"))
+    return fresh.select(*keys, "side", "frame_idx", "ann_id", F.col("_new").alias("track_id")).unionByName(
+        old.select(*keys, "side", "frame_idx", "ann_id", F.col("_new").alias("track_id")))
 
 
 def best_successors(cands: DataFrame, keys) -> DataFrame:

@@ -113,14 +113,18 @@ def _(t):
 
 
 # Edits made out of the line items of the same orders: one per line, the kind by ship flag and tax.
-_LOG = """SELECT row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax) AS seq,
+_LOG = """SELECT 2 * row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax) AS seq,
     CASE WHEN l_tax < 0.005 THEN 'remove' WHEN l_tax < 0.025 THEN 'move' WHEN l_tax < 0.045 THEN 'resize' WHEN l_tax < 0.065 THEN 'set_category' ELSE 'set_track' END AS op,
     l_orderkey * 100 + l_linenumber AS ann_id, CAST(NULL AS BIGINT) AS image_id, CAST(l_suppkey % 7 AS INT) AS category_id, l_partkey AS track_id,
     l_quantity AS x, l_discount AS y, l_quantity + 10 AS w, l_quantity + 20 AS h, CAST(NULL AS STRING) AS name FROM lineitem"""
 _ADMIN = """SELECT CAST(s AS BIGINT) AS seq, op, CAST(NULL AS BIGINT) AS ann_id, CAST(NULL AS BIGINT) AS image_id, c AS category_id, CAST(NULL AS BIGINT) AS track_id,
     CAST(NULL AS DOUBLE) AS x, CAST(NULL AS DOUBLE) AS y, CAST(NULL AS DOUBLE) AS w, CAST(NULL AS DOUBLE) AS h, nm AS name
-    FROM (SELECT r_regionkey * 0 + 10000000 AS s, 'delete_category' AS op, r_regionkey AS c, CAST(NULL AS STRING) AS nm FROM region WHERE r_name = 'ASIA'
-          UNION ALL SELECT 20000000, 'rename_category', r_regionkey, concat(r_name, ' (new)') FROM region WHERE r_name = 'EUROPE') z"""
+    FROM (SELECT n * 2 + 1 AS s, 'delete_category' AS op, r_regionkey AS c, CAST(NULL AS STRING) AS nm FROM region, (SELECT count(*) AS n FROM lineitem) WHERE r_name = 'ASIA'
+          UNION ALL SELECT n + 1 - n % 2, 'delete_category', r_regionkey, NULL FROM region, (SELECT count(*) AS n FROM lineitem) WHERE r_name = 'AFRICA'
+          UNION ALL SELECT n * 2 + 2, 'rename_category', r_regionkey, concat(r_name, ' (new)') FROM region, (SELECT count(*) AS n FROM lineitem) WHERE r_name = 'EUROPE') z"""
+# Boxes drawn after all that, one per customer.
+_ADDED = """SELECT n * 2 + 3 AS seq, 'add' AS op, -c_custkey - 1 AS ann_id, c_custkey AS image_id, CAST(1 AS INT) AS category_id, CAST(NULL AS BIGINT) AS track_id,
+    CAST(1 AS DOUBLE) AS x, CAST(2 AS DOUBLE) AS y, CAST(3 AS DOUBLE) AS w, CAST(4 AS DOUBLE) AS h, CAST(NULL AS STRING) AS name FROM customer, (SELECT count(*) AS n FROM lineitem)"""
 
 
 @query("apply_edits", """
@@ -131,21 +135,33 @@ _ADMIN = """SELECT CAST(s AS BIGINT) AS seq, op, CAST(NULL AS BIGINT) AS ann_id,
     LEFT JOIN (SELECT ann_id, arg_max(track_id, seq) AS v FROM lg WHERE op = 'set_track' GROUP BY 1) k ON k.ann_id = a.ann_id
     LEFT JOIN (SELECT ann_id, arg_max(x, seq) AS x, arg_max(y, seq) AS y FROM lg WHERE op IN ('move', 'resize') GROUP BY 1) m ON m.ann_id = a.ann_id
     LEFT JOIN (SELECT ann_id, arg_max(w, seq) AS w, arg_max(h, seq) AS h FROM lg WHERE op = 'resize' GROUP BY 1) r ON r.ann_id = a.ann_id
+    LEFT JOIN (SELECT ann_id, arg_max(category_id, seq) AS v FROM lg WHERE op = 'set_category' AND seq <= (SELECT count(*) FROM lineitem) GROUP BY 1) e ON e.ann_id = a.ann_id
     WHERE a.ann_id NOT IN (SELECT ann_id FROM lg WHERE op = 'remove')
-      AND coalesce(c.v, a.category_id) NOT IN (SELECT r_regionkey FROM region WHERE r_name = 'ASIA')""", lg=_LOG)
+      AND coalesce(c.v, a.category_id) NOT IN (SELECT r_regionkey FROM region WHERE r_name = 'ASIA')
+      AND coalesce(e.v, a.category_id) NOT IN (SELECT r_regionkey FROM region WHERE r_name = 'AFRICA')
+    UNION ALL SELECT -c_custkey - 1, c_custkey, 1, NULL, 1, 2, 3, 4 FROM customer""", lg=_LOG)
 def _(t):
+    return _edited(t)[0]
+
+
+@query("apply_edits_categories", "SELECT r_regionkey AS category_id, CASE WHEN r_name = 'EUROPE' THEN r_name || ' (new)' ELSE r_name END AS name FROM region WHERE r_name NOT IN ('ASIA', 'AFRICA')")
+def _(t):
+    return _edited(t)[1]
+
+
+def _edited(t):
     anns = t.fx_gt.select("ann_id", "image_id", "category_id", F.lit(None).cast("long").alias("track_id"), F.col("x1").alias("x"), F.col("y1").alias("y"),
                           (F.col("x2") - F.col("x1")).alias("w"), (F.col("y2") - F.col("y1")).alias("h"))
-    log = _numbered_log(t).unionByName(t.sql(_ADMIN))
+    log = _numbered_log(t).unionByName(t.sql(_ADMIN)).unionByName(t.sql(_ADDED))
     cats = t.region.select(F.col("r_regionkey").alias("category_id"), F.col("r_name").alias("name"))
-    return datasets.apply_edits(anns, cats, log)[0]
+    return datasets.apply_edits(anns, cats, log)
 
 
 def _numbered_log(t):
     from framelark.operators.scale import ordinal
     cols = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax"]
     plain = t.sql("SELECT " + ", ".join(cols) + ", " + _LOG.split(" AS seq,", 1)[1].strip())
-    return ordinal(plain, [], cols, "seq", start=1).drop(*cols)
+    return ordinal(plain, [], cols, "seq", start=1).drop(*cols).withColumn("seq", 2 * F.col("seq"))
 
 
 @query("unsynced_filter", """SELECT g.pose_id AS ann_id, f.side FROM fx_pose g JOIN (SELECT side, timestamp_ns, row_number() OVER () AS z FROM fx_frame) f
@@ -278,13 +294,13 @@ def _(t):
 _VLM = dict(
     files="SELECT v.image_id AS k, i.file_name, v.response, row_number() OVER (ORDER BY i.file_name) - 1 AS frame_idx FROM fx_vlm v JOIN fx_image i ON i.image_id = v.image_id",
     lab=_LABELS,
-    ok="""SELECT f.*, l.label, g.x1, g.y1, g.x2, g.y2, row_number() OVER (ORDER BY f.frame_idx) AS image_id FROM files f JOIN lab l ON l.image_id = f.k JOIN fx_gt g ON g.ann_id = f.k * 100 + 1 WHERE l.label IS NOT NULL""",
-    cat="SELECT label, row_number() OVER (ORDER BY min(frame_idx)) - 1 AS category_id FROM ok GROUP BY label",
+    ok="""SELECT f.*, l.label, l.ann_id, g.x1, g.y1, g.x2, g.y2, dense_rank() OVER (ORDER BY f.frame_idx) AS image_id FROM files f JOIN lab l ON l.image_id = f.k JOIN fx_gt g ON g.ann_id = l.ann_id WHERE l.label IS NOT NULL""",
+    cat="SELECT label, row_number() OVER (ORDER BY min(frame_idx * 1000 + ann_id % 100)) - 1 AS category_id FROM ok GROUP BY label",
 )
 
 
-@query("vlm_to_annotations", """SELECT row_number() OVER (ORDER BY image_id) AS ann_id, image_id, category_id::INT AS category_id, frame_idx, x, y, w, h FROM (
-      SELECT ok.image_id, frame_idx, c.category_id, x1 AS x, y1 AS y, least(x2, 100) - x1 AS w, least(y2, 80) - y1 AS h FROM ok JOIN cat c ON c.label = ok.label) WHERE w > 0 AND h > 0""", **_VLM)
+@query("vlm_to_annotations", """SELECT row_number() OVER (ORDER BY image_id, place) AS ann_id, image_id, category_id::INT AS category_id, frame_idx, x, y, w, h FROM (
+      SELECT ok.image_id, ok.ann_id AS place, frame_idx, c.category_id, x1 AS x, y1 AS y, least(x2, 100) - x1 AS w, least(y2, 80) - y1 AS h FROM ok JOIN cat c ON c.label = ok.label) WHERE w > 0 AND h > 0""", **_VLM)
 def _(t):
     src = t.fx_vlm.join(t.fx_image.select("image_id", "file_name"), "image_id").select("file_name", F.lit(100).alias("width"), F.lit(80).alias("height"), "response")
     images, anns, _cats = convert.vlm_to_annotations(src)
@@ -296,25 +312,33 @@ _CANON = [f"CASE WHEN {matches_sql('raw', repr(c))} THEN '{c}' END" for c in _CL
 _STEP = "struct_pack(slot := {s}, id := r.pred_id, label := r.label, score := r.score, x1 := r.x1, y1 := r.y1, x2 := r.x2, y2 := r.y2)"
 
 
-@query("canonical_vlm_boxes", """
-    SELECT image_id, unnest.label AS label, round_even(unnest.x1 * 640 / 1000, 0) AS x1, round_even(unnest.y1 * 480 / 1000, 0) AS y1, round_even(unnest.x2 * 640 / 1000, 0) AS x2, round_even(unnest.y2 * 480 / 1000, 0) AS y2
-    FROM (SELECT image_id, unnest(arg_max(kept, rk)) AS unnest FROM d_walk GROUP BY image_id)""", recursive=True,
-       det=f"""SELECT *, coalesce({', '.join(_CANON)}) AS label FROM (SELECT image_id, pred_id, CASE category_id WHEN 0 THEN 'Exit_Sign' WHEN 1 THEN 'ceiling light' WHEN 2 THEN 'a map on the wall' ELSE 'robot' END AS raw,
-               CASE WHEN confidence > 0.2 THEN confidence END AS score, trunc(x1) AS x1, trunc(y1) AS y1, trunc(x2) AS x2, trunc(y2) AS y2 FROM fx_pred)""",
-       d_turn="SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY pred_id) AS rk FROM det WHERE label IS NOT NULL",
-       d_walk=f"""SELECT r.image_id, r.rk, [{_STEP.format(s='r.pred_id')}] AS kept FROM d_turn r WHERE rk = 1
+def canonical_sql(det, min_iou):
+    """Statement and parts that walk the detections `det` of an image in order and keep one of a place."""
+    walk = f"""SELECT r.image_id, r.rk, [{_STEP.format(s='r.pred_id')}] AS kept FROM d_turn r WHERE rk = 1
           UNION ALL SELECT r.image_id, r.rk, CASE WHEN h IS NULL THEN list_append(w.kept, {_STEP.format(s='r.pred_id')})
                  WHEN r.score IS NOT NULL AND (h.score IS NULL OR r.score > h.score) THEN list_transform(w.kept, lambda k: CASE WHEN k.slot = h.slot THEN {_STEP.format(s='h.slot')} ELSE k END)
                  ELSE w.kept END
-          FROM (SELECT w.kept, q AS r, list_filter(w.kept, lambda k: k.label <> q.label AND {iou_sql('q', 'k')} >= 0.6)[1] AS h
-                FROM d_walk w JOIN d_turn q ON q.image_id = w.image_id AND q.rk = w.rk + 1) w""")
+          FROM (SELECT w.kept, q AS r, list_filter(w.kept, lambda k: k.label <> q.label AND {iou_sql('q', 'k')} >= {min_iou})[1] AS h
+                FROM d_walk w JOIN d_turn q ON q.image_id = w.image_id AND q.rk = w.rk + 1) w"""
+    parts = {"det": f"SELECT *, coalesce({', '.join(_CANON)}) AS label FROM ({det})",
+             "d_turn": "SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY pred_id) AS rk FROM det WHERE label IS NOT NULL", "d_walk": walk}
+    return """
+    SELECT image_id, unnest.label AS label, round_even(unnest.x1 * 640 / 1000, 0) AS x1, round_even(unnest.y1 * 480 / 1000, 0) AS y1, round_even(unnest.x2 * 640 / 1000, 0) AS x2, round_even(unnest.y2 * 480 / 1000, 0) AS y2
+    FROM (SELECT image_id, unnest(arg_max(kept, rk)) AS unnest FROM d_walk GROUP BY image_id)""", parts
+
+
+_RAW = "SELECT image_id, pred_id, CASE category_id WHEN 0 THEN 'Exit_Sign' WHEN 1 THEN 'ceiling light' WHEN 2 THEN 'a map on the wall' ELSE 'robot' END AS raw, CASE WHEN confidence > 0.2 THEN confidence END AS score, trunc(x1) AS x1, trunc(y1) AS y1, trunc(x2) AS x2, trunc(y2) AS y2 FROM fx_pred"
+_BODY, _PARTS = canonical_sql(_RAW, 0.6)
+
+
+@query("canonical_vlm_boxes", _BODY, recursive=True, **_PARTS)
 def _(t):
     # The response of an image lists its detections in pred_id order.
     item = F.concat(F.lit('{"label": "'), F.expr("CASE category_id WHEN 0 THEN 'Exit_Sign' WHEN 1 THEN 'ceiling light' WHEN 2 THEN 'a map on the wall' ELSE 'robot' END"),
                     F.lit('", "box_2d": ['), F.array_join(F.array(*[F.col(c).cast("int").cast("string") for c in ("y1", "x1", "y2", "x2")]), ", "),
                     F.lit('], "score": '), F.when(F.col("confidence") > 0.2, F.col("confidence").cast("string")).otherwise("null"), F.lit("}"))
     docs = datasets.bounded_lists(t.fx_pred.select("image_id", "pred_id", item.alias("item")), ["image_id"], ["pred_id"], F.col("item"), "items")
-    resp = docs.select("image_id", F.concat(F.lit("[\n"), F.array_join("items", ", "), F.lit("]")).alias("response"))
+    resp = docs.select("image_id", F.col("chunk").alias("document"), F.concat(F.lit("[\n"), F.array_join("items", ", "), F.lit("]")).alias("response"))
     got = responses.canonical_boxes(resp, t.fx_image, _CLASSES, "yxyx", 0.6)
     return got.select("image_id", "label", "x1", "y1", "x2", "y2")
 

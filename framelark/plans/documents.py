@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from framelark.operators import datasets
+from framelark.operators.scale import scratch_path
 from framelark.plans.registry import query
 from framelark.sources import readers, writers
 
@@ -20,6 +21,13 @@ def _(t):
     return readers.coco_tables(_coco_docs(t))[1].select("ann_id", "image_id", "category_id", *BOX)
 
 
+@query("coco_documents_alone", "SELECT ann_id, image_id, file_name FROM fx_gt JOIN fx_image USING (image_id)")
+def _(t):
+    # Each document is read by itself: annotations meet the images of their own document only.
+    images, anns, _cats = readers.coco_tables(_coco_docs(t))
+    return anns.join(images.select("shard", "image_id", "file_name"), ["shard", "image_id"]).select("ann_id", "image_id", "file_name")
+
+
 @query("export_coco", """SELECT image_id, row_number() OVER (ORDER BY timestamp_ns, image_id) - 1 AS position FROM fx_image
     WHERE image_id % 50 <> 7""")
 def _(t):
@@ -120,6 +128,17 @@ def _(t):
     return writers.yolo_lines(t.fx_gt.withColumn("class_id", F.col("category_id")), images)
 
 
+@query("write_label_files", f"""SELECT split, i.image_id::VARCHAR AS stem, coalesce(string_agg(g.category_id || ' ' || {_N.format(v='(x1 + x2) / 2 / 640::DOUBLE')}, chr(10) ORDER BY ann_id), '') AS body
+    FROM fx_image i LEFT JOIN fx_gt g ON g.image_id = i.image_id GROUP BY ALL""")
+def _(t):
+    images = t.fx_image.select("image_id", F.col("image_id").cast("string").alias("stem"), "split", "width", "height")
+    out = scratch_path(images.sparkSession, "labels")
+    files = writers.write_label_files(writers.yolo_lines(t.fx_gt.withColumn("class_id", F.col("category_id")), images), out)
+    found = readers.read_label_files(files, out).withColumn("lines", F.split(F.regexp_replace("body", "\n$", ""), "\n"))
+    two = F.array_join(F.transform("lines", lambda v: F.substring_index(v, " ", 2)), "\n")
+    return found.select("split", "stem", two.alias("body"))
+
+
 @query("write_stats_csv", "SELECT event_type, count(*) AS n, printf('%.2f', avg(value)) AS mean, printf('%.4f', max(value)) AS top FROM events GROUP BY 1")
 def _(t):
     s = t.events.groupBy("event_type").agg(F.count("*").alias("n"), F.avg("value").alias("mean"), F.max("value").alias("top"))

@@ -3,7 +3,7 @@
 The reference's inputs are camera data; these statements give the driver tables that shape: line items
 become boxes, orders images, events frames of two cameras, parts keyframe boxes, customers poses.
 Missed, spurious and re-classed detections, dropped frames and absent poses are part of the shape;
-every row of the source table is read.
+every row of the source table is used, but for the rows whose absence is that shape.
 """
 
 import re
@@ -88,15 +88,21 @@ FROM (SELECT image_id, ann_id, category_id,
 """,
     "fx_vlm": r"""
 SELECT image_id, concat(CASE WHEN image_id % 3 = 0 THEN concat('Here: ', '```json', chr(10)) ELSE '' END,
-        CASE WHEN image_id % 37 = 0 THEN '[{"label": oops' ELSE concat('[',
-          '{"label": "', CASE CAST(category_id AS INT) WHEN 0 THEN 'Exit_Sign' WHEN 1 THEN 'ceiling light' WHEN 2 THEN 'a map on the wall' ELSE 'robot' END,
-          '", "bbox_2d": [', CAST(CAST(x1 AS INT) AS STRING), ', ', CAST(CAST(y1 AS INT) AS STRING), ', ',
-          CAST(CAST(x2 AS INT) AS STRING), ', ', CAST(CAST(y2 AS INT) AS STRING), ']}]') END,
+        CASE WHEN image_id % 37 = 0 THEN '[{"label": oops' ELSE concat('[', listagg(item, ', ') WITHIN GROUP (ORDER BY ann_id), ']') END,
         CASE WHEN image_id % 3 = 0 THEN concat(chr(10), '```') ELSE '' END) AS response
-FROM fx_gt WHERE ann_id % 100 = 1
+FROM (SELECT image_id, ann_id, concat('{"label": "', label, '", "bbox_2d": [', CAST(CAST(x1 AS INT) AS STRING), ', ', CAST(CAST(y1 AS INT) AS STRING), ', ',
+          CAST(CAST(x2 AS INT) AS STRING), ', ', CAST(CAST(y2 AS INT) AS STRING), ']}') AS item FROM fx_label) t GROUP BY image_id
+""",
+    "fx_label": r"""
+SELECT image_id, ann_id, x1, y1, x2, y2,
+       CASE category_id WHEN 0 THEN 'Exit_Sign' WHEN 1 THEN 'ceiling light' WHEN 2 THEN 'a map on the wall' ELSE 'robot' END AS label
+FROM fx_gt
 """,
 }
 
+# Spark's ordered aggregate of text, and how the other engine writes it.
+_LISTAGG = re.compile(r"listagg\((\w+), ', '\) WITHIN GROUP \(ORDER BY (\w+)\)")
+
 
 def _deps(sql: str):
     return [n for n in [*BASE, *DERIVED] if re.search(rf"\b(?:FROM|JOIN)\s+{n}\b", sql)]
@@ -135,7 +141,7 @@ def with_tables(body: str, recursive=False, **ctes) -> str:
             if n in DERIVED and n not in seen:
                 seen.add(n)
                 visit(DERIVED[n])
-                need.append((n, DERIVED[n]))
+                need.append((n, _LISTAGG.sub(r"string_agg(\1, ', ' ORDER BY \2)", DERIVED[n])))
 
     for sql in ctes.values():
         visit(sql)

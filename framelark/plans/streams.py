@@ -2,17 +2,17 @@
 
 
 from framelark.operators.scale import scratch_path
+from framelark.plans.datasets import canonical_sql
 from framelark.plans.motion import _CANDS
-from framelark.plans.projections import _CLASSES, _LABELS, matches_sql
+from framelark.plans.projections import _CLASSES
 from framelark.plans.registry import ORACLES, query
 from framelark.streaming import ingest, propagate
 
 
-@query("stream_vlm_ingest", f"""
-    SELECT l.image_id, coalesce({', '.join(f"CASE WHEN {matches_sql('l.label', repr(c))} THEN '{c}' END" for c in _CLASSES)}) AS label,
-      round_even(x1 * 640 / 1000, 0) AS x1, round_even(y1 * 480 / 1000, 0) AS y1, round_even(x2 * 640 / 1000, 0) AS x2, round_even(y2 * 480 / 1000, 0) AS y2
-    FROM ({_LABELS}) l JOIN fx_gt g ON g.ann_id = l.image_id * 100 + 1
-    WHERE l.label IS NOT NULL AND ({' OR '.join(matches_sql('l.label', repr(c)) for c in _CLASSES)})""")
+_BODY, _PARTS = canonical_sql("SELECT image_id, ann_id AS pred_id, label AS raw, NULL::DOUBLE AS score, trunc(x1) AS x1, trunc(y1) AS y1, trunc(x2) AS x2, trunc(y2) AS y2 FROM fx_label WHERE image_id % 37 <> 0", 0.75)
+
+
+@query("stream_vlm_ingest", _BODY, recursive=True, **_PARTS)
 def _(t):
     spark = t.fx_vlm.sparkSession
     base = scratch_path(spark, "ingest")

@@ -45,10 +45,10 @@ def _(t):
     return got.select("pose_id", F.col("near.file_name").alias("file_name"))
 
 
-@query("nearest_synthetic_frame", "SELECT event_id, greatest(0, least(round_even(event_id * 377123 / 1000000, 0), 2999))::BIGINT AS frame_idx FROM events")
+@query("nearest_synthetic_frame", "SELECT event_id, greatest(0, least(round_even(event_id * 377123 / 1000000, 0), (SELECT count(*) FROM fx_frame WHERE side = 'left') - 1))::BIGINT AS frame_idx FROM events")
 def _(t):
     q = t.events.select("event_id", (F.col("event_id") * 377123).alias("timestamp_ns"))
-    return frames.nearest_synthetic(q, F.lit(3000)).select("event_id", "frame_idx")
+    return frames.nearest_synthetic(q, t.fx_frame.filter("side = 'left'").agg(F.count("*")).scalar()).select("event_id", "frame_idx")
 
 
 _POSE = "CASE WHEN cam_x IS NOT NULL THEN struct_pack(x := cam_x, y := cam_y, z := cam_z) WHEN lidar_x IS NOT NULL THEN struct_pack(x := lidar_x, y := lidar_y, z := lidar_z) END"
@@ -129,9 +129,13 @@ def _(t):
     return frames.add_regular_keyframes(ix, ix.filter("timestamp_ns % 1100000000 = 0"), ["side"], 8)
 
 
-@query("split_ranges", "SELECT side, frame_idx, CASE WHEN frame_idx <= 99 THEN 'a' ELSE 'b' END AS part FROM ix WHERE frame_idx <= 99 OR frame_idx BETWEEN 150 AND 300", ix=_IX)
+@query("split_ranges", """SELECT side, frame_idx, CASE WHEN frame_idx <= n // 3 THEN 'a' ELSE 'b' END AS part FROM ix, (SELECT max(frame_idx) + 1 AS n FROM ix)
+    WHERE frame_idx <= n // 3 OR frame_idx BETWEEN n // 2 AND n - 1""", ix=_IX)
 def _(t):
-    return frames.split_ranges(_indexed(t), [("a", 0, 99), ("b", 150, 300)], 400).select("side", "frame_idx", "part")
+    # The first third and the second half of the frames.
+    ix = _indexed(t)
+    n = ix.agg(F.max("frame_idx") + 1).first()[0] or 0
+    return frames.split_ranges(ix, [("a", 0, n // 3), ("b", n // 2, n - 1)], n).select("side", "frame_idx", "part")
 
 
 @query("divide_evenly", "SELECT side, frame_idx, (ntile(7) OVER (PARTITION BY side ORDER BY frame_idx) - 1)::INT AS part FROM ix", ix=_IX)

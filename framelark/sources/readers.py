@@ -1,5 +1,7 @@
 """Files and documents to tables. Readers take paths; the functions behind them work on any text column."""
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +71,22 @@ def read_label_lines(spark: SparkSession, path: str) -> DataFrame:
     return label_lines(files)
 
 
+def read_label_files(files: DataFrame, folder: str) -> DataFrame:
+    """split, stem and body of the label files a listing (split, stem) names; many small files to a task."""
+
+    def run(batches):
+        store, base = pafs.FileSystem.from_uri(folder)
+        for b in batches:
+            split, stem = b.column("split").to_pylist(), b.column("stem").to_pylist()
+            bodies = []
+            for s, n in zip(split, stem, strict=True):
+                with store.open_input_stream(f"{base}/{s}/{n}.txt") as f:
+                    bodies.append(f.read().decode("utf-8", "replace"))
+            yield pa.RecordBatch.from_pydict({"split": split, "stem": stem, "body": bodies})
+
+    return files.select("split", "stem").mapInArrow(run, "split string, stem string, body string")
+
+
 def image_listing(paths: DataFrame, path="path") -> DataFrame:
     """Image files of a listing by suffix in any case: path, file_name, stem."""
     suffix = F.lower(F.regexp_extract(path, r"\.([^.]*)$", 1))

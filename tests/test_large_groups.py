@@ -1,10 +1,14 @@
 """The ways for bounded and for oversized groups give the same rows as plain loops."""
 
+import os
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 import loops
-from framelark.operators import matching, scale, suppress, tracks
+from framelark.operators import matching, responses, scale, suppress, tracks
+from framelark.sources import readers, writers
 
 SCHEMA = "image_id long, pred_id long, category_id int, confidence double, x1 double, y1 double, x2 double, y2 double"
 
@@ -153,8 +157,48 @@ def test_inherited_track_ids(spark, way, preset):
             for _ in range((frame * 5 + (side == "left") * 3) % 4):
                 ann += 1
                 rows.append((side, frame, ann, 50 + ann if preset and ann % 6 == 0 else None))
-    if preset and way == "oversized":
-        pytest.skip("frames of more boxes than the tiny limit are refused")
     df = spark.createDataFrame([("s", *r) for r in rows], "session string, side string, frame_idx long, ann_id long, track_id long")
     got = {r["ann_id"]: r["track_id"] for r in tracks.inherit_track_ids(df).collect()}
     assert got == loops.inherit(rows)
+
+
+def test_nothing_matches_without_overlap(spark, way):
+    box = "x1 double, y1 double, x2 double, y2 double"
+    pred = spark.createDataFrame([(1, i, 0, 10.0 * i, 0.0, 10.0 * i + 5, 5.0) for i in range(4)], f"image_id long, pred_id long, category_id int, {box}")
+    gt = spark.createDataFrame([(1, i, 0, 10.0 * i, 50.0, 10.0 * i + 5, 55.0) for i in range(4)], f"image_id long, ann_id long, category_id int, {box}")
+    got = matching.match_predictions(pred, gt, min_iou=0.0).groupBy("outcome").count().collect()
+    assert {r["outcome"]: r["count"] for r in got} == {"fp": 4, "fn": 4}
+
+
+def test_response_rows_of_one_image(spark, way):
+    item = '{"label": "%s", "bbox_2d": [%d, 0, %d, 100], "score": %s}'
+    docs = [(1_700_000_000_000_000_000, 0, "[" + item % ("robot", 0, 100, "0.4") + "]"), (1_700_000_000_000_000_000, 1, "[" + item % ("map", 2, 100, "0.9") + "]")]
+    images = spark.createDataFrame([(1_700_000_000_000_000_000, 1000, 1000)], "image_id long, width int, height int")
+    got = responses.canonical_boxes(spark.createDataFrame(docs, "image_id long, document int, response string"), images, ["robot", "map"])
+    assert [r["label"] for r in got.collect()] == ["map"]
+
+
+def test_documents_stand_alone(spark):
+    rng = random.Random(4)
+    images = spark.createDataFrame([(i, f"{i}.png", i) for i in range(300)], "image_id long, file_name string, position long")
+    rows = [(k, rng.randrange(300), 0, 0.0, 0.0, 5.0, 5.0) for k in range(600)] + [(900 + k, 7, 0, 0.0, 0.0, 5.0, 5.0) for k in range(120)]
+    anns = spark.createDataFrame(rows, "ann_id long, image_id long, category_id int, x1 double, y1 double, x2 double, y2 double")
+    docs = writers.coco_documents(images, anns, spark.createDataFrame([(0, "c")], "category_id int, name string"), rows_per_doc=50)
+    im, an, _ = readers.coco_tables(docs)
+    assert im.count() == 300 and docs.count() > 10
+    assert an.join(im.select("shard", "image_id"), ["shard", "image_id"]).count() == len(rows)
+
+
+def test_label_files(spark, tmp_path):
+    rows = [("train", "a", 2, "0 b"), ("train", "a", 1, "0 a"), ("val", "empty", None, None), ("val", "c", 5, "1 c")]
+    files = writers.write_label_files(spark.createDataFrame(rows, "split string, stem string, ann_id long, line string"), str(tmp_path))
+    assert sorted(tuple(r) for r in files.collect()) == [("train", "a", 2), ("val", "c", 1), ("val", "empty", 0)]
+    assert {r["stem"]: r["body"] for r in readers.read_label_files(files, str(tmp_path)).collect()} == {"a": "0 a\n0 b\n", "empty": "", "c": "1 c\n"}
+
+
+def test_tables_are_deleted(spark):
+    folder = scale.shared_folder(spark)
+    scale.cut(spark.range(3)).count()
+    assert os.listdir(folder)
+    scale.release(spark)
+    assert not os.path.exists(folder) and scale.cut(spark.range(3)).count() == 3
