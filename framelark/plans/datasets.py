@@ -364,7 +364,22 @@ def _(t):
     return convert.flip_labels(_labels(t), "v").select("stem", "line_num", text6(F.col("coords")).alias("coords"))
 
 
-@query("rotate_labels")
+_RX, _RY = "cs * {x} + sn * {y} + (1 - cs) * 320 - sn * 240", "-sn * {x} + cs * {y} + sn * 320 + (1 - cs) * 240"
+_CORNERS = [("b[1]", "b[2]"), ("b[3]", "b[2]"), ("b[3]", "b[4]"), ("b[1]", "b[4]")]
+_EXTENT = ", ".join(f"least({top}.0::DOUBLE, greatest(0::DOUBLE, {pick}({', '.join(r.format(x=x, y=y) for x, y in _CORNERS)})))"
+                    for pick, r, top in (("least", _RX, 640), ("least", _RY, 480), ("greatest", _RX, 640), ("greatest", _RY, 480)))
+_AREA = "abs(list_sum(list_transform(range(1, len({p}) // 2 + 1), lambda i: {p}[2 * i - 1] * {p}[2 * i % len({p}) + 2] - {p}[2 * i % len({p}) + 1] * {p}[2 * i]))) / 2"
+
+
+@query("rotate_labels", f"""
+    SELECT stem, line_num, CASE WHEN det THEN 'det' ELSE 'seg' END AS kind, class_id, {sql6("CASE WHEN det THEN [(e[1] + e[3]) / 2 / 640, (e[2] + e[4]) / 2 / 480, (e[3] - e[1]) / 640, (e[4] - e[2]) / 480] || c[5:] ELSE list_transform(rot, lambda v, i: round_even(v / CASE WHEN i % 2 = 1 THEN 640 ELSE 480 END, 6)) END")} AS coords
+    FROM turned WHERE CASE WHEN det THEN e[3] > e[1] AND e[4] > e[2] AND coalesce((e[3] - e[1]) * (e[4] - e[2]) / nullif((b[3] - b[1]) * (b[4] - b[2]), 0) >= 0.01, true)
+      ELSE coalesce({_AREA.format(p='rot')} / nullif({_AREA.format(p='px')}, 0) >= 0.01, true) END""", lab=_LAB,
+       placed=f"""SELECT stem, line_num, det, c, TRY_CAST(tok[1] AS BIGINT) AS class_id, cos(radians((line_num % 7) * 10.0::DOUBLE - 30)) AS cs, sin(radians((line_num % 7) * 10.0::DOUBLE - 30)) AS sn,
+          CASE WHEN det THEN [c[1] * 640 - c[3] * 640 / 2, c[2] * 480 - c[4] * 480 / 2, c[1] * 640 + c[3] * 640 / 2, c[2] * 480 + c[4] * 480 / 2] END AS b,
+          CASE WHEN NOT det THEN list_transform(c, lambda v, i: v * CASE WHEN i % 2 = 1 THEN 640 ELSE 480 END) END AS px FROM lab WHERE {_OKL}""",
+       turned=f"""SELECT *, CASE WHEN det THEN [{_EXTENT}] END AS e, CASE WHEN NOT det THEN list_transform(px, lambda v, i: CASE WHEN i % 2 = 1 THEN least(640::DOUBLE, greatest(0::DOUBLE, {_RX.format(x='v', y='px[i + 1]')}))
+          ELSE least(480::DOUBLE, greatest(0::DOUBLE, {_RY.format(x='px[i - 1]', y='v')})) END) END AS rot FROM placed""")
 def _(t):
     lab = _labels(t).withColumns({"width": F.lit(640), "height": F.lit(480), "angle": (F.col("line_num") % 7) * 10.0 - 30.0})
     return convert.rotate_labels(lab).select("stem", "line_num", "kind", "class_id", text6(F.col("coords")).alias("coords"))

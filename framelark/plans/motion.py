@@ -167,7 +167,22 @@ def _(t):
     return _out(tracks.interpolate_anchored(pairs, _steps(t, pairs), V))
 
 
-@query("smooth_kalman")
+@query("smooth_kalman", f"""SELECT video_id, a, b, a_id, p, 'kalman' AS source,
+      round(CASE WHEN missing THEN 0.6::DOUBLE ELSE 0.9::DOUBLE END * (n_meas / greatest(1, b - a - 1)::DOUBLE), 3) AS confidence,
+      {_CORNERS.format(cx='(x + t * (bcx - bkx - ex) + kx)', cy='(y + t * (bcy - bky - ey) + ky)', w='aw + t * (bw - aw)', h='ah + t * (bh - ah)')}
+    FROM (SELECT *, (p - a) / (b - a)::DOUBLE AS t, max(CASE WHEN p = b THEN x END) OVER g AS ex, max(CASE WHEN p = b THEN y END) OVER g AS ey, max(CASE WHEN p = b THEN kx END) OVER g AS bkx,
+            max(CASE WHEN p = b THEN ky END) OVER g AS bky, count(*) FILTER (NOT missing AND p < b) OVER g AS n_meas
+          FROM filtered WHERE p > a WINDOW g AS (PARTITION BY video_id, a, a_id)) WHERE p < b""", recursive=True, **_PAIRS, **_STEPS,
+       seen="""SELECT *, acx + sum(CASE WHEN missing THEN 0 ELSE sx END) OVER run - kx AS zx, acy + sum(CASE WHEN missing THEN 0 ELSE sy END) OVER run - ky AS zy
+          FROM (SELECT *, sum(cam_dx) OVER run AS kx, sum(cam_dy) OVER run AS ky FROM clamped WHERE b - a >= 2 WINDOW run AS (PARTITION BY video_id, a, a_id ORDER BY p))
+          WINDOW run AS (PARTITION BY video_id, a, a_id ORDER BY p)""",
+       filtered="""SELECT DISTINCT video_id, a, b, a_id, a AS p, acx AS x, 0::DOUBLE AS u, acy AS y, 0::DOUBLE AS v, 10::DOUBLE AS pp, 0::DOUBLE AS c, 10::DOUBLE AS w, false AS missing, 0::DOUBLE AS kx, 0::DOUBLE AS ky, bcx, bcy, aw, ah, bw, bh FROM seen
+          UNION ALL SELECT video_id, a, b, a_id, p, CASE WHEN missing THEN x + u ELSE x + u + k0 * (zx - (x + u)) END, CASE WHEN missing THEN u ELSE u + k1 * (zx - (x + u)) END,
+            CASE WHEN missing THEN y + v ELSE y + v + k0 * (zy - (y + v)) END, CASE WHEN missing THEN v ELSE v + k1 * (zy - (y + v)) END,
+            CASE WHEN missing THEN q ELSE q - k0 * q END, CASE WHEN missing THEN d ELSE d - k0 * d END, CASE WHEN missing THEN r ELSE r - k1 * d END, missing, kx, ky, bcx, bcy, aw, ah, bw, bh
+          FROM (SELECT *, q / (q + 4) AS k0, d / (q + 4) AS k1 FROM (
+            SELECT s.video_id, s.a, s.b, s.a_id, s.p, f.x, f.u, f.y, f.v, f.pp + 2 * f.c + f.w + 1 AS q, f.c + f.w AS d, f.w + 0.25 AS r, s.missing, s.zx, s.zy, s.kx, s.ky, s.bcx, s.bcy, s.aw, s.ah, s.bw, s.bh
+            FROM filtered f JOIN seen s ON s.video_id = f.video_id AND s.a = f.a AND s.a_id = f.a_id AND s.p = f.p + 1))""")
 def _(t):
     pairs = _pairs(t)
     return _out(tracks.smooth_kalman(pairs, _steps(t, pairs), V))
@@ -243,7 +258,15 @@ def _(t):
     return _out(d).withColumn("area", F.round("area", 4))
 
 
-@query("inherit_track_ids")
+# Without ids to begin with, a place in the list of a frame starts a new id where the frame before has no such place.
+@query("inherit_track_ids", """
+    SELECT session, side, frame_idx, ann_id, last_value(new_id IGNORE NULLS) OVER (PARTITION BY session, side, k ORDER BY frame_idx) AS track_id FROM (
+      SELECT *, CASE WHEN fresh THEN row_number() OVER (PARTITION BY session, fresh ORDER BY ann_id) END AS new_id FROM (
+        SELECT l.*, prev_n IS NULL OR k >= prev_n AS fresh FROM (
+          SELECT *, row_number() OVER (PARTITION BY session, side, frame_idx ORDER BY ann_id) - 1 AS k FROM drawn) l
+        JOIN (SELECT session, side, frame_idx, lag(n) OVER (PARTITION BY session, side ORDER BY frame_idx) AS prev_n FROM (
+                SELECT session, side, frame_idx, count(*) AS n FROM drawn GROUP BY ALL)) USING (session, side, frame_idx)))""",
+       drawn="SELECT video_id AS session, CASE WHEN category_id = 0 THEN 'left' ELSE 'right' END AS side, frame_idx, ann_id FROM fx_keybox")
 def _(t):
     b = t.fx_keybox.select(F.col("video_id").alias("session"), F.when(F.col("category_id") == 0, "left").otherwise("right").alias("side"), "frame_idx", "ann_id", F.lit(None).cast("long").alias("track_id"))
     return tracks.inherit_track_ids(b)
@@ -281,7 +304,12 @@ def _(t):
     return tracks.apply_interpolated(rows, live, V).select("video_id", "frame_idx", "job")
 
 
-@query("compose_motion")
+@query("compose_motion", """SELECT video_id, a, a_id, p, floor((m0 * acx + m1 * acy + m2) * 1000 + 0.33371923)::BIGINT AS cam_x, floor((m3 * acx + m4 * acy + m5) * 1000 + 0.33371923)::BIGINT AS cam_y FROM moved WHERE p > a""",
+       recursive=True, **_PAIRS,
+       moved="""SELECT video_id, a, b, a_id, acx, acy, a AS p, 1::DOUBLE AS m0, 0::DOUBLE AS m1, 0::DOUBLE AS m2, 0::DOUBLE AS m3, 1::DOUBLE AS m4, 0::DOUBLE AS m5 FROM prs
+         UNION ALL SELECT video_id, a, b, a_id, acx, acy, p, n0 * m0 + n1 * m3, n0 * m1 + n1 * m4, n0 * m2 + n1 * m5 + n2, n3 * m0 + m3, n3 * m1 + m4, n3 * m2 + m5 + n5
+         FROM (SELECT * REPLACE (p + 1 AS p), 1 + ((p + 1) % 3) * 0.01::DOUBLE AS n0, (a_id % 2) * 0.01::DOUBLE AS n1, ((p + 1) % 5)::DOUBLE AS n2, -((p + 1) % 2) * 0.01::DOUBLE AS n3, (a_id % 4)::DOUBLE AS n5
+               FROM moved WHERE p < b)""")
 def _(t):
     pairs = _pairs(t)
     e = F.lit(0.01)
@@ -290,4 +318,6 @@ def _(t):
     m = F.array(one + (F.col("p") % 3) * e, (F.col("a_id") % 2) * e, (F.col("p") % 5) * one, zero - (F.col("p") % 2) * e, one, (F.col("a_id") % 4) * one, zero, zero, one)
     keys = ["video_id", "a", "a_id"]
     got = tracks.compose_motion(rows.select(*keys, "p", m.alias("m")), pairs.select(*keys, F.col("acx").alias("cx"), F.col("acy").alias("cy")), keys)
-    return got.select(*keys, "p", r6("cam_x", "cam_x"), r6("cam_y", "cam_y"))
+    # Thousandths, cut where no short decimal lies: the order of the products shows in the last digits.
+    milli = lambda c: F.floor(F.col(c) * 1000 + 0.33371923).cast("bigint").alias(c)
+    return got.select(*keys, "p", milli("cam_x"), milli("cam_y"))
