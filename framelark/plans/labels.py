@@ -227,7 +227,29 @@ def _(t):
     return got.select("user_id", r6("dx", "dx"), r6("dy", "dy"), "kept")
 
 
-@query("ground_plane_fit")
+def _plane_sql():
+    """Parts that fit planes round by round; the direction of least variance in closed form."""
+    parts = {
+        "pts": """SELECT l_returnflag AS cloud, l_quantity::DOUBLE AS x, l_extendedprice / 1000.0::DOUBLE AS y,
+            0.03::DOUBLE * l_quantity - 0.02::DOUBLE * (l_extendedprice / 1000.0::DOUBLE) + l_discount + CASE WHEN l_tax > 0.04 THEN l_tax * 100 ELSE 0 END AS z FROM lineitem""",
+        "cur0": f"SELECT p.* FROM pts p JOIN (SELECT cloud, quantile_cont(z, {stats.LOW_SLICE}) AS lim FROM pts GROUP BY 1) USING (cloud) WHERE z <= lim"}
+    for i in range(stats.FIT_ROUNDS):
+        parts[f"mom{i}"] = f"""SELECT cloud, avg(x) AS cx, avg(y) AS cy, avg(z) AS cz, covar_pop(x, x) AS xx, covar_pop(x, y) AS xy, covar_pop(x, z) AS xz,
+            covar_pop(y, y) AS yy, covar_pop(y, z) AS yz, covar_pop(z, z) AS zz FROM cur{i} GROUP BY 1"""
+        parts[f"eig{i}"] = f"""SELECT *, q + 2 * p * cos(acos(greatest(-1, least(1, ((xx - q) * ((yy - q) * (zz - q) - yz * yz) - xy * (xy * (zz - q) - yz * xz) + xz * (xy * yz - (yy - q) * xz)) / (p * p * p) / 2))) / 3 + 2 * pi() / 3) AS v
+            FROM (SELECT *, sqrt(((xx - q) * (xx - q) + (yy - q) * (yy - q) + (zz - q) * (zz - q) + 2 * (xy * xy + xz * xz + yz * yz)) / 6) AS p FROM (SELECT *, (xx + yy + zz) / 3 AS q FROM mom{i}))"""
+        parts[f"fit{i}"] = f"""SELECT cloud, cx, cy, cz, nx / s AS nx, ny / s AS ny, nz / s AS nz FROM (SELECT *, sqrt(nx * nx + ny * ny + nz * nz) * CASE WHEN nz < 0 THEN -1 ELSE 1 END AS s FROM (
+            SELECT cloud, cx, cy, cz, xy * yz - xz * (yy - v) AS nx, xz * xy - (xx - v) * yz AS ny, (xx - v) * (yy - v) - xy * xy AS nz FROM eig{i}))"""
+        parts[f"cur{i + 1}"] = f"SELECT c.* FROM cur0 c JOIN fit{i} f USING (cloud) WHERE abs((x - cx) * nx + (y - cy) * ny + (z - cz) * nz) < {stats.INLIER_DIST}"
+    last = stats.FIT_ROUNDS
+    return f"""SELECT cloud, round(nx, 6) AS nx, round(ny, 6) AS ny, round(nz, 6) AS nz, round(degrees(acos(least(1, nz))), 6) AS tilt, inliers, degrees(acos(least(1, nz))) < {stats.LEVEL_TILT} AS level
+        FROM fit{last - 1} JOIN (SELECT cloud, count(*) AS inliers FROM cur{last} GROUP BY 1) USING (cloud) WHERE inliers >= {stats.MIN_INLIERS}""", parts
+
+
+_PLANE, _PLANE_PARTS = _plane_sql()
+
+
+@query("ground_plane_fit", _PLANE, **_PLANE_PARTS)
 def _(t):
     # Line items as points of one cloud per ship flag: a slightly tilted floor with noise and clutter above.
     x, y = F.col("l_quantity"), F.col("l_extendedprice") / 1000.0
