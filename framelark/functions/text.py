@@ -11,6 +11,13 @@ FLOAT_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 DETECTIONS = "array<struct<label:string,bbox_2d:array<double>,box_2d:array<double>,bbox:array<double>,score:double>>"
 
 
+def detections(field=None) -> str:
+    """Shape of one parsed detection whose box may also stand under `field`."""
+    if field in (None, "bbox_2d", "box_2d", "bbox"):
+        return DETECTIONS
+    return DETECTIONS.replace("struct<", f"struct<`{field}`:array<double>,")
+
+
 def as_int(text: Column) -> Column:
     """Integer of a token, NULL when the token is not written as one ("1.0" is not)."""
     return F.when(text.rlike(INT_TEXT), text.try_cast("bigint"))

@@ -137,23 +137,30 @@ def mosaic_labels(images: DataFrame, labels: DataFrame, keys=()) -> DataFrame:
         "name", F.concat(F.col("image"), F.lit("_mosaic")))
 
 
-def augmentation_plan(images: DataFrame, types, multiplier: int, seed=0) -> DataFrame:
+def augmentation_plan(images: DataFrame, types, multiplier: int, seed=0, rotation=(-15.0, 15.0), brightness=(0.7, 1.3)) -> DataFrame:
     """Output names per image: the original, `multiplier` copies of a seeded random type, and the mosaic.
 
-    mosaic is never drawn unless it is the only type. images: stem.
+    mosaic is never drawn unless it is the only type. Rotations carry a drawn `angle` (degrees, as
+    `rotate_labels` takes it), brightness and contrast a drawn `factor`. images: stem.
     """
+    none = F.lit(None).cast("double")
     draw = [t for t in types if t != "mosaic"] or list(types)
     copies = images.select("stem", F.explode(F.sequence(F.lit(0), F.lit(multiplier - 1))).alias("copy")) if multiplier > 0 else None
-    plan = images.select("stem", F.lit(-1).alias("copy"), F.lit("original").alias("type"), F.col("stem").alias("name"))
+    plan = images.select("stem", F.lit(-1).alias("copy"), F.lit("original").alias("type"), F.col("stem").alias("name"), none.alias("angle"), none.alias("factor"))
     if copies is not None:
         key = F.concat_ws("/", F.col("stem"), F.col("copy").cast("string"))
         h = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key)), 1, 8), 16, 10).cast("long")
         kind = F.get(F.array(*[F.lit(t) for t in draw]), (h % len(draw)).cast("int"))
-        drawn = copies.withColumn("type", kind)
+        u = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key)), 9, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+        within = lambda r: F.lit(float(r[0])) + u * F.lit(float(r[1]) - float(r[0]))
+        drawn = copies.withColumn("type", kind).withColumns({
+            "angle": F.when(F.col("type") == "rotate", within(rotation)),
+            "factor": F.when(F.col("type").isin("brightness", "contrast"), within(brightness))})
         plan = plan.unionByName(drawn.withColumn(
             "name", F.concat(F.col("stem"), F.lit("_aug"), F.col("copy").cast("string"), F.lit("_"), F.col("type"))))
     if "mosaic" in types:
         firsts = mosaic_neighbors(images, [], "stem", "stem").filter("quadrant = 0").select(F.col("image").alias("stem"))
         plan = plan.unionByName(firsts.select(
-            "stem", F.lit(-1).alias("copy"), F.lit("mosaic").alias("type"), F.concat("stem", F.lit("_mosaic")).alias("name")))
+            "stem", F.lit(-1).alias("copy"), F.lit("mosaic").alias("type"), F.concat("stem", F.lit("_mosaic")).alias("name"),
+            none.alias("angle"), none.alias("factor")))
     return plan

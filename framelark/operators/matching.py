@@ -256,6 +256,17 @@ def unmatched(side: DataFrame, pairs: DataFrame, keys, id_col: str) -> DataFrame
     return side.join(pairs.select(*keys, F.col(id_col).alias("id")), [*keys, "id"], "left_anti")
 
 
+def match_distance(a_width, a_height, b_width, b_height, frac):
+    """How far centers of a pair may lie apart: a share of the smaller side of the larger of both frames.
+
+    A frame without width or height does not count; without either frame the distance is 0.
+    """
+    def reach(w, h):
+        return F.when((w > 0) & (h > 0), F.lit(frac) * F.least(w, h).cast("double"))
+
+    return F.coalesce(F.greatest(reach(a_width, a_height), reach(b_width, b_height)), F.lit(0.0))
+
+
 def pair_anchor_boxes(a: DataFrame, b: DataFrame, keys, max_dist) -> DataFrame:
     """Pair anchor boxes by (category, track id) first, the rest by nearest center.
 

@@ -9,11 +9,12 @@ from framelark.operators.scale import cut, ordinal
 from framelark.operators.suppress import dedup_cross_class
 
 
-def parse_responses(df: DataFrame, response="response") -> DataFrame:
-    """Add dets; where the JSON does not parse, raw and parse_error instead."""
+def parse_responses(df: DataFrame, response="response", field=None) -> DataFrame:
+    """Add dets; where the JSON does not parse, raw and parse_error instead. `field` is the key of the box
+    where it is not one of the three usual ones."""
     got = df.withColumn("_list", text.json_list(text.json_block(F.col(response))))
     valid = F.try_parse_json("_list").isNotNull()
-    got = got.withColumn("dets", F.when(valid, F.from_json("_list", text.DETECTIONS))).drop("_list")
+    got = got.withColumn("dets", F.when(valid, F.from_json("_list", text.detections(field)))).drop("_list")
     failed = F.col("dets").isNull()
     return got.withColumns({
         "raw": F.when(failed, F.col(response)),
@@ -101,7 +102,7 @@ def explode_detections(parsed: DataFrame, keys, order="xyxy", field=None) -> Dat
                        normalize_box_order(F.col("d"), order, field).alias("bbox"))
 
 
-def canonical_boxes(responses: DataFrame, images: DataFrame, classes, order="xyxy", dedup_iou=0.75, coord_scale=1000.0) -> DataFrame:
+def canonical_boxes(responses: DataFrame, images: DataFrame, classes, order="xyxy", dedup_iou=0.75, coord_scale=1000.0, field=None) -> DataFrame:
     """Responses to pixel boxes: canonical labels, box order, cross-class duplicates, pixel scale.
 
     responses: image_id, response, and `document` where an image has several (they count in its order);
@@ -109,7 +110,7 @@ def canonical_boxes(responses: DataFrame, images: DataFrame, classes, order="xyx
     """
     if "document" not in responses.columns:
         responses = responses.withColumn("document", F.lit(0))
-    dets = explode_detections(parse_responses(responses), ["image_id", "document"], order)
+    dets = explode_detections(parse_responses(responses, field=field), ["image_id", "document"], order, field)
     kept, _ = canonicalize_labels(dets, classes)
     boxed = kept.filter(F.size("bbox") == 4).select(
         "image_id", "document", "pos", F.struct("image_id", "document", "pos").alias("id"), "label", "score",

@@ -73,14 +73,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, partition=None) -> DataFrame:
     """Write the rows to a table in the shared folder and go on from there.
 
     The table survives the loss of executors, is computed once, and later steps read only the columns
-    they need from it.
+    they need from it. With `partition`, a folder for each value of that column.
     """
     path = scratch_path(df.sparkSession, "cut")
-    df.write.parquet(path)
+    writer = df.write if partition is None else df.repartition(partition).write.partitionBy(partition)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -364,11 +365,13 @@ def fold_in_order(df: DataFrame, group, order, state0, state_type: str, step, em
     out = _fold_stretch(small, group, order, state0, state_type, step, emit, emit_type)[0]
     if big is None:
         return out
-    big = cut(ordinal(big, group, order, "_pos"))
-    stretches = (big.agg(F.max("_pos")).first()[0] // limit) + 1
+    # A folder per stretch: each step reads its own rows only.
+    big = ordinal(big, group, order, "_pos").withColumn("_stretch", F.floor(F.col("_pos") / F.lit(limit)).cast("int"))
+    big = cut(big.drop("_pos"), partition="_stretch")
+    stretches = big.agg(F.max("_stretch")).first()[0] + 1
     state, parts = None, [out]
     for i in range(stretches):
-        part = big.filter(F.floor(F.col("_pos") / F.lit(limit)) == i).drop("_pos")
+        part = big.filter(F.col("_stretch") == i).drop("_stretch")
         rows, state = _fold_stretch(part, group, order, state0, state_type, step, emit, emit_type, state, True)
         state = cut(state)
         parts.append(rows)

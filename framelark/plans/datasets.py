@@ -396,10 +396,11 @@ def _(t):
 
 
 @query("augmentation_plan", """
-    SELECT stem, -1 AS copy, 'original' AS type, stem AS name FROM st
-    UNION ALL SELECT stem, copy, type, stem || '_aug' || copy || '_' || type FROM (SELECT stem, copy::INT AS copy, ['flip_horizontal', 'rotate', 'blur'][(('0x' || substr(md5('5:' || stem || '/' || copy), 1, 8))::BIGINT % 3)::INT + 1] AS type
-      FROM st, (SELECT unnest(range(2)) AS copy))
-    UNION ALL SELECT stem, -1, 'mosaic', stem || '_mosaic' FROM (SELECT stem, lead(stem, 3) OVER (ORDER BY stem) AS z FROM st) WHERE z IS NOT NULL""",
+    SELECT stem, -1 AS copy, 'original' AS type, stem AS name, NULL::DOUBLE AS angle, NULL::DOUBLE AS factor FROM st
+    UNION ALL SELECT stem, copy, type, stem || '_aug' || copy || '_' || type, CASE WHEN type = 'rotate' THEN -15::DOUBLE + u * 30::DOUBLE END, CASE WHEN type = 'contrast' THEN 0.7::DOUBLE + u * (1.3::DOUBLE - 0.7::DOUBLE) END
+      FROM (SELECT stem, copy::INT AS copy, ['flip_horizontal', 'rotate', 'contrast'][(('0x' || substr(md5('5:' || stem || '/' || copy), 1, 8))::BIGINT % 3)::INT + 1] AS type,
+        ('0x' || substr(md5('5:' || stem || '/' || copy), 9, 8))::BIGINT / 4294967296::DOUBLE AS u FROM st, (SELECT unnest(range(2)) AS copy))
+    UNION ALL SELECT stem, -1, 'mosaic', stem || '_mosaic', NULL, NULL FROM (SELECT stem, lead(stem, 3) OVER (ORDER BY stem) AS z FROM st) WHERE z IS NOT NULL""",
        st="SELECT image_id::VARCHAR AS stem FROM fx_image")
 def _(t):
-    return convert.augmentation_plan(t.fx_image.select(F.col("image_id").cast("string").alias("stem")), ["flip_horizontal", "rotate", "mosaic", "blur"], 2, seed=5)
+    return convert.augmentation_plan(t.fx_image.select(F.col("image_id").cast("string").alias("stem")), ["flip_horizontal", "rotate", "mosaic", "contrast"], 2, seed=5)

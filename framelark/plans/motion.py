@@ -90,6 +90,16 @@ def _(t):
     return got.select("video_id", "a", "b", "category_id", "a_id", "b_id", "how")
 
 
+_SIDES = "CASE WHEN {k} % 4 = 0 THEN NULL ELSE 200 + {k} * 7 % 400 END"
+
+
+@query("match_distance", f"""SELECT ann_id, coalesce(greatest(CASE WHEN aw > 0 AND ah > 0 THEN 0.05::DOUBLE * least(aw, ah) END, CASE WHEN bw > 0 AND bh > 0 THEN 0.05::DOUBLE * least(bw, bh) END), 0) AS reach
+    FROM (SELECT ann_id, {_SIDES.format(k='frame_idx')} AS aw, 300 AS ah, {_SIDES.format(k='ann_id')} AS bw, category_id * 250 AS bh FROM fx_keybox)""")
+def _(t):
+    rows = t.fx_keybox.select("ann_id", F.expr(_SIDES.format(k="frame_idx")).alias("aw"), F.lit(300).alias("ah"), F.expr(_SIDES.format(k="ann_id")).alias("bw"), (F.col("category_id") * 250).alias("bh"))
+    return rows.select("ann_id", matching.match_distance(*[F.col(c) for c in ("aw", "ah", "bw", "bh")], 0.05).alias("reach"))
+
+
 @query("one_sided_tracks", f"""SELECT video_id, a, b, track_id, CASE WHEN max(e) = 'a' THEN 'start' ELSE 'end' END AS side FROM (
       SELECT s.video_id, s.a, s.b, k.track_id, CASE WHEN k.frame_idx = s.a THEN 'a' ELSE 'b' END AS e FROM spans s
       JOIN (SELECT video_id, frame_idx, {_TRK} AS track_id FROM fx_keybox) k ON k.video_id = s.video_id AND k.frame_idx IN (s.a, s.b) WHERE k.track_id IS NOT NULL)

@@ -202,3 +202,10 @@ def test_tables_are_deleted(spark):
     assert os.listdir(folder)
     scale.release(spark)
     assert not os.path.exists(folder) and scale.cut(spark.range(3)).count() == 3
+
+
+def test_box_under_another_key(spark):
+    docs = spark.createDataFrame([(1, '[{"label": "robot", "rect": [100, 200, 300, 400]}]')], "image_id long, response string")
+    images = spark.createDataFrame([(1, 1000, 1000)], "image_id long, width int, height int")
+    row = responses.canonical_boxes(docs, images, ["robot"], field="rect").first()
+    assert (row["x1"], row["y1"], row["x2"], row["y2"]) == (100, 200, 300, 400)
