@@ -45,6 +45,19 @@ def _(t):
     return datasets.export_tables(images, t.fx_gt, t.fx_gt.filter("category_id = 4"), gone, images.filter("image_id % 9 = 0"))[2]
 
 
+@query("export_documents", """SELECT image_id, timestamp_ns FROM fx_image i WHERE image_id % 50 <> 7 AND (image_id % 9 = 0 OR image_id IN (SELECT image_id FROM fx_gt WHERE category_id <> 4))""")
+def _(t):
+    # What the documents themselves say is annotated, each read alone.
+    images = t.fx_image.select("image_id", "file_name", "timestamp_ns", F.col("image_id").alias("frame_idx"), F.lit("left").alias("side"))
+    cats = t.region.select(F.col("r_regionkey").alias("category_id"), F.col("r_name").alias("name"))
+    gone = images.filter("image_id % 50 = 7").select("frame_idx")
+    docs = writers.export_documents(images, t.fx_gt, cats, t.fx_gt.filter("category_id = 4"), gone, images.filter("image_id % 9 = 0"))
+    said = docs.select(F.from_json("doc", "images ARRAY<STRUCT<id:BIGINT,timestamp_ns:BIGINT>>, annotated_image_ids ARRAY<BIGINT>, annotated_timestamps ARRAY<BIGINT>").alias("d"))
+    rows = said.select("d.annotated_image_ids", "d.annotated_timestamps", F.explode("d.images").alias("i"))
+    rows = rows.filter(F.array_contains("annotated_image_ids", F.col("i.id")) & F.array_contains("annotated_timestamps", F.col("i.timestamp_ns")))
+    return rows.select(F.col("i.id").alias("image_id"), F.col("i.timestamp_ns").alias("timestamp_ns"))
+
+
 @query("read_label_lines", "SELECT stem, row_number() OVER (PARTITION BY stem ORDER BY line_num) * 2 - 1 AS line_num, line FROM fx_label_line")
 def _(t):
     # Label files with a blank line after each label.

@@ -1,5 +1,8 @@
 """Files and documents to tables. Readers take paths; the functions behind them work on any text column."""
 
+import re
+import struct
+
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -94,8 +97,57 @@ def image_listing(paths: DataFrame, path="path") -> DataFrame:
         F.col(path).alias("path"), text.basename(F.col(path)).alias("file_name"), text.stem(F.col(path)).alias("stem"))
 
 
+def image_size(head: bytes):
+    """(width, height) out of the first bytes of an image file, or None."""
+    if head[:8] == b"\x89PNG\r\n\x1a\n" and len(head) >= 24:
+        return struct.unpack(">II", head[16:24])
+    if head[:2] == b"BM" and len(head) >= 26:
+        w, h = struct.unpack("<ii", head[18:26])
+        return w, abs(h)
+    if head[:4] == b"RIFF" and head[8:12] == b"WEBP" and len(head) >= 30:
+        if head[12:16] == b"VP8X":
+            return tuple(1 + int.from_bytes(head[i : i + 3], "little") for i in (24, 27))
+        if head[12:16] == b"VP8L":
+            bits = int.from_bytes(head[21:25], "little")
+            return (bits & 0x3FFF) + 1, (bits >> 14 & 0x3FFF) + 1
+        return tuple(v & 0x3FFF for v in struct.unpack("<HH", head[26:30]))
+    if head[:2] == b"\xff\xd8":
+        at = 2
+        while at + 9 <= len(head) and head[at] == 0xFF:
+            kind, size = head[at + 1], int.from_bytes(head[at + 2 : at + 4], "big")
+            if 0xC0 <= kind <= 0xCF and kind not in (0xC4, 0xC8, 0xCC):
+                h, w = struct.unpack(">HH", head[at + 5 : at + 9])
+                return w, h
+            at += 2 + size
+    return None
+
+
+def with_image_size(listing: DataFrame, head_bytes=262_144) -> DataFrame:
+    """Adds width and height, read from the first bytes of each file of `path`; null where they do not tell.
+
+    PNG, JPEG, BMP and WebP are known; a file that is gone or cannot be read gives null.
+    """
+    names = listing.columns
+
+    def run(batches):
+        for b in batches:
+            sizes = []
+            for path in b.column("path").to_pylist():
+                try:
+                    store, at = pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+                    with store.open_input_stream(at) as f:
+                        sizes.append(image_size(f.read(head_bytes)) or (None, None))
+                except OSError:
+                    sizes.append((None, None))
+            width, height = (pa.array([s[i] for s in sizes], pa.int32()) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), width, height], [*names, "width", "height"])
+
+    kinds = ", ".join(f"`{c}` {k}" for c, k in listing.dtypes)
+    return listing.mapInArrow(run, f"{kinds}, width int, height int")
+
+
 def list_images(spark: SparkSession, folder: str) -> DataFrame:
-    """Image files directly in a folder; only names are read, not contents."""
+    """Image files directly in a folder; only names are read, not contents (see `with_image_size`)."""
     return image_listing(spark.read.format("binaryFile").load(folder).select("path", "length"))
 
 
@@ -172,6 +224,16 @@ def discover_splits(paths: DataFrame, path="path") -> DataFrame:
     return found.withColumn("stem", text.stem(F.col(path)))
 
 
+def read_split_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Label lines of a data set by split: split, stem, line_num, line. Label files outside a split count
+    (as `all`) only where there is no split."""
+    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.txt")
+    found = discover_splits(files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body")))
+    named = found.filter("split <> 'all'")
+    kept = require_splits(found) if named.isEmpty() else named
+    return label_lines(kept.withColumn("stem", F.struct("split", "stem"))).select("stem.split", "stem.stem", "line_num", "line")
+
+
 def require_splits(found: DataFrame) -> DataFrame:
     if found.isEmpty():
         raise ValueError("no label folders found")

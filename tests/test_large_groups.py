@@ -209,3 +209,28 @@ def test_box_under_another_key(spark):
     images = spark.createDataFrame([(1, 1000, 1000)], "image_id long, width int, height int")
     row = responses.canonical_boxes(docs, images, ["robot"], field="rect").first()
     assert (row["x1"], row["y1"], row["x2"], row["y2"]) == (100, 200, 300, 400)
+
+
+def test_image_sizes(spark, tmp_path):
+    import struct
+
+    heads = {
+        "a.png": b"\x89PNG\r\n\x1a\n\0\0\0\rIHDR" + struct.pack(">II", 640, 480),
+        "b.jpg": b"\xff\xd8\xff\xe0\0\x10" + b"\0" * 14 + b"\xff\xc0\0\x11\x08" + struct.pack(">HH", 48, 64) + b"\0" * 9,
+        "c.bmp": b"BM" + b"\0" * 16 + struct.pack("<ii", 7, -5),
+        "d.webp": b"RIFF\0\0\0\0WEBPVP8X" + b"\0" * 8 + (99).to_bytes(3, "little") + (49).to_bytes(3, "little"),
+        "e.png": b"broken",
+    }
+    for name, head in heads.items():
+        (tmp_path / name).write_bytes(head)
+    got = readers.with_image_size(readers.list_images(spark, str(tmp_path)))
+    assert {r["file_name"]: (r["width"], r["height"]) for r in got.collect()} == {
+        "a.png": (640, 480), "b.jpg": (64, 48), "c.bmp": (7, 5), "d.webp": (100, 50), "e.png": (None, None)}
+
+
+def test_labels_by_split(spark, tmp_path):
+    for folder, name, text in (("train/labels", "a", "0 1\n"), ("valid/labels", "a", "1 2\n\n1 3\n"), ("labels", "z", "9 9\n")):
+        (tmp_path / folder).mkdir(parents=True, exist_ok=True)
+        (tmp_path / folder / f"{name}.txt").write_text(text)
+    got = readers.read_split_labels(spark, str(tmp_path)).collect()
+    assert sorted((r["split"], r["stem"], r["line_num"]) for r in got) == [("train", "a", 1), ("val", "a", 1), ("val", "a", 3)]
