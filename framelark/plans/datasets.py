@@ -328,10 +328,10 @@ def canonical_sql(det, min_iou):
 
 
 _RAW = "SELECT image_id, pred_id, CASE category_id WHEN 0 THEN 'Exit_Sign' WHEN 1 THEN 'ceiling light' WHEN 2 THEN 'a map on the wall' ELSE 'robot' END AS raw, CASE WHEN confidence > 0.2 THEN confidence END AS score, trunc(x1) AS x1, trunc(y1) AS y1, trunc(x2) AS x2, trunc(y2) AS y2 FROM fx_pred"
-_BODY, _PARTS = canonical_sql(_RAW, 0.6)
+_CANON_SQL, _CANON_PARTS = canonical_sql(_RAW, 0.6)
 
 
-@query("canonical_vlm_boxes", _BODY, recursive=True, **_PARTS)
+@query("canonical_vlm_boxes", _CANON_SQL, recursive=True, **_CANON_PARTS)
 def _(t):
     # The response of an image lists its detections in pred_id order.
     item = F.concat(F.lit('{"label": "'), F.expr("CASE category_id WHEN 0 THEN 'Exit_Sign' WHEN 1 THEN 'ceiling light' WHEN 2 THEN 'a map on the wall' ELSE 'robot' END"),
