@@ -231,9 +231,18 @@ def keep_one(docs: DataFrame, id_col="doc_id", text_col="text", bits=2, cell_row
     It is that with the smallest doc_id (rows without one come last), then the smallest hash of the text; of
     rows that agree in both any one.
     """
+    return first_rows(docs, near_duplicates(keyed(docs, id_col, text_col), "key", "text", bits, cell_rows), id_col, text_col)
+
+
+def keyed(docs: DataFrame, id_col, text_col) -> DataFrame:
+    """(key, text): keys order rows by id, those without one last, then by the hash of the text."""
     key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
-    rows = docs.select(F.struct(key.isNull().alias("none"), key.alias("id"), F.xxhash64(text).alias("version")).alias("key"), text.alias("text"))
-    found = common.cut(near_duplicates(rows, "key", "text", bits, cell_rows).select("doc_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("stays")))
+    return docs.select(F.struct(key.isNull().alias("none"), key.alias("id"), F.xxhash64(text).alias("version")).alias("key"), text.alias("text"))
+
+
+def first_rows(docs: DataFrame, found: DataFrame, id_col, text_col) -> DataFrame:
+    """One row of `docs` for each component. found: doc_id and component_id, both keys of keyed()."""
+    found = common.cut(found.select("doc_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("stays")))
     gone = found.filter("not stays").select(F.col("doc_id.id").alias("_gone_id"), F.col("doc_id.version").alias("_gone_version")).distinct()
     left = docs.join(gone, docs[id_col].eqNullSafe(gone["_gone_id"]) & (F.xxhash64(docs[text_col]) == gone["_gone_version"]), "left_anti")
     twice = common.cut(found.filter("stays").groupBy("doc_id").count().filter("count > 1"))
