@@ -1,9 +1,10 @@
-"""Benchmark items in training documents: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark items in training documents: word pairs as seeds, then Smith-Waterman alignment.
 
-Words are runs of letters and digits in lower case. One pass over the documents looks up every four-word
-gram among the grams of the items and keeps the passage around the hits. Gram counts over all passages
-then tell which grams of an item are rare; passages meet items through these seeds only, and each meeting
-is aligned. The items are held by every task in blocks of bounded size, so a benchmark of any size works.
+Words are runs of letters and digits in lower case. One pass over the documents looks up every two words that
+stand one or two places apart among those of the items. A stretch of a document is aligned with an item where
+it has as many of the item's pairs as an alignment of score enough must have, and as many of its words; what
+these bounds leave out cannot reach the score. The items are held by every task in blocks of bounded size, so
+a benchmark of any size works, and the result for a document depends on no other document.
 """
 
 import numpy as np
@@ -13,12 +14,11 @@ from pyspark.sql import functions as F
 
 from framelark.llm import common
 
-GRAM = 4
 MIN_SCORE = 0.5  # of the alignment of an item with itself
 BLOCK_CHARS = 16_000_000  # text of the items a task holds at a time
-COMMON = 4  # a gram this many times as frequent as the item's median gram is no seed
-SELDOM = 8  # a gram with at most so many passages always is one
+KEPT_ITEMS = 10_000  # whose word numbers a task keeps
 MATCH, OTHER, GAP = 2, -1, -1
+_SLACK = 1e-9  # of products with the score
 _TO_SPACE = bytes(c if c >= 0x80 or chr(c).isalnum() else 32 for c in range(256)).lower()
 
 
@@ -53,92 +53,105 @@ def align(passage, item):
     return top / (MATCH * len(q)), end - size, end
 
 
-class _Grams:
-    """Sorted gram hashes of a block of items, with the reach of each: how far its items may extend."""
-
-    def __init__(self, texts):
-        reach = {}
-        for t in texts:
-            w = words_of(t)
-            if w:
-                k = min(GRAM, len(w))
-                for g in common.window_hashes(common.word_hashes(w), k).tolist():
-                    reach[k, g] = max(reach.get((k, g), 0), len(w) + len(w) // 4)
-        self.by_size = {}
-        for k in sorted({k for k, _ in reach}):
-            g = np.array(sorted(g for s, g in reach if s == k), np.uint64)
-            flags = np.zeros(1 << max(16, 4 * len(g)).bit_length(), bool)
-            flags[g & np.uint64(len(flags) - 1)] = True
-            self.by_size[k] = g, np.array([reach[k, int(x)] for x in g]), flags
-
-    def hits(self, words):
-        """(places, grams, reaches, sizes) of the grams of the words that items have."""
-        h, out = common.word_hashes(words), []
-        for k, (known, reach, flags) in self.by_size.items():
-            g = common.window_hashes(h, k)
-            at = np.flatnonzero(flags[g & np.uint64(len(flags) - 1)])
-            i = np.minimum(np.searchsorted(known, g[at]), len(known) - 1)
-            ok = known[i] == g[at]
-            out.append((at[ok], known[i[ok]], reach[i[ok]], np.full(int(ok.sum()), k)))
-        parts = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 4
-        order = np.argsort(parts[0], kind="stable")
-        return [p[order] for p in parts]
-
-
-def _passages(grams):
+class _Index:
+    """Word pairs of a block of items, and the items of each.
+
+    In an alignment of score s or more with an item of L words, m matches cost at most 2m - 2sL in words that
+    were replaced, added or left out. So it spans at most (3 - 2s)L words, m is sL or more, and of the m - 1 steps
+    from match to match at least sL - 1 have one such word at most: both sides go on by one word or two. Items
+    are looked for by these pairs, and where sL - 1 is not positive by single words. No pair is left out.
+    """
+
+    def __init__(self, items: pa.Table, min_score):
+        self.ids, self.texts = items.column("item_id").combine_chunks(), [t.encode() for t in items.column("text").to_pylist()]
+        sizes, keys, owners = [], [], []
+        for i, t in enumerate(self.texts):
+            h = common.word_hashes(words_of(t))
+            sizes.append(len(h))
+            keys.append(np.unique(np.concatenate(_pairs(h)) if min_score * len(h) - 1 > _SLACK else h))
+            owners.append(np.full(len(keys[-1]), i))
+        share = min_score * np.array(sizes)
+        self.single = bool((share - 1 <= _SLACK).any())
+        self.sizes, self.least = np.array(sizes), np.maximum(np.ceil(share - _SLACK), 1).astype(int)  # matches
+        self.seeds = np.where(share - 1 > _SLACK, np.ceil(share - 1 - _SLACK), self.least).astype(int)
+        self.spans = np.floor((3 - 2 * min_score) * self.sizes + _SLACK).astype(int)
+        key, owner = np.concatenate(keys), np.concatenate(owners)
+        order = np.argsort(key, kind="stable")
+        self.known, first = np.unique(key[order], return_index=True)
+        self.first, self.owner = np.r_[first, len(order)], owner[order]
+        self.flags = np.zeros(1 << max(16, 16 * len(self.known)).bit_length(), bool)
+        self.flags[self.known & np.uint64(len(self.flags) - 1)] = True
+
+    def _hits(self, h):
+        """(places, items): each place once for an item."""
+        at, which = [], []
+        for g in (*_pairs(h), *[h] * self.single):
+            x = np.flatnonzero(self.flags[g & np.uint64(len(self.flags) - 1)])
+            i = np.minimum(np.searchsorted(self.known, g[x]), len(self.known) - 1)
+            ok = self.known[i] == g[x]
+            at.append(x[ok])
+            which.append(i[ok])
+        at, which = np.concatenate(at), np.concatenate(which)
+        many = self.first[which + 1] - self.first[which]
+        place = np.repeat(self.first[which] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        both = np.unique(self.owner[place] * np.int64(len(h) + 1) + np.repeat(at, many))
+        return both % (len(h) + 1), both // (len(h) + 1)
+
+    def windows(self, h):
+        """(item, start, end): stretches that hold every alignment of score enough."""
+        if not len(h) or not len(self.known):
+            return
+        at, item = self._hits(h)
+        if not len(at):
+            return
+        last = np.arange(len(at)) + self.seeds[item] - 1
+        ok = last < len(at)
+        ok[ok] = (item[last[ok]] == item[ok]) & (at[last[ok]] - at[ok] <= self.spans[item[ok]])
+        item, low, high = item[ok], at[last[ok]] - self.spans[item[ok]], at[ok] + self.spans[item[ok]] + 1
+        if not len(item):
+            return
+        new = np.flatnonzero(np.r_[True, (item[1:] != item[:-1]) | (low[1:] > high[:-1])])
+        for a, z in zip(new, np.r_[new[1:], len(item)], strict=True):
+            yield int(item[a]), max(0, int(low[a])), min(len(h), int(high[z - 1]))
+
+
+def _pairs(h):
+    """Hashes of the words one and two places apart, at the place of the first."""
+    return [common.mixed(h[:-d] * common.ODD + h[d:]) if len(h) > d else h[:0] for d in (1, 2)]
+
+
+def _scores(index, min_score):
     def run(batches):
+        numbers = {}
         for b in common.blocks(batches):
-            rows, starts, texts, lists = [], [], [], []
+            rows, items, scores, starts, ends = [], [], [], [], []
             for i, text in enumerate(common.raw(b.column("text"))):
                 words = words_of(text)
-                at, found, reach, size = grams.hits(words)
-                if not len(at):
-                    continue
-                low, high = np.maximum(at - reach, 0), np.minimum(at + size + reach, len(words))
-                upto = np.maximum.accumulate(high)
-                first = np.flatnonzero(np.r_[True, np.minimum.accumulate(low[::-1])[::-1][1:] > upto[:-1]])
-                for a, z in zip(first, np.r_[first[1:], len(at)], strict=True):
-                    s, e = int(low[a:z].min()), int(upto[z - 1])
-                    rows.append(i)
-                    starts.append(s)
-                    texts.append(b" ".join(words[s:e]))
-                    lists.append(np.unique(found[a:z]).view(np.int64))
-            at = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").take(at), b.column("version").take(at), pa.array(starts, pa.int64()), pa.array(texts, pa.binary()), pa.array(lists, pa.list_(pa.int64()))],
-                ["doc_id", "version", "first", "passage", "grams"])
-
-    return run
-
-
-def _item_grams(batches):
-    for b in batches:
-        ids, grams = [], []
-        for i, t in enumerate(common.raw(b.column("text"))):
-            w = words_of(t)
-            g = np.unique(common.window_hashes(common.word_hashes(w), min(GRAM, len(w)))) if w else np.zeros(0, np.uint64)
-            ids.append(np.full(len(g), i))
-            grams.append(g.view(np.int64))
-        at = pa.array(np.concatenate(ids) if ids else [], pa.int64())
-        yield pa.RecordBatch.from_arrays([b.column("item_id").take(at), b.column("item").take(at), pa.array(np.concatenate(grams) if grams else [], pa.int64())], ["item_id", "item", "gram"])
-
-
-def _scores(min_score):
-    def run(batches):
-        for b in common.blocks(batches, "passage"):
-            rows, scores, starts, ends = [], [], [], []
-            for i, (p, q, first) in enumerate(zip(common.raw(b.column("passage")), common.raw(b.column("text")), b.column("first").to_pylist(), strict=True)):
-                number = {}
-                item = [number.setdefault(w, len(number)) for w in words_of(q)]
-                score, s, e = align([number.get(w, -1) for w in p.split(b" ")], item)
-                if score >= min_score:
+                best = {}
+                for k, start, end in index.windows(common.word_hashes(words)):
+                    if k not in numbers:
+                        if len(numbers) >= KEPT_ITEMS:
+                            numbers.clear()
+                        number = {}
+                        item = [number.setdefault(w, len(number)) for w in words_of(index.texts[k])]
+                        numbers[k] = number, item, np.bincount(item)
+                    number, item, often = numbers[k]
+                    p = np.array([number.get(w, -1) for w in words[start:end]])
+                    # No alignment matches more words than both sides share.
+                    if np.minimum(np.bincount(p + 1, minlength=len(often) + 1)[1:], often).sum() < index.least[k]:
+                        continue
+                    score, s, e = align(p, item)
+                    if score >= min_score:
+                        best[k] = max(best.get(k, (0.0, 0, 0)), (score, -start - s, start + e))
+                for k, (score, back, end) in best.items():
                     rows.append(i)
+                    items.append(k)
                     scores.append(score)
-                    starts.append(first + s)
-                    ends.append(first + e)
-            at = pa.array(rows, pa.int64())
+                    starts.append(-back)
+                    ends.append(end)
+            at, of = pa.array(rows, pa.int64()), pa.array(items, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").take(at), b.column("version").take(at), b.column("item_id").take(at), pa.array(scores, pa.float64()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())],
+                [b.column("doc_id").take(at), b.column("version").take(at), index.ids.take(of), pa.array(scores, pa.float64()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())],
                 ["doc_id", "version", "item_id", "score", "first_word", "end_word"])
 
     return run
@@ -160,19 +173,9 @@ def _found(docs, items, id_col, text_col, min_score, block_chars) -> DataFrame:
     items = common.cut(items.withColumn("item", F.xxhash64("item_id", "text")).dropDuplicates(["item"]))
     out = None
     for block in _blocks(items, block_chars):
-        grams = _Grams([r.text.encode() for r in block.select("text").toLocalIterator()])
-        passages = common.cut(rows.mapInArrow(_passages(grams), f"doc_id {kind}, version bigint, first bigint, passage binary, grams array<bigint>"))
-        held = passages.select("doc_id", "version", "first", F.explode("grams").alias("gram"))
-        counts = held.groupBy("gram").agg(F.count("*").alias("n"))
-        seeds = block.mapInArrow(_item_grams, f"item_id {item_kind}, item bigint, gram bigint").join(counts, "gram")
-        usual = seeds.groupBy("item").agg(F.median("n").alias("usual"))
-        seeds = seeds.join(usual, "item").filter(F.col("n") <= F.greatest(F.lit(SELDOM), COMMON * F.col("usual"))).select("gram", "item")
-        met = held.join(seeds, "gram").select("doc_id", "version", "first", "item").distinct()
-        m, p = met.alias("m"), passages.alias("p")
-        same = F.col("m.doc_id").eqNullSafe(F.col("p.doc_id")) & F.expr("m.version = p.version and m.first = p.first")
-        pairs = m.join(p, same).select("p.doc_id", "p.version", "p.first", "passage", "item").join(block, "item")
+        index = _Index(block.select("item_id", "text").toArrow(), min_score)
         schema = f"doc_id {kind}, version bigint, item_id {item_kind}, score double, first_word bigint, end_word bigint"
-        scored = pairs.select("doc_id", "version", "item_id", "first", "passage", "text").mapInArrow(_scores(min_score), schema)
+        scored = rows.mapInArrow(_scores(index, min_score), schema)
         out = scored if out is None else out.unionByName(scored)
     if out is None:
         return docs.sparkSession.createDataFrame([], f"doc_id {kind}, version bigint, item_id {item_kind}, score double, first_word bigint, last_word bigint")

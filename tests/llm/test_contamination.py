@@ -83,3 +83,11 @@ def test_empty_tables(spark, tables):
     bench, empty = spark.createDataFrame(tables[1], "item_id long, text string"), spark.createDataFrame([], "item_id long, text string")
     assert c.contaminated(none, bench).count() == 0 and c.contaminated(rows, empty).count() == 0
     assert c.drop_contaminated(rows, empty).count() == len(tables[0])
+
+
+def test_a_shared_start_is_found_however_many_documents_hold_it(spark):
+    item = [f"w{i}" for i in range(20)]
+    rows = [(0, " ".join(item)), *((i, f"before{i} " + " ".join(item[:11]) + f" after{i}") for i in range(1, 31))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = c.contaminated(docs, spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.score) for r in got) == [(0, 1.0), *((i, 0.55) for i in range(1, 31))]
