@@ -91,3 +91,17 @@ def test_a_shared_start_is_found_however_many_documents_hold_it(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = c.contaminated(docs, spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()
     assert sorted((r.doc_id, r.score) for r in got) == [(0, 1.0), *((i, 0.55) for i in range(1, 31))]
+
+
+def test_copies_without_a_run_of_four_words_are_found(spark):
+    item = [f"w{i}" for i in range(24)]
+    added = [w for i, x in enumerate(item) for w in ([x, f"new{i}"] if i % 3 == 2 else [x])]
+    replaced = [f"new{i}" if i % 4 == 3 else x for i, x in enumerate(item)]
+    left_out = [x for i, x in enumerate(item) if i % 3 != 2]
+    spread = [w for i, x in enumerate(item) for w in (x, f"new{i}")]  # every second word: 0.5 and a little
+    rows = [(i, " ".join(["at", "first", *t, "at", "last"])) for i, t in enumerate([added, replaced, left_out, spread])]
+    items = [(1, " ".join(item)), (2, "two words")]
+    docs = spark.createDataFrame([*rows, (9, "other words altogether")], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in c.contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = {(d, i): round(s, 6) for d, t in [*rows, (9, "other words altogether")] for i, q in items if (s := slow_score(t.split(), q.split())) >= c.MIN_SCORE}
+    assert got == want and {d for d, _ in got} == {0, 1, 2, 3, 9}
