@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from framelark.llm import contamination, licenses, mixing, pages, pii, quality, sharding, simhash, substrings, tokens
+from framelark.llm import chat, contamination, licenses, mixing, pages, pii, quality, repair, sharding, simhash, substrings, tokens, whitening
 from framelark.llm.common import documents
 from framelark.operators.scale import scratch_path
 
@@ -54,5 +54,18 @@ def op10_mixing(spark, folder):
     return mixing.mix_report(documents(spark, folder))
 
 
-QUERIES = {f.__name__: f for f in (op1_personal_data, op2_licenses, op3_simhash, op4_contamination, op5_quality, op6_sharding, op7_tokens, op8_main_text, op9_substrings, op10_mixing)}
-ORACLES = {"op6_sharding": sharding.oracle(SHARD_BYTES), "op10_mixing": mixing.ORACLE}
+def op11_repair(spark, folder):
+    return repair.report(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
+def op12_whitening(spark, folder):
+    return whitening.report(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+def op13_chat(spark, folder):
+    return chat.report(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
+_ALL = (op1_personal_data, op2_licenses, op3_simhash, op4_contamination, op5_quality, op6_sharding, op7_tokens, op8_main_text, op9_substrings, op10_mixing, op11_repair, op12_whitening, op13_chat)
+QUERIES = {f.__name__: f for f in _ALL}
+ORACLES = {"op6_sharding": sharding.oracle(SHARD_BYTES), "op10_mixing": mixing.ORACLE, "op13_chat": chat.ORACLE}
