@@ -353,54 +353,76 @@ def overlap_pairs(a: DataFrame, b: DataFrame, keys, cond: Column, min_iou: float
 # --- sequential state ---------------------------------------------------------------------------
 
 
-def fold_in_order(df: DataFrame, group, order, state0, state_type: str, step, emit, emit_type: str) -> DataFrame:
+class Summary:
+    """How stretches of a fold combine, so that they can be summed up apart from each other.
+
+    element(row) is what a row does to the state, combine(a, b) what a and then b do (associative), and
+    apply(state, element) the state afterwards. All are Column lambdas; `type` is the element's type.
+    """
+
+    def __init__(self, element, combine, apply, type: str):
+        self.element, self.combine, self.apply, self.type = element, combine, apply, type
+
+
+def fold_in_order(df: DataFrame, group, order, state0, state_type: str, step, emit, emit_type: str, summary: Summary) -> DataFrame:
     """Walk each group in `order`, carrying a small state, and give every row an output.
 
     step(state, row) -> state and emit(state_after, row) -> value are Column lambdas; `state0` is a
-    Column over the row columns, read from the first row of the group. Bounded groups are folded in one array. Oversized ones
-    are folded in stretches of bounded length, the state between stretches being a table.
+    Column over the row columns, read from the first row of the group. Bounded groups are folded in one array.
+    Oversized ones are a prefix scan: stretches of bounded length are summed up, the states between them come
+    from a scan of the sums, and each stretch is then folded from its own state. The number of jobs grows with
+    the logarithm of the length, to the base of the stretch.
     """
+    group = list(group)
     limit = limit_of(df.sparkSession, "foldRows", FOLD_ROWS)
     small, big = split_by_size(df, group, limit)
-    out = _fold_stretch(small, group, order, state0, state_type, step, emit, emit_type)[0]
+    after = lambda before, state, row: emit(state, row)
+    out = _fold_stretch(small, group, order, _first_state(small, group, order, state0, state_type), state_type, step, after, emit_type)
     if big is None:
         return out
-    # A folder per stretch: each step reads its own rows only.
-    big = ordinal(big, group, order, "_pos").withColumn("_stretch", F.floor(F.col("_pos") / F.lit(limit)).cast("int"))
-    big = cut(big.drop("_pos"), partition="_stretch")
-    stretches = big.agg(F.max("_stretch")).first()[0] + 1
-    state, parts = None, [out]
-    for i in range(stretches):
-        part = big.filter(F.col("_stretch") == i).drop("_stretch")
-        rows, state = _fold_stretch(part, group, order, state0, state_type, step, emit, emit_type, state, True)
-        state = cut(state)
-        parts.append(rows)
-    return union_all(parts)
-
-
-def _fold_stretch(df, group, order, state0, state_type, step, emit, emit_type, before=None, want_state=False):
+    placed = cut(ordinal(big, group, order, "_place"))
+    first = cut(_first_state(placed.filter("_place = 0"), group, ["_place"], state0, state_type))
+    got = _fold_scan(placed, group, first, state_type, step, after, emit_type, summary, summary.element, limit)
+    return out.unionByName(got.drop("_place"))
+
+
+def _first_state(df, group, order, state0, state_type):
+    first = F.min(F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], state0.cast(state_type).alias("s")))["s"]
+    return df.groupBy(*group).agg(first.alias("_s0"))
+
+
+def _fold_scan(placed, group, first, state_type, step, emit, emit_type, summary, element, limit):
+    """Fold of rows numbered by `_place` from the states `first` of their groups, in stretches of `limit` rows."""
+    if placed.filter(F.col("_place") >= limit).isEmpty():
+        return _fold_stretch(placed, group, ["_place"], first, state_type, step, emit, emit_type)
+    keys = [*group, "_stretch"]
+    rows = placed.withColumn("_stretch", F.floor(F.col("_place") / F.lit(limit)))
+    cols = [c for c in placed.columns if c not in group]
+    parts = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col("_place").alias("o"), F.struct(*cols).alias("row")))).alias("_rs"))
+    parts = parts.select(*keys, F.transform("_rs", lambda r: element(r["row"]).cast(summary.type)).alias("_es"))
+    total = F.aggregate(F.slice("_es", F.lit(2), F.size("_es")), F.get("_es", F.lit(0)), lambda a, b: summary.combine(a, b).cast(summary.type))
+    sums = cut(parts.select(*group, F.col("_stretch").alias("_place"), total.alias("_e")))
+    between = _fold_scan(sums, group, first, state_type, lambda s, row: summary.apply(s, row["_e"]), lambda before, state, row: before, state_type,
+                         summary, lambda row: row["_e"], limit)
+    starts = cut(between.select(*group, F.col("_place").alias("_stretch"), F.col("out").alias("_s0")))
+    return _fold_stretch(rows, keys, ["_place"], starts, state_type, step, emit, emit_type).drop("_stretch")
+
+
+def _fold_stretch(df, group, order, first, state_type, step, emit, emit_type):
+    """Groups folded in one array each, from the state `_s0` of their row in `first`."""
     cols = [c for c in df.columns if c not in group]
     row = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], F.struct(*cols).alias("row"))
-    first = F.min(F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], state0.alias("s")))["s"]
-    g = df.groupBy(*group).agg(
-        F.array_sort(F.collect_list(row)).alias("_rs"), first.cast(state_type).alias("_s0")
-    )
-    if before is not None:
-        g = g.join(before.withColumnRenamed("_s1", "_sb"), group, "left").withColumn(
-            "_s0", F.coalesce("_sb", "_s0")
-        )
+    g = df.groupBy(*group).agg(F.array_sort(F.collect_list(row)).alias("_rs")).join(first, group)
     acc0 = F.struct(F.col("_s0").alias("s"), F.array().cast(f"array<{emit_type}>").alias("out"))
 
     def merge_fn(acc, r):
         s = step(acc["s"], r["row"]).cast(state_type)
-        value = emit(s, r["row"]).cast(emit_type)
+        value = emit(acc["s"], s, r["row"]).cast(emit_type)
         return F.struct(s.alias("s"), F.array_append(acc["out"], value).alias("out"))
 
     folded = g.select(*group, "_rs", F.aggregate("_rs", acc0, merge_fn).alias("_f"))
     rows = folded.select(*group, F.explode(F.arrays_zip(F.col("_rs").alias("a"), F.col("_f.out").alias("b"))).alias("z"))
-    rows = rows.select(*group, *[F.col(f"z.a.row.{c}").alias(c) for c in cols], F.col("z.b").alias("out"))
-    state = folded.select(*group, F.col("_f.s").alias("_s1")) if want_state else None
-    return rows, state
+    return rows.select(*group, *[F.col(f"z.a.row.{c}").alias(c) for c in cols], F.col("z.b").alias("out"))
 
 
 # --- quantiles ------------------------------------------------------------------------------------

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from framelark.functions import geometry as geo
 from framelark.operators.matching import iou_join, match_nearest_center, unmatched
-from framelark.operators.scale import cut, fold_in_order, ordinal, running, union_all
+from framelark.operators.scale import Summary, cut, fold_in_order, ordinal, running, union_all
 
 # Fixed confidences of generated boxes and the default clamp of one step.
 CONF_LINEAR, CONF_FLOW, CONF_BRIDGE, CONF_MEASURED, CONF_GAP = 0.15, 0.9, 0.35, 0.9, 0.6
@@ -159,7 +159,7 @@ def smooth_kalman(pairs: DataFrame, steps: DataFrame, keys, frac=MAX_STEP, q=1.0
 
     slim = run.select(*group, "b", "b_id", "p", "t", "missing", "zx", "zy", "kx", "ky", "acx", "acy", "bcx", "bcy", "aw", "ah", "bw", "bh")
     got = fold_in_order(slim, group, ["p"], first, state, step,
-                        lambda s, row: F.struct(s["x"].alias("x"), s["y"].alias("y")), "struct<x:double,y:double>")
+                        lambda s, row: F.struct(s["x"].alias("x"), s["y"].alias("y")), "struct<x:double,y:double>", _filter_summary(q, r))
     got = cut(got)
     ends = got.groupBy(*group).agg(
         F.max(F.when(F.col("p") == F.col("b"), F.col("out.x"))).alias("ex"), F.max(F.when(F.col("p") == F.col("b"), F.col("out.y"))).alias("ey"),
@@ -172,6 +172,88 @@ def smooth_kalman(pairs: DataFrame, steps: DataFrame, keys, frac=MAX_STEP, q=1.0
     return _boxed(j, keys, at("x"), at("y"), _lerp("aw", "bw"), _lerp("ah", "bh"), "kalman", conf)
 
 
+def _filter_summary(q, r):
+    """A stretch of the filter as (a, b, c, e, j): from state mean m and covariance P before it, the mean after is
+    a (1 + P j)^-1 (m + P e) + b and the covariance a (1 + P j)^-1 P a' + c. b and e have a column per axis."""
+    names = ["a00", "a01", "a10", "a11", "b0", "b1", "d0", "d1", "c00", "c01", "c11", "e0", "e1", "f0", "f1", "j00", "j01", "j11"]
+    kind = "struct<" + ",".join(f"{n}:double" for n in names) + ">"
+    make = lambda **v: F.struct(*[v[n].alias(n) for n in names])
+
+    def element(row):
+        seen = row["missing"] == 0
+        pick = lambda a, b: F.when(seen, F.lit(a)).otherwise(F.lit(b)).cast("double")
+        k, s, zero = q / (q + r), q + r, F.lit(0.0)
+        told = lambda z, share: F.when(seen, row[z] * F.lit(share)).otherwise(zero)
+        return make(a00=pick(1 - k, 1.0), a01=pick(1 - k, 1.0), a10=zero, a11=F.lit(1.0), b0=told("zx", k), b1=zero, d0=told("zy", k), d1=zero,
+                    c00=pick((1 - k) * q, float(q)), c01=zero, c11=F.lit(q * 0.25), e0=told("zx", 1 / s), e1=told("zx", 1 / s), f0=told("zy", 1 / s), f1=told("zy", 1 / s),
+                    j00=pick(1 / s, 0.0), j01=pick(1 / s, 0.0), j11=pick(1 / s, 0.0))
+
+    def inverse(p, j):
+        """(1 + p j)^-1 of symmetric p and j, and the way through it: rows of a (1 + p j)^-1."""
+        m00, m01 = 1 + p["c00"] * j["j00"] + p["c01"] * j["j01"], p["c00"] * j["j01"] + p["c01"] * j["j11"]
+        m10, m11 = p["c01"] * j["j00"] + p["c11"] * j["j01"], 1 + p["c01"] * j["j01"] + p["c11"] * j["j11"]
+        raw = F.struct(m00.alias("a"), m01.alias("b"), m10.alias("c"), m11.alias("d"))
+        return geo.let(raw, lambda m: geo.let(m["a"] * m["d"] - m["b"] * m["c"], lambda det: F.struct(
+            (m["d"] / det).alias("n00"), (-m["b"] / det).alias("n01"), (-m["c"] / det).alias("n10"), (m["a"] / det).alias("n11"))))
+
+    def through(s, t, n):
+        """Mean and covariance after t of a stretch s that leaves (b, c), with n = (1 + c j)^-1."""
+        g00, g01 = t["a00"] * n["n00"] + t["a01"] * n["n10"], t["a00"] * n["n01"] + t["a01"] * n["n11"]
+        g10, g11 = t["a10"] * n["n00"] + t["a11"] * n["n10"], t["a10"] * n["n01"] + t["a11"] * n["n11"]
+        g = F.struct(g00.alias("g00"), g01.alias("g01"), g10.alias("g10"), g11.alias("g11"))
+
+        def mean(g, b0, b1, e0, e1):
+            v0, v1 = s[b0] + s["c00"] * t[e0] + s["c01"] * t[e1], s[b1] + s["c01"] * t[e0] + s["c11"] * t[e1]
+            return g["g00"] * v0 + g["g01"] * v1 + t[b0], g["g10"] * v0 + g["g11"] * v1 + t[b1]
+
+        def after(g):
+            b, d = mean(g, "b0", "b1", "e0", "e1"), mean(g, "d0", "d1", "f0", "f1")
+            h00, h01 = g["g00"] * s["c00"] + g["g01"] * s["c01"], g["g00"] * s["c01"] + g["g01"] * s["c11"]
+            h10, h11 = g["g10"] * s["c00"] + g["g11"] * s["c01"], g["g10"] * s["c01"] + g["g11"] * s["c11"]
+            a = {f"a{i}{k}": g[f"g{i}0"] * s[f"a0{k}"] + g[f"g{i}1"] * s[f"a1{k}"] for i in "01" for k in "01"}
+            return {**a, "b0": b[0], "b1": b[1], "d0": d[0], "d1": d[1], "c00": h00 * t["a00"] + h01 * t["a01"] + t["c00"],
+                    "c01": h00 * t["a10"] + h01 * t["a11"] + t["c01"], "c11": h10 * t["a10"] + h11 * t["a11"] + t["c11"]}
+
+        return g, after
+
+    def combine(s, t):
+        def with_inverse(n):
+            g, after = through(s, t, n)
+
+            def whole(g):
+                # Backwards, the transposed inverse: what t says about the state before s.
+                back = lambda v0, v1: (n["n00"] * v0 + n["n10"] * v1, n["n01"] * v0 + n["n11"] * v1)
+                turn = lambda v: (s["a00"] * v[0] + s["a10"] * v[1], s["a01"] * v[0] + s["a11"] * v[1])
+                told = lambda e0, e1, b0, b1: turn(back(t[e0] - t["j00"] * s[b0] - t["j01"] * s[b1], t[e1] - t["j01"] * s[b0] - t["j11"] * s[b1]))
+                e, f = told("e0", "e1", "b0", "b1"), told("f0", "f1", "d0", "d1")
+                column = lambda k: turn(back(t["j00"] * s[f"a0{k}"] + t["j01"] * s[f"a1{k}"], t["j01"] * s[f"a0{k}"] + t["j11"] * s[f"a1{k}"]))
+                j0, j1 = column("0"), column("1")
+                return make(**after(g), e0=e[0] + s["e0"], e1=e[1] + s["e1"], f0=f[0] + s["f0"], f1=f[1] + s["f1"],
+                            j00=j0[0] + s["j00"], j01=j1[0] + s["j01"], j11=j1[1] + s["j11"])
+
+            return geo.let(g, whole)
+
+        return geo.let(inverse(s, t), with_inverse)
+
+    def apply(state, t):
+        zero = F.lit(0.0)
+        s = {"a00": zero, "a01": zero, "a10": zero, "a11": zero, "b0": state["x"], "b1": state["u"], "d0": state["y"], "d1": state["v"],
+             "c00": state["p"], "c01": state["c"], "c11": state["w"]}
+
+        def with_inverse(n):
+            g, after = through(s, t, n)
+
+            def whole(g):
+                v = after(g)
+                return F.struct(*[v[k].alias(name) for k, name in (("b0", "x"), ("b1", "u"), ("d0", "y"), ("d1", "v"), ("c00", "p"), ("c01", "c"), ("c11", "w"))])
+
+            return geo.let(g, whole)
+
+        return geo.let(inverse(s, t), with_inverse)
+
+    return Summary(element, combine, apply, kind)
+
+
 def extend_unmatched(boxes: DataFrame, steps: DataFrame, keys, backward=False, frac=MAX_STEP) -> DataFrame:
     """Follow a box without a partner into the span, at constant size, until a step is missing or longer
     than the box. boxes: keys, a, b, id, cx, cy, w, h; steps run in walking direction."""
@@ -244,73 +326,52 @@ def densify_tracks(boxes: DataFrame, spans: DataFrame, matches: DataFrame, fille
 
 def inherit_track_ids(boxes: DataFrame, keys=("session",)) -> DataFrame:
     """Track ids of boxes drawn frame by frame: the k-th box of a frame takes the k-th id of the nearest
-    earlier frame with boxes on its side, unless taken on the frame; else a fresh id of the session.
+    earlier frame with boxes on its side, unless an earlier box of the frame has it; else a fresh id of the session.
 
-    boxes: keys, side, frame_idx, ann_id (creation order), track_id (NULL = to be given).
+    boxes: keys, side, frame_idx, ann_id (creation order), track_id (NULL = to be given). Fresh ids follow the
+    highest given one in the order in which their first boxes were made.
+
+    A lane (keys, side, position) carries the id of its latest start: a given id, or a box for which the frame
+    before has no position. Where two lanes carry one id, which takes a given id, the later position must start
+    afresh. The first such clash of a run is final once the run it clashes with has none before it; final ones
+    become starts and the ids are carried again, until no clash is left. A fresh id is in one lane only, so the
+    rounds follow the number of lanes that share an id at a time, not the length of the session.
     """
     keys = list(keys)
-    if boxes.filter("track_id is not null").isEmpty():
-        return _inherit_runs(boxes, keys)
-    return _inherit_fold(boxes, keys)
-
-
-def _inherit_runs(boxes, keys):
-    """Without preset ids, position k goes on as long as each frame has more than k boxes; a fresh id
-    starts wherever the frame before had no k-th box."""
-    lane = [*keys, "side"]
-    ix = ordinal(boxes.drop("track_id"), [*lane, "frame_idx"], ["ann_id"], "k")
-    count = ix.groupBy(*lane, "frame_idx").agg(F.count("*").alias("n"))
-    before = running(count, lane, ["frame_idx"], {"prev": ("max", F.struct("frame_idx", "n"))}, before=True)
-    j = ix.join(before.select(*lane, "frame_idx", F.col("prev.n").alias("prev_n")), [*lane, "frame_idx"])
+    lane, frame = [*keys, "side", "k"], [*keys, "side", "frame_idx"]
+    placed = ordinal(boxes.select(*frame, "ann_id", F.col("track_id").cast("long").alias("given")), frame, ["ann_id"], "k")
+    count = placed.groupBy(*frame).agg(F.count("*").alias("n"))
+    before = running(count, [*keys, "side"], ["frame_idx"], {"prev": ("max", F.struct("frame_idx", "n"))}, before=True)
+    rows = placed.join(before.select(*frame, F.col("prev.n").alias("prev_n")), frame)
     fresh = F.col("prev_n").isNull() | (F.col("k") >= F.col("prev_n"))
-    starts = ordinal(j.filter(fresh).select(*keys, "ann_id"), keys, ["ann_id"], "new_id", start=1)
-    marked = j.join(starts, [*keys, "ann_id"], "left")
-    # The latest start of the position holds the id; starts of one position have growing ids along the frames.
-    got = running(marked, [*lane, "k"], ["frame_idx"], {"held": ("max", F.when(F.col("new_id").isNotNull(), F.struct("frame_idx", "new_id")))})
-    return got.select(*keys, "side", "frame_idx", "ann_id", F.col("held.new_id").alias("track_id"))
-
-
-def _inherit_fold(boxes, keys):
-    """With preset ids: walk the frames of a session with the last ids of both sides.
-
-    While walking, a new id goes by the box that starts it; numbers are given afterwards, as without preset
-    ids. The boxes of one frame are one row.
-    """
-    frame = [*keys, "frame_idx", "side"]
-    rows = boxes.groupBy(*frame).agg(F.array_sort(F.collect_list(F.struct("ann_id", "track_id"))).alias("bs"))
-    ids = "array<struct<id:bigint,new:boolean>>"
-    state = f"struct<left:{ids},right:{ids},now:{ids}>"
-    none = F.array().cast(ids)
-    first = F.struct(none.alias("left"), none.alias("right"), none.alias("now"))
-
-    def step(s, row):
-        left = row["side"] == "left"
-        ref = F.when(left, s["left"]).otherwise(s["right"])
-
-        def give(acc, b):
-            old = F.get(ref, F.size(acc))
-            taken = F.array_contains(acc, old)
-            preset = F.when(b["track_id"].isNotNull(), F.struct(b["track_id"].alias("id"), F.lit(False).alias("new")))
-            own = F.struct(b["ann_id"].cast("bigint").alias("id"), F.lit(True).alias("new"))
-            return F.array_append(acc, F.coalesce(preset, F.when(old.isNotNull() & ~F.coalesce(taken, F.lit(False)), old), own))
-
-        got = F.aggregate(row["bs"], none, give)
-        return geo.let(got, lambda g: F.struct(
-            F.when(left, g).otherwise(s["left"]).alias("left"),
-            F.when(left, s["right"]).otherwise(g).alias("right"), g.alias("now")))
-
-    out = fold_in_order(rows, keys, ["frame_idx", "side"], first, state, step, lambda s, row: s["now"], ids)
-    z = out.select(*frame, F.explode(F.arrays_zip(F.col("bs.ann_id").alias("ann_id"), F.col("out").alias("given"))).alias("z"))
-    z = cut(z.select(*keys, "side", "frame_idx", "z.ann_id", "z.given"))
-    # New ids follow the highest preset one in the order in which their first boxes were made.
-    top = boxes.groupBy(*keys).agg(F.coalesce(F.max("track_id"), F.lit(0)).alias("top"))
-    starts = ordinal(z.filter("given.new and given.id = ann_id").select(*keys, "ann_id"), keys, ["ann_id"], "k", start=1)
-    starts = starts.join(top, keys).select(*keys, F.col("ann_id").alias("_start"), (F.col("top") + F.col("k")).alias("_new"))
-    named = z.withColumn("_start", F.when(F.col("given.new"), F.col("given.id")))
-    fresh = named.filter("_start is not null").join(starts, [*keys, "_start"])
-    old = named.filter("_start is null").withColumn("_new", F.col("given.id"))
-    return fresh.select(*keys, "side", "frame_idx", "ann_id", F.col("_new").alias("track_id")).unionByName(
-        old.select(*keys, "side", "frame_idx", "ann_id", F.col("_new").alias("track_id")))
+    own = F.struct(F.lit(True).alias("fresh"), F.col("ann_id").cast("long").alias("id"))
+    start = F.when(F.col("given").isNotNull(), F.struct(F.lit(False).alias("fresh"), F.col("given").alias("id"))).when(fresh, own)
+    rows = rows.select(*lane, "frame_idx", "ann_id", start.alias("start"))
+    clashes = not boxes.filter("track_id is not null").isEmpty()
+    rows = cut(rows) if clashes else rows
+    while True:
+        # The latest start of a lane, by its frame.
+        held = running(rows, lane, ["frame_idx"], {"held": ("max", F.when(F.col("start").isNotNull(), F.struct("frame_idx", "start")))})
+        held = held.select(*lane, "frame_idx", "ann_id", "start", F.col("held.frame_idx").alias("since"), F.col("held.start.fresh").alias("fresh"), F.col("held.start.id").alias("id"))
+        if not clashes:
+            break
+        held = cut(held)
+        # Fresh ids stand in one lane; of given ones, the first position of each frame keeps its own.
+        holder = held.filter("not fresh").groupBy(*frame, "id").agg(F.min(F.struct("k", "since")).alias("holder"), F.max("k").alias("last")).filter("last > holder.k")
+        clash = held.filter("not fresh and start is null").join(holder, [*frame, "id"]).filter("k > holder.k")
+        first = cut(clash.groupBy(*lane, "since").agg(F.min(F.struct("frame_idx", "ann_id", "holder")).alias("c")))
+        if first.isEmpty():
+            break
+        earlier = first.select(*keys, "side", F.col("k").alias("_k"), F.col("since").alias("_since"), F.col("c.frame_idx").alias("_before"))
+        pairs = first.select(*lane, F.col("c.frame_idx").alias("frame_idx"), F.col("c.holder.k").alias("_k"), F.col("c.holder.since").alias("_since"))
+        final = pairs.join(earlier, [*keys, "side", "_k", "_since"], "left").filter("_before is null or _before > frame_idx").select(*lane, "frame_idx", F.lit(True).alias("_new"))
+        rows = cut(rows.join(final, [*lane, "frame_idx"], "left").select(*lane, "frame_idx", "ann_id", F.when(F.col("_new"), own).otherwise(F.col("start")).alias("start")))
+    top = boxes.groupBy(*keys).agg(F.coalesce(F.max("track_id"), F.lit(0)).cast("long").alias("top"))
+    made = held.filter("start.fresh").select(*keys, "ann_id")
+    numbers = ordinal(made, keys, ["ann_id"], "n", start=1).join(top, keys)
+    numbers = numbers.select(*keys, F.lit(True).alias("fresh"), F.col("ann_id").cast("long").alias("id"), (F.col("top") + F.col("n")).alias("new_id"))
+    named = held.join(numbers, [*keys, "fresh", "id"], "left")
+    return named.select(*keys, "side", "frame_idx", "ann_id", F.coalesce("new_id", "id").alias("track_id"))
 
 
 def best_successors(cands: DataFrame, keys) -> DataFrame:
@@ -385,11 +446,11 @@ def compose_motion(transforms: DataFrame, anchors: DataFrame, keys) -> DataFrame
     keys = list(keys)
     eye = F.array(*[F.lit(v) for v in (1.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 1.0)])
 
-    def step(s, row):
-        m = row["m"]
+    def product(s, m):
         return F.array(*[sum((m[3 * i + k] * s[3 * k + j] for k in range(1, 3)), m[3 * i] * s[j]) for i in range(3) for j in range(3)])
 
-    out = fold_in_order(transforms.select(*keys, "p", "m"), keys, ["p"], eye, "array<double>", step, lambda s, row: s, "array<double>")
+    whole = Summary(lambda row: row["m"], product, product, "array<double>")
+    out = fold_in_order(transforms.select(*keys, "p", "m"), keys, ["p"], eye, "array<double>", lambda s, row: product(s, row["m"]), lambda s, row: s, "array<double>", whole)
     j = out.withColumnRenamed("out", "acc").join(anchors.select(*keys, "cx", "cy"), keys)
     at = lambda i: F.col("acc")[3 * i] * F.col("cx") + F.col("acc")[3 * i + 1] * F.col("cy") + F.col("acc")[3 * i + 2]
     return j.select(*keys, "p", "acc", at(0).alias("cam_x"), at(1).alias("cam_y"))

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from framelark.operators import frames, matching, tracks
+from framelark.operators.scale import cut
 from framelark.plans.evaluation import iou_sql
 from framelark.plans.registry import query, r6
 
@@ -259,7 +260,6 @@ def _(t):
         UNION ALL SELECT video_id, id, frame_idx + unnest(range(1, 6)), cx, cy, w, h, 'hold', 0.4, 2 FROM kb WHERE frame_idx = (SELECT max(frame_idx) FROM kb z WHERE z.video_id = kb.video_id))) d
     JOIN kb k ON k.id = d.a_id JOIN trk ON trk.id = d.a_id WHERE x2 > x1 AND y2 > y1""", recursive=True, **_PAIRS, **_LINK)
 def _(t):
-    from framelark.operators.scale import cut
     b, m = _boxes(t), cut(_matches(t))
     linear = tracks.interpolate_linear(tracks.span_pairs(b, None, m, V), V)
     hold = tracks.fill_tail(b, t.fx_keybox, _totals(t), V)
@@ -268,17 +268,21 @@ def _(t):
     return _out(d).withColumn("area", F.round("area", 4))
 
 
-# Without ids to begin with, a place in the list of a frame starts a new id where the frame before has no such place.
+# Every sixth box has one of four given ids, so that lanes clash.
 @query("inherit_track_ids", """
-    SELECT session, side, frame_idx, ann_id, last_value(new_id IGNORE NULLS) OVER (PARTITION BY session, side, k ORDER BY frame_idx) AS track_id FROM (
-      SELECT *, CASE WHEN fresh THEN row_number() OVER (PARTITION BY session, fresh ORDER BY ann_id) END AS new_id FROM (
-        SELECT l.*, prev_n IS NULL OR k >= prev_n AS fresh FROM (
-          SELECT *, row_number() OVER (PARTITION BY session, side, frame_idx ORDER BY ann_id) - 1 AS k FROM drawn) l
-        JOIN (SELECT session, side, frame_idx, lag(n) OVER (PARTITION BY session, side ORDER BY frame_idx) AS prev_n FROM (
-                SELECT session, side, frame_idx, count(*) AS n FROM drawn GROUP BY ALL)) USING (session, side, frame_idx)))""",
-       drawn="SELECT video_id AS session, CASE WHEN category_id = 0 THEN 'left' ELSE 'right' END AS side, frame_idx, ann_id FROM fx_keybox")
+    SELECT w.session, w.side, w.frame_idx, w.ann_id, coalesce(n.track_id, w.given) AS track_id FROM walk w
+    LEFT JOIN (SELECT session, ann_id, row_number() OVER (PARTITION BY session ORDER BY ann_id) + (SELECT coalesce(max(preset), 0) FROM drawn d WHERE d.session = walk.session) AS track_id
+               FROM walk WHERE given = -ann_id) n ON n.session = w.session AND n.ann_id = -w.given""", recursive=True,
+       drawn="SELECT video_id AS session, CASE WHEN category_id = 0 THEN 'left' ELSE 'right' END AS side, frame_idx, ann_id, CASE WHEN ann_id % 6 = 0 THEN 1 + (ann_id // 6) % 4 END AS preset FROM fx_keybox",
+       turn="SELECT *, row_number() OVER (PARTITION BY session, side ORDER BY frame_idx, ann_id) AS rk FROM drawn",
+       walk="""SELECT session, side, frame_idx, ann_id, rk, coalesce(preset, -ann_id) AS given, []::BIGINT[] AS ref, [coalesce(preset, -ann_id)] AS now FROM turn WHERE rk = 1
+         UNION ALL SELECT session, side, frame_idx, ann_id, rk, given, ref, list_append(now, given) FROM (
+           SELECT *, coalesce(preset, CASE WHEN NOT list_contains(now, ref[len(now) + 1]) THEN ref[len(now) + 1] END, -ann_id) AS given FROM (
+             SELECT t.session, t.side, t.frame_idx, t.ann_id, t.rk, t.preset, CASE WHEN t.frame_idx = w.frame_idx THEN w.ref ELSE w.now END AS ref, CASE WHEN t.frame_idx = w.frame_idx THEN w.now ELSE [] END AS now
+             FROM walk w JOIN turn t ON t.session = w.session AND t.side = w.side AND t.rk = w.rk + 1))""")
 def _(t):
-    b = t.fx_keybox.select(F.col("video_id").alias("session"), F.when(F.col("category_id") == 0, "left").otherwise("right").alias("side"), "frame_idx", "ann_id", F.lit(None).cast("long").alias("track_id"))
+    given = F.when(F.col("ann_id") % 6 == 0, 1 + F.floor(F.col("ann_id") / 6) % 4).cast("long")
+    b = t.fx_keybox.select(F.col("video_id").alias("session"), F.when(F.col("category_id") == 0, "left").otherwise("right").alias("side"), "frame_idx", "ann_id", given.alias("track_id"))
     return tracks.inherit_track_ids(b)
 
 

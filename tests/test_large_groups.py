@@ -162,6 +162,52 @@ def test_inherited_track_ids(spark, way, preset):
     assert got == loops.inherit(rows)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_inherited_track_ids_that_clash(spark, seed):
+    """Few given ids, repeated within and across frames, so that lanes lose and regain them."""
+    rng, rows, ann = random.Random(seed), [], 0
+    for frame in range(60):
+        for side in ("left", "right"):
+            for _ in range(rng.choice([0, 2, 3, 5, 6])):
+                ann += 1
+                rows.append((side, frame, ann, rng.randrange(1, 5) if rng.random() < 0.15 else None))
+    df = spark.createDataFrame([("s", *r) for r in rows], "session string, side string, frame_idx long, ann_id long, track_id long").repartition(5)
+    got = {r["ann_id"]: r["track_id"] for r in tracks.inherit_track_ids(df).collect()}
+    assert got == loops.inherit(rows)
+
+
+def test_one_frame_with_most_boxes_keeps_given_ids(spark, tiny_limits):
+    rows = [("left", f, 1000 * f + i, i % 50 if f == 1 and i % 3 == 0 else None) for f, n in ((0, 40), (1, 400), (2, 30)) for i in range(n)]
+    df = spark.createDataFrame([("s", *r) for r in rows], "session string, side string, frame_idx long, ann_id long, track_id long")
+    assert {r["ann_id"]: r["track_id"] for r in tracks.inherit_track_ids(df).collect()} == loops.inherit(rows)
+
+
+def kalman_input(spark, n, steps):
+    """One pair whose steps are `steps` (an expression over p), all on one axis."""
+    pairs = spark.createDataFrame([(1, 0, n, 5, 6, 10.0, 20.0, 30.0, 30.0, 40.0, 20.0, 30.0, 30.0)],
+                                  "v int, a long, b long, a_id long, b_id long, acx double, acy double, aw double, ah double, bcx double, bcy double, bw double, bh double")
+    st = spark.range(1, n + 1).select(F.lit(1).alias("v"), F.lit(0).cast("long").alias("a"), F.lit(5).cast("long").alias("a_id"), F.col("id").alias("p"), F.expr(steps).alias("dx"))
+    return pairs, st.withColumn("dy", F.when(F.col("dx").isNotNull(), 0.0))
+
+
+def test_a_long_session_is_a_scan(spark):
+    """Thousands of frames in stretches of 40: as the loop, and no more written tables than for fewer frames."""
+    jobs = {}
+    for n in (1800, 6000):
+        pairs, st = kalman_input(spark, n, "case when id % 7 <> 3 and id % 1000 > 20 then (id % 5) - 1.9 end")
+        steps = [None if p % 7 == 3 or p % 1000 <= 20 else (p % 5) - 1.9 for p in range(1, n + 1)]
+        spark.conf.set("framelark.foldRows", "80")
+        try:
+            scale.release(spark)
+            got = tracks.smooth_kalman(pairs, st, ["v"]).orderBy("p").collect()
+            jobs[n] = len(os.listdir(scale.shared_folder(spark)))
+        finally:
+            spark.conf.unset("framelark.foldRows")
+        want = loops.kalman(10.0, steps, 40.0, n)
+        assert max(abs((r["x1"] + r["x2"]) / 2 - w) for r, w in zip(got, want, strict=True)) < 1e-9
+    assert jobs[1800] == jobs[6000]
+
+
 def test_nothing_matches_without_overlap(spark, way):
     box = "x1 double, y1 double, x2 double, y2 double"
     pred = spark.createDataFrame([(1, i, 0, 10.0 * i, 0.0, 10.0 * i + 5, 5.0) for i in range(4)], f"image_id long, pred_id long, category_id int, {box}")
