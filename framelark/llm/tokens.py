@@ -219,6 +219,10 @@ def _read_shards(folder, with_ids):
 
 
 def read_tokens(manifest: DataFrame, folder: str, with_ids=True) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 and ids of every document, from the files."""
-    shards = manifest.select("name", "start").repartition(F.col("name"))
+    """doc_id, start, n_tokens, ids_crc32 and ids of every document, from the files; a task per shard.
+
+    The number of tasks is given, as the manifest is too small for Spark to keep it apart by itself.
+    """
+    shards = manifest.select("shard", "name", "start")
+    shards = shards.repartitionByRange(max(1, shards.count()), "shard")
     return shards.mapInArrow(_read_shards(folder, with_ids), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids array<int>")

@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from test_contamination import slow_quick
 from test_quality import slow as counts
-from test_simhash import classes, slow_fingerprint
+from test_shingles import slow_kept
 from tokenizers import Tokenizer
 
 from framelark.llm import contamination, quality, simhash
@@ -54,8 +54,8 @@ def test_each_stage_on_its_own_input(spark, folder):
     assert sorted(after, key=key) == sorted(want, key=key) and all("#" not in r.text for r in after) and len(after) > 200
     before, after = seen["near_dedup"]
     rows = sorted(before, key=lambda r: (r.doc_id is None, r.doc_id or 0))
-    root = classes([(k, slow_fingerprint(r.text)) for k, r in enumerate(rows)])
-    assert sorted(r.doc_id if r.doc_id is not None else -1 for r in after) == sorted(rows[k].doc_id if rows[k].doc_id is not None else -1 for k in set(root.values()))
+    kept = slow_kept([(k, r.text) for k, r in enumerate(rows)])
+    assert sorted(r.doc_id if r.doc_id is not None else -1 for r in after) == sorted(rows[k].doc_id if rows[k].doc_id is not None else -1 for k in kept)
     assert len(after) < len(before) and {tuple(r) for r in after} <= {tuple(r) for r in before}
     before, after = seen["decontaminate"]
     items = [contamination.words_of(r.text.encode()) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
