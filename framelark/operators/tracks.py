@@ -388,11 +388,13 @@ def propagate_chain(seeds: DataFrame, cands: DataFrame, keys) -> DataFrame:
     """Follow each seed frame by frame to the candidate that overlaps the box before it best.
 
     A step needs an overlap of 0.3 with the box before and 0.2 with the seed, otherwise the seed is lost
-    for good. seeds: keys, seed_id, frame_idx, box; cands: keys, frame_idx, cand_id, box. The successor of
-    a candidate does not depend on the seed, so the chains of all seeds grow by doubling.
+    for good. seeds: keys, seed_id, frame_idx, box, and sx1, sy1, sx2, sy2 where the box to start from is not
+    the seed itself; cands: keys, frame_idx, cand_id, box. The successor of a candidate does not depend on the
+    seed, so the chains of all seeds grow by doubling.
     """
     keys = list(keys)
-    s = seeds.select(*keys, "frame_idx", "seed_id", *BOX)
+    origin = [F.col(f"s{c}" if f"s{c}" in seeds.columns else c).alias(f"s{c}") for c in BOX]
+    s = seeds.select(*keys, "frame_idx", "seed_id", *BOX, *origin)
     nxt = cands.select(*keys, (F.col("frame_idx") - 1).alias("frame_idx"), "cand_id", *BOX)
     first = iou_join(s, nxt, [*keys, "frame_idx"], PREV_IOU, clamp_areas=True).groupBy(*keys, F.col("l_seed_id").alias("seed_id")).agg(
         F.min(F.struct((-F.col("iou")).alias("n"), F.col("r_cand_id").alias("c")))["c"].alias("cand"))
@@ -407,8 +409,7 @@ def propagate_chain(seeds: DataFrame, cands: DataFrame, keys) -> DataFrame:
         second = jump.select(*keys, F.col("cand").alias("succ"), F.col("succ").alias("_s"))
         jump, reach = cut(jump.join(second, [*keys, "succ"]).select(*keys, "cand", F.col("_s").alias("succ"))), reach * 2
     boxes = cands.select(*keys, F.col("cand_id").alias("cand"), "frame_idx", *BOX)
-    origin = s.select(*keys, "seed_id", *[F.col(c).alias(f"s{c}") for c in BOX])
-    j = chain.join(boxes, [*keys, "cand"]).join(origin, [*keys, "seed_id"])
+    j = chain.join(boxes, [*keys, "cand"]).join(s.select(*keys, "seed_id", *[f"s{c}" for c in BOX]), [*keys, "seed_id"])
     far = geo.iou(geo.box(), tuple(F.col(f"s{c}") for c in BOX), clamp_areas=True) < F.lit(SEED_IOU)
     cutoff = j.filter(far).groupBy(*keys, "seed_id").agg(F.min("n").alias("lost"))
     return j.join(cutoff, [*keys, "seed_id"], "left").filter("lost is null or n < lost").select(

@@ -1,7 +1,8 @@
 """Streamed jobs run over the derived tables; their results equal the batch operators'."""
 
+from pyspark.sql import functions as F
 
-from framelark.operators.scale import scratch_path
+from framelark.operators.scale import cut, scratch_path
 from framelark.plans.datasets import canonical_sql
 from framelark.plans.motion import _CANDS
 from framelark.plans.projections import _CLASSES
@@ -24,13 +25,19 @@ def _(t):
 
 @query("stream_propagate", recursive=True)
 def _(t):
+    """The candidates of a frame come in three batches, mixed with those of other frames, its mark after them."""
     cands = t.sql(_CANDS)
     spark = cands.sparkSession
     base = scratch_path(spark, "propagate")
-    cands.repartitionByRange(4, "frame_idx").write.parquet(f"{base}/in")
-    stream = spark.readStream.schema(cands.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/in")
+    marks = cands.groupBy("video_id").agg(F.max("frame_idx").alias("m")).select("video_id", F.explode(F.sequence(F.lit(1), F.col("m"))).alias("frame_idx"))
+    late = (F.col("frame_idx") / 10).cast("int")
+    rows = cands.withColumn("_file", late + F.col("cand_id") % 3).unionByName(marks.withColumn("_file", late + 3), allowMissingColumns=True)
+    rows = cut(rows)
+    for i in range(rows.agg(F.max("_file")).first()[0] + 1):
+        rows.filter(F.col("_file") == i).drop("_file").coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = spark.readStream.schema(cands.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
     seeds = cands.filter("frame_idx = 0").withColumnRenamed("cand_id", "seed_id")
-    propagate.run(propagate.propagate_stream(seeds, stream), f"{base}/out", f"{base}/state").awaitTermination()
+    propagate.propagate(stream, seeds, base).awaitTermination()
     return spark.read.parquet(f"{base}/out").select("seed_id", "frame_idx", "cand_id", "x1", "y1", "x2", "y2")
 
 

@@ -1,74 +1,106 @@
-"""Seeds followed through candidate frames that arrive over time."""
+"""Seeds followed through candidate frames that arrive over time.
 
-import pandas as pd
-from pyspark.sql import DataFrame
+A frame counts when it is closed: by its end-of-frame mark, once all frames before it are closed, or by a
+watermark, `lag` frames behind the latest one seen. A frontier table holds one row per live seed, the last box
+of its chain. Each micro-batch advances it through the frames it closes with the batch operator; candidates of
+open frames wait in a table, and those that come after their frame was closed go to a table of their own.
+"""
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-from framelark.operators.tracks import PREV_IOU, SEED_IOU
-
-OUT = "seed_id BIGINT, frame_idx BIGINT, cand_id BIGINT, x1 DOUBLE, y1 DOUBLE, x2 DOUBLE, y2 DOUBLE"
-STATE = ("alive BOOLEAN, frame BIGINT, prev ARRAY<DOUBLE>, seed ARRAY<DOUBLE>, "
-         "wait_frame ARRAY<BIGINT>, wait_cand ARRAY<BIGINT>, wait_box ARRAY<ARRAY<DOUBLE>>")
-
-
-def _iou(a, b):
-    w = max(0.0, min(a[2], b[2]) - max(a[0], b[0]))
-    h = max(0.0, min(a[3], b[3]) - max(a[1], b[1]))
-    area = lambda p: max(0.0, p[2] - p[0]) * max(0.0, p[3] - p[1])
-    union = area(a) + area(b) - w * h
-    return w * h / union if union > 0 else 0.0
-
-
-def _advance(key, batches, state):
-    """Take the seed forward through all frames that follow without a gap; keep later ones waiting."""
-    rows = pd.concat(list(batches))
-    if state.exists:
-        alive, frame, prev, seed, wf, wc, wb = state.get
-        waiting = [(f, c, list(b)) for f, c, b in zip(wf, wc, wb)]
-        prev, seed = list(prev), list(seed)
-    else:
-        first = rows.iloc[0]
-        seed = [float(first[f"s{c}"]) for c in ("x1", "y1", "x2", "y2")]
-        alive, frame, prev, waiting = True, int(first["seed_frame"]), seed, []
-    done = []
-    if alive:
-        waiting += [(int(r.frame_idx), int(r.cand_id), [r.x1, r.y1, r.x2, r.y2]) for r in rows.itertuples()]
-        by_frame = {}
-        for f, c, b in waiting:
-            if f > frame:
-                by_frame.setdefault(f, []).append((c, b))
-        while alive and frame + 1 in by_frame:
-            cand, box = min(by_frame.pop(frame + 1), key=lambda cb: (-_iou(prev, cb[1]), cb[0]))
-            if _iou(prev, box) < PREV_IOU or _iou(seed, box) < SEED_IOU:
-                alive = False
-            else:
-                frame, prev = frame + 1, box
-                done.append((int(key[1]), frame, cand, *box))
-        waiting = [(f, c, b) for f, cs in by_frame.items() for c, b in cs] if alive else []
-    state.update((alive, frame, prev, seed, [w[0] for w in waiting], [w[1] for w in waiting], [w[2] for w in waiting]))
-    yield pd.DataFrame(done, columns=["seed_id", "frame_idx", "cand_id", "x1", "y1", "x2", "y2"])
-
-
-def propagate_stream(seeds: DataFrame, cands: DataFrame, key="video_id") -> DataFrame:
-    """Streamed chain following: one state per seed, frames in any order, each frame in one batch.
-
-    seeds (a table): key, seed_id, frame_idx, box; cands (a stream): key, frame_idx, cand_id, box. A
-    candidate reaches a seed only when it touches the area the chain can ever reach: a box that overlaps
-    the seed by 0.2 is at most five times as wide, and the next box must touch it.
+
+from framelark.operators.scale import cut
+from framelark.operators.tracks import BOX, propagate_chain
+
+ORIGIN = [f"s{c}" for c in BOX]
+
+
+class _State:
+    """The tables a batch leaves for the next one, a folder per batch."""
+
+    def __init__(self, spark, base):
+        self.spark, self.base = spark, base
+
+    def read(self, number, name, schema):
+        return self.spark.read.schema(schema).parquet(f"{self.base}/state/{number}/{name}")
+
+    def write(self, number, **tables):
+        for name, df in tables.items():
+            df.write.mode("overwrite").parquet(f"{self.base}/state/{number}/{name}")
+
+    def forget(self, number):
+        context = self.spark.sparkContext
+        at = context._jvm.org.apache.hadoop.fs.Path(f"{self.base}/state/{number}")
+        at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _first_frontier(seeds, key):
+    return seeds.select(key, "seed_id", F.col("frame_idx").cast("long").alias("frame_idx"), *[F.col(c).cast("double").alias(c) for c in BOX], *[F.col(c).cast("double").alias(o) for c, o in zip(BOX, ORIGIN)])
+
+
+def _closed_now(known, marks, seen, key, lag):
+    """known (key, first, closed, top) with the frames that marks and the watermark close by now."""
+    top = seen.groupBy(key).agg(F.max("frame_idx").alias("_top"))
+    moved = known.join(top, key, "left").withColumn("top", F.greatest("top", "_top")).drop("_top")
+    if lag is not None:
+        moved = moved.withColumn("closed", F.greatest("closed", F.col("top") - F.lit(lag)))
+    # Marks still open are few: the frames of a sequence that wait. Those without a gap close.
+    place = F.row_number().over(Window.partitionBy(key).orderBy("frame_idx"))
+    ahead = marks.distinct().join(moved.select(key, "closed"), key).filter("frame_idx > closed").withColumn("_place", place)
+    run = ahead.filter(F.col("frame_idx") - F.col("closed") == F.col("_place")).groupBy(key).agg(F.max("frame_idx").alias("_marked"))
+    return moved.join(run, key, "left").withColumn("closed", F.coalesce("_marked", "closed")).drop("_marked")
+
+
+def propagate(stream: DataFrame, seeds: DataFrame, base: str, key="video_id", lag=None):
+    """Start the job and return its query; it takes what is there and stops.
+
+    stream: key, frame_idx, cand_id, box; a row without cand_id marks the end of its frame. seeds (a table):
+    key, seed_id, frame_idx, box. Chains go to `{base}/out`: key, seed_id, frame_idx, cand_id, box, batch. Frames
+    may come in any order and spread over any number of batches; candidates of a frame that is closed already
+    go to `{base}/late`. Sequences without a live seed are not kept. Every folder carries the number of its batch
+    and replaces what an earlier attempt at it left, so each row counts once however often the job restarts.
     """
-    reach = 1.0 / SEED_IOU
-    s = seeds.select(key, "seed_id", F.col("frame_idx").alias("seed_frame"), *[F.col(c).alias(f"s{c}") for c in ("x1", "y1", "x2", "y2")])
-    w, h = (F.col("sx2") - F.col("sx1")) * reach, (F.col("sy2") - F.col("sy1")) * reach
-    near = (
-        (F.col("x2") > F.col("sx1") - w) & (F.col("x1") < F.col("sx2") + w)
-        & (F.col("y2") > F.col("sy1") - h) & (F.col("y1") < F.col("sy2") + h)
-    )
-    rows = cands.join(s, key).filter(near & (F.col("frame_idx") > F.col("seed_frame")))
-    return rows.groupBy(key, "seed_id").applyInPandasWithState(_advance, OUT, STATE, "append", GroupStateTimeout.NoTimeout)
-
-
-def run(stream: DataFrame, out: str, checkpoint: str):
-    """Append the chain to a table as frames arrive; takes what is there and stops."""
-    return (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-            .outputMode("append").trigger(availableNow=True).start())
+    spark = stream.sparkSession
+    state = _State(spark, base)
+    first = _first_frontier(seeds, key)
+    kind = first.schema[key].dataType.simpleString()
+    cand = f"{key} {kind}, frame_idx long, cand_id {stream.schema['cand_id'].dataType.simpleString()}, " + ", ".join(f"{c} double" for c in BOX)
+
+    def advance(batch: DataFrame, number: int) -> None:
+        if number:
+            frontier = state.read(number - 1, "frontier", first.schema)
+            known = state.read(number - 1, "known", f"{key} {kind}, first long, closed long, top long")
+            waiting, marks = state.read(number - 1, "waiting", cand), state.read(number - 1, "marks", f"{key} {kind}, frame_idx long")
+        else:
+            frontier, start = first, F.min("frame_idx")
+            known = first.groupBy(key).agg(start.alias("first"), start.alias("closed"), start.alias("top"))
+            waiting, marks = spark.createDataFrame([], cand), spark.createDataFrame([], f"{key} {kind}, frame_idx long")
+        new = batch.select(key, F.col("frame_idx").cast("long").alias("frame_idx"), "cand_id", *[F.col(c).cast("double").alias(c) for c in BOX])
+        new = cut(new.join(known.select(key, "first", "closed"), key).filter("frame_idx > first"))
+        late = new.filter("frame_idx <= closed and cand_id is not null").select(key, "frame_idx", "cand_id", *BOX)
+        new = new.filter("frame_idx > closed").drop("first", "closed")
+        open_marks = marks.unionByName(new.filter("cand_id is null").select(key, "frame_idx"))
+        pending = waiting.unionByName(new.filter("cand_id is not null"))
+        closing = cut(_closed_now(known, open_marks, new.select(key, "frame_idx"), key, lag))
+        pending = cut(pending.join(closing.select(key, F.col("closed").alias("_closed")), key))
+        ready, ends = pending.filter("frame_idx <= _closed").drop("_closed"), closing.select(key, "closed")
+        moving = frontier.join(ends, key).filter("frame_idx < closed").drop("closed")
+        if moving.isEmpty() or ready.isEmpty():  # nothing to follow; seeds whose frames closed without a candidate are lost below
+            chain = frontier.select(key, "seed_id", "frame_idx", F.lit(None).cast(stream.schema["cand_id"].dataType).alias("cand_id"), *BOX).limit(0)
+        else:
+            chain = cut(propagate_chain(moving, ready, [key]))
+        last = chain.groupBy(key, "seed_id").agg(F.max(F.struct("frame_idx", *BOX)).alias("_last"))
+        reached = frontier.join(last, [key, "seed_id"], "left").select(
+            key, "seed_id", F.coalesce("_last.frame_idx", "frame_idx").alias("frame_idx"), *[F.coalesce(F.col(f"_last.{c}"), F.col(c)).alias(c) for c in BOX], *ORIGIN)
+        live = reached.join(ends, key).filter("frame_idx >= closed").drop("closed")
+        live = cut(live)
+        followed = closing.join(live.select(key).distinct(), key, "left_semi")
+        chain.write.mode("overwrite").parquet(f"{base}/out/batch={number}")
+        late.write.mode("overwrite").parquet(f"{base}/late/batch={number}")
+        rest = pending.filter("frame_idx > _closed").drop("_closed").join(followed.select(key), key, "left_semi")
+        open_marks = open_marks.distinct().join(followed.select(key, "closed"), key).filter("frame_idx > closed").drop("closed")
+        state.write(number, frontier=live, known=followed, waiting=rest, marks=open_marks)
+        if number > 1:
+            state.forget(number - 2)
+
+    return stream.writeStream.foreachBatch(advance).option("checkpointLocation", f"{base}/progress").trigger(availableNow=True).start()
