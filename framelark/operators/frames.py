@@ -118,10 +118,10 @@ def pose_lookup(frames: DataFrame, poses: DataFrame, mode="auto") -> DataFrame:
         rows = rows.join(by, "_base", "left")
         steps.append(("filename", F.col("_f")))
     if mode in ("auto", "filename_id"):
-        by = pos.groupBy(F.col("pose_id").cast("long").alias("_num")).agg(F.min(F.struct("timestamp_ns", "pose_id", "pos")).alias("_i"))
-        # Names without a number would all meet in one partition.
-        numbered = rows.filter("_num is not null").join(by, "_num", "left")
-        rows = numbered.unionByName(rows.filter("_num is null"), allowMissingColumns=True)
+        # Names without a number would all meet in one partition; they are spread by hash and match nothing.
+        key = {"_key": F.coalesce("_num", F.xxhash64("file_name")), "_has": F.col("_num").isNotNull()}
+        by = pos.groupBy(F.col("pose_id").cast("long").alias("_key"), F.lit(True).alias("_has")).agg(F.min(F.struct("timestamp_ns", "pose_id", "pos")).alias("_i"))
+        rows = rows.withColumns(key).join(by, ["_key", "_has"], "left").drop("_key", "_has")
         steps.append(("filename_id", F.col("_i")))
     if mode in ("auto", "timestamp"):
         rows = nearest_frame(rows, pos.select("timestamp_ns", "pose_id", "pos"), [], ("pose_id", "pos"))

@@ -154,7 +154,7 @@ def running(df: DataFrame, group, order, outs, before=False, like=None) -> DataF
         big = True
     if not big:
         return _running_windows(df, group, order, outs, before)
-    return _running_sliced(df, group, order, outs, before)
+    return running_in_slices(slices(df, group, order), group, order, outs, before).drop("_slice")
 
 
 def _running_windows(df, keys, order, outs, before):
@@ -163,18 +163,25 @@ def _running_windows(df, keys, order, outs, before):
     return df.withColumns({n: _FOLDS[k](c).over(w) for n, (k, c) in outs.items()})
 
 
-def _running_sliced(df, group, order, outs, before):
+def slices(df: DataFrame, group, order) -> DataFrame:
+    """The rows, dealt by ranges of (group, order) and written, with the number of their range as `_slice`.
+
+    Writing keeps a row in its slice when a task is run again. Several running aggregates can share it.
+    """
+    return cut(df.orderBy(*group, *order).withColumn("_slice", F.spark_partition_id()))
+
+
+def running_in_slices(rows: DataFrame, group, order, outs, before=False, backward=False) -> DataFrame:
+    """`running` over rows with `_slice`, from the last slice to the first with `backward` (order descending then)."""
     inputs = {f"_in_{n}": c for n, (_, c) in outs.items()}
-    # The sort fixes which slice a row is in; writing it out keeps that fixed if a task is rerun.
-    rows = df.withColumns(inputs).orderBy(*group, *order).withColumn("_slice", F.spark_partition_id())
-    rows = cut(rows)
     local = {n: (k, F.col(f"_in_{n}")) for n, (k, _) in outs.items()}
-    inside = _running_windows(rows, ["_slice", *group], order, local, before)
-    totals = rows.groupBy("_slice", *group).agg(
+    inside = _running_windows(rows.withColumns(inputs), ["_slice", *group], order, local, before).drop(*inputs)
+    totals = rows.withColumns(inputs).groupBy("_slice", *group).agg(
         *[_FOLDS[k](f"_in_{n}").alias(f"_t_{n}") for n, (k, _) in outs.items()]
     )
     # One row per slice and group touching it: at most slices + groups rows in all.
-    w = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    at = F.col("_slice").desc() if backward else F.col("_slice")
+    w = Window.partitionBy(*group).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(
         "_slice", *group, *[_FOLDS[k](f"_t_{n}").over(w).alias(f"_c_{n}") for n, (k, _) in outs.items()]
     )
@@ -193,7 +200,7 @@ def _running_sliced(df, group, order, outs, before):
             )
         return F.greatest(a, b) if kind == "max" else F.least(a, b)
 
-    keep = [F.col(f"r.{c}") for c in df.columns if c not in outs]
+    keep = [F.col(f"r.{c}") for c in rows.columns if c not in outs]
     return joined.select(*keep, *[total(n, k).alias(n) for n, (k, _) in outs.items()])
 
 
@@ -215,19 +222,28 @@ def nearest(rows: DataFrame, marks: DataFrame, group, at, payload, strict=False)
     `group` (before and after only, with `strict`). `payload` are mark columns; of several marks at one
     time the smallest payload counts. Adds structs `prev` and `next` with `at` and the payload.
     """
+    group = list(group)
     first = marks.filter(F.col(at).isNotNull()).groupBy(*group, at).agg(F.min(F.struct(*payload)).alias("_p"))
-    mark = F.struct(F.col(at).alias(at), *[F.col(f"_p.{c}").alias(c) for c in payload])
-    both = (
-        rows.withColumn("_is_row", F.lit(1))
-        .withColumn("_uid", F.monotonically_increasing_id())
-        .unionByName(
-            first.select(*group, at, mark.alias("_m"), F.lit(0).alias("_is_row")), allowMissingColumns=True
-        )
-    )
-    tie = F.col("_is_row").desc() if strict else F.col("_is_row").asc()
-    prev = running(both, group, [at, tie, "_uid"], {"prev": ("max", F.col("_m"))})
-    nxt = running(prev, group, [F.col(at).desc(), tie, "_uid"], {"next": ("min", F.col("_m"))})
-    return nxt.filter("_is_row = 1").drop("_m", "_is_row", "_uid")
+    first = first.select(*group, at, F.struct(F.col(at).alias(at), *[F.col(f"_p.{c}").alias(c) for c in payload]).alias("_m"))
+    if strict:
+        first = running(first, group, [at], {"_b": ("max", F.col("_m"))}, before=True)
+    both = rows.withColumn("_is_row", F.lit(1)).unionByName(first.withColumn("_is_row", F.lit(0)), allowMissingColumns=True)
+    # One order: a mark stands before the rows of its time. Rows of one time see the same, so they may tie.
+    forward, backward = [F.col(at), F.col("_is_row")], [F.col(at).desc(), F.col("_is_row").desc()]
+    last = {"prev": ("max", F.when(F.col("_m").isNotNull(), F.struct("_m", "_b")) if strict else F.col("_m"))}
+    follow = {"next": ("min", F.col("_m"))}
+    limit = limit_of(rows.sparkSession, "windowRows", WINDOW_ROWS)
+    if group and oversized(both.select(*group), group, limit) is None:
+        near = _running_windows(_running_windows(both, group, forward, last, False), group, backward, follow, False)
+    else:
+        dealt = slices(both, group, forward)
+        near = running_in_slices(running_in_slices(dealt, group, forward, last), group, backward, follow, backward=True).drop("_slice")
+    near = near.filter("_is_row = 1")
+    if strict:
+        near = near.withColumn("prev", F.when(F.col("prev._m")[at] == F.col(at), F.col("prev._b")).otherwise(F.col("prev._m")))
+    else:
+        near = near.withColumn("next", F.when(F.col("prev")[at] == F.col(at), F.col("prev")).otherwise(F.col("next")))
+    return near.drop("_m", "_b", "_is_row")
 
 
 # --- greedy choices -----------------------------------------------------------------------------

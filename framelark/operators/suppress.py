@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framelark.functions import geometry as geo
+from framelark.functions.text import INT_TEXT, basename
 from framelark.operators.matching import both_parts, iou_join, iou_pairs
 from framelark.operators.scale import (
     FOLD_ROWS,
@@ -11,6 +12,8 @@ from framelark.operators.scale import (
     limit_of,
     ordinal,
     overlap_pairs,
+    running_in_slices,
+    slices,
     split_by_size,
     union_all,
 )
@@ -305,91 +308,121 @@ def dedup_seed_tracks(boxes: DataFrame, keys=("frame_idx", "side")) -> DataFrame
     return first.select(*keys, "track_id", *[F.col(f"b.{c}").alias(c) for c in rest])
 
 
-def import_annotations(anns, images, categories, live, live_images, live_categories):
-    """Merge annotations of another document into the live ones.
+def resolve_import_categories(categories: DataFrame, live_categories: DataFrame) -> DataFrame:
+    """(src_cat, dst_cat, name, is_new) of the categories of another document.
 
-    anns: ann_id, image_id, category_id, x, y, w, h, track_text, has_mask; images: image_id, file_name, side;
-    categories: category_id, name; live: ann_id, image_id, category_id, x, y, w, h, track_id, has_mask;
-    live_images: image_id, file_name, side; live_categories: category_id, name.
-    Returns (annotation table after the merge with `origin`, fate of every incoming annotation).
+    A name that is the number of a live category means that one; else the live category of that name; else a
+    new one, numbered on from the highest in the order of the document's ids, one for each name.
     """
-    from framelark.functions.text import INT_TEXT, basename
-
-    top_cat = live_categories.agg(F.coalesce(F.max("category_id"), F.lit(-1))).scalar()
-    names = categories.groupBy("name").agg(F.min("category_id").alias("first"))
-    new_names = ordinal(
-        names.join(live_categories.select("name"), "name", "left_anti"), [], ["first", "name"], "_k"
-    ).select("name", (top_cat + 1 + F.col("_k")).cast("int").alias("dst_cat"))
-    by_name = live_categories.groupBy("name").agg(F.min("category_id").cast("int").alias("dst_cat")).unionByName(new_names)
-    cats = categories.join(by_name, "name").select(F.col("category_id").alias("src_cat"), "dst_cat")
-
+    named = categories.select(F.col("category_id").alias("src_cat"), "name", F.when(F.col("name").rlike(INT_TEXT), F.trim("name").try_cast("bigint")).alias("_number"))
+    numbers = live_categories.select(F.col("category_id").cast("long").alias("_number"), F.col("category_id").cast("int").alias("_by_number")).distinct()
+    by_name = live_categories.groupBy("name").agg(F.min("category_id").cast("int").alias("_by_name"))
+    found = named.join(numbers, "_number", "left").join(by_name, "name", "left").withColumn("dst_cat", F.coalesce("_by_number", "_by_name"))
+    found = found.select("src_cat", "name", "dst_cat")
+    top = live_categories.agg(F.coalesce(F.max("category_id"), F.lit(-1))).scalar()
+    new = found.filter("dst_cat is null").groupBy("name").agg(F.min("src_cat").alias("_first"))
+    new = ordinal(new, [], ["_first", "name"], "_k").select("name", (top + 1 + F.col("_k")).cast("int").alias("_new"))
+    return found.join(new, "name", "left").select("src_cat", F.coalesce("dst_cat", "_new").alias("dst_cat"), "name", F.col("_new").isNotNull().alias("is_new"))
+
+
+def _with_record(anns, extras):
+    """Rows with `mask` (null if none), has_mask, area and iscrowd, each from its column where there is one."""
+    have = anns.columns
+    if "segmentation" in have:
+        mask = F.when(F.size("segmentation") > 0, F.col("segmentation"))
+    else:
+        mask = F.lit(None).cast("array<array<double>>")
+    flag = mask.isNotNull() if "has_mask" not in have else F.coalesce("has_mask", F.lit(False)) | mask.isNotNull()
+    area = F.coalesce(F.col("area").cast("double"), F.col("w") * F.col("h")) if "area" in have else F.col("w") * F.col("h")
+    crowd = F.coalesce(F.col("iscrowd").cast("int"), F.lit(0)) if "iscrowd" in have else F.lit(0)
+    return anns.withColumns({"mask": mask, "has_mask": flag, "area": area, "iscrowd": crowd, "extras": F.struct(*[F.col(c) for c in extras]) if extras else F.lit(None).cast("string")})
+
+
+def import_records(anns, images, categories, live, live_images, live_categories, extras=()):
+    """Merge whole annotation records of another document into the live ones.
+
+    anns: ann_id, image_id, category_id, x, y, w, h, track_text, and segmentation (polygons) or has_mask, area,
+    iscrowd where known, and columns named in `extras`, which live may have too; images: image_id, file_name, side;
+    categories: category_id, name; live: ann_id, image_id, category_id, x, y, w, h, track_id and the same optional
+    columns; live_images: image_id, file_name, side, frame_idx (optional); live_categories: category_id, name.
+
+    A box that repeats a live one, or an earlier one of the document, is skipped; if its record has a mask and the
+    box it repeats has none, the first such record donates it. Returns (records after the merge: ann_id, image_id,
+    category_id, x, y, w, h, area, iscrowd, track_id, segmentation, has_mask, donor (the record the mask came from),
+    extras, origin), the fate of every incoming annotation (ann_id, dst_image, fate, donates), and one row of counts:
+    frames_matched, imported, skipped, masks_merged. Foreign images are skipped without being counted.
+    """
+    extras = list(extras)
+    cats = resolve_import_categories(categories, live_categories)
     side = lambda: F.coalesce("side", F.lit("left"))
-    frames = live_images.select(
-        F.col("image_id").alias("dst_image"), basename(F.col("file_name")).alias("base"), side().alias("side")
-    )
-    exact = frames.groupBy("base", "side").agg(F.min("dst_image").alias("exact_image"))
-    loose = frames.groupBy("base").agg(F.min("dst_image").alias("loose_image"))
-    src = images.select(
-        F.col("image_id").alias("src_image"), basename(F.col("file_name")).alias("base"), side().alias("side")
-    ).join(exact, ["base", "side"], "left").join(loose, "base", "left").select(
-        "src_image", F.coalesce("exact_image", "loose_image").alias("dst_image"), F.lit(True).alias("src_known")
-    )
+    frame = F.col("frame_idx") if "frame_idx" in live_images.columns else F.col("image_id")
+    frames = live_images.select(F.struct(F.col("image_id").alias("image"), frame.alias("frame")).alias("dst"), basename(F.col("file_name")).alias("base"), side().alias("side"))
+    exact = frames.groupBy("base", "side").agg(F.min("dst").alias("exact"))
+    loose = frames.groupBy("base").agg(F.min("dst").alias("loose"))
+    src = images.select(F.col("image_id").alias("src_image"), basename(F.col("file_name")).alias("base"), side().alias("side")).join(
+        exact, ["base", "side"], "left").join(loose, "base", "left").withColumn("dst", F.coalesce("exact", "loose"))
+    src = src.select("src_image", F.col("dst.image").alias("dst_image"), F.col("dst.frame").alias("dst_frame"), F.lit(True).alias("src_known"))
     keyed = [rounded_key(F.col(c)).alias(f"k{c}") for c in ("x", "y", "w", "h")]
     box_key = ["dst_image", "dst_cat", "kx", "ky", "kw", "kh"]
-    inc = (
-        anns.withColumnRenamed("image_id", "src_image").withColumnRenamed("category_id", "src_cat")
-        .join(src, "src_image", "left").join(cats, "src_cat", "left")
-        .select("*", *keyed)
-        .withColumn("dangling", F.col("src_known").isNull() | F.col("dst_cat").isNull())
-    )
-    known = inc.filter("not dangling and dst_image is not null")
-    here = live.select(
-        F.col("image_id").alias("dst_image"), F.col("category_id").cast("int").alias("dst_cat"), *keyed,
-        F.col("ann_id").alias("live_id"), F.col("has_mask").alias("live_mask"),
-    ).groupBy(*box_key).agg(F.max(F.struct("live_id", "live_mask")).alias("_live"))
-    firsts = known.groupBy(*box_key).agg(F.min("ann_id").alias("first_id"), F.max("has_mask").alias("any_mask"))
-    joined = known.join(firsts, box_key).join(here, box_key, "left")
-    fresh = joined.filter("_live is null and ann_id = first_id")
-    gives = joined.filter(
-        F.col("_live").isNotNull() & F.col("any_mask") & ~F.col("_live.live_mask")
-    ).select(F.col("_live.live_id").alias("ann_id")).distinct()
-    top_id = live.agg(F.coalesce(F.max("ann_id"), F.lit(0))).scalar()
-    next_track = live.agg(F.coalesce(F.max("track_id") + 1, F.lit(1))).scalar()
-    text_track = F.when(F.col("track_text").rlike(INT_TEXT), F.col("track_text").try_cast("bigint"))
-    numbered = ordinal(fresh, [], ["ann_id"], "_k").withColumn("own_track", text_track)
-    # A fresh track id is one above every id handed out or kept before it in file order.
-    numbered = _fresh_tracks(numbered, next_track)
-    new_rows = numbered.select(
-        (top_id + 1 + F.col("_k")).alias("ann_id"),
-        F.col("dst_image").alias("image_id"), F.col("dst_cat").alias("category_id"), "x", "y", "w", "h",
-        "track_id", F.col("any_mask").alias("has_mask"), F.lit("imported").alias("origin"),
-    )
-    old_rows = live.join(gives.withColumn("given", F.lit(True)), "ann_id", "left").select(
-        "ann_id", "image_id", F.col("category_id").cast("int").alias("category_id"), "x", "y", "w", "h", "track_id",
-        (F.col("has_mask") | F.col("given").isNotNull()).alias("has_mask"), F.lit("live").alias("origin"),
-    )
-    foreign = inc.filter("not dangling and dst_image is null").select("ann_id", "dst_image", F.lit("foreign").alias("fate"))
-    fates = (
-        inc.filter("dangling").select("ann_id", "dst_image", F.lit("dangling").alias("fate"))
-        .unionByName(foreign)
-        .unionByName(joined.select(
-            "ann_id", "dst_image",
-            F.when(F.col("_live").isNull() & (F.col("ann_id") == F.col("first_id")), "imported").otherwise("duplicate").alias("fate"),
-        ))
-    )
-    return old_rows.unionByName(new_rows), fates
+    inc = _with_record(anns, extras).withColumnRenamed("image_id", "src_image").withColumnRenamed("category_id", "src_cat")
+    inc = inc.join(src, "src_image", "left").join(cats.select("src_cat", "dst_cat"), "src_cat", "left")
+    inc = inc.select("ann_id", "dst_image", "dst_frame", "dst_cat", "src_known", "x", "y", "w", "h", "track_text", "mask", "has_mask", "area", "iscrowd", "extras", *keyed)
+    # The first record of a key, and the first with a mask, carry what the merged box needs; copies end here.
+    dangling = F.col("src_known").isNull() | F.col("dst_cat").isNull()
+    inc = cut(inc.withColumn("state", F.when(dangling, "dangling").when(F.col("dst_image").isNull(), "foreign").otherwise("known")).drop("src_known"))
+    known = inc.filter("state = 'known'")
+    record = F.struct("ann_id", "x", "y", "w", "h", "area", "iscrowd", "track_text", "has_mask", "mask", "extras", "dst_frame")
+    firsts = known.groupBy(*box_key).agg(F.min_by(record, "ann_id").alias("rec"), F.min_by(F.when(F.col("has_mask"), F.struct("ann_id", "mask")), F.when(F.col("has_mask"), F.col("ann_id"))).alias("don"))
+    here = _with_record(live, extras)
+    keys = here.select(F.col("image_id").alias("dst_image"), F.col("category_id").cast("int").alias("dst_cat"), *keyed, "ann_id", "has_mask")
+    keys = keys.groupBy(*box_key).agg(F.max(F.struct("ann_id", "has_mask")).alias("old"))
+    met = firsts.join(keys, box_key, "left")
+    # The donor of a live box without mask is the first with one; of a new box without, the first after it.
+    gives = F.col("don").isNotNull() & F.when(F.col("old").isNotNull(), ~F.col("old.has_mask")).otherwise(~F.col("rec.has_mask"))
+    met = cut(met.withColumn("donor", F.when(gives, F.col("don.ann_id"))))
+    fresh = met.filter("old is null")
+    numbers = _numbered(fresh.select(F.col("rec.ann_id").alias("src_id"), F.when(F.col("rec.track_text").rlike(INT_TEXT), F.col("rec.track_text").try_cast("bigint")).alias("own_track")),
+                        live.agg(F.coalesce(F.max("ann_id"), F.lit(0))).scalar(), live.agg(F.coalesce(F.max("track_id") + 1, F.lit(1))).scalar())
+    new = fresh.join(numbers, F.col("rec.ann_id") == F.col("src_id"))
+    more = [F.col("rec.extras")[c].alias(c) for c in extras]
+    given = F.when(F.col("donor").isNotNull(), F.col("don.mask"))
+    new = new.select("new_id", F.col("dst_image").alias("image_id"), F.col("dst_cat").alias("category_id"), *[F.col(f"rec.{c}").alias(c) for c in ("x", "y", "w", "h", "area", "iscrowd")],
+                     "track_id", F.coalesce("rec.mask", given).alias("segmentation"), (F.col("rec.has_mask") | F.col("donor").isNotNull()).alias("has_mask"), "donor", *more, F.lit("imported").alias("origin"))
+    donated = met.filter("old is not null and donor is not null").select(F.col("old.ann_id").alias("ann_id"), "donor", F.col("don.mask").alias("_given"))
+    old = here.join(donated, "ann_id", "left").select(
+        "ann_id", "image_id", F.col("category_id").cast("int").alias("category_id"), "x", "y", "w", "h", "area", "iscrowd", "track_id", F.coalesce("mask", "_given").alias("segmentation"),
+        (F.col("has_mask") | F.col("donor").isNotNull()).alias("has_mask"), "donor", *[F.col("extras")[c].alias(c) for c in extras], F.lit("live").alias("origin"))
+    merged = old.unionByName(new.withColumnRenamed("new_id", "ann_id"))
+    chosen = met.select(*box_key, F.when(F.col("old").isNull(), F.col("rec.ann_id")).alias("_first"), "donor")
+    fates = inc.select("ann_id", *box_key, "state").join(chosen, box_key, "left").select(
+        "ann_id", "dst_image", F.when(F.col("state") != "known", F.col("state")).when(F.col("ann_id") == F.col("_first"), "imported").otherwise("duplicate").alias("fate"),
+        F.coalesce(F.col("ann_id") == F.col("donor"), F.lit(False)).alias("donates"))
+    zero = F.lit(0).cast("long")
+    states = inc.groupBy().agg(zero.alias("frames_matched"), zero.alias("imported"), F.count_if(F.col("state").isin("known", "dangling")).alias("skipped"), zero.alias("masks_merged"))
+    new_box = F.col("old").isNull()
+    made = met.groupBy().agg(F.count_distinct(F.when(new_box, F.col("rec.dst_frame"))).alias("frames_matched"), F.count_if(new_box).alias("imported"),
+                             (-F.count_if(new_box)).alias("skipped"), F.count("donor").alias("masks_merged"))
+    counts = states.unionByName(made).groupBy().agg(*[F.sum(c).alias(c) for c in ("frames_matched", "imported", "skipped", "masks_merged")])
+    return merged, fates, counts
 
 
-def _fresh_tracks(rows, start):
-    """track_id = own id, else a counter that moves one per fresh id and jumps past every own id seen.
+def import_annotations(anns, images, categories, live, live_images, live_categories):
+    """`import_records` without polygons: (annotations with has_mask and origin, fates)."""
+    merged, fates, _ = import_records(anns, images, categories, live, live_images, live_categories)
+    return merged.select("ann_id", "image_id", "category_id", "x", "y", "w", "h", "track_id", "has_mask", "origin"), fates.select("ann_id", "dst_image", "fate")
 
-    With f fresh ids so far, the counter at a row is f + max over earlier own ids o of (o + 1 - fresh
-    ids before o), and the starting value; both are running aggregates.
-    """
-    from framelark.operators.scale import running
 
-    r = running(rows, [], ["_k"], {"_f": ("sum", F.when(F.col("own_track").isNull(), 1).otherwise(0).cast("long"))}, before=True)
-    r = r.withColumn("_f", F.coalesce("_f", F.lit(0).cast("long")))
-    r = running(r, [], ["_k"], {"_jump": ("max", F.col("own_track") + 1 - F.col("_f"))}, before=True)
-    base = F.greatest(F.coalesce("_jump", F.lit(1).cast("long")), start)
-    return r.withColumn("track_id", F.coalesce("own_track", base + F.col("_f")))
+def _numbered(rows, top_id, next_track):
+    """(src_id, new_id, track_id) of rows (src_id, own_track) in order of src_id.
+
+    track_id is the own id, else a counter that moves one per fresh id and jumps past every own id seen: with f
+    fresh ids so far, it stands at f + max over earlier own ids o of (o + 1 - fresh ids before o), or at its start.
+    Both are running aggregates over one sorted table of numbers.
+    """
+    order = ["src_id"]
+    r = slices(rows, [], order)
+    r = running_in_slices(r, [], order, {"_k": ("sum", F.lit(1).cast("long")), "_f": ("sum", F.col("own_track").isNull().cast("long"))})
+    r = r.withColumn("_f", F.col("_f") - F.col("own_track").isNull().cast("long"))
+    r = running_in_slices(r, [], order, {"_jump": ("max", F.col("own_track") + 1 - F.col("_f"))}, before=True)
+    base = F.greatest(F.coalesce("_jump", F.lit(1).cast("long")), next_track)
+    return r.select("src_id", (top_id + F.col("_k")).alias("new_id"), F.coalesce("own_track", base + F.col("_f")).alias("track_id"))

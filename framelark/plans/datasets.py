@@ -229,7 +229,7 @@ _IMP = dict(
 )
 
 
-def _import(t):
+def _import(t, merge=suppress.import_annotations, records=False):
     inc = t.fx_pred.select(
         F.col("pred_id").alias("ann_id"), F.when(F.col("confidence") < 0.02, -1).otherwise(F.col("image_id")).alias("image_id"), (F.col("category_id") + 10).alias("category_id"),
         F.col("x1").alias("x"), F.col("y1").alias("y"), (F.col("x2") - F.col("x1")).alias("w"), (F.col("y2") - F.col("y1")).alias("h"),
@@ -241,9 +241,17 @@ def _import(t):
     src_im = t.fx_image.select("image_id", F.concat(F.lit("/export/"), "file_name").alias("file_name"), F.lit(None).cast("string").alias("side"))
     # The name of category 4 is new to the live set, whose fifth category is called something else.
     names = t.region.select(F.col("r_regionkey").alias("k"), F.col("r_name").alias("name"))
-    src_cat = names.select((F.col("k") + 10).alias("category_id"), "name")
+    # Category 3 comes as the number of the live one.
+    src_cat = names.select((F.col("k") + 10).alias("category_id"), F.when(F.col("k") == 3, "3").otherwise(F.col("name")).alias("name"))
     live_cat = names.select(F.col("k").alias("category_id"), F.when(F.col("k") == 4, "other").otherwise(F.col("name")).alias("name"))
-    return suppress.import_annotations(inc, src_im, src_cat, live, live_im, live_cat)
+    if not records:
+        return merge(inc, src_im, src_cat, live, live_im, live_cat)
+    pred = t.fx_pred.select(F.col("pred_id").alias("ann_id"), F.col("confidence").alias("score"))
+    x2, y2, ring = F.col("x") + F.col("w"), F.col("y") + F.col("h"), lambda *p: F.array(F.array(*p))
+    polygon = F.when(F.col("has_mask"), ring(F.col("x"), F.col("y"), x2, F.col("y"), x2, y2 + F.col("ann_id") % 7)).when(F.col("score") > 0.55, F.array().cast("array<array<double>>"))
+    inc = inc.join(pred, "ann_id").withColumns({"segmentation": polygon, "area": F.when(F.col("ann_id") % 3 == 0, F.col("w") * F.col("h") / 2), "iscrowd": F.when(F.col("ann_id") % 11 == 0, 1)})
+    live = live.withColumns({"segmentation": F.when(F.col("has_mask"), ring(F.col("x"), F.col("y"), x2, y2, F.col("x"), y2)), "score": F.lit(None).cast("double")})
+    return suppress.import_records(inc.drop("has_mask"), src_im, src_cat, live.drop("has_mask"), live_im, live_cat, ["score"])
 
 
 @query("import_annotations", """SELECT ann_id, 'dangling' AS fate FROM keyed WHERE dangling UNION ALL SELECT ann_id, 'foreign' FROM keyed WHERE NOT dangling AND dst_image IS NULL
@@ -252,6 +260,33 @@ def _(t):
     return _import(t)[1].select("ann_id", "fate")
 
 
+_DON = dict(
+    given="SELECT *, min(CASE WHEN has_mask THEN ann_id END) OVER (PARTITION BY dst_image, dst_cat, x, y, w, h) AS don_id FROM dup",
+    pick="SELECT *, CASE WHEN live_id IS NULL AND NOT has_mask OR live_id IS NOT NULL AND NOT live_mask THEN don_id END AS donor FROM given WHERE live_id IS NOT NULL OR ann_id = first_id",
+)
+
+
+@query("import_records", """
+    SELECT 'live' AS origin, l.ann_id AS src, l.image_id, l.category_id, round(l.w * l.h, 6) AS area, 0 AS iscrowd, g.donor, NULL::DOUBLE AS score,
+      round(CASE WHEN l.has_mask THEN l.x ELSE d.x END, 6) AS seg_x, round(CASE WHEN l.has_mask THEN l.y + l.h ELSE d.y + d.h + d.ann_id % 7 END, 6) AS seg_y
+    FROM lv l LEFT JOIN (SELECT live_id, min(donor) AS donor FROM pick WHERE live_id IS NOT NULL GROUP BY 1) g ON g.live_id = l.ann_id LEFT JOIN inc d ON d.ann_id = g.donor
+    UNION ALL SELECT 'imported', (SELECT max(ann_id) FROM lv) + row_number() OVER (ORDER BY p.ann_id), p.dst_image, p.dst_cat, round(CASE WHEN p.ann_id % 3 = 0 THEN p.w * p.h / 2 ELSE p.w * p.h END, 6),
+      CASE WHEN p.ann_id % 11 = 0 THEN 1 ELSE 0 END, p.donor, s.confidence, round(CASE WHEN p.has_mask THEN p.x ELSE d.x END, 6), round(CASE WHEN p.has_mask THEN p.y + p.h + p.ann_id % 7 ELSE d.y + d.h + d.ann_id % 7 END, 6)
+    FROM pick p JOIN fx_pred s ON s.pred_id = p.ann_id LEFT JOIN inc d ON d.ann_id = p.donor WHERE p.live_id IS NULL""", **_IMP, **_DON)
+def _(t):
+    got = _import(t, records=True)[0]
+    ring = F.get("segmentation", F.lit(0))
+    return got.select("origin", F.col("ann_id").alias("src"), "image_id", "category_id", F.round("area", 6).alias("area"), "iscrowd", "donor", "score",
+                      F.round(F.get(ring, F.lit(0)), 6).alias("seg_x"), F.round(F.get(ring, F.size(ring) - 1), 6).alias("seg_y"))
+
+
+@query("import_counts", """SELECT count(DISTINCT CASE WHEN live_id IS NULL AND ann_id = first_id THEN dst_image END) AS frames_matched, count(*) FILTER (live_id IS NULL AND ann_id = first_id) AS imported,
+      count(*) FILTER (live_id IS NOT NULL OR ann_id <> first_id) + (SELECT count(*) FROM keyed WHERE dangling) AS skipped,
+      (SELECT count(DISTINCT live_id) FROM pick WHERE live_id IS NOT NULL AND donor IS NOT NULL) + (SELECT count(*) FROM pick WHERE live_id IS NULL AND donor IS NOT NULL) AS masks_merged FROM dup""", **_IMP, **_DON)
+def _(t):
+    return _import(t, records=True)[2]
+
+
 @query("import_annotations_merged", """
     SELECT l.ann_id, l.image_id, l.category_id, l.track_id, l.has_mask OR coalesce(g.give, false) AS has_mask, 'live' AS origin
     FROM lv l LEFT JOIN (SELECT live_id, bool_or(any_mask) AS give FROM dup WHERE live_id IS NOT NULL GROUP BY 1) g ON g.live_id = l.ann_id

@@ -154,6 +154,35 @@ def test_repeated_import_is_a_no_op(spark):
     assert again.count() == 1 and {r["fate"] for r in fates.collect()} == {"duplicate", "dangling"}
 
 
+def test_masks_are_given_to_boxes_without(spark):
+    schema = "ann_id long, image_id long, category_id int, x double, y double, w double, h double"
+    im = spark.createDataFrame([(10, "in/a.png", None), (11, "in/b.png", "right"), (12, "zzz.png", None)], "image_id long, file_name string, side string")
+    live_im = spark.createDataFrame([(1, "a.png", "left", 0), (2, "a.png", "right", 0), (3, "b.png", "left", 4)], "image_id long, file_name string, side string, frame_idx long")
+    cats = spark.createDataFrame([(7, "known"), (8, "0"), (9, "new")], "category_id int, name string")
+    live_cats = spark.createDataFrame([(0, "zero"), (4, "known")], "category_id int, name string")
+    poly = lambda v: [[float(v)] * 6]
+    rows = [
+        (1, 10, 7, 1.0, 1.0, 4.0, 4.0, "41", None, None, None, "p"),  # repeats a live box, no mask to give
+        (2, 10, 7, 1.01, 1.0, 4.0, 4.0, "x", poly(2), 9.0, 1, "q"),  # the first that gives
+        (3, 10, 7, 1.0, 1.0, 4.0, 4.0, None, poly(3), None, None, "r"),
+        (4, 10, 8, 1.0, 1.0, 4.0, 4.0, None, None, None, None, "s"),  # category by number: new there
+        (5, 10, 8, 1.0, 1.0, 4.0, 4.0, "77", poly(5), 3.0, None, "t"),  # gives to the one before
+        (6, 11, 9, 2.0, 2.0, 5.0, 5.0, "90", poly(6), 20.0, 1, "u"),  # other side is known by name only
+        (7, 12, 7, 0.0, 0.0, 1.0, 1.0, None, None, None, None, "v"),
+        (8, 11, 99, 0.0, 0.0, 1.0, 1.0, None, None, None, None, "w"),
+    ]
+    anns = spark.createDataFrame(rows, f"{schema}, track_text string, segmentation array<array<double>>, area double, iscrowd int, note string")
+    live = spark.createDataFrame([(100, 1, 4, 1.0, 1.0, 4.0, 4.0, 5, None, "old")], f"{schema}, track_id long, segmentation array<array<double>>, note string")
+    merged, fates, counts = suppress.import_records(anns, im, cats, live, live_im, live_cats, ["note"])
+    got = {r["ann_id"]: (r["image_id"], r["category_id"], r["area"], r["iscrowd"], r["track_id"], r["segmentation"], r["donor"], r["note"]) for r in merged.collect()}
+    assert got == {100: (1, 4, 16.0, 0, 5, poly(2), 2, "old"), 101: (1, 0, 16.0, 0, 6, poly(5), 5, "s"), 102: (3, 5, 20.0, 1, 90, poly(6), None, "u")}
+    assert {r["ann_id"]: (r["fate"], r["donates"]) for r in fates.collect()} == {
+        1: ("duplicate", False), 2: ("duplicate", True), 3: ("duplicate", False), 4: ("imported", False), 5: ("duplicate", True), 6: ("imported", False), 7: ("foreign", False), 8: ("dangling", False)}
+    assert tuple(counts.first()) == (2, 2, 5, 2)
+    again, fates, counts = suppress.import_records(anns, im, cats, merged.drop("donor", "origin"), live_im, live_cats.union(spark.createDataFrame([(5, "new")], live_cats.schema)), ["note"])
+    assert again.count() == 3 and tuple(counts.first()) == (0, 0, 7, 0)
+
+
 def test_files_round_trip(spark, tmp_path):
     base = str(tmp_path)
     images = spark.createDataFrame([(1, "a.png", 64, 48, 0), (2, "b.png", 64, 48, 1)], "image_id long, file_name string, width int, height int, position long")
