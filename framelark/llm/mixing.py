@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framelark.llm import common
+from framelark.operators.scale import ordinal
 
 WEIGHTS = (5, 2, 1)  # of the sources in order, repeating
 SHARE = 1.5  # of all words that the mix takes
@@ -32,13 +33,35 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
+def _random(mark):
+    """A number in (0, 1) from a hexadecimal hash."""
+    return (F.conv(F.substring(mark, 1, 13), 16, 10).cast("double") + 0.5) / _RANDOM
+
+
 def _sized(id_col, text_col, source_col):
-    """Columns doc_id, source, size, u and length class of a row; u is random by doc_id, or by text without one."""
+    """Columns doc_id, source, size, mark (hash of the doc_id, or of the text without one), its random number u, version (hash of the text)."""
     text, key = F.col(f"`{text_col}`"), F.col(f"`{id_col}`")
     size = F.coalesce(F.regexp_count(text, F.lit(_WORD)), F.lit(0)).cast("bigint")
-    name = F.coalesce(key.cast("string"), F.concat(F.lit("?"), F.coalesce(text, F.lit(""))))
-    u = (F.conv(F.substring(F.md5(name), 1, 13), 16, 10).cast("double") + 0.5) / _RANDOM
-    return {"doc_id": key, "source": F.col(f"`{source_col}`"), "size": size, "u": u}
+    mark = F.md5(F.coalesce(key.cast("string"), F.concat(F.lit("?"), F.coalesce(text, F.lit("")))))
+    return {"doc_id": key, "source": F.col(f"`{source_col}`"), "size": size, "mark": mark, "u": _random(mark), "version": F.xxhash64(text)}
+
+
+def _repeats(sized: DataFrame) -> DataFrame | None:
+    """(mark, source) that several rows share, or None."""
+    found = common.cut(sized.groupBy("mark", "source").count().filter("count > 1").select(F.col("mark").alias("_mark"), F.col("source").alias("_source")))
+    if found.isEmpty():
+        return None
+    return F.broadcast(found) if found.count() <= BROADCAST_ROWS else found
+
+
+def _told_apart(rows: DataFrame, repeats: DataFrame | None) -> DataFrame:
+    """Rows that share a mark get a random number each: from the second on, of the mark and their place among them."""
+    if repeats is None:
+        return rows
+    same = (F.col("mark") == F.col("_mark")) & F.col("source").eqNullSafe(F.col("_source"))
+    some = ordinal(rows.join(repeats, same, "left_semi"), ["mark", "source"], ["size", "version"], "_place")
+    u = F.when(F.col("_place") == 0, F.col("u")).otherwise(_random(F.md5(F.concat("mark", F.lit("#"), F.col("_place").cast("string")))))
+    return rows.join(repeats, same, "left_anti").unionByName(some.withColumn("u", u).drop("_place"))
 
 
 def _class(size):
@@ -120,7 +143,9 @@ class Mix:
 
     def __init__(self, docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", weights=WEIGHTS, share=SHARE, most=MOST):
         self.names = (id_col, text_col, source_col)
-        self.sized = common.cut(docs.select(*[c.alias(n) for n, c in _sized(*self.names).items()]))
+        sized = common.cut(docs.select(*[c.alias(n) for n, c in _sized(*self.names).items()]))
+        self.repeats = _repeats(sized)
+        self.sized = sized if self.repeats is None else common.cut(_told_apart(sized, self.repeats))
         sources = _small(targets(self.sized, weights, share, most))
         self.classes = _small(_classes(self.sized, sources, most))
         self.cuts = _small(_cuts(_with_rank(self.sized, self.classes)))
@@ -140,9 +165,10 @@ class Mix:
 def mix_report(docs: DataFrame, **options) -> DataFrame:
     """One row per row of `docs`: doc_id, size, source_size, target, taken, source, copies.
 
-    A null text has size 0, a null source is a source of its own, ordered last. Rows that agree in doc_id
-    and size are taken or left together; rows without doc_id are told apart by their text. An empty table
-    gives an empty one.
+    A null text has size 0, a null source is a source of its own, ordered last. The random number of a row comes
+    from its doc_id, or its text without one; rows of a source that repeat one are told apart by their place
+    among them, by size and text, so a source of nothing but copies meets its target too. An empty table gives an
+    empty one.
     """
     mix = Mix(docs, **options)
     out = mix.decide(mix.sized)
@@ -153,15 +179,18 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     """The rows of `docs`, columns as they are, each as often as the mix takes it."""
     mix = Mix(docs, **options)
     rows = docs.select(F.struct("*").alias("row"), *[c.alias(n) for n, c in _sized(*mix.names).items()])
-    taken = mix.decide(rows).filter("copies > 0")
+    taken = mix.decide(_told_apart(rows, mix.repeats)).filter("copies > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
 ORACLE = r"""
-WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '?' || coalesce(text, ''))), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
+WITH marked AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '?' || coalesce(text, ''))) AS mark
   FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY mark, source ORDER BY size) - 1 AS place FROM marked),
+sized AS (
+  SELECT doc_id, source, size, (('0x' || substr(CASE WHEN place = 0 THEN mark ELSE md5(mark || '#' || place) END, 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u FROM placed),
 per AS (
   SELECT source, sum(size)::DOUBLE AS source_size,
          [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][((row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1)::INT] AS weight
@@ -195,10 +224,10 @@ ordered AS (
 gaps AS (
   SELECT source, any_value(need) - coalesce(max(upto) FILTER (WHERE upto <= need), 0) AS gap FROM ordered WHERE rank IS NOT NULL GROUP BY source),
 fills AS (
-  SELECT o.source, o.doc_id, o.size, row_number() OVER (PARTITION BY o.source ORDER BY abs(g.gap - o.size), o.rank, o.doc_id) AS place, abs(g.gap - o.size) < g.gap AS fits
+  SELECT o.source, o.doc_id, o.size, o.rank, row_number() OVER (PARTITION BY o.source ORDER BY abs(g.gap - o.size), o.rank, o.doc_id) AS place, abs(g.gap - o.size) < g.gap AS fits
   FROM ordered o JOIN gaps g ON o.source IS NOT DISTINCT FROM g.source WHERE o.rank IS NOT NULL AND o.upto > o.need AND o.size > 0)
 SELECT o.doc_id, o.size, o.source_size::BIGINT AS source_size, o.target,
-       (o.size * (o.certain + CASE WHEN o.rank IS NOT NULL AND (o.upto <= o.need OR f.doc_id IS NOT NULL) THEN 1 ELSE 0 END))::BIGINT AS taken,
-       o.source, (o.certain + CASE WHEN o.rank IS NOT NULL AND (o.upto <= o.need OR f.doc_id IS NOT NULL) THEN 1 ELSE 0 END)::BIGINT AS copies
-FROM ordered o LEFT JOIN fills f ON f.place = 1 AND f.fits AND o.source IS NOT DISTINCT FROM f.source AND o.doc_id = f.doc_id
+       (o.size * (o.certain + CASE WHEN o.rank IS NOT NULL AND (o.upto <= o.need OR f.rank IS NOT NULL) THEN 1 ELSE 0 END))::BIGINT AS taken,
+       o.source, (o.certain + CASE WHEN o.rank IS NOT NULL AND (o.upto <= o.need OR f.rank IS NOT NULL) THEN 1 ELSE 0 END)::BIGINT AS copies
+FROM ordered o LEFT JOIN fills f ON f.place = 1 AND f.fits AND o.source IS NOT DISTINCT FROM f.source AND o.rank = f.rank AND o.doc_id IS NOT DISTINCT FROM f.doc_id
 """

@@ -57,13 +57,14 @@ def test_mix(spark, monkeypatch, power):
 
 
 def test_oracle_and_slices_agree(spark, monkeypatch):
-    rows = [r for r in corpus(500, 5) if r[0] is not None][:-1]
+    rows = [*corpus(500, 5), *[(7, "same words here", "a")] * 40, *[(None, "no id at all", "b")] * 60]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    documents = pd.DataFrame(rows, columns=["doc_id", "text", "source"])  # noqa: F841
-    want = duckdb.sql(mixing.ORACLE).df().sort_values("doc_id").reset_index(drop=True)
+    documents = pd.DataFrame(rows, columns=["doc_id", "text", "source"]).astype({"doc_id": "Int64"})  # noqa: F841
+    order = ["doc_id", "source", "size", "taken"]
+    want = duckdb.sql(mixing.ORACLE).df().sort_values(order).reset_index(drop=True)
     for power in (0.0, 0.5, 0.9):
         monkeypatch.setattr(mixing, "SLICE_POWER", power)
-        got = mixing.mix_report(docs).toPandas().sort_values("doc_id").reset_index(drop=True)
+        got = mixing.mix_report(docs).toPandas().sort_values(order).reset_index(drop=True)
         assert got.taken.tolist() == want.taken.tolist() and got.target.tolist() == want.target.tolist()
 
 
@@ -75,6 +76,22 @@ def test_longer_documents_are_likelier(spark):
     assert abs(got.taken.sum() - 0.5 * got["size"].sum()) <= 200
 
 
+@pytest.mark.parametrize("limit", [None, "50"])
+def test_a_source_of_copies_meets_its_target(spark, limit):
+    rows = [(None, "one text of five words", "copies")] * 2000 + [(7, "w " * 10, "repeated id")] * 500 + [(i, "w " * 20, "others") for i in range(1000, 2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    if limit:
+        spark.conf.set("framelark.windowRows", limit)
+    try:
+        got = mixing.mix_report(docs).toPandas()
+        taken = mixing.mixed(docs).groupBy("source").count().collect()
+    finally:
+        spark.conf.unset("framelark.windowRows")
+    for source, part in got.groupby("source"):
+        assert abs(part.taken.sum() - part.target.iloc[0]) <= 20, source
+    assert {r["source"]: r["count"] for r in taken} == got.groupby("source").copies.sum().to_dict()
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mixing.mix_report(docs).count() == 0 and mixing.mixed(docs).count() == 0
