@@ -95,3 +95,17 @@ def test_empty_null_and_repeated(spark):
     got = simhash.near_duplicates(spark.createDataFrame(rows, schema)).collect()
     assert sorted((r.doc_id is None, r.doc_id or 0, r.component_id) for r in got if r.doc_id is not None) == [(False, 5, 5), (False, 5, 5), (False, 9, 9)]
     assert [r.component_id for r in got if r.doc_id is None] == [None, None]
+
+
+@pytest.mark.parametrize("hub_rows", [3, 100_000])
+def test_components_with_hubs(spark, hub_rows):
+    rng = random.Random(6)
+    links = [(0, i) for i in range(1, 80)] + [(200 + i, 300) for i in range(40)] + [(400 + i, 401 + i) for i in range(30)] + [(5, 5), (7, None), (300, 199)]
+    links += [(rng.randrange(500, 540), rng.randrange(500, 540)) for _ in range(25)]
+    root = {n: n for link in links if None not in link for n in link}
+    for _ in root:
+        for a, b in links:
+            if b is not None:
+                root[a] = root[b] = min(root[a], root[b])
+    got = components(spark.createDataFrame(links, "a long, b long"), hub_rows)
+    assert {r["node"]: r["root"] for r in got.collect()} == {n: r for n, r in root.items() if n != r}
