@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from framelark.operators.matching import both_parts, iou_pairs, match_predictions
-from framelark.operators.scale import cut, greedy_pairs, running, union_all
+from framelark.operators.matching import bounded_pairs, match_predictions, serial_choice
+from framelark.operators.scale import FOLD_ROWS, cut, greedy_pairs, limit_of, ordinal, running, split_both
 
 # Fixed setting of the published AP definition: overlap 0.50 to 0.95 in steps of 0.05, in percent.
 AP_PERCENT = list(range(50, 100, 5))
@@ -62,6 +62,29 @@ def confusion_matrix(outcomes: DataFrame) -> DataFrame:
     return hit.groupBy("gt_class", "pred_class").agg(F.count("*").alias("n"))
 
 
+def _per_setting(preds, gts, keys, settings, name):
+    """Boxes of oversized groups once per setting (a number `name` of a row of `settings`, a list of columns), with ids
+    that are unique over settings and rise in the given order: (preds with place and id, gts with id)."""
+    each = F.explode(F.array(*settings)).alias(name)
+    many = F.lit(len(settings)).cast("long")
+    return preds.select("*", each).withColumn("id", F.col("_turn") * many + F.col(name)), gts.select("*", each).withColumn("id", F.col("_turn") * many + F.col(name))
+
+
+def _hits_of_copies(preds, gts, both):
+    """(both, pred_id, t) of matches at every threshold in oversized groups, by capacity: no pair of copies is formed."""
+    preds = cut(ordinal(preds, both, [F.col("confidence").desc(), "pred_id"], "_turn"))
+    gts = cut(ordinal(gts, both, ["ann_id"], "_turn"))
+    steps = [F.lit(i) for i in range(len(AP_PERCENT))]
+    # Ids of the choice are numbers over all groups.
+    number = lambda d: ordinal(d, [], [*both, "_turn"], "_n").drop("_turn").withColumnRenamed("_n", "_turn")
+    p, g = _per_setting(cut(number(preds)), cut(number(gts)), both, steps, "step")
+    p = cut(p)
+    percent = F.array(*[F.lit(t) for t in AP_PERCENT])
+    taken = serial_choice(p, g, [*both, "step"], AP_PERCENT[0] / 100, also=lambda iou, key: iou * 100 >= F.get(percent, key("step")))
+    hit = p.join(taken.select(F.col("l_id").alias("id")), "id", "left_semi")
+    return hit.select(*both, "pred_id", F.get(percent, F.col("step")).alias("t"))
+
+
 def average_precision(pred: DataFrame, gt: DataFrame, keys=("image_id",), by=()) -> DataFrame:
     """AP at 50 % and over 50-95 % overlap per class (and `by`), 101-point interpolation.
 
@@ -71,24 +94,25 @@ def average_precision(pred: DataFrame, gt: DataFrame, keys=("image_id",), by=())
     keys = [*by, *keys]
     box = ["x1", "y1", "x2", "y2"]
     both = [*keys, "category_id"]
-    pairs = iou_pairs(
-        pred.select(*both, "pred_id", "confidence", *box), gt.select(*both, "ann_id", *box), both, AP_PERCENT[0] / 100
-    )
+    # The order of choice as a number, so that oversized groups need no pair of copies.
+    (sp, sg), hot = split_both(pred.select(*both, "pred_id", "confidence", *box), gt.select(*both, "ann_id", *box), both, limit_of(pred.sparkSession, "foldRows", FOLD_ROWS))
+    pairs = bounded_pairs(sp, sg, both, AP_PERCENT[0] / 100)
     reached = F.filter(F.array(*[F.lit(t) for t in AP_PERCENT]), lambda t: F.col("iou") * 100 >= t)
     alone = lambda c: F.count("*").over(Window.partitionBy(*both, c)) == 1
     # Most pairs are the only one of both their boxes: those need no choice at any threshold.
-    pairs = both_parts(pairs, lambda d: cut(d.select(
+    pairs = cut(pairs.select(
         *both, F.col("l_pred_id").alias("pred_id"), F.col("r_ann_id").alias("ann_id"), (-F.col("l_confidence")).alias("neg_conf"),
         (-F.col("iou")).alias("neg_iou"), reached.alias("ts"),
-    ).withColumn("lone", alone("pred_id") & alone("ann_id"))))
-    lone = union_all([d.filter("lone").select(*both, "pred_id", "ts") for d in pairs if d is not None])
-    taken = greedy_pairs(
-        both_parts(pairs, lambda d: d.filter("not lone").withColumn("t", F.explode("ts")).select(
-            *both, "t", F.struct("pred_id", "t").alias("p"), F.struct("ann_id", "t").alias("g"), "neg_conf", "neg_iou")),
-        [*both, "t"], "p", "g", ["neg_iou", "g"], ["neg_conf", "p"], ["neg_conf", "p", "neg_iou", "g"],
-    )
+    ).withColumn("lone", alone("pred_id") & alone("ann_id")))
+    lone = pairs.filter("lone").select(*both, "pred_id", "ts")
+    some = pairs.filter("not lone").withColumn("t", F.explode("ts")).select(
+        *both, "t", F.struct("pred_id", "t").alias("p"), F.struct("ann_id", "t").alias("g"), "neg_conf", "neg_iou")
+    taken = greedy_pairs((some, None), [*both, "t"], "p", "g", ["neg_iou", "g"], ["neg_conf", "p"], ["neg_conf", "p", "neg_iou", "g"])
+    taken = taken.select(*both, "p.pred_id", "t")
+    if hot is not None:
+        taken = taken.unionByName(_hits_of_copies(*hot, both))
     # One row per prediction carries its hits at all thresholds, so ranking them takes a single pass.
-    hits = taken.groupBy(*both, F.col("p.pred_id").alias("pred_id")).agg(F.collect_set("t").alias("ts")).unionByName(lone)
+    hits = taken.groupBy(*both, "pred_id").agg(F.collect_set("t").alias("ts")).unionByName(lone)
     each = pred.select(*both, "pred_id", "confidence").join(hits, [*both, "pred_id"], "left")
     hit = lambda t: F.coalesce(F.array_contains("ts", t), F.lit(False))
     cum = running(
@@ -158,6 +182,17 @@ def metrics_table(pred: DataFrame, gt: DataFrame, classes: DataFrame, min_iou=0.
     )
 
 
+def _sweep_of_copies(preds, gts, keys, grid, cells, least):
+    """(c, same) of the matches of oversized groups in every cell of the grid, by capacity."""
+    number = lambda d, at: cut(ordinal(d, [], [*keys, at], "_turn"))
+    steps = [F.lit(i) for i in range(cells)]
+    p, g = _per_setting(number(preds, "pred_id"), number(gts, "ann_id"), keys, steps, "step")
+    p = cut(p.filter(F.col("confidence") >= F.get(grid, F.col("step"))["min_conf"]))
+    taken = serial_choice(p, g, [*keys, "step"], least, also=lambda iou, key: iou >= F.get(grid, key("step"))["min_iou"])
+    found = taken.join(p.select(F.col("id").alias("l_id"), "step", F.col("category_id").alias("l_class")), "l_id").join(g.select(F.col("id").alias("r_id"), F.col("category_id").alias("r_class")), "r_id")
+    return found.select(F.get(grid, F.col("step")).alias("c"), (F.col("l_class") == F.col("r_class")).alias("same"))
+
+
 def threshold_sweep(pred: DataFrame, gt: DataFrame, confidences, ious, keys=("image_id",)) -> DataFrame:
     """Overall scores for every pair of confidence and overlap thresholds.
 
@@ -172,18 +207,18 @@ def threshold_sweep(pred: DataFrame, gt: DataFrame, confidences, ious, keys=("im
     kept = pred.select(*keys, "pred_id", "category_id", "confidence", cells).select(
         *keys, "pred_id", "category_id", "c.min_conf", "c.min_iou"
     )
-    pairs = iou_pairs(
-        pred.select(*keys, "pred_id", "category_id", "confidence", *box),
-        gt.select(*keys, "ann_id", "category_id", *box), keys, min(ious),
-    )
+    (sp, sg), hot = split_both(pred.select(*keys, "pred_id", "category_id", "confidence", *box), gt.select(*keys, "ann_id", "category_id", *box), keys,
+                               limit_of(pred.sparkSession, "foldRows", FOLD_ROWS))
     fits = F.explode(F.filter(grid, lambda c: (F.col("l_confidence") >= c["min_conf"]) & (F.col("iou") >= c["min_iou"])))
-    pairs = both_parts(pairs, lambda d: d.withColumn("c", fits).select(
+    pairs = bounded_pairs(sp, sg, keys, min(ious)).withColumn("c", fits).select(
         *keys, "c",
         F.struct(F.col("l_pred_id").alias("id"), F.col("c").alias("c")).alias("p"),
         F.struct(F.col("r_ann_id").alias("id"), F.col("c").alias("c")).alias("g"),
         (-F.col("iou")).alias("neg_iou"), (F.col("l_category_id") == F.col("r_category_id")).alias("same"),
-    ))
-    taken = greedy_pairs(pairs, [*keys, "c"], "p", "g", ["neg_iou", "g"], ["p"], ["p", "neg_iou", "g"])
+    )
+    taken = greedy_pairs((pairs, None), [*keys, "c"], "p", "g", ["neg_iou", "g"], ["p"], ["p", "neg_iou", "g"]).select("c", "same")
+    if hot is not None:
+        taken = taken.unionByName(_sweep_of_copies(*hot, keys, grid, len(confidences) * len(ious), min(ious)))
     hits = taken.groupBy("c").agg(F.count("*").alias("matched"), F.count_if("same").alias("tp")).select(
         "c.min_conf", "c.min_iou", "matched", "tp"
     )

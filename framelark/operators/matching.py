@@ -59,6 +59,15 @@ def iou_pairs(left: DataFrame, right: DataFrame, keys, min_iou=0.5, strict=False
     return pairs, None if hot is None else overlap_pairs(hot[0], hot[1], keys, hit, min_iou).select(*out)
 
 
+def bounded_pairs(left: DataFrame, right: DataFrame, keys, min_iou) -> DataFrame:
+    """`iou_pairs` of groups known to be bounded."""
+    iou = geo.iou(geo.box("l."), geo.box("r."))
+    hit = (iou > F.lit(min_iou)) if min_iou <= 0 else (iou >= F.lit(min_iou))
+    return left.alias("l").join(right.alias("r"), _same(keys) & hit).select(
+        *[F.col(f"l.{k}").alias(k) for k in keys], *[F.col(f"l.{c}").alias(f"l_{c}") for c in _sides(left, keys)],
+        *[F.col(f"r.{c}").alias(f"r_{c}") for c in _sides(right, keys)], iou.alias("iou"))
+
+
 def iou_join(left: DataFrame, right: DataFrame, keys, min_iou=0.5, strict=False, clamp_areas=False, cond=None):
     """Pairs of boxes of one group whose overlap reaches `min_iou` (exceeds it with `strict`)."""
     small, big = iou_pairs(left, right, keys, min_iou, strict, clamp_areas, cond)
@@ -70,10 +79,11 @@ def both_parts(pairs, change):
     return tuple(None if p is None else change(p) for p in pairs)
 
 
-def serial_choice(left: DataFrame, right: DataFrame, keys, min_iou, strict=False) -> DataFrame:
+def serial_choice(left: DataFrame, right: DataFrame, keys, min_iou, strict=False, also=None) -> DataFrame:
     """left ids in order each take the best free right box (overlap, then lower id), in groups of any size.
 
-    Sides: keys, id (integer), box. Output: l_id, r_id, iou. Copies of one box are handled together: the
+    Sides: keys, id (integer, once per side), box. `also` is a further condition on an overlap that reaches
+    `min_iou`, over the overlap and the keys. Output: l_id, r_id, iou. Copies of one box are handled together: the
     choice runs over distinct boxes, a distinct right box offering one seat per copy. In each round a
     right box serves, in order, those that want it most, up to the first one touching it that wants
     another box (or whose choice hangs on a tie). Who comes first for the box it wants is always served.
@@ -81,6 +91,8 @@ def serial_choice(left: DataFrame, right: DataFrame, keys, min_iou, strict=False
     box = ["x1", "y1", "x2", "y2"]
     iou = geo.iou(geo.box("l."), geo.box("r."))
     hit = (iou > F.lit(min_iou)) if strict or min_iou <= 0 else (iou >= F.lit(min_iou))
+    if also is not None:
+        hit = hit & also(iou, lambda k: F.col(f"l.{k}"))
     distinct = lambda d: cut(d.groupBy(*keys, *box).agg(F.min("id").alias("grp")))
     lg, rg = distinct(left), distinct(right)
     edges = cut(overlap_pairs(lg, rg, keys, hit, min_iou).select(F.col("l.grp").alias("P"), F.col("r.grp").alias("G"), iou.alias("iou")))
@@ -205,16 +217,59 @@ def assign_best(inputs: DataFrame, dets: DataFrame, keys) -> DataFrame:
     )
 
 
-def _near_pairs(a, b, keys, dist):
-    """Pairs within `max_dist` in groups of any size, found through cells one `max_dist` wide."""
-    cell = lambda c: F.floor(F.col(c) / F.col("max_dist")).cast("long")
-    around = lambda c: F.explode(F.sequence(cell(c) - 1, cell(c) + 1))
-    ga = a.withColumn("_gx", cell("cx")).withColumn("_gy", cell("cy")).alias("l")
-    gb = b.withColumn("_gx", around("cx")).withColumn("_gy", around("cy")).alias("r")
-    on = dist <= F.col("l.max_dist")
-    for k in [*keys, "_gx", "_gy"]:
-        on = (F.col(f"l.{k}") == F.col(f"r.{k}")) & on
-    return ga.join(gb, on)
+RINGS = 6  # doublings of the radius from the first to `max_dist`
+
+
+def _points(side, keys, at, name):
+    """(distinct centers with the least id as `name`, members of each)."""
+    side = side.withColumns({c: F.col(c) + F.lit(0.0) for c in ("cx", "cy")})  # no negative zero
+    points = cut(side.groupBy(*keys, "cx", "cy", "max_dist").agg(F.min("id").alias("_p")).withColumn(name, F.struct(*keys, F.col("_p").alias("p"))).drop("_p"))
+    members = cut(side.join(points, [*keys, "cx", "cy", "max_dist"]).select(name, F.col("id").alias(at)))
+    return points, members
+
+
+def _nearest_rings(a, b, keys):
+    """Nearest centers of groups of any size: keys, a_id, b_id, dist.
+
+    Copies of a center are one point with its members in order of id. Within a radius, two points that are each
+    other's nearest are final, whatever lies beyond it; all their members pair off at once, or the first ones alone
+    where another point is just as near. When no pair is left the radius doubles, for what is still free.
+    """
+    pa, ma = _points(a, keys, "a_id", "P")
+    pb, mb = _points(b, keys, "b_id", "Q")
+    dx, dy = F.col("l.cx") - F.col("r.cx"), F.col("l.cy") - F.col("r.cy")
+    dist = F.sqrt(dx * dx + dy * dy)
+    out = []
+    for ring in range(RINGS, -1, -1):
+        radius = F.col("max_dist") / F.lit(2.0**ring)
+        cell = lambda c: F.floor(F.col(c) / radius).cast("long")  # noqa: B023, E731
+        around = lambda c: F.explode(F.sequence(cell(c) - 1, cell(c) + 1))  # noqa: B023, E731
+        left = pa.join(ma.select("P").distinct(), "P", "left_semi").withColumns({"_gx": cell("cx"), "_gy": cell("cy"), "_r": radius}).alias("l")
+        right = pb.join(mb.select("Q").distinct(), "Q", "left_semi").withColumn("_gx", around("cx")).withColumn("_gy", around("cy")).alias("r")
+        on = dist <= F.col("l._r")
+        for k in [*keys, "_gx", "_gy"]:
+            on = (F.col(f"l.{k}") == F.col(f"r.{k}")) & on
+        live = cut(left.join(right, on).select("l.P", "r.Q", dist.alias("dist")))
+        while True:
+            firsts = live.join(ma.groupBy("P").agg(F.min("a_id").alias("a"), F.count("*").alias("na")), "P").join(mb.groupBy("Q").agg(F.min("b_id").alias("b"), F.count("*").alias("nb")), "Q")
+            firsts = cut(firsts)
+            if firsts.isEmpty():
+                break
+            live = firsts.select("P", "Q", "dist")
+            best_p = firsts.groupBy("P").agg(F.min(F.struct("dist", "b", "Q")).alias("bp"))
+            best_q = firsts.groupBy("Q").agg(F.min(F.struct("dist", "a", "P")).alias("bq"))
+            marked = cut(firsts.join(best_p, "P").join(best_q, "Q").withColumns({"even_p": F.col("dist") == F.col("bp.dist"), "even_q": F.col("dist") == F.col("bq.dist")}))
+            ties_p = marked.groupBy("P").agg((F.count_if("even_p") > 1).alias("tied_p"))
+            ties_q = marked.groupBy("Q").agg((F.count_if("even_q") > 1).alias("tied_q"))
+            final = marked.filter((F.col("bp.Q") == F.col("Q")) & (F.col("bq.P") == F.col("P"))).join(ties_p, "P").join(ties_q, "Q")
+            final = cut(final.select("P", "Q", "dist", F.when(F.col("tied_p") | F.col("tied_q"), F.lit(1)).otherwise(F.least("na", "nb")).alias("many")))
+            turn = lambda members, point, at: ordinal(members.join(final, point, "left_semi"), [point], [at], "_k")  # noqa: B023, E731
+            pairs = final.join(turn(ma, "P", "a_id"), "P").join(turn(mb, "Q", "b_id"), ["Q", "_k"]).filter("_k < many")
+            new = cut(pairs.select(*[F.col(f"P.{k}").alias(k) for k in keys], "P", "Q", "a_id", "b_id", "dist"))
+            out.append(new)
+            ma = cut(ma.join(new.select("P", "a_id"), ["P", "a_id"], "left_anti"))
+            mb = cut(mb.join(new.select("Q", "b_id"), ["Q", "b_id"], "left_anti"))
+    return union_all([n.drop("P", "Q") for n in out]) if out else None
 
 
 def match_nearest_center(a: DataFrame, b: DataFrame, keys, max_dist) -> DataFrame:
@@ -245,10 +300,11 @@ def match_nearest_center(a: DataFrame, b: DataFrame, keys, max_dist) -> DataFram
     for k in keys:
         on = (F.col(f"l.{k}") == F.col(f"r.{k}")) & on
     pairs = sa.alias("l").join(sb.alias("r"), on).select(*out)
-    far = None if hot is None else _near_pairs(hot[0], hot[1], keys, dist).select(*out)
-    return greedy_pairs(
-        (pairs, far), keys, "a_id", "b_id", ["dist", "b_id"], ["dist", "a_id"], ["dist", "a_id", "b_id"]
+    taken = greedy_pairs(
+        (pairs, None), keys, "a_id", "b_id", ["dist", "b_id"], ["dist", "a_id"], ["dist", "a_id", "b_id"]
     )
+    far = None if hot is None else _nearest_rings(hot[0], hot[1], keys)
+    return taken if far is None else taken.unionByName(far.select(*taken.columns))
 
 
 def unmatched(side: DataFrame, pairs: DataFrame, keys, id_col: str) -> DataFrame:

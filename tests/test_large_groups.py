@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import loops
-from framelark.operators import matching, responses, scale, suppress, tracks
+from framelark.operators import evaluate, matching, responses, scale, suppress, tracks
 from framelark.sources import readers, writers
 
 SCHEMA = "image_id long, pred_id long, category_id int, confidence double, x1 double, y1 double, x2 double, y2 double"
@@ -89,6 +89,55 @@ def test_nearest_centers(spark, way):
     assert {(r["a_id"], r["b_id"]) for r in got} == loops.nearest_centers(a, b, 6.0)
 
 
+def test_nearest_centers_among_copies(spark, way):
+    """Spots with many members, some just as far from two others."""
+    rng = random.Random(5)
+    spots = [(0.0, 0.0), (3.0, 0.0), (6.0, 0.0), (6.0, 4.0), (40.0, 1.0), (-0.0, 0.5)]
+    a = [(i, *rng.choice(spots)) for i in range(40)]
+    b = [(100 + i, *rng.choice(spots[1:])) for i in range(30)]
+    mk = lambda rows: spark.createDataFrame([(1, *r) for r in rows], "g int, id long, cx double, cy double")
+    got = matching.match_nearest_center(mk(a), mk(b), ["g"], 6.0).collect()
+    assert {(r["a_id"], r["b_id"]) for r in got} == loops.nearest_centers(a, b, 6.0)
+
+
+def test_twenty_thousand_centers_on_one_spot(spark):
+    side = lambda n, first, x: spark.range(n).select(F.lit(1).alias("g"), (F.col("id") + first).alias("id"), F.lit(x).alias("cx"), F.lit(5.0).alias("cy"))
+    got = matching.match_nearest_center(side(20_000, 0, 5.0), side(15_000, 50_000, 6.0), ["g"], 8.0)
+    assert got.filter("b_id - a_id = 50000 and dist = 1").count() == got.count() == 15_000
+
+
+def same_rows(a, b):
+    key = lambda r: tuple(-1 if v is None else v for v in r)
+    assert sorted(map(key, a.collect())) == sorted(map(key, b.collect()))
+
+
+def test_precision_and_sweep_do_not_depend_on_the_limit(spark):
+    preds, gts = loops.random_boxes(120, 11), loops.random_boxes(100, 12)
+    preds += [(500 + i, 1, 0.3 + i % 7 / 10, (10.0, 10.0, 40.0, 40.0)) for i in range(25)]
+    gts += [(500 + i, 1, 0.0, (10.0 + i % 2, 10.0, 40.0, 40.0)) for i in range(20)]
+    p, g = table(spark, preds), table(spark, gts).withColumnRenamed("pred_id", "ann_id")
+    ways = []
+    for limit in (1000, 2):
+        spark.conf.set("framelark.foldRows", str(limit))
+        try:
+            ways.append((scale.cut(evaluate.average_precision(p, g)), scale.cut(evaluate.threshold_sweep(p, g, [0.2, 0.5], [0.3, 0.5, 0.75]))))
+        finally:
+            spark.conf.unset("framelark.foldRows")
+    (ap, sweep), (ap_hot, sweep_hot) = ways
+    same_rows(ap, ap_hot)
+    same_rows(sweep, sweep_hot)
+
+
+def test_fifty_thousand_copies_of_one_box(spark):
+    box = [F.lit(v).alias(c) for c, v in zip(("x1", "y1", "x2", "y2"), (0.0, 0.0, 10.0, 10.0))]
+    p = spark.range(50_000).select(F.lit(1).alias("image_id"), F.col("id").alias("pred_id"), F.lit(0).alias("category_id"), (F.col("id") % 10 / 10).alias("confidence"), *box)
+    g = spark.range(40_000).select(F.lit(1).alias("image_id"), F.col("id").alias("ann_id"), F.lit(0).alias("category_id"), *box)
+    row = evaluate.average_precision(p, g).first()
+    assert row["ap50"] == row["ap50_95"] == 1.0
+    got = {(r["min_conf"], r["tp"], r["fp"], r["fn"]) for r in evaluate.threshold_sweep(p, g, [0.0, 0.5], [0.5, 0.95]).collect()}
+    assert got == {(0.0, 40_000, 10_000, 0), (0.5, 25_000, 0, 15_000)}
+
+
 def test_running_and_ordinal(spark, way):
     rows = [(i % 2, (i * 37) % 101, float(i)) for i in range(100)]
     df = spark.createDataFrame(rows, "g int, k int, v double").repartition(5)
