@@ -447,8 +447,8 @@ def _fold_stretch(df, group, order, first, state_type, step, emit, emit_type):
 def exact_quantiles(df: DataFrame, group, value, qs) -> DataFrame:
     """Exact quantiles {name: q} per group with linear interpolation.
 
-    Spark's exact percentile keeps the distinct values of a group in one task, so oversized groups are
-    ranked in slices instead and only the rows at the wanted ranks are looked at.
+    Spark's exact percentile keeps the distinct values of a group in one task; in oversized groups the values at
+    the wanted ranks are found by counting instead.
     """
     group = list(group)
     df = df.filter(F.col(value).isNotNull())
@@ -456,11 +456,11 @@ def exact_quantiles(df: DataFrame, group, value, qs) -> DataFrame:
     out = small.groupBy(*group).agg(*[F.percentile(value, F.lit(q)).alias(n) for n, q in qs.items()])
     if big is None:
         return out
-    ranked = ordinal(big.select(*group, value), group, [value], "_pos")
-    n = ranked.groupBy(*group).agg((F.max("_pos") + 1).alias("_n"))
+    n = cut(big.groupBy(*group).agg(F.count("*").alias("_n"), F.min(value).alias("_lo"), F.max(value).alias("_hi")))
     at = lambda q: F.lit(float(q)) * (F.col("_n") - 1)
     wanted = F.array_distinct(F.concat(*[F.array(F.floor(at(q)), F.ceil(at(q))) for q in qs.values()]))
-    picks = n.withColumn("_pos", F.explode(wanted)).join(ranked, [*group, "_pos"])
+    picks = n.select(*group, "_n", F.explode(wanted).alias("_pos"), "_lo", "_hi", F.lit(0).cast("long").alias("_below"))
+    picks = values_at(big.select(*group, value), group, value, picks)
 
     def interpolated(q):
         low = F.max(F.when(F.col("_pos") == F.floor(at(q)), F.col(value)))
@@ -469,3 +469,33 @@ def exact_quantiles(df: DataFrame, group, value, qs) -> DataFrame:
         return (low + (high - low) * part).cast("double")
 
     return out.unionByName(picks.groupBy(*group).agg(*[interpolated(q).alias(n) for n, q in qs.items()]))
+
+
+BINS = 4096
+
+
+def values_at(rows: DataFrame, group, value, wanted: DataFrame) -> DataFrame:
+    """Values at given ranks by counting passes, without a sort: `wanted` with the column `value`.
+
+    wanted: group, _pos (rank from 0), _lo and _hi (bounds that occur), _below (rows under _lo), and any others. Each
+    pass counts the rows of the open interval of a rank in bins and goes on with the bin the rank is in, narrowed to
+    values that occur; it ends when both bounds are one value. The first and last value are in different bins, so
+    every pass narrows, by about BINS where values are spread.
+    """
+    group = list(group)
+    extra = [c for c in wanted.columns if c not in (*group, "_pos", "_lo", "_hi", "_below")]
+    still, done = cut(wanted), []
+    while True:
+        done.append(still.filter("_lo = _hi").select(*group, *extra, "_pos", F.col("_lo").alias(value)))
+        still = still.filter("_lo < _hi")
+        if still.isEmpty():
+            return union_all(done)
+        # A rank is a row here; of a group there are two for each quantile at most.
+        inside = rows.join(still, group).filter((F.col(value) >= F.col("_lo")) & (F.col(value) <= F.col("_hi")))
+        share = (F.col(value).cast("double") - F.col("_lo")) / (F.col("_hi").cast("double") - F.col("_lo"))
+        part = F.when(F.col(value) == F.col("_hi"), BINS - 1).otherwise(F.least(F.floor(share * BINS), F.lit(BINS - 2))).cast("int")
+        keys = [*group, *extra, "_pos", "_below"]
+        bins = inside.groupBy(*keys, part.alias("_bin")).agg(F.count("*").alias("_c"), F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+        upto = F.sum("_c").over(Window.partitionBy(*group, "_pos").orderBy("_bin"))
+        found = bins.withColumn("_upto", F.col("_below") + upto).filter("_upto > _pos and _upto - _c <= _pos")
+        still = cut(found.select(*group, *extra, "_pos", "_lo", "_hi", (F.col("_upto") - F.col("_c")).alias("_below")))

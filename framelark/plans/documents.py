@@ -10,10 +10,13 @@ from framelark.sources import readers, writers
 BOX = ["x1", "y1", "x2", "y2"]
 
 
-def _coco_docs(t):
+def _coco_parts(t):
     images = t.fx_image.withColumn("position", F.col("image_id"))
-    cats = t.region.select(F.col("r_regionkey").alias("category_id"), F.col("r_name").alias("name"))
-    return writers.coco_documents(images, t.fx_gt, cats)
+    return images, t.fx_gt, t.region.select(F.col("r_regionkey").alias("category_id"), F.col("r_name").alias("name"))
+
+
+def _coco_docs(t):
+    return writers.coco_documents(*_coco_parts(t))
 
 
 @query("read_coco", "SELECT ann_id, image_id, category_id, x1, y1, x2, y2 FROM fx_gt")
@@ -28,6 +31,23 @@ def _(t):
     return anns.join(images.select("shard", "image_id", "file_name"), ["shard", "image_id"]).select("ann_id", "image_id", "file_name")
 
 
+@query("coco_documents_sliced", "SELECT ann_id, image_id, file_name FROM fx_gt JOIN fx_image USING (image_id)")
+def _(t):
+    """Documents so small that most images are cut; every annotation still finds its image in its own."""
+    images, anns, cats = _coco_parts(t)
+    images, anns, _cats = readers.coco_tables(writers.coco_documents(images, anns, cats, rows_per_doc=2))
+    return anns.join(images.select("shard", "image_id", "file_name"), ["shard", "image_id"]).select("ann_id", "image_id", "file_name")
+
+
+@query("read_large_coco", "SELECT ann_id, image_id, category_id, x1, y1, x2, y2 FROM fx_gt")
+def _(t):
+    """Files of 20,000 images and annotations, each read by several tasks."""
+    spark = t.fx_gt.sparkSession
+    base = scratch_path(spark, "documents")
+    writers.write_coco(writers.coco_documents(*_coco_parts(t), rows_per_doc=20_000), base)
+    return readers.read_large_coco(spark, base)[1].select("ann_id", "image_id", "category_id", *BOX)
+
+
 @query("export_coco", """SELECT image_id, row_number() OVER (ORDER BY timestamp_ns, image_id) - 1 AS position FROM fx_image
     WHERE image_id % 50 <> 7""")
 def _(t):

@@ -11,15 +11,18 @@ from pyspark.sql import functions as F
 from framelark.functions import geometry as geo
 from framelark.functions import text
 from framelark.operators.frames import check_poses
+from framelark.operators.scale import cut, running_in_slices, slices
 
 # Fixed list of image suffixes.
 IMAGE_SUFFIXES = ("jpg", "jpeg", "png", "bmp", "tif", "tiff", "webp")
 
 # Fixed document shapes. Ids are read as text because some writers quote them.
-COCO = """images ARRAY<STRUCT<id:STRING,file_name:STRING,width:INT,height:INT,timestamp_ns:BIGINT,log_time_ns:BIGINT,frame_idx:BIGINT,side:STRING>>,
-annotations ARRAY<STRUCT<id:STRING,image_id:STRING,category_id:STRING,bbox:ARRAY<DOUBLE>,area:DOUBLE,iscrowd:INT,
-segmentation:ARRAY<ARRAY<DOUBLE>>,track_id:STRING,confidence:DOUBLE,source:STRING>>,
-categories ARRAY<STRUCT<id:STRING,name:STRING>>"""
+_PARTS = {
+    "images": "id:STRING,file_name:STRING,width:INT,height:INT,timestamp_ns:BIGINT,log_time_ns:BIGINT,frame_idx:BIGINT,side:STRING",
+    "annotations": "id:STRING,image_id:STRING,category_id:STRING,bbox:ARRAY<DOUBLE>,area:DOUBLE,iscrowd:INT,segmentation:ARRAY<ARRAY<DOUBLE>>,track_id:STRING,confidence:DOUBLE,source:STRING",
+    "categories": "id:STRING,name:STRING",
+}
+COCO = ", ".join(f"{part} ARRAY<STRUCT<{fields}>>" for part, fields in _PARTS.items())
 _PREDICTION = "image_id:STRING,class_id:INT,category_id:INT,bbox:ARRAY<DOUBLE>,bbox_2d:ARRAY<DOUBLE>,confidence:DOUBLE,score:DOUBLE,label:STRING"
 _LIST_KEYS = ("predictions", "results", "data", "bboxes", "parsed_output")
 
@@ -36,30 +39,113 @@ def coco_tables(docs: DataFrame, doc="doc"):
     if lost:
         raise ValueError("document lacks images, annotations or categories")
 
-    def rows(part, known):
-        got = parsed.select(*by, F.posexplode(F.arrays_zip(F.col(f"_d.{part}").alias("r"), F.col(f"_m.{part}").alias("m"))).alias("pos", "z"))
-        rest = F.map_filter("z.m", lambda k, v: ~k.isin(known))
-        return got.select(*by, "pos", "z.r.*", F.when(F.size(rest) > 0, rest).alias("extra"))
+    each = {part: parsed.select(*by, F.posexplode(F.arrays_zip(F.col(f"_d.{part}").alias("r"), F.col(f"_m.{part}").alias("m"))).alias("pos", "z")).select(*by, "pos", "z.r", "z.m")
+            for part in ("images", "annotations")}
+    each["categories"] = parsed.select(*by, F.posexplode("_d.categories").alias("pos", "r"))
+    return _tables(each, by)
 
-    images = rows("images", ["id", "file_name", "width", "height", "timestamp_ns", "log_time_ns", "frame_idx", "side"])
+
+def _tables(each, by):
+    """The tables of the elements of each part: by, pos, r (known fields) and m (all fields as text)."""
+
+    def rows(part):
+        known = [f.split(":")[0] for f in _PARTS[part].split(",")]
+        rest = F.map_filter("m", lambda k, v: ~k.isin(known))
+        return each[part].select(*by, "pos", "r.*", F.when(F.size(rest) > 0, rest).alias("extra"))
+
+    images = rows("images")
     images = images.withColumns({"id": F.col("id").cast("long"), "side": F.coalesce("side", F.lit("left"))}).withColumnRenamed("id", "image_id")
-    anns = rows("annotations", ["id", "image_id", "category_id", "bbox", "area", "iscrowd", "segmentation", "track_id", "confidence", "source"])
+    anns = rows("annotations")
     at = lambda i: F.get("bbox", F.lit(i))
     anns = anns.withColumns({
         "id": F.col("id").cast("long"), "image_id": F.col("image_id").cast("long"), "category_id": F.col("category_id").cast("int"),
         "track_id": text.as_int(F.col("track_id")), "x1": at(0), "y1": at(1), "x2": at(0) + at(2), "y2": at(1) + at(3),
     }).withColumnRenamed("id", "ann_id").drop("bbox")
-    cats = parsed.select(*by, F.posexplode("_d.categories").alias("pos", "c")).select(
-        *by, "pos", F.col("c.id").cast("int").alias("category_id"), F.col("c.name").alias("name"))
+    cats = each["categories"].select(*by, "pos", F.col("r.id").cast("int").alias("category_id"), F.col("r.name").alias("name"))
     return images, anns, cats
 
 
+def unite_images(images: DataFrame, by=()) -> DataFrame:
+    """One row per image of documents that repeat the entry of an image cut into slices."""
+    return images.dropDuplicates([*by, "image_id"])
+
+
 def read_coco(spark: SparkSession, path: str):
-    """COCO files (any number, one document each) to tables, with the path as `source`."""
+    """COCO files (any number, one document each, a document within a task) to tables, with the path as `source`."""
     docs = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("doc"))
     return coco_tables(docs)
 
 
+_MARKS = {"images": "\u0001", "annotations": "\u0002", "categories": "\u0003"}
+_OTHER_MARK = "\u0004"
+
+
+def _skeleton(value, inside):
+    """Brackets of a piece outside its strings, with a mark before the opening bracket that a key has; `inside` says that it begins in a string."""
+    bare = F.regexp_replace(value, r"(?s)\\.", "")
+    if inside:
+        bare = F.concat(F.lit('"'), bare)
+    for part, mark in _MARKS.items():
+        bare = F.regexp_replace(bare, rf'"{part}"\s*:\s*\[', f"{mark}[")
+    bare = F.regexp_replace(bare, r'"[^"]*"\s*:\s*([\[{])', f"{_OTHER_MARK}$1")
+    return F.regexp_replace(F.regexp_replace(bare, r'"[^"]*("|$)', ""), r"[^\[\]{\x01-\x04]", "")
+
+
+def _rise(skeleton):
+    """Opening less closing brackets."""
+    return F.length(F.translate(skeleton, "]" + "".join(_MARKS.values()) + _OTHER_MARK, "")) - F.length(F.regexp_replace(skeleton, r"[^\]]", ""))
+
+
+def _marks(skeleton):
+    """(mark, depth before it) of each mark of a skeleton, the depth counted from its start."""
+    parts = F.split(skeleton, r"(?=[\x01-\x04])")
+    found = F.transform(parts, lambda p, i: F.struct(F.substring(p, 1, 1).alias("mark"), F.aggregate(F.slice(parts, F.lit(1), i), F.lit(0), lambda n, q: n + _rise(q)).alias("depth")))
+    return F.filter(found, lambda m: m["mark"].isin(*_MARKS.values(), _OTHER_MARK))
+
+
+def read_large_coco(spark: SparkSession, path: str):
+    """`read_coco` for documents of any size: a document is read by as many tasks as its bytes make.
+
+    Text splits at closing braces, wherever a task's share begins. Running sums over the pieces of a document tell
+    which pieces begin inside a string and how deep each ends; a brace that closes at depth two of a known part
+    ends an element. Only the numbers of the pieces are sorted. Memory is bounded by one element.
+    """
+    value = F.col("value")
+    pieces = cut(spark.read.option("lineSep", "}").text(path).select(
+        F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"), "value"))
+    key, order = ["source"], ["block", "seq"]
+    quotes = F.regexp_count(F.regexp_replace(value, r"(?s)\\.", ""), F.lit('"'))
+    out, within = _skeleton(value, False), _skeleton(value, True)
+    numbers = pieces.select(*key, *order, quotes.cast("long").alias("quotes"), *[x.alias(n) for s, m in ((out, "o"), (within, "w")) for x, n in ((_rise(s), f"rise_{m}"), (_marks(s), f"marks_{m}"))])
+    n = slices(numbers, key, order)
+    n = running_in_slices(n, key, order, {"place": ("sum", F.lit(1).cast("long")), "upto": ("sum", F.col("quotes"))})
+    inside = (F.col("upto") - F.col("quotes")) % 2 == 1
+    closes = (F.col("upto") % 2 == 0).cast("long")  # the brace a piece ends at counts unless it is in a string
+    n = n.withColumns({"rise": F.when(inside, F.col("rise_w")).otherwise(F.col("rise_o")) - closes, "closes": closes, "marks": F.when(inside, F.col("marks_w")).otherwise(F.col("marks_o"))})
+    n = running_in_slices(n.drop("rise_o", "rise_w", "marks_o", "marks_w", "quotes", "upto"), key, order, {"depth": ("sum", F.col("rise"))})
+    top = F.filter("marks", lambda m: m["depth"] + F.col("depth") - F.col("rise") == 1)
+    n = n.withColumns({"mark": F.when(F.size(top) > 0, F.struct("place", F.element_at(top, -1)["mark"].alias("mark"))), "seen": top["mark"], "ends": F.col("closes") * (F.col("depth") == 2).cast("long")})
+    n = running_in_slices(n.drop("marks", "rise"), key, order, {"part": ("max", F.col("mark")), "element": ("sum", F.col("ends"))})
+    n = cut(n.select(*key, *order, "place", "seen", F.col("mark").isNotNull().alias("opens"), F.col("part.mark").alias("part"), (F.col("element") - F.col("ends")).alias("element"), "ends", "depth"))
+    have = n.select("source", F.explode("seen").alias("m")).groupBy("source").agg(F.count_distinct(F.when(F.col("m") != _OTHER_MARK, F.col("m"))).alias("parts"))
+    lost = n.select("source").distinct().join(have, "source", "left").filter(F.coalesce("parts", F.lit(0)) < len(_MARKS)).take(1)
+    if lost:
+        raise ValueError("document lacks images, annotations or categories")
+    ended = n.groupBy(*key, "element").agg(F.max("ends").alias("whole"), F.max_by("part", "place").alias("part"))
+    ended = ended.filter(F.col("whole") == 1).filter(F.col("part").isin(*_MARKS.values())).drop("whole")
+    ended = ended.join(ended.groupBy(*key, "part").agg(F.min("element").alias("_first")), [*key, "part"]).withColumn("pos", (F.col("element") - F.col("_first")).cast("int"))
+    mine = n.select(*key, *order, "place", "element").join(ended.select(*key, "element", "part", "pos"), [*key, "element"])
+    texts = mine.join(pieces, [*key, *order]).groupBy(*key, "part", "pos").agg(F.array_sort(F.collect_list(F.struct("place", "value"))).alias("v"))
+    texts = texts.withColumn("body", F.concat(F.array_join("v.value", "}"), F.lit("}")))
+    each = {}
+    for part, mark in _MARKS.items():
+        body = F.regexp_replace("body", r"(?s)^\s*,\s*", "")
+        body = F.when(F.col("pos") == 0, F.regexp_replace("body", rf'(?s)^.*?"{part}"\s*:\s*\[\s*', "")).otherwise(body)
+        rows = texts.filter(F.col("part") == mark).select("source", "pos", body.alias("body"))
+        each[part] = rows.select("source", "pos", F.from_json("body", f"STRUCT<{_PARTS[part]}>").alias("r"), F.from_json("body", "MAP<STRING,STRING>").alias("m"))
+    return _tables(each, ["source"])
+
+
 def label_lines(files: DataFrame, body="body") -> DataFrame:
     """Lines of label texts: stem, line_num from 1; blank lines are skipped but counted."""
     lines = files.select("stem", F.posexplode(F.split(body, "\r?\n")).alias("_i", "line"))

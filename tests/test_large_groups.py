@@ -280,10 +280,70 @@ def test_documents_stand_alone(spark):
     anns = spark.createDataFrame(rows, "ann_id long, image_id long, category_id int, x1 double, y1 double, x2 double, y2 double")
     docs = writers.coco_documents(images, anns, spark.createDataFrame([(0, "c")], "category_id int, name string"), rows_per_doc=50)
     im, an, _ = readers.coco_tables(docs)
-    assert im.count() == 300 and docs.count() > 10
+    assert readers.unite_images(im).count() == 300 and docs.count() > 10
     assert an.join(im.select("shard", "image_id"), ["shard", "image_id"]).count() == len(rows)
 
 
+def test_an_image_with_most_annotations_is_cut_into_documents(spark, tiny_limits):
+    images = spark.createDataFrame([(i, f"{i}.png", i) for i in range(40)], "image_id long, file_name string, position long")
+    rows = [(k, 7 if k % 3 else k % 40, 0, 0.0, 0.0, 5.0, 5.0) for k in range(900)]
+    anns = spark.createDataFrame(rows, "ann_id long, image_id long, category_id int, x1 double, y1 double, x2 double, y2 double")
+    seen = images.select("image_id").filter("image_id in (7, 9)")
+    docs = writers.coco_documents(images, anns, spark.createDataFrame([(0, "c")], "category_id int, name string"), 50, seen)
+    im, an, ca = (scale.cut(d) for d in readers.coco_tables(docs))
+    assert an.groupBy("shard").count().agg(F.max("count")).first()[0] <= 100 and ca.count() == docs.count() > 12
+    assert sorted(r[0] for r in an.select("ann_id").collect()) == [r[0] for r in rows]
+    assert an.join(im.select("shard", "image_id"), ["shard", "image_id"]).count() == len(rows)
+    assert readers.unite_images(im).count() == 40
+    mark = [r for r in docs.collect() if '"annotated_image_ids":[7' in r["doc"]]
+    assert len(mark) == im.filter("image_id = 7").count() > 5
+
+
+def test_large_documents_are_read_in_parts(spark, tmp_path):
+    """Strings with braces and quotes, nested objects, parts in any order, against the reader of whole documents."""
+    import json
+
+    rng = random.Random(3)
+    odd = ['a}b', '{"images": [', '\\', '"', '\\"}', "é{[", "]}", '"annotations": [{', ""]
+    images = [{"id": str(i) if i % 2 else i, "file_name": rng.choice(odd) + f"{i}.png", "width": i, "note": {"images": [{"x": rng.choice(odd)}], "deep": {"a": {"b": 1}}}} for i in range(150)]
+    anns = [{"image_id": rng.randrange(150), "id": i, "category_id": 1, "bbox": [1, 2.5, 3, 4], "segmentation": [[1, 2, 3, 4, 5, 6]], "track_id": "7", "source": rng.choice(odd), "categories": [{"q": 1}], "more": rng.choice(odd)} for i in range(400)]
+    cats = [{"id": 1, "name": "c}"}, {"name": "d", "id": 2}]
+    info = {"images": {"a": [{"b": {}}]}, "annotations": [{"x": 1}, {"y": {"z": []}}], "text": rng.choice(odd)}
+    docs = [
+        json.dumps({"info": info, "images": images, "annotations": anns, "categories": cats, "licenses": [{"id": 9, "url": {"u": 1}}]}),
+        json.dumps({"licenses": [], "categories": cats, "annotations": anns[:50], "extra": {"a": {"b": {"c": 1}}}, "images": images[:3]}, indent=2),
+        json.dumps({"annotations": [], "images": [], "categories": []}),
+        json.dumps({"images": images[:1], "annotations": [], "info": info, "categories": []}, separators=(",", ":"), ensure_ascii=False),
+    ]
+    for i, d in enumerate(docs):
+        (tmp_path / f"{i}.json").write_text(d, encoding="utf-8")
+    whole = readers.read_coco(spark, str(tmp_path))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        # The path and a field of annotations are both called source.
+        plain = lambda d: d.toDF(*[f"c{i}" for i in range(len(d.columns))])
+        parts = [scale.cut(plain(t)) for t in readers.read_large_coco(spark, str(tmp_path))]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    for a, b in zip(map(plain, whole), parts):
+        text = lambda d: d.select(*[F.to_json(F.map_from_entries(F.array_sort(F.map_entries(c)))).alias(c) if t.startswith("map") else F.col(c) for c, t in d.dtypes])
+        assert sorted(map(str, text(a).collect())) == sorted(map(str, text(b).collect()))
+    (tmp_path / "bad.json").write_text('{"images": [{"id": 1}], "note": {"annotations": []}, "categories": []}')
+    with pytest.raises(ValueError):
+        readers.read_large_coco(spark, str(tmp_path))
+
+
+def test_ranks_by_counting(spark):
+    vals = [0.0] * 500 + [1e9, 1e9 + 1] + [i / 7 for i in range(300)] + [-5.0] * 3
+    df = spark.createDataFrame([(1, v) for v in vals] + [(2, 4.0)] * 9, "g int, v double")
+    n = df.groupBy("g").agg(F.count("*").alias("n"), F.min("v").alias("_lo"), F.max("v").alias("_hi"))
+    wanted = n.select("g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(8).cast("long"))).alias("_pos"), "_lo", "_hi", F.lit(0).cast("long").alias("_below"))
+    got = {(r["g"], r["_pos"]): r["v"] for r in scale.values_at(df, ["g"], "v", wanted).collect()}
+    want = {1: sorted(vals), 2: [4.0] * 9}
+    assert got == {(g, p): vs[p] for g, vs in want.items() for p in range(0, len(vs), 8)}
+
+
 def test_label_files(spark, tmp_path):
     rows = [("train", "a", 2, "0 b"), ("train", "a", 1, "0 a"), ("val", "empty", None, None), ("val", "c", 5, "1 c")]
     files = writers.write_label_files(spark.createDataFrame(rows, "split string, stem string, ann_id long, line string"), str(tmp_path))
