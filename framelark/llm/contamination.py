@@ -1,22 +1,29 @@
-"""Benchmark items in training documents: word pairs as seeds, then Smith-Waterman alignment.
+"""Benchmark items in training documents: rare word pairs as seeds of a join, then Smith-Waterman alignment.
 
-Words are runs of letters and digits in lower case. One pass over the documents looks up every two words that
-stand one or two places apart among those of the items. A stretch of a document is aligned with an item where
-it has as many of the item's pairs as an alignment of score enough must have, and as many of its words; what
-these bounds leave out cannot reach the score. The items are held by every task in blocks of bounded size, so
-a benchmark of any size works, and the result for a document depends on no other document.
+Words are runs of letters and digits in lower case. In an alignment of score s or more with an item of L words, m
+matches cost at most 2m - 2sL in words that were replaced, added or left out. So it spans at most (3 - 2s)L words,
+m is sL or more, and of the m - 1 steps from match to match at least sL - 1 have one such word at most: both sides
+go on by one word or two. An item is therefore looked for by the pairs of words one and two places apart, and as
+sL - 1 of its L - 1 starts of pairs must be hit, those of all but sL - 2 starts are enough: the rarest ones, by how
+many items hold them, are its seeds. No alignment is lost by that, whatever the frequency of a pair.
+
+One pass over the documents emits the places of seeds, through a bitmap of bounded size; they join the items in
+Spark, so a common pair costs nothing where a rarer one decides. The stretches around the places of a document are
+then aligned with the item if they hold enough of all its pairs and words. The result for a document depends on
+no other document.
 """
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framelark.llm import common
 
 MIN_SCORE = 0.5  # of the alignment of an item with itself
-BLOCK_CHARS = 16_000_000  # text of the items a task holds at a time
-KEPT_ITEMS = 10_000  # whose word numbers a task keeps
+PLACES = 256  # places of a document that count as one block in the join
+BITMAP_BITS = 27  # the bitmap of seeds has at most 2**27 bits, 16 MB
+BROADCAST_BYTES = 32 << 20  # of candidates (places and item texts) that may be broadcast
 MATCH, OTHER, GAP = 2, -1, -1
 _SLACK = 1e-9  # of products with the score
 _TO_SPACE = bytes(c if c >= 0x80 or chr(c).isalnum() else 32 for c in range(256)).lower()
@@ -53,137 +60,192 @@ def align(passage, item):
     return top / (MATCH * len(q)), end - size, end
 
 
-class _Index:
-    """Word pairs of a block of items, and the items of each.
+def _pairs(h):
+    """Hashes of the words one and two places apart, at the place of the first."""
+    return [common.mixed(h[:-d] * common.ODD + h[d:]) if len(h) > d else h[:0] for d in (1, 2)]
 
-    In an alignment of score s or more with an item of L words, m matches cost at most 2m - 2sL in words that
-    were replaced, added or left out. So it spans at most (3 - 2s)L words, m is sL or more, and of the m - 1 steps
-    from match to match at least sL - 1 have one such word at most: both sides go on by one word or two. Items
-    are looked for by these pairs, and where sL - 1 is not positive by single words. No pair is left out.
-    """
 
-    def __init__(self, items: pa.Table, min_score):
-        self.ids, self.texts = items.column("item_id").combine_chunks(), [t.encode() for t in items.column("text").to_pylist()]
-        sizes, keys, owners = [], [], []
-        for i, t in enumerate(self.texts):
-            h = common.word_hashes(words_of(t))
-            sizes.append(len(h))
-            keys.append(np.unique(np.concatenate(_pairs(h)) if min_score * len(h) - 1 > _SLACK else h))
-            owners.append(np.full(len(keys[-1]), i))
-        share = min_score * np.array(sizes)
-        self.single = bool((share - 1 <= _SLACK).any())
-        self.sizes, self.least = np.array(sizes), np.maximum(np.ceil(share - _SLACK), 1).astype(int)  # matches
-        self.seeds = np.where(share - 1 > _SLACK, np.ceil(share - 1 - _SLACK), self.least).astype(int)
-        self.spans = np.floor((3 - 2 * min_score) * self.sizes + _SLACK).astype(int)
-        key, owner = np.concatenate(keys), np.concatenate(owners)
-        order = np.argsort(key, kind="stable")
-        self.known, first = np.unique(key[order], return_index=True)
-        self.first, self.owner = np.r_[first, len(order)], owner[order]
-        self.flags = np.zeros(1 << max(16, 16 * len(self.known)).bit_length(), bool)
-        self.flags[self.known & np.uint64(len(self.flags) - 1)] = True
-
-    def _hits(self, h):
-        """(places, items): each place once for an item."""
-        at, which = [], []
-        for g in (*_pairs(h), *[h] * self.single):
-            x = np.flatnonzero(self.flags[g & np.uint64(len(self.flags) - 1)])
-            i = np.minimum(np.searchsorted(self.known, g[x]), len(self.known) - 1)
-            ok = self.known[i] == g[x]
-            at.append(x[ok])
-            which.append(i[ok])
-        at, which = np.concatenate(at), np.concatenate(which)
-        many = self.first[which + 1] - self.first[which]
-        place = np.repeat(self.first[which] - np.cumsum(many) + many, many) + np.arange(many.sum())
-        both = np.unique(self.owner[place] * np.int64(len(h) + 1) + np.repeat(at, many))
-        return both % (len(h) + 1), both // (len(h) + 1)
-
-    def windows(self, h):
-        """(item, start, end): stretches that hold every alignment of score enough."""
-        if not len(h) or not len(self.known):
-            return
-        at, item = self._hits(h)
-        if not len(at):
-            return
-        last = np.arange(len(at)) + self.seeds[item] - 1
+class _Item:
+    """What an alignment of score enough must hold of an item."""
+
+    def __init__(self, text: bytes, min_score):
+        self.words = words_of(text)
+        self.hashes = common.word_hashes(self.words)
+        size, share = len(self.words), min_score * len(self.words)
+        self.single = share - 1 <= _SLACK  # so short that words are looked for, not pairs
+        self.least = max(int(np.ceil(share - _SLACK)), 1)  # matches
+        self.need = self.least if self.single else int(np.ceil(share - 1 - _SLACK))  # starts of pairs, or words
+        self.span = int(np.floor((3 - 2 * min_score) * size + _SLACK))
+        self.keys = np.unique(np.concatenate(self.parts(self.hashes)))
+        self.number = {}
+        self.numbers = [self.number.setdefault(w, len(self.number)) for w in self.words]
+        self.often = np.bincount(self.numbers) if size else np.zeros(0, int)
+
+    def parts(self, h):
+        return [h] if self.single else _pairs(h)
+
+    def starts(self):
+        """(place, key) of every start, and how many of the rarest places are enough."""
+        parts = self.parts(self.hashes)
+        place = np.concatenate([np.arange(len(p)) for p in parts])
+        many = len(self.words) - (not self.single)
+        return place, np.concatenate(parts), many - self.need + 1
+
+    def stretches(self, h):
+        """[start, end) of the parts of a document that hold every alignment of score enough."""
+        hit = np.zeros(len(h), bool)
+        for p in self.parts(h):
+            hit[: len(p)] |= np.isin(p, self.keys)
+        at = np.flatnonzero(hit)
+        last = np.arange(len(at)) + self.need - 1
         ok = last < len(at)
-        ok[ok] = (item[last[ok]] == item[ok]) & (at[last[ok]] - at[ok] <= self.spans[item[ok]])
-        item, low, high = item[ok], at[last[ok]] - self.spans[item[ok]], at[ok] + self.spans[item[ok]] + 1
-        if not len(item):
+        ok[ok] = at[last[ok]] - at[ok] <= self.span
+        low, high = at[last[ok]] - self.span, at[ok] + self.span + 1
+        if not len(low):
             return
-        new = np.flatnonzero(np.r_[True, (item[1:] != item[:-1]) | (low[1:] > high[:-1])])
-        for a, z in zip(new, np.r_[new[1:], len(item)], strict=True):
-            yield int(item[a]), max(0, int(low[a])), min(len(h), int(high[z - 1]))
+        new = np.flatnonzero(np.r_[True, low[1:] > high[:-1]])
+        for a, z in zip(new, np.r_[new[1:], len(low)], strict=True):
+            yield max(0, int(low[a])), min(len(h), int(high[z - 1]))
 
+    def best(self, words, min_score):
+        """(score, start, end) of the best alignment with a stretch of a document, or None."""
+        found = None
+        for start, end in self.stretches(common.word_hashes(words)):
+            p = np.array([self.number.get(w, -1) for w in words[start:end]])
+            # No alignment matches more words than both sides share.
+            if np.minimum(np.bincount(p + 1, minlength=len(self.often) + 1)[1:], self.often).sum() < self.least:
+                continue
+            score, s, e = align(p, self.numbers)
+            if score >= min_score and (found is None or (score, -start - s) > (found[0], -found[1])):
+                found = score, start + s, start + e
+        return found
 
-def _pairs(h):
-    """Hashes of the words one and two places apart, at the place of the first."""
-    return [common.mixed(h[:-d] * common.ODD + h[d:]) if len(h) > d else h[:0] for d in (1, 2)]
+
+def _starts(min_score):
+    def run(batches):
+        for b in common.blocks(batches):
+            of, places, keys, rest, single = [], [], [], [], []
+            for i, text in enumerate(common.raw(b.column("text"))):
+                item = _Item(text, min_score)
+                if item.words:
+                    place, key, enough = item.starts()
+                    of.append(np.full(len(key), i))
+                    places.append(place)
+                    keys.append(key.view(np.int64))
+                    rest.append(np.full(len(key), enough))
+                    single.append(np.full(len(key), item.single))
+            if of:
+                yield pa.RecordBatch.from_arrays([b.column("item").take(pa.array(np.concatenate(of))), *(pa.array(np.concatenate(x).astype(np.int64)) for x in (places, keys, rest)), pa.array(np.concatenate(single))],
+                                                 ["item", "place", "key", "enough", "single"])
+
+    return run
+
+
+def _seeds(items: DataFrame, min_score):
+    """((item, key): the keys of the rarest starts of each item, as many as its score needs; whether single words are among them)."""
+    starts = common.cut(items.select("item", "text").mapInArrow(_starts(min_score), "item bigint, place bigint, key bigint, enough bigint, single boolean"))
+    held = starts.select("key", "item").distinct().groupBy("key").agg(F.count("*").alias("n"))
+    rare = starts.join(held, "key").groupBy("item", "place", "enough").agg(F.sum("n").alias("n"), F.collect_set("key").alias("keys"))
+    turn = F.row_number().over(Window.partitionBy("item").orderBy("n", "place"))
+    kept = rare.withColumn("turn", turn).filter("turn <= enough")
+    return common.cut(kept.select("item", F.explode("keys").alias("key")).distinct()), not starts.filter("single").isEmpty()
 
 
-def _scores(index, min_score):
+def _bitmap(seeds: DataFrame) -> np.ndarray:
+    """A bit for each hash that a seed may have; its size follows the number of seeds, up to the bound."""
+    bits = min(BITMAP_BITS, max(16, (16 * max(1, seeds.count())).bit_length()))
+    slot = F.col("key").bitwiseAND(F.lit((1 << bits) - 1))
+    words = seeds.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits")).toArrow()
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    out[words.column("at").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def _places(bitmap, singles):
+    """(doc_id, version, key, block) of the places of a document that may be seeds; each key once for a block."""
+
     def run(batches):
-        numbers = {}
+        known, mask = bitmap.value, np.uint64(len(bitmap.value) * 64 - 1)
         for b in common.blocks(batches):
-            rows, items, scores, starts, ends = [], [], [], [], []
+            of, keys, blocks = [], [], []
             for i, text in enumerate(common.raw(b.column("text"))):
-                words = words_of(text)
-                best = {}
-                for k, start, end in index.windows(common.word_hashes(words)):
-                    if k not in numbers:
-                        if len(numbers) >= KEPT_ITEMS:
-                            numbers.clear()
-                        number = {}
-                        item = [number.setdefault(w, len(number)) for w in words_of(index.texts[k])]
-                        numbers[k] = number, item, np.bincount(item)
-                    number, item, often = numbers[k]
-                    p = np.array([number.get(w, -1) for w in words[start:end]])
-                    # No alignment matches more words than both sides share.
-                    if np.minimum(np.bincount(p + 1, minlength=len(often) + 1)[1:], often).sum() < index.least[k]:
-                        continue
-                    score, s, e = align(p, item)
-                    if score >= min_score:
-                        best[k] = max(best.get(k, (0.0, 0, 0)), (score, -start - s, start + e))
-                for k, (score, back, end) in best.items():
+                h = common.word_hashes(words_of(text))
+                for g in (*_pairs(h), *[h] * singles):
+                    slot = g & mask
+                    at = np.flatnonzero(known[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1))
+                    if len(at):
+                        both = np.unique(np.stack([g[at].view(np.int64), at // PLACES]), axis=1)
+                        of.append(np.full(both.shape[1], i))
+                        keys.append(both[0])
+                        blocks.append(both[1])
+            if of:
+                rows = pa.array(np.concatenate(of))
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(rows), b.column("version").take(rows), pa.array(np.concatenate(keys)), pa.array(np.concatenate(blocks))], ["doc_id", "version", "key", "block"])
+
+    return run
+
+
+def _aligned(min_score):
+    """Rows (doc_id, version, text, item_id, item_text, blocks) to (doc_id, version, item_id, score, first_word, end_word)."""
+
+    def run(batches):
+        last, words, items = None, [], {}
+        for b in common.blocks(batches):
+            rows, found = [], []
+            texts, of, lists = common.raw(b.column("text")), common.raw(b.column("item_text")), b.column("blocks").to_pylist()
+            for i, (text, item_text, blocks) in enumerate(zip(texts, of, lists, strict=True)):
+                if text != last:
+                    last, words = text, words_of(text)
+                if item_text not in items:
+                    if len(items) >= 1000:
+                        items.clear()
+                    items[item_text] = _Item(item_text, min_score)
+                item = items[item_text]
+                # Stretches around the blocks, merged where they meet.
+                best, low, high = None, None, None
+                for k in [*sorted(blocks), None]:
+                    start = None if k is None else max(0, k * PLACES - item.span)
+                    if high is not None and (k is None or start > high):
+                        hit = item.best(words[low:high], min_score)
+                        if hit and (best is None or hit[0] > best[0]):
+                            best = hit[0], low + hit[1], low + hit[2]
+                        low = high = None
+                    if k is not None:
+                        low, high = start if low is None else low, (k + 1) * PLACES + item.span + 2
+                if best:
                     rows.append(i)
-                    items.append(k)
-                    scores.append(score)
-                    starts.append(-back)
-                    ends.append(end)
-            at, of = pa.array(rows, pa.int64()), pa.array(items, pa.int64())
+                    found.append(best)
+            at = pa.array(rows, pa.int64())
+            score, start, end = zip(*found, strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").take(at), b.column("version").take(at), index.ids.take(of), pa.array(scores, pa.float64()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())],
+                [b.column("doc_id").take(at), b.column("version").take(at), b.column("item_id").take(at), pa.array(score, pa.float64()), pa.array(start, pa.int64()), pa.array(end, pa.int64())],
                 ["doc_id", "version", "item_id", "score", "first_word", "end_word"])
 
     return run
 
 
-def _blocks(items: DataFrame, block_chars):
-    total = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
-    many = -(-total // block_chars)
-    for i in range(many):
-        yield items if many == 1 else items.filter(F.pmod("item", F.lit(many)) == i)
-
-
-def _found(docs, items, id_col, text_col, min_score, block_chars) -> DataFrame:
+def _found(docs, items, id_col, text_col, min_score) -> DataFrame:
     rows = common.columns(docs, doc_id=id_col, text=text_col).filter("text is not null").withColumn("version", F.xxhash64("text"))
     kind = dict(rows.dtypes)["doc_id"]
     items = common.columns(items, item_id="item_id", text="text").filter("text is not null")
     item_kind = dict(items.dtypes)["item_id"]
     # An item is known by its id and text, so ids may repeat or be null.
     items = common.cut(items.withColumn("item", F.xxhash64("item_id", "text")).dropDuplicates(["item"]))
-    out = None
-    for block in _blocks(items, block_chars):
-        index = _Index(block.select("item_id", "text").toArrow(), min_score)
-        schema = f"doc_id {kind}, version bigint, item_id {item_kind}, score double, first_word bigint, end_word bigint"
-        scored = rows.mapInArrow(_scores(index, min_score), schema)
-        out = scored if out is None else out.unionByName(scored)
-    if out is None:
-        return docs.sparkSession.createDataFrame([], f"doc_id {kind}, version bigint, item_id {item_kind}, score double, first_word bigint, last_word bigint")
+    seeds, singles = _seeds(items, min_score)
+    bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(seeds))
+    hits = rows.mapInArrow(_places(bitmap, int(singles)), f"doc_id {kind}, version bigint, key bigint, block bigint")
+    met = hits.join(seeds, "key").groupBy("doc_id", "version", "item").agg(F.collect_set("block").alias("blocks"))
+    pairs = common.cut(met.join(items.select("item", "item_id", F.col("text").alias("item_text")), "item").withColumnsRenamed({"doc_id": "_doc", "version": "_version"}).drop("item"))
+    size = pairs.agg(F.sum(F.octet_length("item_text") + 8 * F.size("blocks") + 32).alias("n")).first()["n"] or 0
+    pairs = F.broadcast(pairs) if size <= BROADCAST_BYTES else pairs
+    same = rows["doc_id"].eqNullSafe(F.col("_doc")) & (rows["version"] == F.col("_version"))
+    wanted = rows.join(pairs, same).select("doc_id", "version", "text", "item_id", "item_text", "blocks")
+    out = wanted.mapInArrow(_aligned(min_score), f"doc_id {kind}, version bigint, item_id {item_kind}, score double, first_word bigint, end_word bigint")
     best = out.groupBy("doc_id", "version", "item_id").agg(F.max(F.struct("score", (-F.col("first_word")).alias("back"), "end_word")).alias("b"))
     return best.select("doc_id", "version", "item_id", F.round("b.score", 6).alias("score"), (-F.col("b.back")).alias("first_word"), (F.col("b.end_word") - 1).alias("last_word"))
 
 
-def contaminated(docs: DataFrame, items: DataFrame, id_col="doc_id", text_col="text", min_score=MIN_SCORE, block_chars=BLOCK_CHARS) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, id_col="doc_id", text_col="text", min_score=MIN_SCORE) -> DataFrame:
     """(doc_id, item_id, score, first_word, last_word) of documents that hold an item, whole or edited.
 
     items: columns item_id and text. The score is that of the best local alignment, as a share of the score
@@ -191,12 +253,12 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col="doc_id", text_col="t
     word, match nothing. A row without doc_id is reported with a null doc_id; rows that repeat a doc_id
     with the same text are one, with another text they are reported apart. Empty tables give an empty one.
     """
-    return _found(docs, items, id_col, text_col, min_score, block_chars).drop("version")
+    return _found(docs, items, id_col, text_col, min_score).drop("version")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col="doc_id", text_col="text", min_score=MIN_SCORE) -> DataFrame:
     """The rows of `docs` that hold no item, columns as they are."""
-    found = _found(docs, items, id_col, text_col, min_score, BLOCK_CHARS)
+    found = _found(docs, items, id_col, text_col, min_score)
     found = found.select(F.col("doc_id").alias("_held_id"), F.col("version").alias("_held_version")).distinct()
     same = docs[id_col].eqNullSafe(found["_held_id"]) & (F.xxhash64(docs[text_col]) == found["_held_version"])
     return docs.join(found, same, "left_anti")
