@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from framelark.operators.scale import cut, scratch_path
+from framelark.operators.scale import cut, ordinal, scratch_path
 from framelark.plans.datasets import canonical_sql
 from framelark.plans.motion import _CANDS
 from framelark.plans.projections import _CLASSES
@@ -23,6 +23,24 @@ def _(t):
     return spark.read.parquet(f"{base}/out").select("image_id", "label", "x1", "y1", "x2", "y2")
 
 
+@query("stream_vlm_annotations", recursive=True)
+def _(t):
+    """Two files in order of name; ids go on from one to the next, so the rows are those of the batch conversion."""
+    rows = t.fx_vlm.join(t.fx_image.select("image_id", "file_name"), "image_id").select("file_name", F.lit(100).alias("width"), F.lit(80).alias("height"), "response")
+    rows = cut(ordinal(rows, [], ["file_name"], "_at"))
+    share, base, spark = -(-rows.count() // 2), scratch_path(rows.sparkSession, "annotations"), rows.sparkSession
+    for i in range(2):
+        rows.filter(F.floor(F.col("_at") / share) == i).drop("_at").coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = spark.readStream.schema(rows.drop("_at").schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    ingest.ingest_annotations(stream, base).awaitTermination()
+    anns, images = spark.read.parquet(f"{base}/annotations"), spark.read.parquet(f"{base}/images")
+    return anns.join(images.select("image_id", "frame_idx"), "image_id").select("ann_id", "image_id", "category_id", "frame_idx", "x", "y", "w", "h")
+
+
+# As with the conversion at once.
+ORACLES["stream_vlm_annotations"] = ORACLES["vlm_to_annotations"]
+
+
 @query("stream_propagate", recursive=True)
 def _(t):
     """The candidates of a frame come in three batches, mixed with those of other frames, its mark after them."""

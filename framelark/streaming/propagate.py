@@ -11,29 +11,11 @@ from pyspark.sql import functions as F
 
 from framelark.operators.scale import cut
 from framelark.operators.tracks import BOX, propagate_chain
+from framelark.streaming.state import BatchState
 
 ORIGIN = [f"s{c}" for c in BOX]
 
 
-class _State:
-    """The tables a batch leaves for the next one, a folder per batch."""
-
-    def __init__(self, spark, base):
-        self.spark, self.base = spark, base
-
-    def read(self, number, name, schema):
-        return self.spark.read.schema(schema).parquet(f"{self.base}/state/{number}/{name}")
-
-    def write(self, number, **tables):
-        for name, df in tables.items():
-            df.write.mode("overwrite").parquet(f"{self.base}/state/{number}/{name}")
-
-    def forget(self, number):
-        context = self.spark.sparkContext
-        at = context._jvm.org.apache.hadoop.fs.Path(f"{self.base}/state/{number}")
-        at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def _first_frontier(seeds, key):
     return seeds.select(key, "seed_id", F.col("frame_idx").cast("long").alias("frame_idx"), *[F.col(c).cast("double").alias(c) for c in BOX], *[F.col(c).cast("double").alias(o) for c, o in zip(BOX, ORIGIN)])
 
@@ -61,7 +43,7 @@ def propagate(stream: DataFrame, seeds: DataFrame, base: str, key="video_id", la
     and replaces what an earlier attempt at it left, so each row counts once however often the job restarts.
     """
     spark = stream.sparkSession
-    state = _State(spark, base)
+    state = BatchState(spark, base)
     first = _first_frontier(seeds, key)
     kind = first.schema[key].dataType.simpleString()
     cand = f"{key} {kind}, frame_idx long, cand_id {stream.schema['cand_id'].dataType.simpleString()}, " + ", ".join(f"{c} double" for c in BOX)

@@ -5,7 +5,8 @@ import random
 
 import loops
 import pytest
-from framelark.streaming import propagate
+from framelark.operators import convert
+from framelark.streaming import ingest, propagate
 
 SCHEMA = "video_id long, frame_idx long, cand_id long, x1 double, y1 double, x2 double, y2 double"
 
@@ -105,3 +106,22 @@ def test_a_closed_frame_without_candidates_loses_the_seed(spark, tmp_path):
     run_of = lambda: run(spark, base, [(1, 7, 0, *box)])
     assert run_of() == set() and os.path.exists(f"{base}/state/1")
     assert spark.read.parquet(f"{base}/state/1/waiting").count() == 0
+
+
+def test_annotation_ids_go_on_over_batches_and_restarts(spark, tmp_path):
+    rng = random.Random(2)
+    names = ["cat", "dog", "cow", "bird", "fish"]
+    rows = []
+    for i in range(12):
+        dets = [{"label": rng.choice(names[: 1 + i // 2][-3:] or names), "bbox_2d": [1, 2, rng.randrange(1, 40), 30]} for _ in range(rng.randrange(4))]
+        rows.append((f"{100 + i}.jpg", 50, 40, "no json" if i % 5 == 4 else str(dets).replace("'", '"')))
+    schema, base = "file_name string, width int, height int, response string", str(tmp_path)
+    for i in range(0, 12, 3):
+        spark.createDataFrame(rows[i : i + 3], schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        if i in (3, 9):  # the job ends and starts again
+            stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+            ingest.ingest_annotations(stream, base).awaitTermination()
+    want = convert.vlm_to_annotations(spark.createDataFrame(rows, schema))
+    for name, table in zip(("images", "annotations", "categories"), want):
+        got = spark.read.parquet(f"{base}/{name}").select(*table.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, table.collect())), name
