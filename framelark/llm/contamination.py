@@ -3,14 +3,14 @@
 Words are runs of letters and digits in lower case. In an alignment of score s or more with an item of L words, m
 matches cost at most 2m - 2sL in words that were replaced, added or left out. So it spans at most (3 - 2s)L words,
 m is sL or more, and of the m - 1 steps from match to match at least sL - 1 have one such word at most: both sides
-go on by one word or two. An item is therefore looked for by the pairs of words one and two places apart, and as
-sL - 1 of its L - 1 starts of pairs must be hit, those of all but sL - 2 starts are enough: the rarest ones, by how
-many items hold them, are its seeds. No alignment is lost by that, whatever the frequency of a pair.
-
-One pass over the documents emits the places of seeds, through a bitmap of bounded size; they join the items in
-Spark, so a common pair costs nothing where a rarer one decides. The stretches around the places of a document are
-then aligned with the item if they hold enough of all its pairs and words. The result for a document depends on
-no other document.
+go on by one word or two. An item is therefore looked for by the pairs of words one and two places apart: as sL - 1
+of its L - 1 starts of pairs must be hit, SEED_HITS of the rarest L - sL - 1 + SEED_HITS starts must be, which are
+its seeds. Rarity is counted over all documents. No alignment is lost by that, whatever the frequency of a pair.
+
+Two passes over the documents count the items' pairs and emit the places of seeds, through bitmaps of bounded size;
+seeds join the items in Spark, so a common pair costs nothing where rarer ones decide. The stretches around the places
+of a document are then aligned with the item if they hold enough of all its pairs and words. Rarity decides the
+work alone: the result for a document depends on no other document.
 """
 
 import numpy as np
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from framelark.llm import common
 
 MIN_SCORE = 0.5  # of the alignment of an item with itself
+SEED_HITS = 3  # starts of seeds that a document must hit, or half of what the score needs of an item
 PLACES = 256  # places of a document that count as one block in the join
 BITMAP_BITS = 27  # the bitmap of seeds has at most 2**27 bits, 16 MB
 BROADCAST_BYTES = 32 << 20  # of candidates (places and item texts) that may be broadcast
@@ -85,11 +86,11 @@ class _Item:
         return [h] if self.single else _pairs(h)
 
     def starts(self):
-        """(place, key) of every start, and how many of the rarest places are enough."""
+        """(place, key) of every start, how many of the rarest places are seeds, and how many of those must be hit."""
         parts = self.parts(self.hashes)
         place = np.concatenate([np.arange(len(p)) for p in parts])
-        many = len(self.words) - (not self.single)
-        return place, np.concatenate(parts), many - self.need + 1
+        many, hits = len(self.words) - (not self.single), max(1, min(SEED_HITS, self.need // 2))
+        return place, np.concatenate(parts), many - self.need + hits, hits
 
     def stretches(self, h):
         """[start, end) of the parts of a document that hold every alignment of score enough."""
@@ -124,67 +125,86 @@ class _Item:
 def _starts(min_score):
     def run(batches):
         for b in common.blocks(batches):
-            of, places, keys, rest, single = [], [], [], [], []
+            columns = [[] for _ in range(6)]
             for i, text in enumerate(common.raw(b.column("text"))):
                 item = _Item(text, min_score)
                 if item.words:
-                    place, key, enough = item.starts()
-                    of.append(np.full(len(key), i))
-                    places.append(place)
-                    keys.append(key.view(np.int64))
-                    rest.append(np.full(len(key), enough))
-                    single.append(np.full(len(key), item.single))
-            if of:
-                yield pa.RecordBatch.from_arrays([b.column("item").take(pa.array(np.concatenate(of))), *(pa.array(np.concatenate(x).astype(np.int64)) for x in (places, keys, rest)), pa.array(np.concatenate(single))],
-                                                 ["item", "place", "key", "enough", "single"])
+                    place, key, enough, hits = item.starts()
+                    for column, value in zip(columns, (i, place, key.view(np.int64), enough, hits, int(item.single)), strict=True):
+                        column.append(np.broadcast_to(value, len(key)))
+            if columns[0]:
+                of, *rest = (np.concatenate(c).astype(np.int64) for c in columns)
+                yield pa.RecordBatch.from_arrays([b.column("item").take(pa.array(of)), *map(pa.array, rest)], ["item", "place", "key", "enough", "hits", "single"])
 
     return run
 
 
-def _seeds(items: DataFrame, min_score):
-    """((item, key): the keys of the rarest starts of each item, as many as its score needs; whether single words are among them)."""
-    starts = common.cut(items.select("item", "text").mapInArrow(_starts(min_score), "item bigint, place bigint, key bigint, enough bigint, single boolean"))
-    held = starts.select("key", "item").distinct().groupBy("key").agg(F.count("*").alias("n"))
-    rare = starts.join(held, "key").groupBy("item", "place", "enough").agg(F.sum("n").alias("n"), F.collect_set("key").alias("keys"))
-    turn = F.row_number().over(Window.partitionBy("item").orderBy("n", "place"))
-    kept = rare.withColumn("turn", turn).filter("turn <= enough")
-    return common.cut(kept.select("item", F.explode("keys").alias("key")).distinct()), not starts.filter("single").isEmpty()
-
-
-def _bitmap(seeds: DataFrame) -> np.ndarray:
-    """A bit for each hash that a seed may have; its size follows the number of seeds, up to the bound."""
-    bits = min(BITMAP_BITS, max(16, (16 * max(1, seeds.count())).bit_length()))
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """A bit for each hash that a key may have; its size follows the number of keys, up to the bound."""
+    bits = min(BITMAP_BITS, max(16, (64 * max(1, keys.count())).bit_length()))
     slot = F.col("key").bitwiseAND(F.lit((1 << bits) - 1))
-    words = seeds.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits")).toArrow()
+    words = keys.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits")).toArrow()
     out = np.zeros(1 << (bits - 6), np.uint64)
     out[words.column("at").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
     return out
 
 
+def _lookup(bitmap, singles, texts):
+    """(text, place, key) of the pairs, or words, of a block of texts that have a bit."""
+    known, mask = bitmap, np.uint64(len(bitmap) * 64 - 1)
+    words = [words_of(t) for t in texts]
+    sizes = np.array([len(w) for w in words], np.int64)
+    h = common.word_hashes([w for ws in words for w in ws])
+    of = np.repeat(np.arange(len(words)), sizes)
+    place = np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    found = []
+    for d, g in [*zip((1, 2), _pairs(h)), *[(0, h)] * singles]:
+        slot = g & mask
+        at = np.flatnonzero(known[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1))
+        at = at[of[at] == of[at + d]]  # a pair does not reach into the next text
+        found.append((of[at], place[at], g[at].view(np.int64)))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def _counts(bitmap, singles):
+    """(key, n): how often the pairs occur, a row per key and block of texts."""
+
+    def run(batches):
+        for b in common.blocks(batches):
+            key, n = np.unique(_lookup(bitmap.value, singles, common.raw(b.column("text")))[2], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
+
+    return run
+
+
 def _places(bitmap, singles):
-    """(doc_id, version, key, block) of the places of a document that may be seeds; each key once for a block."""
+    """(doc_id, version, key, block) of the places of a document that may be seeds; repeats in a row are one."""
 
     def run(batches):
-        known, mask = bitmap.value, np.uint64(len(bitmap.value) * 64 - 1)
         for b in common.blocks(batches):
-            of, keys, blocks = [], [], []
-            for i, text in enumerate(common.raw(b.column("text"))):
-                h = common.word_hashes(words_of(text))
-                for g in (*_pairs(h), *[h] * singles):
-                    slot = g & mask
-                    at = np.flatnonzero(known[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1))
-                    if len(at):
-                        both = np.unique(np.stack([g[at].view(np.int64), at // PLACES]), axis=1)
-                        of.append(np.full(both.shape[1], i))
-                        keys.append(both[0])
-                        blocks.append(both[1])
-            if of:
-                rows = pa.array(np.concatenate(of))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(rows), b.column("version").take(rows), pa.array(np.concatenate(keys)), pa.array(np.concatenate(blocks))], ["doc_id", "version", "key", "block"])
+            of, place, key = _lookup(bitmap.value, singles, common.raw(b.column("text")))
+            block = place // PLACES
+            order = np.lexsort((key, block, of))
+            of, block, key = of[order], block[order], key[order]
+            new = np.r_[True, (of[1:] != of[:-1]) | (block[1:] != block[:-1]) | (key[1:] != key[:-1])] if len(of) else np.zeros(0, bool)
+            rows = pa.array(of[new])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(rows), b.column("version").take(rows), pa.array(key[new]), pa.array(block[new])], ["doc_id", "version", "key", "block"])
 
     return run
 
 
+def _seeds(items: DataFrame, rows: DataFrame, min_score):
+    """((item, key, place, hits): the keys of the rarest starts of each item; whether single words are among them)."""
+    starts = common.cut(items.select("item", "text").mapInArrow(_starts(min_score), "item bigint, place bigint, key bigint, enough bigint, hits bigint, single bigint"))
+    singles = int(not starts.filter("single = 1").isEmpty())
+    bitmap = items.sparkSession.sparkContext.broadcast(_bitmap(starts.select("key").distinct()))
+    often = rows.select("text").mapInArrow(_counts(bitmap, singles), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    rare = starts.join(often, "key", "left").groupBy("item", "place", "enough", "hits").agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"), F.collect_set("key").alias("keys"))
+    turn = F.row_number().over(Window.partitionBy("item").orderBy("n", "place"))
+    kept = rare.withColumn("turn", turn).filter("turn <= enough")
+    return common.cut(kept.select("item", "place", "hits", F.explode("keys").alias("key")).distinct()), singles
+
+
 def _aligned(min_score):
     """Rows (doc_id, version, text, item_id, item_text, blocks) to (doc_id, version, item_id, score, first_word, end_word)."""
 
@@ -231,10 +251,11 @@ def _found(docs, items, id_col, text_col, min_score) -> DataFrame:
     item_kind = dict(items.dtypes)["item_id"]
     # An item is known by its id and text, so ids may repeat or be null.
     items = common.cut(items.withColumn("item", F.xxhash64("item_id", "text")).dropDuplicates(["item"]))
-    seeds, singles = _seeds(items, min_score)
-    bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(seeds))
-    hits = rows.mapInArrow(_places(bitmap, int(singles)), f"doc_id {kind}, version bigint, key bigint, block bigint")
-    met = hits.join(seeds, "key").groupBy("doc_id", "version", "item").agg(F.collect_set("block").alias("blocks"))
+    seeds, singles = _seeds(items, rows, min_score)
+    bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(seeds.select("key").distinct()))
+    hits = rows.mapInArrow(_places(bitmap, singles), f"doc_id {kind}, version bigint, key bigint, block bigint")
+    met = hits.join(seeds, "key").groupBy("doc_id", "version", "item").agg(F.collect_set("block").alias("blocks"), F.size(F.collect_set("place")).alias("starts"), F.max("hits").alias("hits"))
+    met = met.filter("starts >= hits").drop("starts", "hits")
     pairs = common.cut(met.join(items.select("item", "item_id", F.col("text").alias("item_text")), "item").withColumnsRenamed({"doc_id": "_doc", "version": "_version"}).drop("item"))
     size = pairs.agg(F.sum(F.octet_length("item_text") + 8 * F.size("blocks") + 32).alias("n")).first()["n"] or 0
     pairs = F.broadcast(pairs) if size <= BROADCAST_BYTES else pairs

@@ -104,11 +104,10 @@ def test_copies_without_a_run_of_four_words_are_found(spark):
 def test_a_common_pair_costs_no_row(spark):
     """Items that all hold one pair, and a document that repeats it: seeds are rarer pairs, so nothing is joined."""
     items = spark.createDataFrame([(i, f"a{i} b{i} c{i} of the d{i} e{i} f{i}") for i in range(300)], "item_id long, text string").withColumn("item", F.xxhash64("item_id", "text"))
-    seeds, singles = c._seeds(items, c.MIN_SCORE)
-    assert not singles
-    common_pair = int(c._pairs(c.common.word_hashes([b"of", b"the"]))[0].view("int64")[0])
-    assert seeds.filter(F.col("key") == common_pair).isEmpty() and seeds.select("item").distinct().count() == 300
     docs = spark.createDataFrame([(1, "of the " * 3000), (2, "x a7 b7 c7 of the d7 y")], "doc_id long, text string")
+    seeds, singles = c._seeds(items, docs, c.MIN_SCORE)
+    common_pair = int(c._pairs(c.common.word_hashes([b"of", b"the"]))[0].view("int64")[0])
+    assert not singles and seeds.filter(F.col("key") == common_pair).isEmpty() and seeds.select("item").distinct().count() == 300
     assert [(r.doc_id, r.item_id) for r in c.contaminated(docs, items).collect()] == [(2, 7)]
 
 
