@@ -62,7 +62,9 @@ def test_files_hold_the_ids(spark, tmp_path, plain, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string, start long").repartition(7)
     folder = f"file://{tmp_path}/out"
     manifest = tokens.write_tokens(docs, folder, PATH)
-    got = sorted(tokens.read_tokens(manifest, folder).collect(), key=lambda r: r.start)
+    back = tokens.read_tokens(manifest, folder)
+    assert back.rdd.getNumPartitions() == manifest.count()  # a task per shard
+    got = sorted(back.collect(), key=lambda r: r.start)
     assert [r.doc_id for r in got] == [None, *sorted(r[0] for r in rows if r[0] is not None)]
     texts = {}
     for i, t, _ in rows:
