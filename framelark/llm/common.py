@@ -86,3 +86,25 @@ def minimum_of(h: np.ndarray, k: int) -> np.ndarray:
         out = np.minimum(out[:-have], out[have:])
         have *= 2
     return np.minimum(out[: len(out) - (k - have)], out[k - have :]) if k > have else out
+
+
+HUB_ROWS = 100_000  # rows of one key that may meet in a task
+
+
+def spread_join(many: DataFrame, few: DataFrame, key: str, hub_rows=HUB_ROWS, rows=None) -> DataFrame:
+    """Inner join on `key`. A key with over `hub_rows` rows in `many` is dealt into slices, and its rows of `few` go to each.
+
+    rows: an upper bound of the rows of any key, if known; without a hub there is nothing to deal.
+    """
+    if (many.count() if rows is None else rows) <= hub_rows:
+        return many.join(few, key)
+    hubs = many.groupBy(key).count().filter(F.col("count") > hub_rows)
+    hubs = cut(hubs.select(key, F.ceil(F.col("count") / hub_rows).cast("int").alias("_slices")))
+    if hubs.isEmpty():
+        return many.join(few, key)
+    # There are at most (rows / hub_rows) hubs.
+    slices = F.coalesce("_slices", F.lit(1))
+    rest = [c for c in many.columns if c != key]
+    dealt = many.join(hubs, key, "left").withColumn("_slice", F.pmod(F.xxhash64(*rest), slices).cast("int")).drop("_slices")
+    copied = few.join(hubs, key, "left").withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1))).drop("_slices")
+    return dealt.join(copied, [key, "_slice"]).drop("_slice")
