@@ -91,14 +91,17 @@ def minimum_of(h: np.ndarray, k: int) -> np.ndarray:
 HUB_ROWS = 100_000  # rows of one key that may meet in a task
 
 
-def spread_join(many: DataFrame, few: DataFrame, key: str, hub_rows=HUB_ROWS, rows=None) -> DataFrame:
+def spread_join(many: DataFrame, few: DataFrame, key: str, hub_rows=HUB_ROWS, rows=None, counts=None) -> DataFrame:
     """Inner join on `key`. A key with over `hub_rows` rows in `many` is dealt into slices, and its rows of `few` go to each.
 
     rows: an upper bound of the rows of any key, if known; without a hub there is nothing to deal.
+    counts: (key, count) of the keys, if known.
     """
-    if (many.count() if rows is None else rows) <= hub_rows:
-        return many.join(few, key)
-    hubs = many.groupBy(key).count().filter(F.col("count") > hub_rows)
+    if counts is None:
+        if (many.count() if rows is None else rows) <= hub_rows:
+            return many.join(few, key)
+        counts = many.groupBy(key).count()
+    hubs = counts.filter(F.col("count") > hub_rows)
     hubs = cut(hubs.select(key, F.ceil(F.col("count") / hub_rows).cast("int").alias("_slices")))
     if hubs.isEmpty():
         return many.join(few, key)

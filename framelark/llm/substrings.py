@@ -19,6 +19,7 @@ from framelark.llm import common
 
 WORDS = 50
 GRAM = 20
+HUB_ROWS = 5_000  # documents that hold one window and may meet in a task
 
 
 def _anchors(h: np.ndarray, k: int) -> np.ndarray:
@@ -61,12 +62,20 @@ def _unpacked(batches):
         yield b, [spread(t) for t in common.raw(b.column("packed"))]
 
 
+def _grouped(h: np.ndarray, g: np.ndarray, pos: np.ndarray):
+    """(h, g, sizes, positions) of the distinct windows: both hashes, how many places each has, and the places in turn."""
+    order = np.lexsort((pos, g, h))
+    h, g, pos = h[order], g[order], pos[order]
+    edge = np.flatnonzero(np.r_[True, (np.diff(h) != 0) | (np.diff(g) != 0)])
+    return h[edge], g[edge], np.diff(np.r_[edge, len(h)]), pos
+
+
 def _window_rows(k):
-    """Windows whose anchor is in the row's list, with both hashes and the position."""
+    """Windows whose anchor is in the row's list, once a text, with both hashes and their positions."""
 
     def run(batches):
         for b, texts in _unpacked(batches):
-            at, hashes, other, pos = [], [], [], []
+            at, hashes, other, sizes, pos = [], [], [], [], []
             lists = b.column("anchors")
             flat, edges = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), lists.offsets.to_numpy()
             edges = edges - edges[0]
@@ -74,14 +83,16 @@ def _window_rows(k):
                 h = common.word_hashes(text.split())
                 where = np.flatnonzero(np.isin(_anchors(h, k), flat[edges[i] : edges[i + 1]]))
                 if len(where):
-                    at.append(np.full(len(where), i))
-                    pos.append(where.astype(np.int32))
-                    hashes.append(common.window_hashes(h, k)[where].view(np.int64))
-                    other.append((common.window_hashes(h, k, common.ODD2)[where] >> np.uint64(32)).astype(np.uint32).view(np.int32))
+                    first = common.window_hashes(h, k)[where].view(np.int64)
+                    second = (common.window_hashes(h, k, common.ODD2)[where] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                    for out, values in zip((hashes, other, sizes, pos), _grouped(first, second, where.astype(np.int32)), strict=True):
+                        out.append(values)
+                    at.append(np.full(len(sizes[-1]), i))
             if at:
                 rows = pa.array(np.concatenate(at))
+                places = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.concatenate(sizes))], pa.int32()), pa.array(np.concatenate(pos)))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").take(rows), b.column("version").take(rows), *(pa.array(np.concatenate(x)) for x in (hashes, other, pos))],
+                    [b.column("doc_id").take(rows), b.column("version").take(rows), pa.array(np.concatenate(hashes)), pa.array(np.concatenate(other)), places],
                     ["doc_id", "version", "h", "g", "pos"])
 
     return run
@@ -120,7 +131,7 @@ def _apply(k, with_texts):
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def remove_repeated(docs: DataFrame, k=WORDS, id_col="doc_id", text_col="text", texts=True) -> DataFrame:
+def remove_repeated(docs: DataFrame, k=WORDS, id_col="doc_id", text_col="text", texts=True, hub_rows=HUB_ROWS) -> DataFrame:
     """One row per row of `docs`: doc_id, n_words, n_removed, kept_sha256, removed, kept_text.
 
     A word goes if it lies in a window of k words whose word sequence also starts in a document with a
@@ -141,10 +152,14 @@ def remove_repeated(docs: DataFrame, k=WORDS, id_col="doc_id", text_col="text",
     marked = anchors.join(shared.select("anchor"), "anchor").join(copies, ["doc_id", "version"], "left_anti")
     marked = marked.groupBy("doc_id", "version").agg(F.collect_set("anchor").alias("anchors"))
     windows = packed.join(marked, ["doc_id", "version"]).select("doc_id", "version", "packed", "anchors")
-    windows = common.cut(windows.mapInArrow(_window_rows(k), f"doc_id {kind}, version bigint, h bigint, g int, pos int"))
-    first = windows.groupBy("h", "g").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).filter("a <> z")
-    late = windows.join(first.select("h", "g", "a"), ["h", "g"]).filter("doc_id > a")
-    starts = late.groupBy("doc_id", "version").agg(F.collect_set("pos").alias("starts"))
+    windows = common.cut(windows.mapInArrow(_window_rows(k), f"doc_id {kind}, version bigint, h bigint, g int, pos array<int>"))
+    window = F.struct("h", "g").alias("window")
+    first = windows.groupBy("h", "g").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z"), F.count("*").alias("count")).filter("a <> z")
+    first = common.cut(first.select(window, "a", "count"))
+    # A passage that many documents share has a row for each of them; such windows meet their first document in slices.
+    late = windows.select(window, "doc_id", "version", "pos")
+    late = common.spread_join(late, first.select("window", "a"), "window", hub_rows, counts=first.select("window", "count")).filter("doc_id > a")
+    starts = late.groupBy("doc_id", "version").agg(F.array_distinct(F.flatten(F.collect_list("pos"))).alias("starts"))
     found = starts.join(copies.withColumn("copy", F.lit(True)), ["doc_id", "version"], "full_outer")
     found = found.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), "starts", "copy")
     out = packed.join(found, (F.col("doc_id") == F.col("_id")) & (F.col("version") == F.col("_version")), "left")

@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+
 from framelark.llm import substrings
 
 
@@ -47,6 +49,7 @@ def test_matches_brute_force(spark):
         key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
         assert sorted(map(lambda r: tuple(r)[:4], got), key=key) == sorted(slow(rows, k), key=key)
         assert any(r.n_removed for r in got)
+        assert k == 50 or sorted(map(tuple, substrings.remove_repeated(docs, k, hub_rows=3).collect()), key=repr) == sorted(map(tuple, got), key=repr)
         for r in got:
             assert sum(s.end - s.start for s in r.removed) == r.n_removed
             assert hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256
@@ -59,5 +62,14 @@ def test_rows_repeating_an_id(spark):
     assert sorted((r.doc_id, r.n_words, r.n_removed) for r in got) == [(1, 60, 0), (1, 60, 0), (1, 61, 0), (2, 1, 0), (2, 61, 60)]
 
 
+def test_windows_of_a_text_are_one_row():
+    rng = np.random.default_rng(1)
+    h, g, pos = rng.integers(0, 4, 300), rng.integers(0, 3, 300), rng.permutation(300)
+    a, b, sizes, places = substrings._grouped(h, g, pos)
+    assert len(set(zip(a, b, strict=True))) == len(a) and sizes.sum() == 300
+    for x, y, part in zip(a, b, np.split(places, np.cumsum(sizes)[:-1]), strict=True):
+        assert part.tolist() == sorted(pos[(h == x) & (g == y)])
+
+
 def test_empty_table(spark):
     assert substrings.remove_repeated(spark.createDataFrame([], "doc_id long, text string")).count() == 0
