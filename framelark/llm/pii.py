@@ -4,11 +4,13 @@ Every kind of span holds a digit or an at sign. The tagger is only ever right wi
 span, so a window without any decodes to nothing by definition; windows are laid over all stretches of a
 text that have one, wherever they are. Neighbouring windows overlap by half; each is decoded by itself, and
 the spans of a whole text are then reconciled: of spans that overlap, the set with the largest total
-posterior stays. Patterns always win over the tagger.
+posterior stays. A span that no window sees whole is put together from the pieces its windows see. Patterns
+always win over the tagger.
 """
 
 import hashlib
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -236,10 +238,8 @@ def reconcile(spans) -> list:
     return out[::-1]
 
 
-def tagged(tagger: Tagger, texts) -> list:
-    """For each text the reconciled spans (start, end, weight, kind) of the tagger."""
-    places = [(i, at) for i, t in enumerate(texts) for at in window_starts(t)]
-    found = [[] for _ in texts]
+def _decoded(tagger: Tagger, texts, places):
+    """(text, window, start, end, kind, posteriors, left, right) of every tag; left and right: cut by that edge of the window."""
     names = [t[2:] for t in TAGS]
     for first in range(0, len(places), 2048):
         part = places[first : first + 2048]
@@ -255,7 +255,7 @@ def tagged(tagger: Tagger, texts) -> list:
         post, tags = tagger.posteriors(em[:, some]), tags[some]
         sure = np.take_along_axis(post.transpose(1, 0, 2), tags[:, :, None].astype(np.int64), 2)[:, :, 0]
         for r, (i, at) in enumerate(part[s] for s in some):
-            row, a = tags[r], 0
+            row, a, size = tags[r], 0, len(texts[i])
             while a < WINDOW:
                 if row[a] == 0:
                     a += 1
@@ -263,13 +263,60 @@ def tagged(tagger: Tagger, texts) -> list:
                 z = a + 1
                 while z < WINDOW and row[z] and TAGS[row[z]][0] == "I":
                     z += 1
-                size, whole = len(texts[i]), texts[i]
-                cut_off = (a == 0 and at > 0) or (z >= WINDOW and at + WINDOW < size)  # a neighbour sees it whole
-                start, end = at + a, min(at + z, size)
-                if not cut_off and sure[r, a:z].mean() >= SURE and _DIGITS_AT.search(whole, start, end):
-                    found[i].append((start, end, float(sure[r, a:z].sum()), names[row[a]]))
+                yield i, at, at + a, min(at + z, size), names[row[a]], sure[r, a:z], a == 0 and at > 0, z >= WINDOW and at + WINDOW < size
                 a = z
-    return [reconcile(f) for f in found]
+
+
+def stitched(pieces) -> list:
+    """Spans (start, end, kind, posteriors) put together from pieces (start, end, kind, posteriors, left, right) that edges cut.
+
+    A span begins with a piece cut at its right only, goes on with pieces of its kind that begin within what is
+    there and reach further, and ends with one cut at its left only.
+    """
+    out, open_ = [], {}
+    for a, z, kind, sure, left, right in sorted(pieces, key=lambda p: (p[0], p[1])):
+        parts = open_.get(kind)
+        if not left:
+            open_[kind] = [(a, z, sure)]
+        elif parts and a <= parts[-1][1] < z:
+            parts.append((a, z, sure))
+            if not right:
+                start, values = parts[0][0], np.zeros(z - parts[0][0], np.float32)
+                for b, y, s in parts:
+                    values[b - start : y - start] = np.maximum(values[b - start : y - start], s[: y - b])
+                out.append((start, z, kind, values))
+                del open_[kind]
+    return out
+
+
+def tagged(tagger: Tagger, texts) -> list:
+    """For each text the reconciled spans (start, end, weight, kind) of the tagger.
+
+    A tag that an edge cuts is seen by the neighbouring window, which is laid if it is not there yet; what no
+    window sees whole is put together from its pieces.
+    """
+    places = [(i, at) for i, t in enumerate(texts) for at in window_starts(t)]
+    laid, whole, pieces = set(places), [[] for _ in texts], [[] for _ in texts]
+    while places:
+        more = []
+        for i, at, start, end, kind, sure, left, right in _decoded(tagger, texts, places):
+            if not left and not right:
+                whole[i].append((start, end, kind, sure))
+                continue
+            pieces[i].append((start, end, kind, sure, left, right))
+            for near in ([max(0, at - WINDOW // 2)] if left else []) + ([at + WINDOW // 2] if right else []):
+                if (i, near) not in laid:
+                    laid.add((i, near))
+                    more.append((i, near))
+        places = more
+    out = []
+    for text, seen, parts in zip(texts, whole, pieces, strict=True):
+        seen.sort(key=lambda s: s[:2])
+        starts, reach = [s[0] for s in seen], np.maximum.accumulate([0, *(s[1] for s in seen)])
+        long = [s for s in stitched(parts) if reach[bisect_left(starts, s[1])] <= s[0]]  # overlaps none seen whole
+        found = [(a, z, float(sure.sum()), kind) for a, z, kind, sure in seen + long if sure.mean() >= SURE and _DIGITS_AT.search(text, a, z)]
+        out.append(reconcile(found))
+    return out
 
 
 def all_spans(tagger: Tagger, texts) -> list:

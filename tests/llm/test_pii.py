@@ -107,6 +107,26 @@ def test_reconcile_takes_the_best_set():
         assert free(got) and abs(sum(s[2] for s in got) - max(sum(x[2] for x in s) for s in sets)) < 1e-9
 
 
+def test_spans_beyond_a_window_are_put_together():
+    sure = lambda n, x: np.full(n, x, np.float32)
+    pieces = [(5, 64, "email", sure(59, 0.9), False, True), (32, 96, "email", sure(64, 0.8), True, True), (64, 100, "email", sure(36, 1.0), True, False),
+              (40, 64, "card", sure(24, 1.0), False, True), (70, 80, "card", sure(10, 1.0), True, False)]
+    [(a, z, kind, values)] = pii.stitched(pieces)  # the parts of the card do not touch
+    assert (a, z, kind, len(values)) == (5, 100, "email", 95)
+    assert abs(values.sum() - (59 * 0.9 + 36)) < 1e-3
+    assert pii.stitched([(32, 60, "ip", sure(28, 1.0), True, False)]) == []
+
+
+def test_long_spaced_addresses(tagger):
+    rng, found = np.random.default_rng(9), {}
+    for names in (4, 8):  # within a window, and mostly beyond one, where the small tagger of these tests finds few
+        for _ in range(30):
+            address = ".".join(pii._name(rng) for _ in range(names)) + " @ " + pii._name(rng) + ".com"
+            (base, added), = pii.all_spans(tagger, [f"the onat erea of {address} and thing is"])
+            found[names] = found.get(names, 0) + (("email", 17, 17 + len(address)) in added)
+    assert found[4] >= 20 and found[8] >= 1, found
+
+
 def test_query_rows(spark, tagger, monkeypatch):
     rows = [(1, "mail a.b@c-d.example.com now 10.0.0.1", 0), (2, None, 0), (3, "", 0), (None, "card 4111 1111 1111 1111.", 0), (1, "mail a.b@c-d.example.com now 10.0.0.1", 0),
             (4, "x " * 100_000 + "+1 (743) 555-3824 é 4111111111111111", 0), (5, "call (743) 555-3824 for that onat", 0)]
