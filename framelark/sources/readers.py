@@ -2,6 +2,7 @@
 
 import re
 import struct
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -80,15 +81,25 @@ _MARKS = {"images": "\u0001", "annotations": "\u0002", "categories": "\u0003"}
 _OTHER_MARK = "\u0004"
 
 
-def _skeleton(value, inside):
-    """Brackets of a piece outside its strings, with a mark before the opening bracket that a key has; `inside` says that it begins in a string."""
-    bare = F.regexp_replace(value, r"(?s)\\.", "")
-    if inside:
-        bare = F.concat(F.lit('"'), bare)
+def _unescaped(value):
+    """A piece without its escapes; few have any."""
+    return F.when(F.contains(value, F.lit("\\")), F.regexp_replace(value, r"(?s)\\.", "")).otherwise(value)
+
+
+def _skeleton(bare, inside):
+    """Brackets of a piece without escapes outside its strings, with a mark before the opening bracket that a key has;
+    `inside` says that it begins in a string."""
+    text_ = F.concat(F.lit('"'), bare) if inside else bare
+
+    def brackets(v):
+        v = F.regexp_replace(v, r'"[^"]*+(?:"|$)', "\u0005")
+        return F.regexp_replace(F.regexp_replace(v, r"\x05\s*:\s*([\[{])", f"{_OTHER_MARK}$1"), r"[^\[\]{\x01-\x04]++", "")
+
+    named = text_
     for part, mark in _MARKS.items():
-        bare = F.regexp_replace(bare, rf'"{part}"\s*:\s*\[', f"{mark}[")
-    bare = F.regexp_replace(bare, r'"[^"]*"\s*:\s*([\[{])', f"{_OTHER_MARK}$1")
-    return F.regexp_replace(F.regexp_replace(bare, r'"[^"]*("|$)', ""), r"[^\[\]{\x01-\x04]", "")
+        named = F.regexp_replace(named, rf'"{part}"\s*:\s*\[', f"{mark}[")
+    has = reduce(lambda a, b: a | b, [F.contains(bare, F.lit(f'"{part}')) | F.contains(bare, F.lit(f'{part}"')) for part in _MARKS])
+    return F.when(has, brackets(named)).otherwise(brackets(text_))
 
 
 def _rise(skeleton):
@@ -110,23 +121,28 @@ def read_large_coco(spark: SparkSession, path: str):
     which pieces begin inside a string and how deep each ends; a brace that closes at depth two of a known part
     ends an element. Only the numbers of the pieces are sorted. Memory is bounded by one element.
     """
-    value = F.col("value")
-    pieces = cut(spark.read.option("lineSep", "}").text(path).select(
-        F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"), "value"))
-    key, order = ["source"], ["block", "seq"]
-    quotes = F.regexp_count(F.regexp_replace(value, r"(?s)\\.", ""), F.lit('"'))
-    out, within = _skeleton(value, False), _skeleton(value, True)
-    numbers = pieces.select(*key, *order, quotes.cast("long").alias("quotes"), *[x.alias(n) for s, m in ((out, "o"), (within, "w")) for x, n in ((_rise(s), f"rise_{m}"), (_marks(s), f"marks_{m}"))])
-    n = slices(numbers, key, order)
+    key, order, bare = ["source"], ["block", "seq"], F.col("bare")
+    # What the running sums need of a piece is taken from its text once, as it is written.
+    pieces = spark.read.option("lineSep", "}").text(path).select(
+        F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"), "value", _unescaped(F.col("value")).alias("bare"))
+    pieces = cut(pieces.select(*key, *order, "value", (F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))).cast("long").alias("quotes"),
+                               _skeleton(bare, False).alias("out"), _skeleton(bare, True).alias("within")))
+    n = slices(pieces.drop("value"), key, order)
     n = running_in_slices(n, key, order, {"place": ("sum", F.lit(1).cast("long")), "upto": ("sum", F.col("quotes"))})
     inside = (F.col("upto") - F.col("quotes")) % 2 == 1
     closes = (F.col("upto") % 2 == 0).cast("long")  # the brace a piece ends at counts unless it is in a string
-    n = n.withColumns({"rise": F.when(inside, F.col("rise_w")).otherwise(F.col("rise_o")) - closes, "closes": closes, "marks": F.when(inside, F.col("marks_w")).otherwise(F.col("marks_o"))})
-    n = running_in_slices(n.drop("rise_o", "rise_w", "marks_o", "marks_w", "quotes", "upto"), key, order, {"depth": ("sum", F.col("rise"))})
-    top = F.filter("marks", lambda m: m["depth"] + F.col("depth") - F.col("rise") == 1)
-    n = n.withColumns({"mark": F.when(F.size(top) > 0, F.struct("place", F.element_at(top, -1)["mark"].alias("mark"))), "seen": top["mark"], "ends": F.col("closes") * (F.col("depth") == 2).cast("long")})
-    n = running_in_slices(n.drop("marks", "rise"), key, order, {"part": ("max", F.col("mark")), "element": ("sum", F.col("ends"))})
-    n = cut(n.select(*key, *order, "place", "seen", F.col("mark").isNotNull().alias("opens"), F.col("part.mark").alias("part"), (F.col("element") - F.col("ends")).alias("element"), "ends", "depth"))
+    n = n.select(*key, *order, "_slice", "place", closes.alias("closes"), F.when(inside, F.col("within")).otherwise(F.col("out")).alias("skeleton"))
+    n = cut(n.withColumn("rise", _rise(F.col("skeleton")) - F.col("closes")))
+    n = running_in_slices(n, key, order, {"depth": ("sum", F.col("rise"))})
+    start, sk = F.col("depth") - F.col("rise"), F.col("skeleton")
+    top = F.transform(F.filter(_marks(sk), lambda m: m["depth"] + start == 1), lambda m: m["mark"])
+    # A piece that begins in a list and closes no more than its own lists has no mark at depth one.
+    leaves = F.contains(F.replace(F.replace(sk, F.lit(f"{_OTHER_MARK}[]"), F.lit("")), F.lit("[]"), F.lit("")), F.lit("]"))
+    seen = F.when((start <= 1) | leaves, top)
+    n = cut(n.select(*key, *order, "_slice", "place", "depth", seen.alias("seen"), (F.col("closes") * (F.col("depth") == 2).cast("long")).alias("ends")))
+    n = n.withColumn("mark", F.when(F.size("seen") > 0, F.struct("place", F.element_at("seen", -1).alias("mark"))))
+    n = running_in_slices(n, key, order, {"part": ("max", F.col("mark")), "element": ("sum", F.col("ends"))})
+    n = cut(n.select(*key, *order, "place", "seen", F.col("part.mark").alias("part"), (F.col("element") - F.col("ends")).alias("element"), "ends"))
     have = n.select("source", F.explode("seen").alias("m")).groupBy("source").agg(F.count_distinct(F.when(F.col("m") != _OTHER_MARK, F.col("m"))).alias("parts"))
     lost = n.select("source").distinct().join(have, "source", "left").filter(F.coalesce("parts", F.lit(0)) < len(_MARKS)).take(1)
     if lost:
@@ -135,7 +151,7 @@ def read_large_coco(spark: SparkSession, path: str):
     ended = ended.filter(F.col("whole") == 1).filter(F.col("part").isin(*_MARKS.values())).drop("whole")
     ended = ended.join(ended.groupBy(*key, "part").agg(F.min("element").alias("_first")), [*key, "part"]).withColumn("pos", (F.col("element") - F.col("_first")).cast("int"))
     mine = n.select(*key, *order, "place", "element").join(ended.select(*key, "element", "part", "pos"), [*key, "element"])
-    texts = mine.join(pieces, [*key, *order]).groupBy(*key, "part", "pos").agg(F.array_sort(F.collect_list(F.struct("place", "value"))).alias("v"))
+    texts = mine.join(pieces.select(*key, *order, "value"), [*key, *order]).groupBy(*key, "part", "pos").agg(F.array_sort(F.collect_list(F.struct("place", "value"))).alias("v"))
     texts = texts.withColumn("body", F.concat(F.array_join("v.value", "}"), F.lit("}")))
     each = {}
     for part, mark in _MARKS.items():

@@ -334,6 +334,17 @@ def test_large_documents_are_read_in_parts(spark, tmp_path):
         readers.read_large_coco(spark, str(tmp_path))
 
 
+def test_strings_that_begin_like_lists_hide_no_bracket(spark, tmp_path):
+    """A string that starts with a colon and a bracket, after a list that ends, is no key of a list."""
+    import json
+
+    anns = [{"id": i, "image_id": 1, "category_id": 1, "bbox": [1, 2, 3, 4], "more": [["a"], ":[b", ["c"], ":{d"]} for i in range(3)]
+    (tmp_path / "a.json").write_text(json.dumps({"images": [{"id": 1, "file_name": "a"}], "annotations": anns, "categories": [{"id": 1, "name": "c"}]}))
+    images, anns, cats = readers.read_large_coco(spark, str(tmp_path))
+    assert sorted(r[0] for r in anns.select("ann_id").collect()) == [0, 1, 2]
+    assert images.count() == 1 and cats.count() == 1
+
+
 def test_ranks_by_counting(spark):
     vals = [0.0] * 500 + [1e9, 1e9 + 1] + [i / 7 for i in range(300)] + [-5.0] * 3
     df = spark.createDataFrame([(1, v) for v in vals] + [(2, 4.0)] * 9, "g int, v double")
