@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from framelark.functions import text
 from framelark.functions.geometry import fixed
+from framelark.operators.scale import computed_once
 
 # Fixed limits of the label checks.
 TINY = 0.001
@@ -20,9 +21,9 @@ def check_label_lines(lines: DataFrame, num_classes=None, fix=False) -> DataFram
     but within (0, 1000] are taken as pixels and divided by 1000. Not-a-number tokens are format errors.
     """
     p = text.tokens(F.col("line"))
-    rows = lines.filter(F.length(F.trim("line")) > 0).withColumn("_p", p)
+    rows = computed_once(lines.filter(F.length(F.trim("line")) > 0), {"_p": p})
     num = lambda i: text.as_float(F.get("_p", F.lit(i)))
-    rows = rows.withColumns({
+    rows = computed_once(rows, {
         "n_tokens": F.size("_p"), "class_id": text.as_int(F.get("_p", F.lit(0))),
         "xc": num(1), "yc": num(2), "w": num(3), "h": num(4),
     })
@@ -41,7 +42,7 @@ def check_label_lines(lines: DataFrame, num_classes=None, fix=False) -> DataFram
         .when(off("xc", "yc") & ~F.col("_fc"), "center")
         .when(off("w", "h") & ~F.col("_fs"), "size")
     )
-    rows = rows.withColumn("error", error)
+    rows = computed_once(rows, {"error": error})
     scale = lambda c, flag: F.when(F.col(flag), F.col(c) / PIXEL_RANGE).otherwise(F.col(c))
     rows = rows.withColumns({
         "xc": scale("xc", "_fc"), "yc": scale("yc", "_fc"), "w": scale("w", "_fs"), "h": scale("h", "_fs"),
@@ -103,7 +104,7 @@ def check_seg_lines(lines: DataFrame, images: DataFrame, n_classes: int) -> Data
     lines: stem, line_num, line; images: stem, has_file (a file without lines is fine).
     """
     p = text.tokens(F.col("line"))
-    rows = lines.filter(F.length(F.trim("line")) > 0).withColumn("_p", p)
+    rows = computed_once(lines.filter(F.length(F.trim("line")) > 0), {"_p": p})
     cls = text.as_int(F.get("_p", F.lit(0)))
     coords = F.slice("_p", 2, F.greatest(F.size("_p") - 1, F.lit(0)))
     n = F.size("_p") - 1
@@ -147,9 +148,8 @@ def dataset_statistics(lines: DataFrame, files: DataFrame, names: DataFrame) ->
     Lines need five tokens or more; "1.0" counts as class 1.
     """
     p = text.tokens(F.col("line"))
-    obj = lines.withColumn("_p", p).filter(F.size("_p") >= 5).select(
-        "split", "stem", text.as_float(F.get("_p", F.lit(0))).cast("int").alias("class_id")
-    ).filter("class_id is not null")
+    obj = computed_once(computed_once(lines, {"_p": p}).filter(F.size("_p") >= 5), {"class_id": text.as_float(F.get("_p", F.lit(0))).cast("int")})
+    obj = obj.select("split", "stem", "class_id").filter("class_id is not null")
     # Collapsing to (split, file, class) first keeps the distinct counts small and free of hot groups.
     per_file = obj.groupBy("split", "stem", "class_id").agg(F.count("*").alias("n"))
     cls = per_file.groupBy("split", "class_id").agg(F.sum("n").alias("instances"), F.count("*").alias("images"))
