@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from framelark.functions import geometry as geo
 from framelark.functions import text
 from framelark.operators.frames import check_poses
-from framelark.operators.scale import cut, running_in_slices, slices
+from framelark.operators.scale import computed_once, cut, running_in_slices, slices
 
 # Fixed list of image suffixes.
 IMAGE_SUFFIXES = ("jpg", "jpeg", "png", "bmp", "tif", "tiff", "webp")
@@ -34,8 +34,9 @@ def coco_tables(docs: DataFrame, doc="doc"):
     Keys outside the known columns stay in `extra`, a map of text. Columns other than `doc` name the input.
     """
     by = [c for c in docs.columns if c != doc]
-    parsed = docs.withColumn("_d", F.from_json(doc, COCO)).withColumn(
-        "_m", F.from_json(doc, "images ARRAY<MAP<STRING,STRING>>, annotations ARRAY<MAP<STRING,STRING>>"))
+    shape = "images ARRAY<MAP<STRING,STRING>>, annotations ARRAY<MAP<STRING,STRING>>"
+    docs = computed_once(docs, {doc: F.col(doc)})
+    parsed = docs.withColumn("_d", F.from_json(doc, COCO)).withColumn("_m", F.from_json(doc, shape))
     lost = parsed.filter("_d.images is null or _d.annotations is null or _d.categories is null").take(1)
     if lost:
         raise ValueError("document lacks images, annotations or categories")
@@ -303,7 +304,9 @@ def predictions(docs: DataFrame, doc="doc") -> DataFrame:
     by = [c for c in docs.columns if c != doc]
     shape = F.from_json(doc, ", ".join(f"{k} ARRAY<STRUCT<{_PREDICTION}>>" for k in _LIST_KEYS))
     bare = F.when(F.startswith(F.trim(F.col(doc)), F.lit("[")), F.from_json(doc, f"ARRAY<STRUCT<{_PREDICTION}>>"))
-    rows = docs.withColumn("_s", shape).withColumn("_l", F.coalesce(bare, *[F.col(f"_s.{k}") for k in _LIST_KEYS]))
+    # The lambda binds the parsed document, which is otherwise parsed again for each of its keys.
+    keyed = F.get(F.transform(F.array(shape), lambda s: F.coalesce(*[s[k] for k in _LIST_KEYS])), F.lit(0))
+    rows = docs.select(*by, F.coalesce(bare, keyed).alias("_l"))
     got = rows.select(*by, F.posexplode("_l").alias("pos", "p"))
     b = F.coalesce("p.bbox_2d", "p.bbox")
     return got.select(
