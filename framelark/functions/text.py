@@ -54,15 +54,10 @@ def bbox_lines(response: Column) -> Column:
     lines = F.transform(F.split(F.trim(response), "\n"), lambda s: F.trim(s))
     lines = F.filter(lines, lambda s: (F.length(s) > 0) & ~F.startswith(s, F.lit("#")))
 
-    def parse(s):
-        p = F.transform(F.split(F.translate(s, "[]", ""), ","), lambda t: F.trim(t))
-        nums = F.transform(F.slice(p, 2, 4), as_float)
-        return F.when(
-            (F.size(p) >= 5) & ~F.exists(nums, lambda v: v.isNull()),
-            F.struct(F.get(p, F.lit(0)).alias("class"), nums.alias("bbox")),
-        )
-
-    return F.filter(F.transform(lines, parse), lambda x: x.isNotNull())
+    # In steps, so that no part is computed twice.
+    parts = F.transform(lines, lambda s: F.transform(F.split(F.translate(s, "[]", ""), ","), lambda t: F.trim(t)))
+    boxes = F.transform(F.filter(parts, lambda p: F.size(p) >= 5), lambda p: F.struct(F.get(p, F.lit(0)).alias("class"), F.transform(F.slice(p, 2, 4), as_float).alias("bbox")))
+    return F.filter(boxes, lambda b: ~F.exists(b["bbox"], lambda v: v.isNull()))
 
 
 def _plain(label: Column) -> Column:
