@@ -5,16 +5,16 @@ from pyspark.sql import functions as F
 
 from framelark.functions import geometry as geo
 from framelark.functions import text
-from framelark.operators.scale import cut, ordinal
+from framelark.operators.scale import computed_once, cut, ordinal
 from framelark.operators.suppress import dedup_cross_class
 
 
 def parse_responses(df: DataFrame, response="response", field=None) -> DataFrame:
     """Add dets; where the JSON does not parse, raw and parse_error instead. `field` is the key of the box
     where it is not one of the three usual ones."""
-    got = df.withColumn("_list", text.json_list(text.json_block(F.col(response))))
+    got = computed_once(df, {"_list": text.json_list(text.json_block(F.col(response)))})
     valid = F.try_parse_json("_list").isNotNull()
-    got = got.withColumn("dets", F.when(valid, F.from_json("_list", text.detections(field)))).drop("_list")
+    got = computed_once(got, {"dets": F.when(valid, F.from_json("_list", text.detections(field)))}).drop("_list")
     failed = F.col("dets").isNull()
     return got.withColumns({
         "raw": F.when(failed, F.col(response)),
@@ -64,7 +64,7 @@ def scale_intrinsics(images: DataFrame, cameras: DataFrame) -> DataFrame:
 
 def canonicalize_labels(items: DataFrame, classes):
     """(items under the first requested class they match, items that match none)."""
-    got = items.withColumn("_m", text.first_matching_class(F.col("label"), classes))
+    got = computed_once(items, {"_m": text.first_matching_class(F.col("label"), classes)})
     return got.filter("_m is not null").withColumn("label", F.col("_m")).drop("_m"), got.filter("_m is null").drop("_m")
 
 
