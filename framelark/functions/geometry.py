@@ -165,12 +165,14 @@ def polygon_area(poly: Column) -> Column:
 
 def filter_polygons(polys: Column, min_area=100.0) -> Column:
     """Polygons of at least `min_area`; when none qualifies, the largest well-formed one."""
-    formed = F.filter(polys, lambda p: F.size(p) >= 6)
-    large = F.filter(formed, lambda p: polygon_area(p) >= min_area)
-    top = F.array_max(F.transform(formed, lambda p: F.struct(polygon_area(p).alias("a"), p.alias("p"))))
-    return F.when(F.size(large) > 0, large).when(F.size(formed) > 0, F.array(top["p"])).otherwise(
-        F.array().cast("array<array<double>>")
-    )
+    formed = F.transform(F.filter(polys, lambda p: F.size(p) >= 6), lambda p: F.struct(polygon_area(p).alias("a"), p.alias("p")))
+
+    def chosen(f):
+        large = F.filter(f, lambda s: s["a"] >= min_area)
+        best = F.when(F.size(large) > 0, large).when(F.size(f) > 0, F.array(F.array_max(f))).otherwise(F.slice(f, 1, 0))
+        return F.transform(best, lambda s: s["p"])
+
+    return let(formed, chosen)
 
 
 def _inside(edges: Column, px: Column, py: Column) -> Column:
