@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from framelark.operators import datasets
-from framelark.operators.scale import scratch_path
+from framelark.operators.scale import cut, scratch_path
 from framelark.plans.registry import query
 from framelark.sources import readers, writers
 
@@ -16,7 +16,7 @@ def _coco_parts(t):
 
 
 def _coco_docs(t):
-    return writers.coco_documents(*_coco_parts(t))
+    return cut(writers.coco_documents(*_coco_parts(t)))
 
 
 @query("read_coco", "SELECT ann_id, image_id, category_id, x1, y1, x2, y2 FROM fx_gt")
@@ -35,7 +35,7 @@ def _(t):
 def _(t):
     """Documents so small that most images are cut; every annotation still finds its image in its own."""
     images, anns, cats = _coco_parts(t)
-    images, anns, _cats = readers.coco_tables(writers.coco_documents(images, anns, cats, rows_per_doc=2))
+    images, anns, _cats = readers.coco_tables(cut(writers.coco_documents(images, anns, cats, rows_per_doc=2)))
     return anns.join(images.select("shard", "image_id", "file_name"), ["shard", "image_id"]).select("ann_id", "image_id", "file_name")
 
 
