@@ -17,21 +17,30 @@ _BODY, _PARTS = canonical_sql("SELECT image_id, ann_id AS pred_id, label AS raw,
 def _(t):
     spark = t.fx_vlm.sparkSession
     base = scratch_path(spark, "ingest")
-    t.fx_vlm.repartition(4, "image_id").write.parquet(f"{base}/in")
-    stream = ingest.stream_responses(spark, f"{base}/in", files_per_batch=2)
+    t.fx_vlm.repartition(16, "image_id").write.parquet(f"{base}/in")
+    stream = ingest.stream_responses(spark, f"{base}/in", files_per_batch=8)
     ingest.ingest(stream, t.fx_image, _CLASSES, f"{base}/out", f"{base}/state").awaitTermination()
     return spark.read.parquet(f"{base}/out").select("image_id", "label", "x1", "y1", "x2", "y2")
 
 
+IN_FILE = 500_000  # responses in a file of a batch
+
+
 @query("stream_vlm_annotations", recursive=True)
 def _(t):
-    """Two files in order of name; ids go on from one to the next, so the rows are those of the batch conversion."""
+    """Two halves in order of name; ids go on from one to the next, so the rows are those of the batch conversion.
+
+    A half is a batch of `files` files of up to IN_FILE rows, dealt in turn, so that each has rows.
+    """
     rows = t.fx_vlm.join(t.fx_image.select("image_id", "file_name"), "image_id").select("file_name", F.lit(100).alias("width"), F.lit(80).alias("height"), "response")
     rows = cut(ordinal(rows, [], ["file_name"], "_at"))
-    share, base, spark = -(-rows.count() // 2), scratch_path(rows.sparkSession, "annotations"), rows.sparkSession
+    n = rows.count()
+    files = max(1, min(-(-n // 2 // IN_FILE), n // 2))
+    share, base, spark = -(-n // 2), scratch_path(rows.sparkSession, "annotations"), rows.sparkSession
     for i in range(2):
-        rows.filter(F.floor(F.col("_at") / share) == i).drop("_at").coalesce(1).write.mode("append").parquet(f"{base}/in")
-    stream = spark.readStream.schema(rows.drop("_at").schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+        half = rows.filter(F.floor(F.col("_at") / share) == i)
+        half.repartitionById(files, (F.col("_at") % files).cast("int")).drop("_at").write.mode("append").parquet(f"{base}/in")
+    stream = spark.readStream.schema(rows.drop("_at").schema).option("maxFilesPerTrigger", files).parquet(f"{base}/in")
     ingest.ingest_annotations(stream, base).awaitTermination()
     anns, images = spark.read.parquet(f"{base}/annotations"), spark.read.parquet(f"{base}/images")
     return anns.join(images.select("image_id", "frame_idx"), "image_id").select("ann_id", "image_id", "category_id", "frame_idx", "x", "y", "w", "h")
