@@ -7,7 +7,7 @@ from framelark.functions import geometry as geo
 from framelark.functions import text
 from framelark.operators.matching import mosaic_neighbors
 from framelark.operators.responses import explode_detections, parse_responses
-from framelark.operators.scale import cut, filter_late, ordinal
+from framelark.operators.scale import computed_once, cut, filter_late, ordinal
 
 
 def coco_to_seg_labels(images: DataFrame, anns: DataFrame, cats: DataFrame, rectangles=False):
@@ -67,9 +67,9 @@ def vlm_to_annotations(results: DataFrame):
 def parse_labels(lines: DataFrame) -> DataFrame:
     """class_id, kind (det or seg) and coords of each label line; lines with bad numbers drop out."""
     p = text.tokens(F.col("line"))
-    rows = lines.withColumn("_p", p).withColumn("kind", text.label_kind(F.col("_p")))
-    rows = rows.withColumn("class_id", text.as_int(F.get("_p", F.lit(0)))).withColumn(
-        "coords", F.transform(F.slice("_p", 2, F.greatest(F.size("_p") - 1, F.lit(0))), text.as_float))
+    rows = computed_once(lines, {"_p": p})
+    rows = computed_once(rows, {"kind": text.label_kind(F.col("_p")), "class_id": text.as_int(F.get("_p", F.lit(0))),
+                                "coords": F.transform(F.slice("_p", 2, F.greatest(F.size("_p") - 1, F.lit(0))), text.as_float)})
     enough = F.when(F.col("kind") == "seg", F.size("coords") >= 6).otherwise(F.size("coords") >= 4)
     good = enough & F.col("class_id").isNotNull() & ~F.exists("coords", lambda v: v.isNull())
     return filter_late(rows, good).drop("_p")
