@@ -1,9 +1,10 @@
 """Near duplicates by the shares of their word shingles: exact Jaccard similarity of five-word shingles.
 
-Texts with the same set of shingles are one row throughout. Candidates meet by MinHash: `BANDS` bands of
-`ROWS` minima each, so a pair of similarity s shares no band with probability (1 - s**ROWS)**BANDS, which is
-1.3e-7 at 0.8 and less above. Texts that share bands, directly or over others, form a candidate group; only
-members of candidate groups have their shingles moved. Within a group the exact similarity decides: members
+Texts with the same set of shingles are one row throughout. Candidates meet in two ways. Fingerprints within
+two bits meet for certain in the grids of their segment counts (`simhash.links`). Those farther apart meet by
+MinHash: `BANDS` bands of `ROWS` minima each, so a pair of similarity s shares no band with probability
+(1 - s**ROWS)**BANDS, which is 1.3e-7 at 0.8 and less above. Texts that meet, directly or over others, form a
+candidate group; only members of candidate groups have their shingles moved. Within a group the exact similarity decides: members
 are compared with all others until those outside the largest linked part have had their turn, which finds the
 same components as all pairs would. A group with more than `group_shingles` is dealt into parts by hash, and
 every two parts meet in a task of their own.
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from framelark.llm import common
 from framelark.llm.components import components
-from framelark.llm.simhash import first_rows, keyed
+from framelark.llm.simhash import fingerprint, first_rows, keyed, links
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -54,10 +55,12 @@ def bands(s: np.ndarray) -> np.ndarray:
 
 def _signatures(batches):
     for b in common.blocks(batches):
-        sets = [shingles(t) for t in common.raw(b.column("text"))]
+        texts = common.raw(b.column("text"))
+        sets = [shingles(t) for t in texts]
         nodes = pa.array([set_hash(s) for s in sets], pa.int64())
+        prints = pa.array([fingerprint(t) for t in texts], pa.int64())
         marks = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * BANDS, pa.int32()), pa.array(np.concatenate([bands(s) for s in sets]), pa.int64()))
-        yield pa.RecordBatch.from_arrays([b.column("id"), nodes, marks], ["id", "node", "bands"])
+        yield pa.RecordBatch.from_arrays([b.column("id"), nodes, prints, marks], ["id", "node", "fp", "bands"])
 
 
 def _sets(batches):
@@ -126,11 +129,22 @@ def _links(similarity):
     return run
 
 
-def _candidates(marked: DataFrame) -> DataFrame:
-    """(node, root) of the texts that share bands with others, directly or over others."""
+def _near_prints(prints: DataFrame) -> DataFrame:
+    """Links (a, b) among the nodes of (node, fp) whose fingerprints are equal or within two bits."""
+    least = common.cut(prints.groupBy("fp").agg(F.min("node").alias("least")))
+    equal = common.spread_join(prints, least, "fp").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    near = links(least.select("fp"))
+    ends = [least.select(F.col("fp").alias(c), F.col("least").alias(f"node_{c}")) for c in ("a", "b")]
+    near = near.join(ends[0], "a").join(ends[1], "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    return equal.unionByName(near).filter("a <> b")
+
+
+def _candidates(marked: DataFrame, prints: DataFrame) -> DataFrame:
+    """(node, root) of the texts that share bands or near fingerprints with others, directly or over others."""
     cells = marked.select("node", F.explode("bands").alias("band"))
     least = cells.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
-    roots = components(cells.join(least.select("band", "least"), "band").filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")))
+    banded = cells.join(least.select("band", "least"), "band").filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    roots = components(banded.unionByName(_near_prints(prints)))
     return common.cut(roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()))
 
 
@@ -141,9 +155,9 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", similarit
     """
     rows = common.columns(docs, id=id_col, text=text_col)
     kind = rows.schema["id"].dataType.simpleString()
-    marks = common.cut(rows.mapInArrow(_signatures, f"id {kind}, node bigint, bands array<bigint>"))
+    marks = common.cut(rows.mapInArrow(_signatures, f"id {kind}, node bigint, fp bigint, bands array<bigint>"))
     distinct = common.cut(marks.groupBy("node").agg(F.min("id").alias("id"), F.first("bands").alias("bands")))
-    groups = _candidates(distinct)
+    groups = _candidates(distinct, marks.select("node", "fp").distinct())
     wanted = groups.join(distinct.select("node", "id"), "node")
     texts = rows.join(wanted, "id").select("node", "root", "text")
     sets = common.cut(texts.mapInArrow(_sets, "node bigint, root bigint, n bigint, shingles binary").dropDuplicates(["node"]))

@@ -85,3 +85,17 @@ def test_odd_rows(spark):
     assert got.columns == docs.columns
     assert sorted((r.doc_id or 0, r.text or "") for r in got.collect()) == [(0, "a b c d e"), (4, "other words altogether"), (4, "p q r s"), (5, "")]
     assert s.keep_one(docs.filter("false")).count() == 0
+
+
+def test_near_fingerprints_meet_without_a_common_band(spark):
+    """Fingerprints within two bits make candidates through the grids, also over a third and where texts share one."""
+    marked = spark.createDataFrame([(n, [100 + n]) for n in range(1, 8)], "node long, bands array<bigint>")
+    prints = spark.createDataFrame([(1, 0), (2, 3), (3, 15), (4, 1 << 40), (5, 1 << 40), (6, -1), (7, 0x7777 << 20)], "node long, fp long")
+    got = sorted((r.root, r.node) for r in s._candidates(marked, prints).collect())
+    assert got == [(1, 1), (1, 2), (1, 3), (1, 4), (1, 5)]
+
+
+def test_fingerprints_of_the_stage_are_those_of_simhash(spark, rows):
+    docs = spark.createDataFrame(rows, "id long, text string")
+    got = {r.id: r.fp for r in docs.mapInArrow(s._signatures, "id long, node bigint, fp bigint, bands array<bigint>").collect()}
+    assert all(got[i] % (1 << 64) == slow_fingerprint(t) % (1 << 64) for i, t in rows)
