@@ -25,7 +25,7 @@ from framelark.llm import common
 from framelark.llm.elias_fano import EliasFano
 
 END_ID = 0
-CACHED = 1_200_000  # words a Python worker remembers from task to task
+CACHED = 200_000  # words a Python worker remembers from task to task; it holds them through later steps
 JOINED = 200  # words encoded as one text
 READ_BYTES = 8_000_000
 _HEAD = "<4sBxxxQ"
