@@ -160,8 +160,10 @@ def _edited(t):
 def _numbered_log(t):
     from framelark.operators.scale import ordinal
     cols = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax"]
-    plain = t.sql("SELECT " + ", ".join(cols) + ", " + _LOG.split(" AS seq,", 1)[1].strip())
-    return ordinal(plain, [], cols, "seq", start=1).drop(*cols).withColumn("seq", 2 * F.col("seq"))
+    # Numbered first: only the columns of the order move. The columns of the log come from them.
+    lines = ordinal(t.lineitem.select(*cols), [], cols, "seq", start=1)
+    columns, source = _LOG.split(" AS seq,", 1)[1].strip().rsplit(" FROM ", 1)
+    return t._spark.sql(f"SELECT 2 * seq AS seq, {columns} FROM {{{source}}}", **{source: lines})
 
 
 @query("unsynced_filter", """SELECT g.pose_id AS ann_id, f.side FROM fx_pose g JOIN (SELECT side, timestamp_ns, row_number() OVER () AS z FROM fx_frame) f

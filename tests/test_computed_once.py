@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from framelark.functions import geometry as geo
 from framelark.functions import text
-from framelark.operators import convert, quality, responses
+from framelark.operators import convert, quality, responses, scale
 from framelark.plans.fixtures import Tables
 from framelark.sources import readers, writers
 
@@ -67,3 +67,14 @@ def test_lines_and_polygons_in_steps(spark):
     boxes = spark.createDataFrame([("# no\n[a, 1, 2, 3, 4]\n[b,1,x,3,4]\nc,1\n",)], "r string").select(text.bbox_lines(F.col("r")).alias("b"))
     assert [(b["class"], b["bbox"]) for b in boxes.first()["b"]] == [("a", [1.0, 2.0, 3.0, 4.0])]
     assert plan(boxes).count("translate(") == 1
+
+
+def test_numbering_without_a_group_moves_rows_once(spark):
+    """Rows are dealt by ranges to be sorted and not dealt again by slice."""
+    rows = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5000).alias("k"), (F.col("id") % 3).alias("v"))
+    out = scale.ordinal(rows, [], [F.col("k").desc()], "n", start=1)
+    assert out.columns == ["k", "v", "n"]
+    assert all(r.k + r.n == 5000 for r in out.collect())
+    rows_side, *summary = out._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")
+    assert summary and "Exchange" not in rows_side  # the rows stay, the summary comes to them
+    assert scale.ordinal(rows.filter("false"), [], ["k"], "n").count() == 0
