@@ -236,7 +236,7 @@ def _import(t, merge=suppress.import_annotations, records=False):
         F.col("pred_id").alias("ann_id"), F.when(F.col("confidence") < 0.02, -1).otherwise(F.col("image_id")).alias("image_id"), (F.col("category_id") + 10).alias("category_id"),
         F.col("x1").alias("x"), F.col("y1").alias("y"), (F.col("x2") - F.col("x1")).alias("w"), (F.col("y2") - F.col("y1")).alias("h"),
         F.when(F.col("confidence") > 0.5, (F.col("pred_id") % 900).cast("string")).when(F.col("confidence") > 0.3, "none").alias("track_text"),
-        (F.col("confidence") > 0.6).alias("has_mask"))
+        (F.col("confidence") > 0.6).alias("has_mask"), *[F.col("confidence").alias("score")] * records)
     live = t.fx_gt.select("ann_id", "image_id", "category_id", F.col("x1").alias("x"), F.col("y1").alias("y"), (F.col("x2") - F.col("x1")).alias("w"),
                           (F.col("y2") - F.col("y1")).alias("h"), (F.col("ann_id") % 500 + 1).alias("track_id"), (F.col("x2") - F.col("x1") >= 40).alias("has_mask"))
     live_im = t.fx_image.filter("split <> 'val'").select("image_id", "file_name", F.lit("left").alias("side"))
@@ -248,10 +248,9 @@ def _import(t, merge=suppress.import_annotations, records=False):
     live_cat = names.select(F.col("k").alias("category_id"), F.when(F.col("k") == 4, "other").otherwise(F.col("name")).alias("name"))
     if not records:
         return merge(inc, src_im, src_cat, live, live_im, live_cat)
-    pred = t.fx_pred.select(F.col("pred_id").alias("ann_id"), F.col("confidence").alias("score"))
     x2, y2, ring = F.col("x") + F.col("w"), F.col("y") + F.col("h"), lambda *p: F.array(F.array(*p))
     polygon = F.when(F.col("has_mask"), ring(F.col("x"), F.col("y"), x2, F.col("y"), x2, y2 + F.col("ann_id") % 7)).when(F.col("score") > 0.55, F.array().cast("array<array<double>>"))
-    inc = inc.join(pred, "ann_id").withColumns({"segmentation": polygon, "area": F.when(F.col("ann_id") % 3 == 0, F.col("w") * F.col("h") / 2), "iscrowd": F.when(F.col("ann_id") % 11 == 0, 1)})
+    inc = inc.withColumns({"segmentation": polygon, "area": F.when(F.col("ann_id") % 3 == 0, F.col("w") * F.col("h") / 2), "iscrowd": F.when(F.col("ann_id") % 11 == 0, 1)})
     live = live.withColumns({"segmentation": F.when(F.col("has_mask"), ring(F.col("x"), F.col("y"), x2, y2, F.col("x"), y2)), "score": F.lit(None).cast("double")})
     return suppress.import_records(inc.drop("has_mask"), src_im, src_cat, live.drop("has_mask"), live_im, live_cat, ["score"])
 

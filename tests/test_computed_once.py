@@ -1,11 +1,13 @@
 """Costly parts of a row are computed once, and shared tables are written once: read off the plans."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from framelark.functions import geometry as geo
 from framelark.functions import text
-from framelark.operators import convert, quality, responses, scale
+from framelark.operators import convert, quality, responses, scale, suppress
 from framelark.plans.fixtures import Tables
 from framelark.sources import readers, writers
 
@@ -78,3 +80,18 @@ def test_numbering_without_a_group_moves_rows_once(spark):
     rows_side, *summary = out._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")
     assert summary and "Exchange" not in rows_side  # the rows stay, the summary comes to them
     assert scale.ordinal(rows.filter("false"), [], ["k"], "n").count() == 0
+
+
+def test_records_carry_a_mask_once(spark):
+    """Of the first record and of the donor, only the donor's struct has the polygon; masks end where they did."""
+    ring = lambda v: [[float(v)] * 6]
+    anns = spark.createDataFrame(
+        [(1, 1, 0, 0.0, 0.0, 9.0, 9.0, None, None), (2, 1, 0, 0.0, 0.0, 9.0, 9.0, None, ring(2)), (3, 1, 0, 0.0, 0.0, 9.0, 9.0, None, ring(3)),
+         (4, 1, 0, 50.0, 0.0, 9.0, 9.0, None, ring(4)), (5, 1, 0, 50.0, 0.0, 9.0, 9.0, None, ring(5)), (6, 1, 0, 90.0, 0.0, 9.0, 9.0, None, None)],
+        "ann_id long, image_id long, category_id int, x double, y double, w double, h double, track_text string, segmentation array<array<double>>")
+    images = spark.createDataFrame([(1, "a.jpg", "left")], "image_id long, file_name string, side string")
+    cats = spark.createDataFrame([(0, "c")], "category_id int, name string")
+    live = anns.filter("false").drop("track_text").withColumn("track_id", F.lit(1).cast("long"))
+    merged, _, _ = suppress.import_records(anns, images, cats, live, images, cats)
+    assert sorted((r.x, r.segmentation, r.donor) for r in merged.collect()) == [(0.0, ring(2), 2), (50.0, ring(4), None), (90.0, None, None)]
+    assert re.search(r"don#\d+\.mask", plan(merged)) and not re.search(r"rec#\d+\.mask", plan(merged))
