@@ -1,14 +1,17 @@
-"""Main text of web pages: page structure first, repeated passages of the host where it says nothing.
+"""Main text of web pages: passages that a host repeats are found first, page structure checks the rest.
 
 A parser splits a page into blocks and tells which stand in an article, which in an element that is
-boilerplate by its name, class or role, and which are open. A page with an article (or a main element)
-gives that article's blocks, whole. On a page without one the open blocks count, less what the host repeats:
-
-the streams of words outside articles are concatenated per host, and a suffix array over the
-concatenation, sorted to LONG words, brings equal passages together. Each task sorts the suffixes of the
-pages it reads and hands on one row per distinct passage of LONG words with its first and last page;
-these rows merge by host, so a host of any size is split over tasks. A passage on two pages or more is
-boilerplate; words it covers go, and the unique runs stay.
+boilerplate by its name, class or role, and which are open. The streams of words outside articles are
+concatenated per host, and a suffix array over the concatenation, sorted to LONG words, brings equal
+passages together. Each task sorts the suffixes of the pages it reads and hands on one row per distinct
+passage of LONG words with its first and last page; these rows merge by host, so a host of any size is
+split over tasks. Longer repeats cover the same words as the passages of LONG words in them. Marked
+phrases within an article are suffixes that end with their element, so they repeat at any length.
+
+Every page then gets the places where its passages repeat, and its text by them: words of open blocks that
+a repeated passage covers go, and so does a phrase of an article that is marked by a word of two meanings
+(share, related) if another page of the host has it; it stays if the host has other pages and none has it.
+Structure confirms: a page with an article (or a main element) keeps its unmarked blocks whole.
 """
 
 import html
@@ -31,6 +34,8 @@ MARKS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner menu nav navbar navigation sidebar footer header masthead comment comments reply replies "
     "notice notices cookie cookies consent gdpr popup modal newsletter subscribe signup share sharing social related breadcrumb breadcrumbs widget pagination disqus respond".split()
 )
+# Of these, words that writers use for parts of a text as well.
+DOUBTFUL = frozenset("banner header footer comment comments reply replies notice notices share sharing social related respond subscribe signup promotion menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar note".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
@@ -42,23 +47,34 @@ _TAG = re.compile(r"<(?:!--(?:.*?-->|.*)|[!?][^>]*+(?:>|\Z)|(/?)([a-zA-Z][^\s/>]
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORDS = re.compile(r"[a-z0-9]+")
 ARTICLE, BOILERPLATE, OPEN, MAIN = 0, 1, 2, 3
+SURE, MAYBE = 1, 2
+SHOWN, KEPT, HIDDEN = 0, 1, 2
 
 
 def _marked(name, attributes):
+    """Whether name or attributes mark boilerplate: SURE, MAYBE or nothing (0)."""
     if name in DROPPED:
-        return True
+        return SURE
     if not attributes or name in ("html", "body", "main"):
-        return False
+        return 0
+    found = set()
     for m in _ATTRIBUTE.finditer(attributes):
         words = set(_WORDS.findall((m[2] or m[3] or m[4] or "").lower()))
-        if words & (ROLES if m[1].lower() == "role" else MARKS):
-            return True
-    return False
+        if m[1].lower() == "role":
+            if words & ROLES:
+                return SURE
+        else:
+            found |= words & MARKS
+    return 0 if not found else MAYBE if found <= DOUBTFUL else SURE
+
 
+def blocks(page: str, phrases: dict | None = None, kept=frozenset()) -> list:
+    """(state, text) of the blocks of a page in order; text is decoded, white space collapsed.
 
-def blocks(page: str) -> list:
-    """(state, text) of the blocks of a page in order; text is decoded, white space collapsed."""
-    out, buffer, stack = [], [], []  # stack: name, state, silent
+    phrases: receives the text of each doubtful phrase of an article, by its place in the page.
+    kept: places of the phrases to leave in the text; the others are not shown.
+    """
+    out, buffer, stack = [], [], []  # stack: name, state, silent (KEPT: all of it is shown; a list: texts of a phrase)
 
     def flush():
         text = " ".join(html.unescape("".join(buffer)).split())
@@ -71,12 +87,16 @@ def blocks(page: str) -> list:
             flush()
         del stack[i:]
 
-    at = 0
+    at, found = 0, {}
     while True:
         m = _TAG.search(page, at)
         text = page[at : m.start() if m else len(page)]
-        if text and not (stack and stack[-1][2]):
-            buffer.append(text)
+        if text:
+            to = stack[-1][2] if stack else SHOWN
+            if to in (SHOWN, KEPT):
+                buffer.append(text)
+            elif to != HIDDEN:
+                to.append(text)
         if not m:
             break
         at = m.end()
@@ -110,8 +130,16 @@ def blocks(page: str) -> list:
         above = stack[-1][1] if stack else OPEN
         nested = name == "article" and above != OPEN and above != MAIN
         marked = (name != "article" or nested) and _marked(name, attributes)
-        silent = name in SILENT or (marked and name not in BLOCKS) or bool(stack and stack[-1][2])
-        if silent:  # what is not shown, or dropped within a block, does not end the block
+        silent = stack[-1][2] if stack else SHOWN
+        if name in SILENT:
+            silent = HIDDEN
+        elif marked and name not in BLOCKS and silent == SHOWN:
+            silent = HIDDEN
+            if marked == MAYBE and above in (ARTICLE, MAIN):
+                silent = KEPT if m.start() in kept else found.setdefault(m.start(), [])
+        if silent == KEPT and name not in BLOCKS:
+            marked = 0
+        if silent not in (SHOWN, KEPT):  # what is not shown, or dropped within a block, does not end the block
             state = above
         elif above == BOILERPLATE or marked:
             state = BOILERPLATE
@@ -128,6 +156,8 @@ def blocks(page: str) -> list:
             end = re.compile(rf"</{name}\b", re.I).search(page, at)
             at = end.start() if end else len(page)
     flush()
+    if phrases is not None:
+        phrases.update((place, " ".join(html.unescape("".join(texts)).split())) for place, texts in found.items())
     return out
 
 
@@ -158,106 +188,115 @@ def suffix_array(tokens: np.ndarray, long: int) -> tuple:
     return np.argsort(rank, kind="stable"), rank
 
 
+_HOST = np.uint64(1)  # key of what every page of a host has
+REPEATED_HOST, PHRASE = -2, -3  # at: the host has another page; PHRASE - p: the phrase at place p. -1 is a passage of the task
+_SCHEMA = "row bigint, key bigint, low bigint, high bigint, at bigint"
+
+
+def _of_host(key, host):
+    return common.mixed(np.asarray(key, np.uint64) + np.asarray(host, np.int64).view(np.uint64) * common.ODD2).view(np.int64)
+
+
 def _passages(long):
-    """Distinct passages of LONG words of the pages of a block, by host; and those of pages that are open."""
+    """Distinct passages of LONG words of the pages of a block, by host, with their pages; and all places of passages by page."""
 
     def run(batches):
         for b in common.blocks(batches, "html"):
-            streams, of, whole = [], [], []
-            hosts, pages = b.column("host").to_pylist(), b.column("page").to_numpy(zero_copy_only=False)
+            streams, of, wanted = [], [], []  # wanted: page, keys, places
+            hosts, pages = (b.column(c).to_numpy(zero_copy_only=False) for c in ("host", "page"))
+            single = []  # page, key: phrases, and the host itself
             for i, page in enumerate(common.strings(b.column("html"))):
-                found = blocks(page)
-                h = common.word_hashes(_stream(found))
-                if settled(found) is None:
-                    whole.append((i, common.window_hashes(h, long)))
+                phrases = {}
+                h = common.word_hashes(_stream(blocks(page, phrases)))
                 if len(h) >= long:
                     streams.append(h)
                     of.append(np.full(len(h), i))
-            rows, keys, lows, highs, at = [], [], [], [], []
+                    wanted.append((i, common.window_hashes(h, long), np.arange(len(h) - long + 1)))
+                keys = common.word_hashes([t.encode("utf-8", "surrogatepass") for t in phrases.values()], 1)
+                single += [(i, _HOST), *((i, k) for k in keys)]
+                if phrases:
+                    wanted.append((i, np.r_[_HOST, keys], np.r_[REPEATED_HOST, PHRASE - np.array(list(phrases))]))
+            rows, keys = np.array([i for i, _ in single], np.int64), np.array([k for _, k in single], np.uint64)
+            lows = highs = pages[rows]
             if streams:
                 page_of, text = np.concatenate(of), np.concatenate(streams)
-                host_of = np.unique(np.array([h or "" for h in hosts]), return_inverse=True)[1][page_of]
+                host_of = np.unique(hosts, return_inverse=True)[1][page_of]
                 order, rank = suffix_array(text, long)
                 size = np.bincount(page_of)[page_of]
                 first = np.r_[0, np.flatnonzero(np.diff(page_of)) + 1]
                 place = np.arange(len(text)) - np.repeat(first, np.diff(np.r_[first, len(text)]))
                 order = order[(place + long <= size)[order]]  # passages do not run over the end of a page
-                group = np.lexsort((host_of[order], rank[order]))
-                order = order[group]
+                order = order[np.lexsort((host_of[order], rank[order]))]
                 edge = np.flatnonzero(np.r_[True, (np.diff(rank[order]) != 0) | (np.diff(host_of[order]) != 0)])
-                hashes = common.window_hashes(text, long)
-                rows, keys = page_of[order[edge]], hashes[order[edge]].view(np.int64)
                 ids = pages[page_of[order]]
-                lows, highs = np.minimum.reduceat(ids, edge), np.maximum.reduceat(ids, edge)
-            empty = np.zeros(0, np.int64)
+                rows, keys = np.r_[rows, page_of[order[edge]]], np.r_[keys, common.window_hashes(text, long)[order[edge]]]
+                lows, highs = np.r_[lows, np.minimum.reduceat(ids, edge)], np.r_[highs, np.maximum.reduceat(ids, edge)]
             n = len(rows)
-            owner = np.concatenate([np.asarray(rows, np.int64), *(np.full(max(len(k), 1), i) for i, k in whole)]) if n or whole else empty
-            key = np.concatenate([np.asarray(keys, np.int64), *(k.view(np.int64) if len(k) else np.zeros(1, np.int64) for _, k in whole)]) if n or whole else empty
-            at = np.concatenate([np.full(n, -1), *(np.arange(len(k)) if len(k) else np.array([-2]) for _, k in whole)]) if n or whole else empty
-            take = pa.array(owner.astype(np.int64))
-            fill = np.zeros(len(owner) - n, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("host").take(take), b.column("row").take(take), pa.array(key.astype(np.int64)), pa.array(np.r_[lows, fill].astype(np.int64)), pa.array(np.r_[highs, fill].astype(np.int64)), pa.array(at.astype(np.int64))],
-                ["host", "row", "key", "low", "high", "at"])
+            owner = np.concatenate([rows, *(np.full(len(k), i) for i, k, _ in wanted)])
+            key = _of_host(np.concatenate([keys, *(k for _, k, _ in wanted)]), hosts[owner])
+            at = np.concatenate([np.full(n, -1), *(a for _, _, a in wanted)])
+            none = pa.nulls(len(owner) - n, pa.int64())
+            low, high = (pa.concat_arrays([pa.array(x, pa.int64()), none]) for x in (lows, highs))
+            yield pa.RecordBatch.from_arrays([b.column("row").take(pa.array(owner)), pa.array(key), low, high, pa.array(at, pa.int64())], ["row", "key", "low", "high", "at"])
 
     return run
 
 
-_SCHEMA = "host string, row bigint, key bigint, low bigint, high bigint, at bigint"  # at: -1 a passage of the task, -2 an open page too short for one
+def _texts(long):
+    """The text of each page by the places of its repeated passages."""
 
-
-def _settled_rows(batches):
-    for b in common.blocks(batches, "html"):
-        texts = [settled(blocks(p)) for p in common.strings(b.column("html"))]
-        keep = pa.array([i for i, t in enumerate(texts) if t is not None], pa.int64())
-        yield _result(b, keep, [t for t in texts if t is not None])
-
-
-def _open_rows(long):
     def run(batches):
         for b in common.blocks(batches, "html"):
-            texts = []
-            for page, starts in zip(common.strings(b.column("html")), b.column("starts").to_pylist(), strict=True):
-                found, at, kept = blocks(page), 0, []
-                covered = {i + k for i in starts if i >= 0 for k in range(long)}
+            texts, repeated = [], []
+            for page, places in zip(common.strings(b.column("html")), b.column("starts").to_pylist(), strict=True):
+                places, phrases = set(places or ()), {}
+                found, at, left = blocks(page, phrases), 0, []
+                if phrases and REPEATED_HOST in places and (own := {p for p in phrases if PHRASE - p not in places}):
+                    found = blocks(page, None, own)
+                covered = {i + k for i in places if i >= 0 for k in range(long)}
                 for state, text in found:
                     if state in (BOILERPLATE, OPEN):
                         words = text.split()
-                        left = " ".join(w for k, w in enumerate(words, at) if k not in covered)
+                        unique = " ".join(w for k, w in enumerate(words, at) if k not in covered)
                         at += len(words)
-                        if state == OPEN and left:
-                            kept.append(left)
-                texts.append("\n".join(kept))
-            yield _result(b, pa.array(np.arange(len(texts))), texts)
+                        if state == OPEN and unique:
+                            left.append(unique)
+                structure = settled(found)
+                texts.append("\n".join(left) if structure is None else structure)
+                repeated.append(len(covered))
+            yield _result(b, texts, repeated)
 
     return run
 
 
-def _result(b, keep, texts):
+def _result(b, texts, repeated):
     return pa.RecordBatch.from_arrays(
-        [b.column("page_id").take(keep), b.column("url").take(keep), pa.array([t.encode("utf-8", "replace").decode() for t in texts], pa.string()), pa.array([len(t) for t in texts], pa.int64())],
-        ["page_id", "url", "text", "n_chars"])
+        [b.column("page_id"), b.column("url"), pa.array([t.encode("utf-8", "replace").decode() for t in texts], pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(repeated, pa.int64())],
+        ["page_id", "url", "text", "n_chars", "n_repeated"])
 
 
-def main_text(pages: DataFrame, long=LONG) -> DataFrame:
-    """One row per row of `pages` (page_id, url, html): page_id, url, text, n_chars.
+def host_text(pages: DataFrame, long=LONG, hub_rows=common.HUB_ROWS) -> DataFrame:
+    """One row per row of `pages` (page_id, url, html): page_id, url, text, n_chars, n_repeated.
 
+    n_repeated: words outside articles within passages that another page of the host has.
     Null and empty html give an empty text. Pages are told apart by their html, so copies of a page, under
-    one address or several, do not make its own text boilerplate. A null url is a host of its own. Text of an
-    article is never removed, even if other pages repeat it. An empty table gives an empty one.
+    one address or several, do not make its own text boilerplate. A null url is a host of its own. Unmarked text
+    of an article is never removed, even if other pages repeat it. An empty table gives an empty one.
+    hub_rows: places of one passage that may meet in a task.
     """
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     rows = common.columns(pages, page_id="page_id", url="url", html="html")
     kind = dict(rows.dtypes)["page_id"]
-    rows = rows.select("*", host.alias("host"), F.xxhash64("html").alias("page"), F.xxhash64("page_id", "url", "html").alias("row"))
-    result = f"page_id {kind}, url string, text string, n_chars bigint"
-    whole = rows.select("page_id", "url", "html").mapInArrow(_settled_rows, result)
+    rows = rows.select("*", F.xxhash64(host).alias("host"), F.xxhash64("html").alias("page"), F.xxhash64("page_id", "url", "html").alias("row"))
     found = common.cut(rows.select("host", "page", "row", "html").mapInArrow(_passages(long), _SCHEMA))
-    wanted = found.filter("at <> -1")
-    if wanted.isEmpty():
-        return whole
-    repeated = found.filter("at = -1").groupBy("host", "key").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low <> high")
-    starts = wanted.join(repeated.select("host", "key", F.lit(True).alias("hit")), ["host", "key"], "left")
-    starts = starts.groupBy("row").agg(F.collect_set(F.when(F.col("hit") & (F.col("at") >= 0), F.col("at"))).alias("starts"))
-    left = rows.select("page_id", "url", "html", F.col("row").alias("_row")).join(starts, F.col("_row") == F.col("row"))
-    return whole.unionByName(left.select("page_id", "url", "html", "starts").mapInArrow(_open_rows(long), result))
+    merged = found.groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count_if(F.col("at") != -1).alias("count"))
+    repeated = common.cut(merged.filter("low <> high and count > 0").select("key", "count"))
+    starts = common.spread_join(found.filter("at <> -1").select("key", "row", "at"), repeated.select("key"), "key", hub_rows, counts=repeated)
+    starts = starts.groupBy("row").agg(F.collect_set("at").alias("starts"))
+    placed = rows.select("page_id", "url", "html", F.col("row").alias("_row")).join(starts, F.col("_row") == F.col("row"), "left")
+    return placed.select("page_id", "url", "html", "starts").mapInArrow(_texts(long), f"page_id {kind}, url string, text string, n_chars bigint, n_repeated bigint")
+
+
+def main_text(pages: DataFrame, long=LONG) -> DataFrame:
+    """page_id, url, text and n_chars of `host_text`."""
+    return host_text(pages, long).drop("n_repeated")

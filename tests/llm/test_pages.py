@@ -91,3 +91,20 @@ def test_matches_brute_force(spark):
         assert sorted(got, key=repr) == sorted(slow(rows, pages.LONG), key=repr)
     assert key and [r.n_chars > 0 for r in pages.main_text(frame).filter("page_id >= 700").collect()] == [True, True]
     assert pages.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_host_decides_on_every_page(spark):
+    """Repeated passages are counted on pages with an article, and settle its marked phrases."""
+    menu = "<div>" + " ".join(f"m{i}" for i in range(12)) + "</div>"
+
+    def page(i, text, host="a.org"):
+        return (i, f"http://{host}/{i}", f"{menu}<article><p>{text} {i}</p></article>")
+
+    rows = [page(1, "see <a class='share-link'>this <i>paper</i></a> now"), page(2, "x <a class='share-link'>Share it</a> y"), page(3, "z <a class='share-link'>Share  it</a>"),
+            page(4, "u <span class='ad share'>own</span> v"), page(5, "see <a class='share-link'>this</a> now", "b.org"), page(6, "<div class='related'>gone</div>w")]
+    rows.append((7, "http://c.org/", "<article><p>" + " ".join(f"m{i}" for i in range(12))))
+    want = {1: ("see this paper now 1", 12), 2: ("x y 2", 12), 3: ("z 3", 12), 4: ("u v 4", 12), 5: ("see now 5", 0), 6: ("w 6", 12), 7: (" ".join(f"m{i}" for i in range(12)), 0)}
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for parts, hub in ((1, 1000), (5, 2)):
+        got = pages.host_text(frame.repartition(parts), hub_rows=hub).collect()
+        assert {r.page_id: (r.text, r.n_repeated) for r in got} == want
