@@ -25,7 +25,7 @@ from framelark.llm import common
 from framelark.llm.elias_fano import EliasFano
 
 END_ID = 0
-CACHED = 200_000  # words a Python worker remembers from task to task; it holds them through later steps
+CACHED = 400_000  # words a Python worker remembers from task to task; it holds them through later steps
 JOINED = 200  # words encoded as one text
 READ_BYTES = 8_000_000
 _HEAD = "<4sBxxxQ"
@@ -85,8 +85,9 @@ class Encoder:
 
     def _learn(self, fresh, cut):
         if len(self.words) + len(fresh) > CACHED:
-            self.words.clear()
-            fresh = list(set(itertools.chain.from_iterable(cut)))
+            # Frequent words come early, so the half learnt first stays, with the words of these texts.
+            now = set(itertools.chain.from_iterable(cut)).difference(fresh)
+            self.words = {w: ids for i, (w, ids) in enumerate(self.words.items()) if i < CACHED // 2 or w in now}
         plain = [w for w in fresh if w and not (w[0].isspace() or w[-1].isspace())]
         if any(t in w for t in self.added for w in plain):
             other = [w for w in plain if any(t in w for t in self.added)]

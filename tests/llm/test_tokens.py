@@ -77,3 +77,16 @@ def test_files_hold_the_ids(spark, tmp_path, plain, monkeypatch):
         at += len(want)
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert tokens.read_tokens(tokens.write_tokens(empty, folder, PATH), folder).count() == 0
+
+
+def test_frequent_words_stay(monkeypatch):
+    """A full memory keeps the words learnt first: they are not encoded again."""
+    monkeypatch.setattr(tokens, "CACHED", 40)
+    encoder, learnt = tokens.Encoder(PATH), []
+    run = encoder._run
+    monkeypatch.setattr(encoder, "_run", lambda texts: learnt.extend(texts) or run(texts))
+    for i in range(30):
+        text = " ".join(["start often common", *(f"w{i}x{k}" for k in range(9 * (i > 0)))])
+        assert encoder.encode([text]) == [np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, encoder.dtype).tobytes()]
+        assert len(encoder.words) <= 40
+    assert sum("often" in t for t in learnt) == 1
