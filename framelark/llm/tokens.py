@@ -25,57 +25,144 @@ from framelark.llm import common
 from framelark.llm.elias_fano import EliasFano
 
 END_ID = 0
-CACHED = 400_000  # words a Python worker remembers from task to task; it holds them through later steps
-JOINED = 200  # words encoded as one text
+CACHED = 400_000  # pieces a Python worker remembers from task to task; it holds them through later steps
+LONGEST = 64  # bytes of a piece that is remembered
+JOINED = 200  # pieces encoded as one text
+BLOCK_BYTES = 4_000_000  # text bytes whose equal pieces are looked up once
 READ_BYTES = 8_000_000
 _HEAD = "<4sBxxxQ"
 _MAGIC = b"TOK1"
 
 
+def _bytes(*ranges):
+    """Which of the 256 bytes lie in one of the ranges, ends included."""
+    found = np.zeros(256, bool)
+    for a, z in ranges:
+        found[a : z + 1] = True
+    return found
+
+
+_SPACE = _bytes((9, 10), (13, 13), (32, 32))  # a piece may begin with these
+_SIGN = _bytes((33, 38), (40, 47), (58, 64), (91, 96), (123, 126))  # or with these, but not with the apostrophe of 's
+_ALNUM = _bytes((48, 57), (65, 90), (97, 122))
+_LETTERS = _bytes((0xC3, 0xC8), (0xD0, 0xD1))  # first bytes of two; but for U+00D7 and U+00F7 only letters begin so
+_UNSURE = _bytes((0, 32), (127, 127))  # white space or not, by whom one asks
+_CUTS = _SPACE | _SIGN
+
+
+def _odd_end(data, at):
+    """Whether the characters of several bytes that end before the places `at` may be white space."""
+    a, b, c = data[at - 3], data[at - 2], data[at - 1]
+    two = (b == 0xC2) & ((c == 0x85) | (c == 0xA0))
+    return two | ((a == 0xE1) & ((b == 0x9A) | (b == 0xA0))) | ((a == 0xE2) & ((b == 0x80) | (b == 0x81))) | ((a == 0xE3) & (b == 0x80))
+
+
+def _starts(data, ends):
+    """Places at which texts may be cut without a change of ids: bytes `data`, of which a text ends at each of `ends`.
+
+    A piece begins where white space follows a character that is none, and where a sign of ASCII follows a letter or digit.
+    """
+    at = np.flatnonzero(_CUTS[data])
+    at = at[at > 0]
+    before = data[at - 1]
+    space = _SPACE[data[at]]
+    cut = np.where(space, ~_UNSURE[before], _ALNUM[before])
+    wide = np.flatnonzero(before >= 0x80)
+    if len(wide):
+        p = at[wide]
+        lead, last = data[p - 2], before[wide]
+        letter = _LETTERS[lead] & ~((lead == 0xC3) & ((last == 0x97) | (last == 0xB7)))
+        cut[wide] = np.where(space[wide], ~_odd_end(data, p), letter)
+    begins = np.zeros(len(data) + 1, bool)
+    begins[at[cut]] = True
+    begins[0] = True
+    begins[ends] = True
+    begins[-1] = False
+    return np.flatnonzero(begins[:-1])
+
+
+def _parts(array):
+    """Offsets and bytes of a large binary array that is no slice."""
+    _, offsets, data = array.buffers()
+    return np.frombuffer(offsets, np.int64, len(array) + 1), data.to_pybytes()
+
+
+def _values(array):
+    """The values as bytes; to_pylist takes several times as long."""
+    at, data = _parts(array)
+    return [data[a:z] for a, z in itertools.pairwise(at.tolist())]
+
+
 class Encoder:
-    """Ids of whole texts by a byte-level BPE tokenizer, remembered by word.
+    """Ids of whole texts by a byte-level BPE tokenizer, remembered by piece.
 
-    Byte-level BPE cuts a text into pieces before it merges, and a single space between two characters that
-    are not white space always begins a piece. So a text may be cut there, and the ids of a piece are the
-    same wherever it stands. A text with other white space around a space is encoded as it is. New words are
-    encoded many to a text: only the first token of a word begins with the space.
+    Byte-level BPE cuts a text by a pattern before it merges, and no match of the pattern of GPT-2 goes on over the places
+    of `_starts`. So a text may be cut there, and the ids of a piece are the same wherever it stands. A text with an added
+    token, and every text of a tokenizer with another pattern, is encoded as it is. New pieces that begin with a space or
+    line feed are encoded many to a text: only the first token of such a piece begins so.
     """
 
     def __init__(self, path):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         added = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.added = [t for t in added if t]
+        form = self.tokenizer.pre_tokenizer
+        self.known = isinstance(form, ByteLevel) and form.use_regex and not form.add_prefix_space and self.tokenizer.normalizer is None
         vocabulary = self.tokenizer.get_vocab()
         self.dtype = np.dtype("<u2" if len(vocabulary) <= 1 << 16 else "<u4")
-        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.spaced[[i for t, i in vocabulary.items() if t[0] == "\u0120" and t not in added]] = True
+        self.leading = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.leading[[i for t, i in vocabulary.items() if t[0] in "\u0120\u010a" and t not in added]] = True
         self.words = {}
 
     def encode(self, texts) -> list:
         """The ids of each text, as bytes of `dtype`."""
         texts = list(texts)
-        cut = [t.split(" ") for t in texts]
-        first = [w.pop(0) for w in cut]
-        fresh = [w for w in set(itertools.chain.from_iterable(cut)) if w not in self.words]
-        if fresh:
-            self._learn(fresh, cut)
-        out, whole = [None] * len(texts), []
-        for i, words in enumerate(cut):
-            found = list(map(self.words.get, words))
-            if None in found or (words and (not first[i] or first[i][-1].isspace())):
-                whole.append(i)  # it has a space that does not begin a piece
-            else:
-                out[i] = found
-        cuts = [i for i in range(len(texts)) if out[i] is not None]
-        for i, ids in zip(cuts, self._plain([first[i] for i in cuts]), strict=True):
-            out[i] = ids + b"".join(out[i])
+        out = [b""] * len(texts)
+        whole = [i for i, t in enumerate(texts) if not self.known or any(a in t for a in self.added)]
         for i, ids in zip(whole, self._plain([texts[i] for i in whole]), strict=True):
             out[i] = ids
+        skip = set(whole)
+        cut = [i for i, t in enumerate(texts) if t and i not in skip]
+        for i, ids in zip(cut, self._by_piece([texts[i].encode() for i in cut]) if cut else [], strict=True):
+            out[i] = ids
         return out
 
+    def _by_piece(self, texts):
+        """The ids of texts that are not empty. Equal pieces are looked up once."""
+        joined = b"".join(texts)
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+        starts = _starts(np.frombuffer(joined, np.uint8), ends)
+        places = pa.py_buffer(np.append(starts, len(joined)))
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, places, pa.py_buffer(joined)]).dictionary_encode()
+        ids = pa.array(self._ids_of(_values(pieces.dictionary)), pa.large_binary()).take(pieces.indices)
+        at, data = _parts(ids)
+        stops = at[np.append(np.searchsorted(starts, ends[:-1]), len(starts))].tolist()
+        return [data[a:z] for a, z in itertools.pairwise([0, *stops])]
+
+    def _ids_of(self, pieces):
+        """The ids of pieces, no two of them equal."""
+        ids = list(map(self.words.get, pieces))
+        fresh = [i for i, x in enumerate(ids) if x is None]
+        if fresh:
+            new = [pieces[i] for i in fresh]
+            learnt = self._learn(new)
+            for i, x in zip(fresh, learnt, strict=True):
+                ids[i] = x
+            self._remember(pieces, new, learnt)
+        return ids
+
+    def _remember(self, pieces, new, learnt):
+        kept = [(w, x) for w, x in zip(new, learnt, strict=True) if len(w) <= LONGEST]
+        if len(self.words) + len(kept) > CACHED:
+            # Frequent pieces come early, so the half learnt first stays, with the pieces of these texts.
+            now = set(pieces)
+            self.words = {w: x for i, (w, x) in enumerate(self.words.items()) if i < CACHED // 2 or w in now}
+        self.words.update(kept[: max(0, CACHED - len(self.words))])
+
     def _run(self, texts):
         run = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         return run(texts, add_special_tokens=False) if texts else []
@@ -83,24 +170,21 @@ class Encoder:
     def _plain(self, texts):
         return [np.array(e.ids, self.dtype).tobytes() for e in self._run(texts)]
 
-    def _learn(self, fresh, cut):
-        if len(self.words) + len(fresh) > CACHED:
-            # Frequent words come early, so the half learnt first stays, with the words of these texts.
-            now = set(itertools.chain.from_iterable(cut)).difference(fresh)
-            self.words = {w: ids for i, (w, ids) in enumerate(self.words.items()) if i < CACHED // 2 or w in now}
-        plain = [w for w in fresh if w and not (w[0].isspace() or w[-1].isspace())]
-        if any(t in w for t in self.added for w in plain):
-            other = [w for w in plain if any(t in w for t in self.added)]
-            self.words.update(zip(other, self._plain([" " + w for w in other]), strict=True))
-            plain = [w for w in plain if w not in self.words]
-        joined = [" " + " ".join(plain[i : i + JOINED]) for i in range(0, len(plain), JOINED)]
+    def _learn(self, pieces):
+        texts = [w.decode() for w in pieces]
+        plain = [i for i, t in enumerate(texts) if t[0] in " \n" and len(x := t.split()) == 1 and len(x[0]) == len(t) - 1]
+        out = [None] * len(texts)
+        joined = ["".join(texts[i] for i in plain[a : a + JOINED]) for a in range(0, len(plain), JOINED)]
         ids = np.array(list(itertools.chain.from_iterable(e.ids for e in self._run(joined))), np.int64)
-        at = (np.flatnonzero(self.spaced[ids]) * self.dtype.itemsize).tolist()
-        if len(at) != len(plain):  # white space of a kind the tokenizer sees otherwise
-            self.words.update(zip(plain, self._plain([" " + w for w in plain]), strict=True))
-            return
-        data = ids.astype(self.dtype).tobytes()
-        self.words.update(zip(plain, (data[a:z] for a, z in zip(at, [*at[1:], len(data)], strict=True)), strict=True))
+        at = (np.flatnonzero(self.leading[ids]) * self.dtype.itemsize).tolist()
+        if len(at) == len(plain):  # else white space of a kind the tokenizer sees otherwise
+            data = ids.astype(self.dtype).tobytes()
+            for i, a, z in zip(plain, at, [*at[1:], len(data)] if at else [], strict=True):
+                out[i] = data[a:z]
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(rest, self._plain([texts[i] for i in rest]), strict=True):
+            out[i] = x
+        return out
 
 
 @functools.lru_cache(maxsize=1)
@@ -117,7 +201,7 @@ def _filesystem(path):
 def _write_shard(folder, tokenizer_path):
     def run(batches):
         encoder = None
-        for b in common.blocks(batches):
+        for b in common.blocks(batches, limit=BLOCK_BYTES):
             if encoder is None:
                 encoder = encoder_of(tokenizer_path)
                 end = np.array([END_ID], encoder.dtype).tobytes()

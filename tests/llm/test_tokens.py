@@ -90,3 +90,38 @@ def test_frequent_words_stay(monkeypatch):
         assert encoder.encode([text]) == [np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, encoder.dtype).tobytes()]
         assert len(encoder.words) <= 40
     assert sum("often" in t for t in learnt) == 1
+
+
+def test_a_word_is_encoded_once_whatever_follows(monkeypatch):
+    """Signs and line ends after a word make no new word of it."""
+    encoder, learnt = tokens.Encoder(PATH), []
+    run = encoder._run
+    monkeypatch.setattr(encoder, "_run", lambda texts: learnt.extend(texts) or run(texts))
+    text = " ".join(["so", *(f"überall{end}{sign}\nweiter" for end in ("", "1", "д", "ñ") for sign in (".", ",", "!?", "$$$", "", ".\t", "\n"))])
+    assert encoder.encode([text]) == [np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, encoder.dtype).tobytes()]
+    assert sum(t.count("überall") for t in learnt) == 4
+    assert sum(t.count("weiter") for t in learnt) == 3  # after a line feed alone, after two, after a tab and one
+
+
+def test_no_cut_changes_ids(plain):
+    rng = random.Random(5)
+    bits = ["a", "Z", "7", "é", "×", "÷", "ÿ", "Ā", "д", "ª", "²", "λ", "日", "😀", "'", "'s", "'ll", ".", "_", "^", "…", "»", "<|endoftext|>", "x" * 70, "\x00", "\x1c", "\x1f", "\x7f", "\x85", "\xa0", "҂"]
+    bits += ["ɏ", " ", "᠎", " ", "​", " ", " ", " ", "　", "﻿", " ", " ", " ", " ", "\n", "\n", "\n", "\t", "\r", "\v"]
+    texts = ["".join(rng.choices(bits, k=rng.randrange(12))) for _ in range(20_000)]
+    encoder = tokens.Encoder(PATH)
+    for at in range(0, len(texts), 500):
+        for t, ids in zip(texts[at : at + 500], encoder.encode(texts[at : at + 500]), strict=True):
+            assert np.frombuffer(ids, encoder.dtype).tolist() == plain(t), repr(t)
+    assert max(map(len, encoder.words)) <= tokens.LONGEST
+
+
+def test_another_pattern_is_encoded_whole(tmp_path):
+    from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
+
+    for form in (ByteLevel(add_prefix_space=True), Sequence([Split(".\n", "isolated"), ByteLevel(add_prefix_space=False, use_regex=False)])):
+        other = Tokenizer.from_file(PATH)
+        other.pre_tokenizer = form
+        other.save(str(tmp_path / "other.json"))
+        encoder = tokens.Encoder(str(tmp_path / "other.json"))
+        texts = ["One two.\nThree four", "", "five, six\nseven"]
+        assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)] == [other.encode(t, add_special_tokens=False).ids for t in texts]
