@@ -345,6 +345,29 @@ def test_strings_that_begin_like_lists_hide_no_bracket(spark, tmp_path):
     assert images.count() == 1 and cats.count() == 1
 
 
+def test_text_of_documents_moves_nowhere(spark, tmp_path):
+    """Elements come out of the task that reads them; keys of parts deeper down or at the end of a string are no parts."""
+    import json
+
+    anns = [{"id": i, "image_id": 1, "category_id": 1, "bbox": [1, 2, 3, 4], "source": "}{" * (i % 3), "m": {"images": [{"id": 5}]}} for i in range(40)]
+    doc = {"info": {"images": [{"x": 1}], "annotations": [{"id": 8}]}, "images": [{"id": 1, "file_name": "a"}, {"id": 2, "file_name": "b}"}],
+           "a}annotations": [{"id": 9}], "annotations": anns, "licenses": [{"id": 3}] * 9, "categories": [{"id": 1, "name": "c"}]}
+    (tmp_path / "a.json").write_text(json.dumps(doc))
+    (tmp_path / "b.json").write_text(json.dumps(doc, indent=1))
+    ids = lambda tables: [sorted(map(tuple, t.select("pos", k).collect())) for t, k in zip(tables, ("image_id", "ann_id", "category_id"))]
+    whole = readers.read_large_coco(spark, str(tmp_path))
+    assert ids(whole) == ids(readers.read_coco(spark, str(tmp_path))) and len(ids(whole)[1]) == 80
+    assert "Exchange" not in whole[1]._jdf.queryExecution().executedPlan().toString()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("600", "2500"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            cuts = [scale.cut(t.select("pos", k)) for t, k in zip(readers.read_large_coco(spark, str(tmp_path)), ("image_id", "ann_id", "category_id"))]
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        assert ids(cuts) == ids(whole)
+
+
 def test_ranks_by_counting(spark):
     vals = [0.0] * 500 + [1e9, 1e9 + 1] + [i / 7 for i in range(300)] + [-5.0] * 3
     df = spark.createDataFrame([(1, v) for v in vals] + [(2, 4.0)] * 9, "g int, v double")
